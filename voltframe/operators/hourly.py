@@ -41,10 +41,13 @@ def hourly_usage(indexed: DataFrame, tz: str = LOCAL_TZ, drop_copies: bool = Fal
     """
     src = indexed.dropDuplicates() if drop_copies else indexed
     return (with_local_parts(src, "StartMeterSampleIndex", tz)
-            .groupBy(*HOURLY_KEY)
-            .agg(F.sum("AMIValue").alias("HourlyAMIValue"),
-                 F.sum("VEEValue").alias("HourlyVEEValue"),
-                 F.max("EndMeterSampleIndex").alias("EndMeterSampleIndex")))
+            .groupBy(*HOURLY_KEY).agg(*hourly_aggs()))
+
+
+def hourly_aggs():
+    return [F.sum("AMIValue").alias("HourlyAMIValue"),
+            F.sum("VEEValue").alias("HourlyVEEValue"),
+            F.max("EndMeterSampleIndex").alias("EndMeterSampleIndex")]
 
 
 def _v1_parts(cleaned: DataFrame) -> DataFrame:

@@ -13,7 +13,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
+from voltframe.operators import loadcontrol as L
+from voltframe.operators import peaks as P
 from voltframe.operators import readings as R
 from voltframe.operators import submeters as S
 from voltframe.operators import usage as U
@@ -57,6 +60,51 @@ class Pipeline:
     def totals(self) -> DataFrame:
         return U.hourly_totals(self.hourly_nosub)
 
+    # ---- load control
+    @cached_property
+    def lc_periods(self) -> DataFrame:
+        return L.index_lc_periods(self.fx.fx_lc_text)
+
+    @cached_property
+    def lc_points(self) -> DataFrame:
+        return L.expand_lc_periods(self.lc_periods)
+
+    # ---- peaks
+    @cached_property
+    def peaks(self) -> DataFrame:
+        return P.peak_parts(self.fx.fx_peaks)
+
+    @cached_property
+    def indexed_peaks(self) -> DataFrame:
+        return P.index_peaks(self.peaks)
+
+    @cached_property
+    def peak_lc_rows(self) -> DataFrame:
+        return P.peak_by_lc_meter(self.hourly, self.indexed_peaks, self.fx.fx_load_types)
+
+    # ---- change batches: an early file and a later, overlapping file that
+    # carries validated (VEE-filled) values
+    @cached_property
+    def batch1(self) -> DataFrame:
+        return R.clean_readings(self.bronze.filter(F.dayofmonth("StartDateTime") <= 20))
+
+    @cached_property
+    def batch2(self) -> DataFrame:
+        b2 = (self.bronze.filter(F.dayofmonth("StartDateTime") >= 10)
+              .withColumn("VEEValue", F.coalesce("VEEValue", "AMIValue")))
+        return R.clean_readings(b2)
+
+    @cached_property
+    def upserted(self) -> DataFrame:
+        return C.upsert(self.batch1, self.batch2, R.READING_KEY)
+
+    @cached_property
+    def change_log(self) -> DataFrame:
+        v1 = C.initial_load_changes(self.batch1, 1)
+        v2 = C.upsert_changes(self.batch1, self.batch2, R.READING_KEY, 2)
+        v3 = C.delete_changes(self.upserted, F.col("AMIValue") == 0, 3)
+        return v1.unionByName(v2).unionByName(v3)
+
 
 def out(df: DataFrame, double=(), bigint=(), int_=()) -> DataFrame:
     """Cast result columns to the types both engines report identically."""
