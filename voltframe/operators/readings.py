@@ -62,10 +62,10 @@ def resolve_duplicate_pairs(df: DataFrame, keys=READING_KEY, values=READING_VALU
     if policy == "max":
         return max_per_key(df, keys, values)
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    keyed = df.filter(~null_key)
     rec = F.struct(*[F.col(v) for v in values])
-    per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                       F.min(rec).alias("_lo"), F.max(rec).alias("_hi"))
+    # a row with a null key column is its own group (it never joins to a count)
+    per_key = df.groupBy(*keys, F.when(null_key, rec).alias("_nk")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(rec).alias("_lo"), F.max(rec).alias("_hi"))
     small = (per_key.filter(F.col("_n") <= 2)
              .select(*keys, "_n", F.explode(
                  F.when(F.col("_n") == 1, F.array("_lo")).otherwise(F.array("_lo", "_hi"))
@@ -73,8 +73,13 @@ def resolve_duplicate_pairs(df: DataFrame, keys=READING_KEY, values=READING_VALU
              .select(*keys, "_n", *[F.col(f"_r.{v}").alias(v) for v in values])
              .filter(_pair_keep(F.col("_n")))
              .drop("_n"))
-    crowded = keyed.join(per_key.filter(F.col("_n") >= 3).select(*keys), keys, "left_semi")
-    return small.unionByName(crowded).unionByName(df.filter(null_key).select(*keys, *values))
+    # keys seen 3+ times (rare; rejected by the gate) come back whole. The
+    # null-safe condition keeps the input subtree identical to the one above,
+    # so both branches read the same shuffle instead of scanning twice.
+    ck = per_key.filter(F.col("_n") >= 3).select(*[F.col(k).alias(f"_ck_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys])
+    crowded = df.join(ck, cond, "left_semi").select(*keys, *values)
+    return small.unionByName(crowded)
 
 
 def max_per_key(df: DataFrame, keys=READING_KEY, values=READING_VALUES) -> DataFrame:

@@ -10,6 +10,7 @@ driver tables, so its size grows with the scale factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltframe.session import use_utc
 
@@ -135,6 +136,53 @@ UNION ALL SELECT CONCAT('m', CAST(r_regionkey + 1 AS STRING), '.xlsx'), 40, 'TOT
 }
 
 
+# Spark-side forms of the fixtures that the SQL text writes as UNION ALL of
+# several filtered copies of one input: one pass with ``explode`` instead, so
+# the input is scanned and aggregated once (the union branches prune
+# different columns and would not share an exchange).
+def _spark_bronze(fx: "Fixtures") -> DataFrame:
+    s = fx["fx_slots"]
+    k, v = F.col("k"), F.col("v")
+    zero = F.lit(0).cast("decimal(18,2)")
+    vee = F.when(k % 11 == 0, F.lit(None).cast("decimal(18,2)")).otherwise(v)
+
+    def row(a, b):
+        return F.struct(a.cast("decimal(18,2)").alias("AMIValue"), b.cast("decimal(18,2)").alias("VEEValue"))
+    variants = F.filter(F.array(
+        row(v, vee),
+        F.when(k % 50 == 1, row(v, vee)),
+        F.when(k % 50 == 2, row(zero, F.lit(None))),
+        F.when(k % 50 == 3, row(zero, zero)),
+        F.when(k % 50 == 4, row(zero, v))), lambda x: x.isNotNull())
+    return (s.select("MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel", "StartDateTime",
+                     (F.col("StartDateTime") + F.expr("INTERVAL 15 MINUTES")).alias("EndDateTime"),
+                     F.explode(variants).alias("_r"))
+            .select("MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel", "StartDateTime",
+                    "EndDateTime", "_r.AMIValue", "_r.VEEValue"))
+
+
+def _spark_load_types(fx: "Fixtures") -> DataFrame:
+    mi = fx["fx_meter_info"]
+    n = F.col("BI_MTR_NBR")
+    base = F.when(n % 4 == 0, "IR1").when(n % 4 == 1, "DF1").otherwise("WH1")
+    types = F.filter(F.array(base, F.when(n % 5 == 0, F.lit("GN1"))), lambda x: x.isNotNull())
+    return (mi.select("BI_ACCT", "BI_MTR_NBR", "BI_MTR_POS_NBR",
+                      F.col("BI_ACCT").alias("BI_SRV_LOC_NBR"), F.explode(types).alias("BI_LOAD_TYPE"))
+            .withColumn("BI_LOAD_TYPE_DESC", F.concat(F.lit("Load type "), "BI_LOAD_TYPE")))
+
+
+def _spark_cells(fx: "Fixtures") -> DataFrame:
+    sh = fx["fx_sheet"]
+    cells = F.array(*[F.struct(F.lit(i).alias("col_no"), F.col(f"c{i}").alias("value")) for i in range(9)])
+    return (sh.select("file", F.col("r").alias("row_no"), F.explode(cells).alias("_c"))
+            .select("file", "row_no", "_c.col_no", "_c.value")
+            .filter(F.col("value").isNotNull()))
+
+
+SPARK_FIXTURES = {"fx_bronze": _spark_bronze, "fx_load_types": _spark_load_types,
+                  "fx_cells": _spark_cells}
+
+
 def resolve(names) -> list[str]:
     """Fixtures needed by ``names`` in dependency order."""
     order: list[str] = []
@@ -182,8 +230,11 @@ class Fixtures:
         if name in DRIVER_TABLES:
             return self.table(name)
         if name not in self._cache:
-            deps, text = FIXTURES[name]
-            self._cache[name] = self.spark.sql(text, **{d: self[d] for d in deps})
+            if name in SPARK_FIXTURES:
+                self._cache[name] = SPARK_FIXTURES[name](self)
+            else:
+                deps, text = FIXTURES[name]
+                self._cache[name] = self.spark.sql(text, **{d: self[d] for d in deps})
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
