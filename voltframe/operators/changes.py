@@ -117,3 +117,19 @@ def reaggregation_scope(upstream: DataFrame, changed: DataFrame, hour_keys, with
     changed day")."""
     touched = affected_hours(changed, hour_keys, with_hour)
     return with_hour(upstream).join(touched, list(hour_keys), "left_semi")
+
+
+def first_changed_day(changes: DataFrame, ts_col: str = "StartDateTime"):
+    """Earliest changed date of a batch (one scalar to the driver)."""
+    return changes.agg(F.min(F.to_date(ts_col))).first()[0]
+
+
+def reference_scope(upstream: DataFrame, changes: DataFrame, ts_col: str = "StartDateTime") -> DataFrame:
+    """The reference's re-aggregation scope: every upstream row from the
+    first changed day on. The bound is a literal, so it reaches the parquet
+    scan as a pushed filter. Prefer ``reaggregation_scope`` (touched hours
+    only); both give the same rows for the touched hours."""
+    day = first_changed_day(changes, ts_col)
+    if day is None:
+        return upstream.limit(0)
+    return upstream.filter(F.col(ts_col) >= F.lit(day).cast("timestamp"))

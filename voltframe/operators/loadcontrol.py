@@ -93,7 +93,8 @@ def _map(meter_map: DataFrame, program_col: str) -> DataFrame:
                             F.col(program_col).alias("_prog"))
 
 
-def meter_profiles(meter_map: DataFrame, program_col: str = "BI_LOAD_TYPE") -> DataFrame:
+def meter_profiles(meter_map: DataFrame, program_col: str = "BI_LOAD_TYPE",
+                   distinct_types: bool = False) -> DataFrame:
     """Per meter: its profile key and ProgramCount.
 
     ProgramCount counts map rows with a load type (the reference's
@@ -101,8 +102,15 @@ def meter_profiles(meter_map: DataFrame, program_col: str = "BI_LOAD_TYPE") -> D
     count (``w``) and how many rows exist (``e``); meters with equal profiles
     have equal fulfilment. Entries per meter are bounded by the number of
     distinct programmes.
+
+    ``distinct_types=True`` counts each (programme, load type) of a meter
+    once, so duplicate map rows do not inflate the counts (the reference
+    counts rows); pair it with ``profile_fulfilment(..., distinct_types=True)``
+    so that overlapping events of one programme count once per slot.
     """
     m = _map(meter_map, program_col)
+    if distinct_types:
+        m = m.dropDuplicates(["BI_MTR_NBR", "_prog", "BI_LOAD_TYPE"])
     pc = m.groupBy("BI_MTR_NBR").agg(F.count("BI_LOAD_TYPE").alias("ProgramCount"))
     entries = (m.filter(F.col("_prog").isNotNull())
                .groupBy("BI_MTR_NBR", "_prog")
@@ -113,7 +121,8 @@ def meter_profiles(meter_map: DataFrame, program_col: str = "BI_LOAD_TYPE") -> D
             .withColumn("ProfileKey", F.to_json(F.struct("entries", "ProgramCount"))))
 
 
-def profile_fulfilment(points: DataFrame, profiles: DataFrame) -> DataFrame:
+def profile_fulfilment(points: DataFrame, profiles: DataFrame,
+                       distinct_types: bool = False) -> DataFrame:
     """(ProfileKey, MeterSampleIndex, ProgramCount, Count, ProgramDiff, Meters)
     for every slot where at least one programme of the profile has a point.
 
@@ -123,6 +132,8 @@ def profile_fulfilment(points: DataFrame, profiles: DataFrame) -> DataFrame:
     prof = profiles.groupBy("ProfileKey", "ProgramCount", "entries").agg(
         F.count(F.lit(1)).alias("Meters"))
     cover = points.groupBy("Program", "MeterSampleIndex").agg(F.count(F.lit(1)).alias("cover"))
+    if distinct_types:
+        cover = cover.withColumn("cover", F.lit(1).cast("bigint"))
     ent = prof.select("ProfileKey", "ProgramCount", "Meters",
                       F.explode("entries").alias("x")).select(
         "ProfileKey", "ProgramCount", "Meters", F.col("x._prog").alias("Program"),
@@ -134,10 +145,10 @@ def profile_fulfilment(points: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def fulfilled_by_meter(points: DataFrame, meter_map: DataFrame,
-                       program_col: str = "BI_LOAD_TYPE") -> DataFrame:
+                       program_col: str = "BI_LOAD_TYPE", distinct_types: bool = False) -> DataFrame:
     """Per meter: number of fully controlled slots and their first/last index."""
-    prof = meter_profiles(meter_map, program_col)
-    per_profile = (profile_fulfilment(points, prof).filter(F.col("ProgramDiff") == 0)
+    prof = meter_profiles(meter_map, program_col, distinct_types)
+    per_profile = (profile_fulfilment(points, prof, distinct_types).filter(F.col("ProgramDiff") == 0)
                    .groupBy("ProfileKey")
                    .agg(F.count(F.lit(1)).alias("FulfilledPoints"),
                         F.min("MeterSampleIndex").alias("FirstIndex"),
@@ -159,7 +170,8 @@ LC_GROUP = ["BI_ACCT", "BI_SRV_LOC_NBR", "MeterNumber", "UnitOfMeasure", "FlowDi
 
 def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: DataFrame,
                           program_col: str = "BI_LOAD_TYPE", since_index: int = 1,
-                          tz: str = LOCAL_TZ, direction: str = "F", channel: int = 1) -> DataFrame:
+                          tz: str = LOCAL_TZ, direction: str = "F", channel: int = 1,
+                          distinct_types: bool = False) -> DataFrame:
     """Hourly readings of meters while *all* their programmes are controlled.
 
     Points after ``since_index`` are paired with the programme map; a
@@ -168,11 +180,16 @@ def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: Data
     are summed per local hour and event (event flag = min over the hour).
     """
     pts = points.filter(F.col("MeterSampleIndex") > since_index)
-    rd = indexed.filter((F.col("FlowDirection") == direction) & (F.col("Channel") == channel)
-                        & F.col("EndMeterSampleIndex").isNotNull())
-    prof = meter_profiles(meter_map, program_col)
-    ok = (profile_fulfilment(pts, prof).filter(F.col("ProgramDiff") == 0)
+    prof = meter_profiles(meter_map, program_col, distinct_types)
+    ok = (profile_fulfilment(pts, prof, distinct_types).filter(F.col("ProgramDiff") == 0)
           .select("ProfileKey", F.col("MeterSampleIndex").alias("_i")))
+    # Slots where any profile is fulfilled: at most one row per calendar slot
+    # (MAX_INDEX ints), so broadcasting it is bounded; it trims the readings
+    # map-side, before any shuffle, to the few slots under control.
+    slots = F.broadcast(ok.select(F.col("_i").alias("_slot")).distinct())
+    rd = (indexed.filter((F.col("FlowDirection") == direction) & (F.col("Channel") == channel)
+                         & F.col("EndMeterSampleIndex").isNotNull())
+          .join(slots, F.col("EndMeterSampleIndex") == F.col("_slot"), "left_semi"))
     keys = (rd.select(F.col("MeterNumber").alias("BI_MTR_NBR"),
                       F.col("EndMeterSampleIndex").alias("_i")).distinct()
             .join(prof.select("BI_MTR_NBR", "ProfileKey"), "BI_MTR_NBR")

@@ -150,3 +150,16 @@ def year_month_dim(peak_rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Distinct peak months with their demand rates (rates: one row per month)."""
     ym = peak_rows.select("CoincidYear", "CoincidMonth", "YearMonth").distinct()
     return (ym.join(F.broadcast(rates), ym["CoincidMonth"] == rates["Month"]).drop("Month"))
+
+
+def peak_dropouts(hourly: DataFrame, indexed_peaks: DataFrame) -> DataFrame:
+    """Meters with usage in the hour ending at the peak whose hourly row does
+    not end exactly at the peak slot (a missing last interval): the peak join
+    drops them silently, so count them per peak month."""
+    pk = F.broadcast(indexed_peaks.select("CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
+                                          F.col("MeterSampleIndex").alias("_pi")))
+    h = hourly.join(pk, (hourly["LocalYear"] == pk["CoincidYear"]) & (hourly["LocalMonth"] == pk["CoincidMonth"])
+                    & (hourly["LocalDay"] == pk["CoincidDay"]) & (hourly["HourEnding"] == pk["CoincidHour"]))
+    return (h.filter(F.col("EndMeterSampleIndex") != F.col("_pi"))
+            .groupBy("CoincidYear", "CoincidMonth")
+            .agg(F.countDistinct("MeterNumber").alias("DroppedMeters")))

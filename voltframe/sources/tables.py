@@ -81,9 +81,10 @@ class PartitionedTable:
         version becomes visible when the job commits its ``_SUCCESS``."""
         df.write.mode("overwrite").partitionBy(self.part_col).parquet(f"{self.path}/v={version:08d}")
 
-    def upsert(self, source: DataFrame, keys, version: int) -> DataFrame:
+    def upsert(self, source: DataFrame, keys, version: int, check_unique: bool = False) -> DataFrame:
         """Replace matching keys, insert the rest; rewrites touched partitions
-        only. Returns the rows written."""
+        only. Returns the rows written. ``check_unique`` verifies the key is
+        still unique in the rewritten partitions (never the whole table)."""
         touched = self.touched(source)
         current = self.read(source.schema, partitions=touched)
         if self.exists() and touched:
@@ -93,8 +94,38 @@ class PartitionedTable:
         # the new version goes to its own folder, so the rows being replaced
         # are never overwritten while they are read
         self.write_partitions(new, version)
+        if check_unique:
+            from voltframe.operators.quality import require_unique
+            require_unique(self.read(partitions=touched), list(keys) + [self.part_col], self.path)
         return new
 
 
 def month_of(col: str):
     return F.date_format(F.col(col), "yyyy-MM")
+
+
+# ---- plain path tables (overwrite, schema evolution, catalogue names)
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """Read a folder whose files were appended with growing schemas."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def union_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Expose a parquet folder under a catalogue name."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -67,7 +67,7 @@ class SilverChain:
         if self.gates:
             require_unique(cleaned, R.READING_KEY + ["month"], "cleaned batch")
         key = R.READING_KEY
-        self.cleaned.upsert(cleaned, key, version)
+        self.cleaned.upsert(cleaned, key, version, check_unique=self.gates)
         indexed = R.index_readings(cleaned.drop("month")).withColumn("month", month_of("StartDateTime"))
         if self.gates:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
