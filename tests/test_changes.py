@@ -48,3 +48,20 @@ def test_reaggregation_scope_whole_hours(spark):
     scope = C.reaggregation_scope(up, ch, ["m", "h"], lambda df: df)
     assert sorted(r.v for r in scope.collect()) == [1, 2]
     assert scope.groupBy("m", "h").agg(F.sum("v")).first()[2] == 3
+
+
+def test_reference_scope_equals_touched_hours(spark):
+    from conftest import SF_SMALL
+    from voltframe.operators import hourly as H
+    from voltframe.operators import readings as R
+    from voltframe.plans.incremental import rebuild_hours
+    from voltframe.plans.pipeline import Pipeline
+    p = Pipeline(spark, SF_SMALL)
+    up = R.index_readings(p.upserted)
+    ch = R.index_readings(p.batch2)
+    scoped = rebuild_hours(up, ch)
+    ref = H.hourly_usage(C.reference_scope(up, ch))
+    touched = C.affected_hours(ch, H.HOURLY_KEY, lambda d: H.with_local_parts(d))
+    ref_touched = ref.join(touched, H.HOURLY_KEY, "left_semi")
+    assert sorted(map(tuple, scoped.collect())) == sorted(map(tuple, ref_touched.select(scoped.columns).collect()))
+    assert ref.count() >= scoped.count()

@@ -77,3 +77,18 @@ def test_sheet_cells_from_csv_workbooks(spark, tmpdir_path):
     assert len(load) == 4
     a = [r for r in load if r.Substation == "Sub A" and r.Month == 1][0]
     assert a.NonCoincidLoad == 100.0 and a.CoincidLoad == 90.0 and a.YearMonthSub == "2024-1-Sub A"
+
+
+def test_schema_evolution_and_catalogue_names(spark, tmpdir_path):
+    from voltframe.sources import tables as TB
+    path = os.path.join(tmpdir_path, "evolving")
+    TB.write_table(spark.createDataFrame([(1, "a")], "k int, v string"), path, "append")
+    TB.write_table(spark.createDataFrame([(2, "b", 3.0)], "k int, v string, w double"), path, "append")
+    df = TB.read_evolving(spark, path)
+    assert sorted(df.columns) == ["k", "v", "w"] and df.count() == 2
+    u = TB.union_evolving(spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2, 5)], "k int, x int"))
+    assert u.filter("x IS NULL").count() == 1
+    TB.register_table(spark, "vf_evolving_t", path)
+    assert spark.table("vf_evolving_t").count() == 2
+    TB.drop_table(spark, "vf_evolving_t")
+    assert not spark.catalog.tableExists("vf_evolving_t")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.timeindex import LOCAL_TZ
 from voltframe.operators import hourly as H
 from voltframe.operators import readings as R
-from voltframe.operators.quality import require_no_nulls, require_unique
+from voltframe.operators.quality import observed, require_no_nulls, require_unique
 from voltframe.operators.submeters import exclude_submeters
 from voltframe.plans.incremental import rebuild_hours
 from voltframe.sources.tables import PartitionedTable, _fs, month_of
@@ -40,6 +40,7 @@ class SilverChain:
         self.nosub = PartitionedTable(spark, f"{self.root}/nosub")
         self.hourly = PartitionedTable(spark, f"{self.root}/hourly")
         self.hourly_nosub = PartitionedTable(spark, f"{self.root}/hourly_nosub")
+        self.metrics: dict[int, dict] = {}
 
     # ---- ledger of applied batches
     def _ledger(self, batch_id: int) -> str:
@@ -58,9 +59,13 @@ class SilverChain:
         if self.applied(batch_id):
             return
         version = batch_id + 1
-        batch = R.drop_header_rows(bronze_batch)
-        cleaned = R.clean_readings(batch).withColumn("month", month_of("StartDateTime"))
+        raw, seen = observed(bronze_batch, f"bronze_{batch_id}")
+        batch = R.drop_header_rows(raw)
+        cleaned, kept = observed(R.clean_readings(batch), f"cleaned_{batch_id}")
+        cleaned = cleaned.withColumn("month", month_of("StartDateTime"))
         cleaned = cleaned.checkpoint()  # the batch is reused by every stage below
+        self.metrics[batch_id] = {"bronze_rows": seen.get.get("rows"),
+                                  "cleaned_rows": kept.get.get("rows")}
         if cleaned.isEmpty():
             self._mark(batch_id)
             return
