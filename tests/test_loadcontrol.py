@@ -115,3 +115,20 @@ def test_peaks_index_dst(spark):
     ip = P.index_peaks(P.peak_parts(pk)).collect()
     assert sorted(r.CoincidDay for r in ip) == [3, 3, 13]
     assert [r.MeterSampleIndex for r in ip if r.CoincidDay == 13] == [371473]
+
+
+def test_incremental_lc_analysis_equals_full(spark):
+    from conftest import SF_SMALL
+    from voltframe.plans.incremental import LC_KEY, update_lc_analysis
+    from voltframe.plans.pipeline import Pipeline
+    p = Pipeline(spark, SF_SMALL)
+    pts, mm, ix = p.lc_points, p.fx.fx_load_types, p.indexed
+    full = L.load_control_analysis(pts, mm, ix)
+    # cut in the middle of an hour of an event: readings and points arrive in two runs
+    cut = pts.filter("LoadControlEvent = 1").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY MeterSampleIndex)")).first()[0] + 5
+    first = update_lc_analysis(None, pts.filter(F.col("MeterSampleIndex") <= cut), mm,
+                               ix.filter(F.col("EndMeterSampleIndex") <= cut), since_index=1)
+    second = update_lc_analysis(first, pts, mm, ix, since_index=cut)
+    cols = full.columns
+    assert sorted(map(tuple, second.select(cols).collect())) == sorted(map(tuple, full.collect()))
+    assert second.groupBy(*LC_KEY).count().filter("count > 1").count() == 0

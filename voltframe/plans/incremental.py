@@ -30,3 +30,33 @@ def apply_hourly(hourly: DataFrame, upstream_indexed: DataFrame, changed_indexed
                  tz: str = LOCAL_TZ) -> DataFrame:
     """New hourly table = old hourly table upserted with the rebuilt hours."""
     return C.upsert(hourly, rebuild_hours(upstream_indexed, changed_indexed, tz), H.HOURLY_KEY)
+
+
+# ------------------------------------------------------------ load control
+
+LC_KEY = ["BI_ACCT", "BI_SRV_LOC_NBR", "MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
+          "Year", "Month", "Day", "HourEnding", "LoadControlEventID", "BI_LOAD_TYPE"]
+
+
+def update_lc_analysis(existing: DataFrame | None, points: DataFrame, meter_map: DataFrame,
+                       indexed: DataFrame, since_index: int, program_col: str = "BI_LOAD_TYPE",
+                       max_sample_slots: int = 24, tz: str = LOCAL_TZ) -> DataFrame:
+    """Fold everything after ``since_index`` into the analysis table.
+
+    Groups (meter, local hour, event, load type) that have a reading ending
+    after ``since_index`` are recomputed from *all* their readings and upserted
+    on the group key -- no partial hour is appended (the reference appends
+    the rows after its cut-off, so an hour split by it gets two rows).
+    Recomputing from ``since_index - 12 - max_sample_slots`` on is enough: a
+    group's readings start inside one hour, so none of them ends earlier.
+    Fulfilment at a slot only depends on the points at that slot.
+    """
+    from pyspark.sql import functions as F
+
+    from voltframe.operators.loadcontrol import load_control_analysis
+    lower = since_index - 12 - max_sample_slots
+    fresh = (load_control_analysis(points, meter_map, indexed, program_col, since_index=lower, tz=tz)
+             .filter(F.col("EndMeterSampleIndex") > since_index))
+    if existing is None:
+        return fresh
+    return C.upsert(existing, fresh, LC_KEY)
