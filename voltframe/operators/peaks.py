@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.text import SHEET_DATETIME_FORMAT, strip_caps_to_double, to_double, year_month
 from voltframe.functions.timeindex import LOCAL_TZ, local_wall_instants, serial_index
+from voltframe.operators.sizing import broadcast_if_small
 
 # --- fixed values: workbook layout -----------------------------------------
 HEADER_ROW = 11          # rows above the header are skipped
@@ -36,7 +37,7 @@ def slice_sheets(cells: DataFrame, header_row: int = HEADER_ROW, gap_rows: int =
                            & (F.col("row_no") > header_row))
               .groupBy("file").agg(F.min("row_no").alias("_totals")))
     # one row per workbook file
-    return (cells.join(F.broadcast(totals), "file")
+    return (cells.join(broadcast_if_small(totals), "file")
             .filter((F.col("row_no") > header_row)
                     & (F.col("row_no") < F.col("_totals") - gap_rows))
             .drop("_totals"))
@@ -75,7 +76,7 @@ def monthly_substation_load(cells: DataFrame, header_row: int = HEADER_ROW,
         "file", F.col("CoincidMonth").alias("Month"), F.col("CoincidYear").alias("Year"))
     typed = (named.filter(F.col("Substation").isNotNull())
              # one row per workbook file
-             .join(F.broadcast(ym), "file")
+             .join(broadcast_if_small(ym), "file")
              .withColumn("NonCoincidLoad", strip_caps_to_double("NonCoincidLoad"))
              .withColumn("CoincidLoad", strip_caps_to_double("CoincidLoad"))
              .withColumn("GRESupplied", to_double("GRESupplied"))
@@ -97,9 +98,9 @@ def index_peaks(peaks: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
 
 
 def _at_peak(hourly: DataFrame, indexed_peaks: DataFrame) -> DataFrame:
-    # peaks: at most a few rows per month
-    pk = F.broadcast(indexed_peaks.select("CoincidTime", "CoincidYear", "CoincidMonth",
-                                          "CoincidDay", "CoincidHour", "MeterSampleIndex"))
+    # peaks: a few rows per month
+    pk = broadcast_if_small(indexed_peaks.select("CoincidTime", "CoincidYear", "CoincidMonth",
+                                                 "CoincidDay", "CoincidHour", "MeterSampleIndex"))
     return (hourly.join(pk, hourly["EndMeterSampleIndex"] == pk["MeterSampleIndex"])
             .drop("MeterSampleIndex", "LocalYear", "LocalMonth", "LocalDay", "HourEnding"))
 
@@ -149,15 +150,16 @@ def peak_by_lc_meter(hourly: DataFrame, indexed_peaks: DataFrame, load_types: Da
 def year_month_dim(peak_rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Distinct peak months with their demand rates (rates: one row per month)."""
     ym = peak_rows.select("CoincidYear", "CoincidMonth", "YearMonth").distinct()
-    return (ym.join(F.broadcast(rates), ym["CoincidMonth"] == rates["Month"]).drop("Month"))
+    r = broadcast_if_small(rates)
+    return (ym.join(r, ym["CoincidMonth"] == r["Month"]).drop("Month"))
 
 
 def peak_dropouts(hourly: DataFrame, indexed_peaks: DataFrame) -> DataFrame:
     """Meters with usage in the hour ending at the peak whose hourly row does
     not end exactly at the peak slot (a missing last interval): the peak join
     drops them silently, so count them per peak month."""
-    pk = F.broadcast(indexed_peaks.select("CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
-                                          F.col("MeterSampleIndex").alias("_pi")))
+    pk = broadcast_if_small(indexed_peaks.select("CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
+                                                 F.col("MeterSampleIndex").alias("_pi")))
     h = hourly.join(pk, (hourly["LocalYear"] == pk["CoincidYear"]) & (hourly["LocalMonth"] == pk["CoincidMonth"])
                     & (hourly["LocalDay"] == pk["CoincidDay"]) & (hourly["HourEnding"] == pk["CoincidHour"]))
     return (h.filter(F.col("EndMeterSampleIndex") != F.col("_pi"))

@@ -114,4 +114,6 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 def duplicate_rows(raw: DataFrame, keys=READING_KEY) -> DataFrame:
     """Raw rows of every key that is duplicated after exact-copy removal."""
     dup = duplicate_keys(reading_facts(raw).dropDuplicates(), keys)
-    return dup.join(raw, keys, "left")
+    # every duplicated key comes from ``raw``, so the reference's left join
+    # is an inner join; with the raw side streamed AQE can split a hot key
+    return raw.join(dup, keys, "inner").select(*keys, "count", *[c for c in raw.columns if c not in keys])

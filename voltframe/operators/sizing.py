@@ -1,0 +1,20 @@
+"""Broadcast only behind a size check.
+
+``broadcast_if_small`` counts at most ``max_rows + 1`` rows of the candidate
+side (a bounded job) and adds the broadcast hint only when the side fits;
+otherwise the plan is left to the planner and AQE (shuffle join, runtime
+re-planning). Sides whose bound is structural (e.g. one row per calendar
+slot) are hinted directly where they are built.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
