@@ -46,13 +46,13 @@ def test_incremental_chain_equals_full_rebuild(spark, tmpdir_path):
         chain.apply(b, i)
     chain.apply(batches[0], 0)  # a replayed batch id is skipped
     # full rebuild over the final indexed table
-    final_ix = chain.indexed.read().drop("month")
+    final_ix = chain.indexed.read().drop("day")
     full = H.hourly_usage(final_ix)
-    inc = chain.hourly.read().drop("month")
+    inc = chain.hourly.read().drop("day")
     cols = full.columns
     assert sorted(map(tuple, inc.select(cols).collect())) == sorted(map(tuple, full.collect()))
     full_ns = H.hourly_usage(exclude_submeters(final_ix, smap))
-    inc_ns = chain.hourly_nosub.read().drop("month")
+    inc_ns = chain.hourly_nosub.read().drop("day")
     assert sorted(map(tuple, inc_ns.select(cols).collect())) == sorted(map(tuple, full_ns.collect()))
     # the cleaned table is unique on the reading key
     assert R.duplicate_keys(chain.cleaned.read()).count() == 0

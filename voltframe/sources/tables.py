@@ -22,7 +22,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 class PartitionedTable:
-    def __init__(self, spark: SparkSession, path: str, part_col: str = "month"):
+    def __init__(self, spark: SparkSession, path: str, part_col: str = "day"):
         self.spark, self.path, self.part_col = spark, path.rstrip("/"), part_col
 
     # -- layout: <path>/v=<n>/<part_col>=<value>/part-*.parquet, _SUCCESS per version
@@ -81,11 +81,15 @@ class PartitionedTable:
         version becomes visible when the job commits its ``_SUCCESS``."""
         df.write.mode("overwrite").partitionBy(self.part_col).parquet(f"{self.path}/v={version:08d}")
 
-    def upsert(self, source: DataFrame, keys, version: int, check_unique: bool = False) -> DataFrame:
+    def upsert(self, source: DataFrame, keys, version: int, check_unique: bool = False,
+               touched: list[str] | None = None) -> DataFrame:
         """Replace matching keys, insert the rest; rewrites touched partitions
         only. Returns the rows written. ``check_unique`` verifies the key is
-        still unique in the rewritten partitions (never the whole table)."""
-        touched = self.touched(source)
+        still unique in the rewritten partitions (never the whole table).
+        ``touched`` (the partition values of ``source``) skips one job when
+        the caller already knows them."""
+        if touched is None:
+            touched = self.touched(source)
         current = self.read(source.schema, partitions=touched)
         if self.exists() and touched:
             new = upsert(current.select(*source.columns), source, list(keys) + [self.part_col])
@@ -104,6 +108,10 @@ def month_of(col: str):
     return F.date_format(F.col(col), "yyyy-MM")
 
 
+def day_of(col: str):
+    return F.date_format(F.col(col), "yyyy-MM-dd")
+
+
 # ---- plain path tables (overwrite, schema evolution, catalogue names)
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:

@@ -3,7 +3,7 @@
 Each micro-batch of new bronze rows is cleaned, indexed, stripped of
 submeters and folded into the hourly tables:
 
-  bronze batch -> cleaned (upsert by reading key)
+  bronze batch -> cleaned (upsert by reading key; tables partitioned by day)
                -> indexed (upsert by reading key)
                -> no-submeter readings (upsert by reading key)
                -> hourly tables: only the (meter, hour) groups the batch
@@ -27,7 +27,7 @@ from voltframe.operators import readings as R
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
 from voltframe.operators.submeters import exclude_submeters
 from voltframe.plans.incremental import rebuild_hours
-from voltframe.sources.tables import PartitionedTable, _fs, month_of
+from voltframe.sources.tables import PartitionedTable, _fs, day_of
 
 
 class SilverChain:
@@ -62,37 +62,43 @@ class SilverChain:
         raw, seen = observed(bronze_batch, f"bronze_{batch_id}")
         batch = R.drop_header_rows(raw)
         cleaned, kept = observed(R.clean_readings(batch), f"cleaned_{batch_id}")
-        cleaned = cleaned.withColumn("month", month_of("StartDateTime"))
+        cleaned = cleaned.withColumn("day", day_of("StartDateTime"))
         cleaned = cleaned.checkpoint()  # the batch is reused by every stage below
         self.metrics[batch_id] = {"bronze_rows": seen.get.get("rows"),
                                   "cleaned_rows": kept.get.get("rows")}
-        if cleaned.isEmpty():
+        # UTC days of the batch: the partitions every reading-keyed table rewrites
+        days = self.cleaned.touched(cleaned)
+        if not days:  # nothing new
             self._mark(batch_id)
             return
         if self.gates:
-            require_unique(cleaned, R.READING_KEY + ["month"], "cleaned batch")
+            require_unique(cleaned, R.READING_KEY + ["day"], "cleaned batch")
         key = R.READING_KEY
-        self.cleaned.upsert(cleaned, key, version, check_unique=self.gates)
-        indexed = R.index_readings(cleaned.drop("month")).withColumn("month", month_of("StartDateTime"))
+        self.cleaned.upsert(cleaned, key, version, check_unique=self.gates, touched=days)
+        indexed = R.index_readings(cleaned.drop("day")).withColumn("day", day_of("StartDateTime"))
         if self.gates:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
-        self.indexed.upsert(indexed, key, version)
-        self._fold_hourly(self.indexed, indexed, self.hourly, version)
+        self.indexed.upsert(indexed, key, version, touched=days)
+        self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
         if self.submeter_map is not None:
             nosub = exclude_submeters(indexed, self.submeter_map)
-            self.nosub.upsert(nosub, key, version)
-            self._fold_hourly(self.nosub, nosub, self.hourly_nosub, version)
+            self.nosub.upsert(nosub, key, version, touched=days)
+            self._fold_hourly(self.nosub, nosub, self.hourly_nosub, version, days)
         self._mark(batch_id)
 
     def _fold_hourly(self, upstream: PartitionedTable, changed: DataFrame,
-                     target: PartitionedTable, version: int) -> None:
-        # a local hour lies inside one UTC month, so the touched UTC months of
-        # the batch hold every reading of every touched hour
-        months = upstream.touched(changed)
-        rebuilt = rebuild_hours(upstream.read(partitions=months).drop("month"),
-                                changed.drop("month"), self.tz)
-        rebuilt = rebuilt.withColumn("month", F.format_string("%04d-%02d", "LocalYear", "LocalMonth"))
-        target.upsert(rebuilt, H.HOURLY_KEY, version)
+                     target: PartitionedTable, version: int, days: list[str]) -> None:
+        # with whole-hour zone offsets a local hour lies inside one UTC day, so
+        # the batch's UTC days hold every reading of every touched hour
+        rebuilt = rebuild_hours(upstream.read(partitions=days).drop("day"),
+                                changed.drop("day"), self.tz)
+        local_day = F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")
+        rebuilt = rebuilt.withColumn("day", local_day)
+        # local days of the touched hours, from the (checkpointed) batch rather
+        # than from the rebuilt rows, which are computed once, by the write
+        local = H.with_local_parts(changed.drop("day"), "StartMeterSampleIndex", self.tz)
+        hour_days = [r[0] for r in local.select(local_day).distinct().collect()]
+        target.upsert(rebuilt, H.HOURLY_KEY, version, touched=hour_days)
 
     def run(self, bronze_path: str, checkpoint: str, schema=None):
         """Drain new bronze files through the chain (``availableNow``)."""
