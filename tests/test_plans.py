@@ -12,8 +12,8 @@ from voltframe.plans.catalog import QUERIES
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    from voltframe.plans.explain import plan_text
+    return plan_text(df)
 
 
 def test_hot_key_is_aggregated_not_windowed(spark):
