@@ -25,3 +25,10 @@ def test_calendar_year(spark):
     r = cal.filter("MeterSampleIndex = 371473").first()
     assert r.LocalHour == 15 and r.UTCHour == 20 and r.Weekend == 1
     assert cal.filter("LocalMonth = 7 AND LocalDay = 4 AND LocalHour = 12").first().Holiday == 1
+
+
+def test_scale_conf():
+    from voltframe.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)  # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "40"

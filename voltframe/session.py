@@ -61,3 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+               max_partitions: int = 100_000) -> dict:
+    """Shuffle sizing for a run over ``input_bytes`` of input: enough shuffle
+    partitions that each holds about ``target_partition_bytes`` before AQE
+    coalesces small ones, and file splits of the same size, so tasks fit in
+    executor memory and spill rarely."""
+    parts = max(1, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4)}
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
