@@ -57,3 +57,15 @@ def test_incremental_chain_equals_full_rebuild(spark, tmpdir_path):
     # the cleaned table is unique on the reading key
     assert R.duplicate_keys(chain.cleaned.read()).count() == 0
     assert len(chain.hourly.versions()) == 3
+    # the change log: batch 1 inserts everything, later batches insert new
+    # keys and update overlapping ones (pre- and post-images pair up)
+    log = chain.change_log()
+    hist = {(r._commit_version, r._change_type): r["count"] for r in
+            log.groupBy("_commit_version", "_change_type").count().collect()}
+    assert set(t for _, t in hist) <= {"insert", "update_preimage", "update_postimage"}
+    assert hist.get((1, "update_preimage"), 0) == 0
+    for v in (2, 3):
+        assert hist.get((v, "update_preimage"), 0) == hist.get((v, "update_postimage"), 0)
+    from voltframe.operators.changes import latest_per_key, postimages
+    latest = latest_per_key(postimages(log).drop("_change_type"), R.READING_KEY + ["day"])
+    assert latest.count() == chain.cleaned.read().count()

@@ -31,6 +31,15 @@ def drop_header_rows(df: DataFrame, col: str = "MeterNumber") -> DataFrame:
     return df.filter(F.col(col).isNotNull())
 
 
+def conform_v1(bronze: DataFrame, rescue_col: str = "_rescued_data") -> DataFrame:
+    """First-generation silver: drop header residue and the rescue column,
+    then exact duplicates (all columns)."""
+    df = drop_header_rows(bronze)
+    if rescue_col in df.columns:
+        df = df.drop(rescue_col)
+    return df.dropDuplicates()
+
+
 def duplicate_keys(df: DataFrame, keys=READING_KEY) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))

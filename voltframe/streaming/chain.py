@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.functions.timeindex import LOCAL_TZ
+from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
 from voltframe.operators import readings as R
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
@@ -74,6 +75,7 @@ class SilverChain:
         if self.gates:
             require_unique(cleaned, R.READING_KEY + ["day"], "cleaned batch")
         key = R.READING_KEY
+        self._log_changes(cleaned, key, version, days)
         self.cleaned.upsert(cleaned, key, version, check_unique=self.gates, touched=days)
         indexed = R.index_readings(cleaned.drop("day")).withColumn("day", day_of("StartDateTime"))
         if self.gates:
@@ -86,6 +88,19 @@ class SilverChain:
             self._fold_hourly(self.nosub, nosub, self.hourly_nosub, version, days)
         self._mark(batch_id)
 
+    def _log_changes(self, cleaned: DataFrame, key, version: int, days: list[str]) -> None:
+        """Append the batch's change rows (insert / update pre- and
+        post-images) for the cleaned table, partitioned by commit version.
+        Computed from the batch side against the touched partitions only."""
+        current = self.cleaned.read(cleaned.schema, partitions=days)
+        changes = C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
+        (changes.write.mode("overwrite")
+         .parquet(f"{self.root}/cleaned_changes/_commit_version={version}"))
+
+    def change_log(self) -> DataFrame:
+        """All change rows written so far (``_commit_version`` from the folder)."""
+        return self.spark.read.parquet(f"{self.root}/cleaned_changes")
+
     def _fold_hourly(self, upstream: PartitionedTable, changed: DataFrame,
                      target: PartitionedTable, version: int, days: list[str]) -> None:
         # with whole-hour zone offsets a local hour lies inside one UTC day, so
