@@ -23,10 +23,8 @@ def with_local_parts(df: DataFrame, index_col: str = "StartMeterSampleIndex",
     local = index_to_local(F.col(index_col), tz)
     return (df.filter(F.col(index_col).isNotNull())
               .withColumn("_local", local)
-              .withColumn("LocalYear", F.year("_local"))
-              .withColumn("LocalMonth", F.month("_local"))
-              .withColumn("LocalDay", F.dayofmonth("_local"))
-              .withColumn("HourEnding", hour_ending("_local"))
+              .withColumns({"LocalYear": F.year("_local"), "LocalMonth": F.month("_local"),
+                            "LocalDay": F.dayofmonth("_local"), "HourEnding": hour_ending("_local")})
               .drop("_local"))
 
 

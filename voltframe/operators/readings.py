@@ -104,8 +104,8 @@ def clean_readings(bronze: DataFrame, policy: str = "reference") -> DataFrame:
 def index_readings(cleaned: DataFrame) -> DataFrame:
     """Attach start/end slot indices and the sample length in minutes."""
     return (cleaned
-            .withColumn("StartMeterSampleIndex", serial_index("StartDateTime"))
-            .withColumn("EndMeterSampleIndex", serial_index("EndDateTime"))
+            .withColumns({"StartMeterSampleIndex": serial_index("StartDateTime"),
+                          "EndMeterSampleIndex": serial_index("EndDateTime")})
             .withColumn("SampleRate", sample_minutes("StartMeterSampleIndex", "EndMeterSampleIndex")))
 
 

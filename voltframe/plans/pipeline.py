@@ -20,13 +20,28 @@ from voltframe.operators import peaks as P
 from voltframe.operators import readings as R
 from voltframe.operators import submeters as S
 from voltframe.operators import usage as U
+from voltframe.session import use_utc
 from voltframe.sources.fixtures import Fixtures
 
 
 class Pipeline:
+    """Use ``Pipeline.of(spark, dir)``: one shared instance per session and
+    folder, so every query starts from the same analysed stage plans."""
+
+    _shared: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        p = cls._shared.get(key)
+        if p is None or p.spark is not spark:
+            p = cls._shared[key] = cls(spark, sf_dir)
+        use_utc(spark)
+        return p
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.fx = Fixtures(spark, sf_dir)
+        self.fx = Fixtures.of(spark, sf_dir)
 
     @cached_property
     def bronze(self) -> DataFrame:

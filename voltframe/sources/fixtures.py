@@ -213,7 +213,23 @@ def duckdb_sql(body: str, uses, ctes: list[tuple[str, str]] | None = None) -> st
 
 
 class Fixtures:
-    """Lazily built fixture DataFrames over one driver data folder."""
+    """Lazily built fixture DataFrames over one driver data folder.
+
+    ``Fixtures.of(spark, dir)`` returns one shared instance per session and
+    folder: the DataFrames are plans (no data is cached), so queries reuse the
+    analysed plans and the parquet file listings instead of rebuilding them.
+    """
+
+    _shared: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        fx = cls._shared.get(key)
+        if fx is None or fx.spark is not spark:
+            fx = cls._shared[key] = cls(spark, sf_dir)
+        use_utc(spark)
+        return fx
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
