@@ -89,7 +89,9 @@ def expand_lc_periods(periods: DataFrame, start_offset: int = -48,
 # ------------------------------------------------------------------ fulfilment
 
 def _map(meter_map: DataFrame, program_col: str) -> DataFrame:
-    return meter_map.select("BI_ACCT", "BI_SRV_LOC_NBR", "BI_MTR_NBR", "BI_LOAD_TYPE",
+    """Programme-map columns; ids exported as text are cast once here (T8)."""
+    ids = {c: F.col(c).try_cast("int").alias(c) for c in ("BI_ACCT", "BI_SRV_LOC_NBR", "BI_MTR_NBR")}
+    return meter_map.select(ids["BI_ACCT"], ids["BI_SRV_LOC_NBR"], ids["BI_MTR_NBR"], "BI_LOAD_TYPE",
                             F.col(program_col).alias("_prog"))
 
 
