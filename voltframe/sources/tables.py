@@ -26,9 +26,10 @@ class PartitionedTable:
         self.spark, self.path, self.part_col = spark, path.rstrip("/"), part_col
 
     # -- layout: <path>/v=<n>/<part_col>=<value>/part-*.parquet, _SUCCESS per version
-    def _latest(self) -> dict[str, str]:
+    def _latest(self, before: int | None = None) -> dict[str, str]:
         """Per partition value, the folder inside the newest committed version
-        that holds it (directory listing only; no data is read)."""
+        (older than ``before`` when given) that holds it (directory listing
+        only; no data is read)."""
         fs, root, jvm = _fs(self.spark, self.path)
         if not fs.exists(root):
             return {}
@@ -40,6 +41,8 @@ class PartitionedTable:
             if not fs.exists(jvm.org.apache.hadoop.fs.Path(ver.getPath(), "_SUCCESS")):
                 continue  # an unfinished write is invisible
             n = int(vn[2:])
+            if before is not None and n >= before:
+                continue
             for part in fs.listStatus(ver.getPath()):
                 name = part.getPath().getName()
                 if part.isDirectory() and name.startswith(self.part_col + "="):
@@ -57,10 +60,12 @@ class PartitionedTable:
     def exists(self) -> bool:
         return bool(self._latest())
 
-    def read(self, schema=None, partitions=None) -> DataFrame:
+    def read(self, schema=None, partitions=None, before: int | None = None) -> DataFrame:
         """Current rows; ``partitions`` limits the read to those partition
-        values (only their folders are listed to the reader)."""
-        paths = self._latest()
+        values (only their folders are listed to the reader); ``before`` reads
+        the table as it was before that version (a replayed write sees the
+        same input as the first attempt)."""
+        paths = self._latest(before)
         if partitions is not None:
             wanted = {f"{self.part_col}={p}" for p in partitions}
             paths = {k: v for k, v in paths.items() if k in wanted}
@@ -90,8 +95,8 @@ class PartitionedTable:
         the caller already knows them."""
         if touched is None:
             touched = self.touched(source)
-        current = self.read(source.schema, partitions=touched)
-        if self.exists() and touched:
+        current = self.read(source.schema, partitions=touched, before=version)
+        if self._latest(version) and touched:
             new = upsert(current.select(*source.columns), source, list(keys) + [self.part_col])
         else:
             new = source

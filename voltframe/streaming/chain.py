@@ -92,7 +92,7 @@ class SilverChain:
         """Append the batch's change rows (insert / update pre- and
         post-images) for the cleaned table, partitioned by commit version.
         Computed from the batch side against the touched partitions only."""
-        current = self.cleaned.read(cleaned.schema, partitions=days)
+        current = self.cleaned.read(cleaned.schema, partitions=days, before=version)
         changes = C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
         (changes.write.mode("overwrite")
          .parquet(f"{self.root}/cleaned_changes/_commit_version={version}"))
@@ -105,7 +105,8 @@ class SilverChain:
                      target: PartitionedTable, version: int, days: list[str]) -> None:
         # with whole-hour zone offsets a local hour lies inside one UTC day, so
         # the batch's UTC days hold every reading of every touched hour
-        rebuilt = rebuild_hours(upstream.read(partitions=days).drop("day"),
+        # the upstream table including this batch's version (written just before)
+        rebuilt = rebuild_hours(upstream.read(partitions=days, before=version + 1).drop("day"),
                                 changed.drop("day"), self.tz)
         local_day = F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")
         rebuilt = rebuilt.withColumn("day", local_day)
