@@ -7,11 +7,14 @@ local date, the latter by a broadcast join to the rule-built holiday table.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.functions.holidays import holiday_flag, us_holidays
-from voltframe.functions.timeindex import (CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR, LOCAL_TZ,
+from voltframe.functions.timeindex import (CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR,
+                                           CALENDAR_START_EPOCH, LOCAL_TZ,
                                            MAX_INDEX, date_parts, index_to_utc, serial_index,
                                            to_local, weekend_flag)
 
@@ -35,10 +38,11 @@ def build_calendar(spark: SparkSession, first_year: int = CALENDAR_FIRST_YEAR,
                    num_partitions: int | None = None) -> DataFrame:
     """Every 5-minute UTC slot from Jan 1 of ``first_year`` to the end of
     ``last_year`` (within the index horizon), generated in parallel."""
-    first = spark.range(1).select(serial_index(F.lit(f"{first_year}-01-01 00:00:00")
-                                               .cast("timestamp"))).first()[0] or 1
-    last_ts = f"{last_year}-12-31 23:55:00"
-    last = spark.range(1).select(serial_index(F.lit(last_ts).cast("timestamp"))).first()[0] or MAX_INDEX
+    def slot(y, m, d, hh, mm):  # same rule as serial_index, for a literal
+        secs = int(_dt.datetime(y, m, d, hh, mm, tzinfo=_dt.timezone.utc).timestamp())
+        return (secs - CALENDAR_START_EPOCH) // 300 + 1
+    first = max(1, slot(first_year, 1, 1, 0, 0))
+    last = min(MAX_INDEX, slot(last_year, 12, 31, 23, 55))
     ids = spark.range(first, last + 1, numPartitions=num_partitions).select(
         F.col("id").cast("int").alias("MeterSampleIndex"))
     years = spark.range(first_year, last_year + 2).select(F.col("id").cast("int").alias("Year"))
