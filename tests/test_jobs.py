@@ -27,3 +27,16 @@ def test_batch_jobs_match_catalogue(spark, tmpdir_path):
                           fx.fx_rates, root)
     assert c["coincident_peaks"].count() == 5
     assert c["monthly_substation_load"].count() == 25
+
+
+def test_job_tables_prune_partitions(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    p = Pipeline.of(spark, SF_SMALL)
+    root = os.path.join(tmpdir_path, "t")
+    jobs.run_readings_job(spark, p.fx.fx_bronze, p.fx.fx_meter_info, root)
+    ix = spark.read.parquet(os.path.join(root, "indexed"))
+    plan = ix.filter(F.col("day") >= "2024-01-20")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    hr = spark.read.parquet(os.path.join(root, "hourly_nosub"))
+    plan = hr.filter("LocalMonth = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(LocalMonth" in plan

@@ -84,7 +84,7 @@ class PartitionedTable:
     def write_partitions(self, df: DataFrame, version: int) -> None:
         """Write complete partitions as version ``version`` in one job; the
         version becomes visible when the job commits its ``_SUCCESS``."""
-        df.write.mode("overwrite").partitionBy(self.part_col).parquet(f"{self.path}/v={version:08d}")
+        write_table(df, f"{self.path}/v={version:08d}", "overwrite", [self.part_col])
 
     def upsert(self, source: DataFrame, keys, version: int, check_unique: bool = False,
                touched: list[str] | None = None) -> DataFrame:
@@ -120,6 +120,11 @@ def day_of(col: str):
 # ---- plain path tables (overwrite, schema evolution, catalogue names)
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
+    """Parquet write; a partitioned write is preceded by a ``rebalance`` on
+    the partition columns, so AQE sizes the files and splits a hot partition
+    value over several tasks instead of writing one file per task per value."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
