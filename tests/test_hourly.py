@@ -50,3 +50,12 @@ def test_rank_ties_break_on_hour(spark):
     got = sorted((r.HourEnding, r.DailyRank) for r in U.daily_rank(t).collect())
     assert got == [(1, 1), (2, 2), (3, 3)]
     assert U.top_hours(t, 2).count() == 2
+
+
+def test_direct_totals_equal_two_level(spark):
+    from conftest import SF_SMALL
+    from voltframe.plans.pipeline import Pipeline
+    p = Pipeline.of(spark, SF_SMALL)
+    a = U.system_hourly_totals(p.nosub)
+    b = U.hourly_totals(p.hourly_nosub)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))

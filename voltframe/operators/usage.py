@@ -17,6 +17,22 @@ def hourly_totals(hourly: DataFrame) -> DataFrame:
                  F.sum("HourlyVEEValue").alias("AllMetersDayHourVEEValue")))
 
 
+def system_hourly_totals(indexed: DataFrame, tz: str | None = None) -> DataFrame:
+    """Same rows as ``hourly_totals(hourly_usage(indexed))`` in one aggregation.
+
+    The totals' keys (local day and hour) are a function of the per-meter
+    hourly keys and the sums are exact, so summing readings directly equals
+    summing the per-meter hourly sums; map-side partial aggregation then
+    shuffles (day x hour)-sized partials instead of a meter x hour table.
+    """
+    from voltframe.functions.timeindex import LOCAL_TZ
+    from voltframe.operators.hourly import with_local_parts
+    h = with_local_parts(indexed, "StartMeterSampleIndex", tz or LOCAL_TZ)
+    return (as_calendar_names(h).groupBy("Year", "Month", "Day", "HourEnding")
+            .agg(F.sum("AMIValue").alias("AllMetersDayHourAMIValue"),
+                 F.sum("VEEValue").alias("AllMetersDayHourVEEValue")))
+
+
 def _mean(c: str):
     # exact sum, then one division: independent of summation order
     return F.try_divide(F.sum(c).cast("double"), F.count(c))

@@ -73,7 +73,8 @@ class Pipeline:
 
     @cached_property
     def totals(self) -> DataFrame:
-        return U.hourly_totals(self.hourly_nosub)
+        # one aggregation from the readings (equal to aggregating hourly_nosub)
+        return U.system_hourly_totals(self.nosub)
 
     # ---- load control
     @cached_property
