@@ -100,3 +100,20 @@ def test_replayed_batch_after_partial_failure_is_exact(spark, tmpdir_path):
     la = chain.change_log().filter("_commit_version = 2")
     lb = ref.change_log().filter("_commit_version = 2")
     assert la.count() == lb.count() > 0
+
+
+def test_change_log_stream_consumer(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    from voltframe.streaming.changes import consume_changes
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
+    chain.apply(_bronze_days(fx.fx_bronze, 1, 10), 0)
+    seen = []
+    log = os.path.join(tmpdir_path, "c", "cleaned_changes")
+    ck = os.path.join(tmpdir_path, "consumer_ck")
+    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
+    chain.apply(_bronze_days(fx.fx_bronze, 11, 20), 1)
+    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
+    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))  # nothing new
+    total = chain.change_log().filter("_change_type <> 'update_preimage'").count()
+    assert sum(seen) == total and len([s for s in seen if s]) == 2
