@@ -47,16 +47,20 @@ def use_utc(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
+    *and* the master is local (tests, local runs) is a private folder created;
+    on a cluster an unset setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(e.g. on the cluster file system) for checkpoints")
         configured = tempfile.mkdtemp(prefix="voltframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -28,6 +28,7 @@ from voltframe.operators import readings as R
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
 from voltframe.operators.submeters import exclude_submeters
 from voltframe.plans.incremental import rebuild_hours
+from voltframe.session import ensure_checkpoint_dir
 from voltframe.sources.tables import PartitionedTable, _fs, day_of
 
 
@@ -35,6 +36,7 @@ class SilverChain:
     def __init__(self, spark: SparkSession, root: str, submeter_map: DataFrame | None = None,
                  tz: str = LOCAL_TZ, gates: bool = True):
         self.spark, self.root, self.tz, self.gates = spark, root.rstrip("/"), tz, gates
+        ensure_checkpoint_dir(spark)  # micro-batches are checkpointed to the shared folder
         self.submeter_map = submeter_map
         self.cleaned = PartitionedTable(spark, f"{self.root}/cleaned")
         self.indexed = PartitionedTable(spark, f"{self.root}/indexed")
