@@ -142,3 +142,16 @@ def test_meter_programs_sql_equals_dataframe_form(spark):
     a = L.meter_programs_sql(spark, *t)
     b = L.meter_programs(*t)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+
+
+def test_ambiguous_policy(spark):
+    ev = spark.createDataFrame([("11/3/2024", "A", "1:00", "3:00"), ("3/10/2024", "A", "2:00", "4:00")], TEXT)
+    all_rows = L.index_lc_periods(ev).filter("Date = '11/3/2024'").collect()
+    first = L.index_lc_periods(ev, ambiguous="first").collect()
+    last = L.index_lc_periods(ev, ambiguous="last").collect()
+    fall = sorted(r.StartMeterSampleIndex for r in all_rows)
+    assert [r.StartMeterSampleIndex for r in first if r.Date == "11/3/2024"] == [fall[0]]
+    assert [r.StartMeterSampleIndex for r in last if r.Date == "11/3/2024"] == [fall[1]]
+    assert [r.StartMeterSampleIndex for r in first if r.Date == "3/10/2024"] == [None]
+    pk = spark.createDataFrame([(dt.datetime(2024, 11, 3, 1, 0),)], "CoincidTime timestamp")
+    assert P.index_peaks(P.peak_parts(pk), ambiguous="first").count() == 1

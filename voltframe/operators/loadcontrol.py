@@ -26,14 +26,20 @@ from voltframe.operators.hourly import with_local_parts
 LC_TEXT_COLUMNS = ["Date", "Program", "StartTime", "StopTime"]
 
 
-def _local_index(local_col: str, out_col: str, tz: str):
-    """explode_outer of the slots whose local wall time equals ``local_col``
-    (0, 1 or 2 slots: left-join semantics against the calendar)."""
-    return F.explode_outer(F.transform(local_wall_instants(F.col(local_col), tz),
-                                       lambda u: serial_index(u))).alias(out_col)
-
-
-def index_lc_periods(events: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
+def _local_index(local_col: str, out_col: str, tz: str, ambiguous: str = "all"):
+    """Slots whose local wall time equals ``local_col``: with
+    ``ambiguous="all"`` an explode_outer of the 0, 1 or 2 slots (left-join
+    semantics against the calendar; the autumn overlap fans out), with
+    ``"first"``/``"last"`` the earlier/later slot only (null in the gap)."""
+    slots = F.transform(local_wall_instants(F.col(local_col), tz), lambda u: serial_index(u))
+    if ambiguous == "all":
+        return F.explode_outer(slots).alias(out_col)
+    if ambiguous not in ("first", "last"):
+        raise ValueError(f"ambiguous must be 'all', 'first' or 'last', not {ambiguous!r}")
+    return F.try_element_at(slots, F.lit(1 if ambiguous == "first" else -1)).alias(out_col)
+
+
+def index_lc_periods(events: DataFrame, tz: str = LOCAL_TZ, ambiguous: str = "all") -> DataFrame:
     """Landing text (Date, Program, StartTime, StopTime; local time) ->
     periods with start/end slot indices, length and event id.
 
@@ -44,8 +50,8 @@ def index_lc_periods(events: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     ts = (events.select(*LC_TEXT_COLUMNS).dropDuplicates()
           .withColumn("StartDateTime", parse_local_datetime("Date", "StartTime"))
           .withColumn("EndDateTime", parse_local_datetime("Date", "StopTime")))
-    with_start = ts.select("*", _local_index("StartDateTime", "StartMeterSampleIndex", tz))
-    both = with_start.select("*", _local_index("EndDateTime", "EndMeterSampleIndex", tz))
+    with_start = ts.select("*", _local_index("StartDateTime", "StartMeterSampleIndex", tz, ambiguous))
+    both = with_start.select("*", _local_index("EndDateTime", "EndMeterSampleIndex", tz, ambiguous))
     return (both
             .withColumn("TotalTime_Minutes",
                         sample_minutes("StartMeterSampleIndex", "EndMeterSampleIndex"))

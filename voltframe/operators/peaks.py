@@ -88,12 +88,18 @@ def monthly_substation_load(cells: DataFrame, header_row: int = HEADER_ROW,
                                                            "YearMonth", "YearMonthSub")
 
 
-def index_peaks(peaks: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
+def index_peaks(peaks: DataFrame, tz: str = LOCAL_TZ, ambiguous: str = "all") -> DataFrame:
     """Attach the slot index of each local peak time (inner: a time in the
-    spring gap drops out, one in the autumn overlap yields two rows)."""
-    return (peaks.select("*", F.explode(F.transform(local_wall_instants(F.col("CoincidTime"), tz),
-                                                    lambda u: serial_index(u)))
-                         .alias("MeterSampleIndex"))
+    spring gap drops out, one in the autumn overlap yields two rows, or one
+    with ``ambiguous="first"``/``"last"``)."""
+    slots = F.transform(local_wall_instants(F.col("CoincidTime"), tz), lambda u: serial_index(u))
+    if ambiguous == "all":
+        idx = F.explode(slots)
+    elif ambiguous in ("first", "last"):
+        idx = F.try_element_at(slots, F.lit(1 if ambiguous == "first" else -1))
+    else:
+        raise ValueError(f"ambiguous must be 'all', 'first' or 'last', not {ambiguous!r}")
+    return (peaks.select("*", idx.alias("MeterSampleIndex"))
             .filter(F.col("MeterSampleIndex").isNotNull()))
 
 
