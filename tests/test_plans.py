@@ -57,3 +57,24 @@ def test_hourly_uses_partial_aggregation(spark):
 def test_peak_join_is_broadcast(spark):
     plan = _plan(QUERIES["peak_total"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
+
+
+def test_broadcast_guard_falls_back_beyond_cap(spark):
+    from voltframe.operators.sizing import broadcast_if_small
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    fact = spark.range(100000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = _plan(fact.join(broadcast_if_small(big, 2000), "k"))
+        plain = _plan(fact.join(broadcast_if_small(big, 10), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in plain and "SortMergeJoin" in plain
+
+
+def test_submeter_exclusion_does_not_shuffle_readings(spark):
+    plan = _plan(QUERIES["no_submeters"](spark, SF_SMALL))
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.text import SHEET_DATETIME_FORMAT, strip_caps_to_double, to_double, year_month
 from voltframe.functions.timeindex import LOCAL_TZ, local_wall_instants, serial_index
-from voltframe.operators.sizing import broadcast_if_small
+from voltframe.operators.sizing import WIDE_DIMENSION_MAX_ROWS, broadcast_if_small
 
 # --- fixed values: workbook layout -----------------------------------------
 HEADER_ROW = 11          # rows above the header are skipped
@@ -147,7 +147,8 @@ def load_type_lists(load_types: DataFrame, keep_pos1=PEAK_TYPES_POS1) -> DataFra
 def peak_by_lc_meter(hourly: DataFrame, indexed_peaks: DataFrame, load_types: DataFrame,
                      keep_pos1=PEAK_TYPES_POS1) -> DataFrame:
     """Peak-hour usage of meters that belong to a load-control programme."""
-    lists = load_type_lists(load_types, keep_pos1)
+    # one row per load-control meter: broadcast after a bounded count
+    lists = broadcast_if_small(load_type_lists(load_types, keep_pos1), WIDE_DIMENSION_MAX_ROWS)
     at = _at_peak(hourly, indexed_peaks)
     return (at.join(lists, at["MeterNumber"] == lists["BI_MTR_NBR"])
             .withColumn("YearMonth", year_month("CoincidYear", "CoincidMonth")))

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 200_000
+DEFAULT_MAX_ROWS = 200_000      # small lookup tables (peaks, rates, per-file stats)
+DIMENSION_MAX_ROWS = 4_000_000  # one int per meter (a key set): ~50 MB at most
+WIDE_DIMENSION_MAX_ROWS = 1_000_000  # a few columns per meter: ~50 MB at most
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
