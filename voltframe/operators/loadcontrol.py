@@ -9,8 +9,9 @@ Scale notes
   depends only on the meter's programme *profile* -- the multiset of its
   programmes. It is computed once per (profile, slot) and joined to meters,
   instead of joining every point to every meter of the programme map.
-* The analysis is driven from the readings: only (meter, slot) pairs that
-  have a reading are ever paired with programme-map rows.
+* The analysis filters the readings map-side (fulfilled slots, meter
+  profiles) and joins them to dimension-sized, de-duplicated programme-map
+  rows and points, so the readings are shuffled once, for the aggregation.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from voltframe.functions.text import event_id, parse_local_datetime, program_id
 from voltframe.functions.timeindex import (LOCAL_TZ, local_wall_instants, sample_minutes,
                                            serial_index)
 from voltframe.operators.hourly import with_local_parts
+from voltframe.operators.sizing import DIMENSION_MAX_ROWS, WIDE_DIMENSION_MAX_ROWS, broadcast_if_small
 
 LC_TEXT_COLUMNS = ["Date", "Program", "StartTime", "StopTime"]
 
@@ -186,6 +188,13 @@ def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: Data
     (meter, slot) is fulfilled when the matched row count equals the meter's
     programme count; forward channel-1 readings ending at a fulfilled slot
     are summed per local hour and event (event flag = min over the hour).
+
+    Readings are only filtered and joined against dimension-sized inputs: the
+    fulfilled slots (at most one row per calendar slot, broadcast), the
+    programme map with meter profiles and the points (broadcast after a
+    bounded size check), and the fulfilled (profile, slot) pairs (AQE picks
+    the join at run time), so with dimension-sized inputs the readings are
+    shuffled once -- for the final partial aggregation.
     """
     pts = points.filter(F.col("MeterSampleIndex") > since_index)
     prof = meter_profiles(meter_map, program_col, distinct_types)
@@ -198,19 +207,32 @@ def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: Data
     rd = (indexed.filter((F.col("FlowDirection") == direction) & (F.col("Channel") == channel)
                          & F.col("EndMeterSampleIndex").isNotNull())
           .join(slots, F.col("EndMeterSampleIndex") == F.col("_slot"), "left_semi"))
-    keys = (rd.select(F.col("MeterNumber").alias("BI_MTR_NBR"),
-                      F.col("EndMeterSampleIndex").alias("_i")).distinct()
-            .join(prof.select("BI_MTR_NBR", "ProfileKey"), "BI_MTR_NBR")
-            .join(ok, ["ProfileKey", "_i"], "left_semi")
-            .select("BI_MTR_NBR", "_i"))
-    rows = (keys.join(_map(meter_map, program_col), "BI_MTR_NBR")
-            .join(pts.select(F.col("Program").alias("_prog"), F.col("MeterSampleIndex").alias("_i"),
-                             "LoadControlEventID", "LoadControlEvent"), ["_prog", "_i"])
-            .select("BI_ACCT", "BI_SRV_LOC_NBR", "BI_MTR_NBR", "_i", "LoadControlEventID",
-                    "BI_LOAD_TYPE", "LoadControlEvent")
-            .distinct())
-    joined = rd.join(rows, (F.col("EndMeterSampleIndex") == F.col("_i"))
-                     & (F.col("MeterNumber") == F.col("BI_MTR_NBR")))
+    # distinct (account, location, type, programme) rows per meter, with the
+    # meter's profile: one row per map entry, broadcast after a bounded count
+    mp = (_map(meter_map, program_col).dropDuplicates()
+          .join(prof.select("BI_MTR_NBR", "ProfileKey"), "BI_MTR_NBR"))
+    mp_b = broadcast_if_small(mp, WIDE_DIMENSION_MAX_ROWS)
+    # distinct (programme, slot, event, flag) points; one job gives both their
+    # number and whether an event id is shared by two programmes
+    pt = (pts.select(F.col("Program").alias("_pp"), F.col("MeterSampleIndex").alias("_pi"),
+                     "LoadControlEventID", "LoadControlEvent").dropDuplicates())
+    size = (pt.groupBy("LoadControlEventID")
+            .agg(F.count(F.lit(1)).alias("r"), F.countDistinct("_pp").alias("p"))
+            .agg(F.sum("r").alias("rows"), F.max("p").alias("progs")).first())
+    n_pt, shared_ids = (size["rows"] or 0), (size["progs"] or 0) > 1
+    pt_b = F.broadcast(pt) if n_pt <= DIMENSION_MAX_ROWS else pt
+    # readings of map meters at slots where their profile is fulfilled
+    rd = (rd.join(mp_b, F.col("MeterNumber") == F.col("BI_MTR_NBR"))
+          .join(ok.select(F.col("ProfileKey").alias("_pk"), F.col("_i").alias("_oi")),
+                (F.col("ProfileKey") == F.col("_pk")) & (F.col("EndMeterSampleIndex") == F.col("_oi")),
+                "left_semi"))
+    joined = rd.join(pt_b, (F.col("_prog") == F.col("_pp")) & (F.col("EndMeterSampleIndex") == F.col("_pi")))
+    if shared_ids:
+        # an event id reached through two programmes would pair a reading with
+        # the same (event, type) twice: keep the reference's distinct rows
+        cols = [c for c in indexed.columns] + ["BI_ACCT", "BI_SRV_LOC_NBR", "BI_LOAD_TYPE",
+                                               "LoadControlEventID", "LoadControlEvent"]
+        joined = joined.select(*cols).dropDuplicates()
     return (with_local_parts(joined, "StartMeterSampleIndex", tz)
             .groupBy(*LC_GROUP)
             .agg(F.sum("AMIValue").alias("HourlyAMIValue"),
