@@ -34,3 +34,25 @@ def test_cli_jobs_end_to_end(spark, tmpdir_path):
     cal = os.path.join(tmpdir_path, "cal")
     main(["calendar", "--first-year", "2024", "--last-year", "2024", "--out", cal])
     assert spark.read.parquet(cal).count() == 366 * 288
+
+
+def test_cli_chain_then_gold(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    lines = [line(10, f"2024-01-05T{h:02d}:{m:02d}:00.000Z", f"2024-01-05T{h:02d}:{m + 15:02d}:00.000Z")
+             for h in range(10, 14) for m in (0, 15, 30)]
+    write_extract(landing, "a", lines[:6])
+    mi = os.path.join(tmpdir_path, "meters.csv")
+    with open(mi, "w") as f:
+        f.write("BI_ACCT,BI_MTR_NBR,BI_MTR_POS_NBR,BI_MTR_CONFIG\n1,10,1,M\n")
+    bronze, ck = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ck")
+    root = os.path.join(tmpdir_path, "chain")
+    main(["ingest", "--landing", landing, "--bronze", bronze, "--checkpoint", ck + "/ingest"])
+    main(["chain", "--bronze", bronze, "--root", root, "--checkpoint", ck + "/chain", "--meter-info", mi])
+    write_extract(landing, "b", lines[6:])
+    main(["ingest", "--landing", landing, "--bronze", bronze, "--checkpoint", ck + "/ingest"])
+    main(["chain", "--bronze", bronze, "--root", root, "--checkpoint", ck + "/chain", "--meter-info", mi])
+    gold = os.path.join(tmpdir_path, "gold")
+    main(["gold", "--chain-root", root, "--out", gold])
+    totals = spark.read.parquet(os.path.join(gold, "hourly_totals"))
+    assert totals.count() == 4
+    assert float(totals.agg({"AllMetersDayHourAMIValue": "sum"}).first()[0]) == 1.5 * 12

@@ -68,14 +68,22 @@ def run_readings_job(spark: SparkSession, bronze: DataFrame, meter_info: DataFra
     nosub = o.write("nosub", _by_day(S.exclude_submeters(indexed, smap)), READING_PARTS).drop("day")
     hourly = o.write("hourly", H.hourly_usage(indexed), HOURLY_PARTS)
     hourly_nosub = o.write("hourly_nosub", H.hourly_usage(nosub), HOURLY_PARTS)
+    out = {"cleaned": cleaned, "indexed": indexed, "submeter_map": smap, "nosub": nosub,
+           "hourly": hourly, "hourly_nosub": hourly_nosub,
+           "daily_diagnostics": o.write("daily_diagnostics", D.daily_diagnostics(indexed))}
+    out.update(refresh_usage_gold(spark, hourly_nosub, out_root))
+    return out
+
+
+def refresh_usage_gold(spark: SparkSession, hourly_nosub: DataFrame, out_root: str) -> dict[str, DataFrame]:
+    """Gold usage tables from the (incrementally maintained) hourly table:
+    system totals per local day-hour, the month-hour profile ranked by mean
+    VEE, and the hours of each day ranked by VEE."""
+    o = Outputs(spark, out_root)
     totals = o.write("hourly_totals", U.hourly_totals(hourly_nosub))
-    return {
-        "cleaned": cleaned, "indexed": indexed, "submeter_map": smap, "nosub": nosub,
-        "hourly": hourly, "hourly_nosub": hourly_nosub, "hourly_totals": totals,
-        "month_hour_rank": o.write("month_hour_rank", U.month_hour_rank(totals)),
-        "daily_rank": o.write("daily_rank", U.daily_rank(totals)),
-        "daily_diagnostics": o.write("daily_diagnostics", D.daily_diagnostics(indexed)),
-    }
+    return {"hourly_totals": totals,
+            "month_hour_rank": o.write("month_hour_rank", U.month_hour_rank(totals)),
+            "daily_rank": o.write("daily_rank", U.daily_rank(totals))}
 
 
 def run_load_control_job(spark: SparkSession, lc_text: DataFrame, meter_map: DataFrame,

@@ -5,6 +5,8 @@
     python -m voltframe.plans.run peaks --sheets DIR --hourly DIR --hourly-nosub DIR \
         --load-types CSV --rates CSV --out DIR
     python -m voltframe.plans.run calendar --first-year 2021 --last-year 2040 --out DIR
+    python -m voltframe.plans.run chain --bronze DIR --root DIR --checkpoint DIR [--meter-info CSV]
+    python -m voltframe.plans.run gold --chain-root DIR --out DIR
     python -m voltframe.plans.run ingest --landing DIR --bronze DIR --checkpoint DIR
 
 ``--bronze`` may be a parquet folder (written by ``ingest``) or a folder of
@@ -47,6 +49,13 @@ def main(argv=None) -> None:
     cal.add_argument("--first-year", type=int, default=2021)
     cal.add_argument("--last-year", type=int, default=2040)
     cal.add_argument("--out", required=True)
+    ch = sub.add_parser("chain")
+    for a in ("--bronze", "--root", "--checkpoint"):
+        ch.add_argument(a, required=True)
+    ch.add_argument("--meter-info")
+    gd = sub.add_parser("gold")
+    gd.add_argument("--chain-root", required=True)
+    gd.add_argument("--out", required=True)
     ing = sub.add_parser("ingest")
     for a in ("--landing", "--bronze", "--checkpoint"):
         ing.add_argument(a, required=True)
@@ -72,6 +81,15 @@ def main(argv=None) -> None:
         from voltframe.operators.calendar import build_calendar
         from voltframe.sources.tables import write_table
         write_table(build_calendar(spark, args.first_year, args.last_year), args.out)
+    elif args.job == "chain":
+        from voltframe.operators.submeters import build_submeter_map
+        from voltframe.streaming.chain import SilverChain
+        smap = build_submeter_map(LD.read_dim_csv(spark, args.meter_info)) if args.meter_info else None
+        SilverChain(spark, args.root, smap).run(args.bronze, args.checkpoint)
+    elif args.job == "gold":
+        from voltframe.sources.tables import PartitionedTable
+        hourly_nosub = PartitionedTable(spark, f"{args.chain_root.rstrip('/')}/hourly_nosub").read().drop("day")
+        jobs.refresh_usage_gold(spark, hourly_nosub, args.out)
     elif args.job == "ingest":
         from voltframe.streaming.ingest import ingest_available
         print(ingest_available(spark, args.landing, args.bronze, args.checkpoint))
