@@ -65,3 +65,14 @@ def test_reference_scope_equals_touched_hours(spark):
     ref_touched = ref.join(touched, H.HOURLY_KEY, "left_semi")
     assert sorted(map(tuple, scoped.collect())) == sorted(map(tuple, ref_touched.select(scoped.columns).collect()))
     assert ref.count() >= scoped.count()
+
+
+def test_read_changes_and_volume_checks(spark):
+    from conftest import SF_SMALL
+    from voltframe.operators.diagnostics import volume_checks
+    from voltframe.plans.pipeline import Pipeline
+    log = Pipeline.of(spark, SF_SMALL).change_log
+    assert C.read_changes(log, 2).select("_commit_version").distinct().collect()[0][0] == 3
+    checks = volume_checks(Pipeline.of(spark, SF_SMALL).fx.fx_bronze16)
+    assert set(checks) == {"daily_counts", "substation_daily_counts", "duplicate_timestamps"}
+    assert checks["daily_counts"].count() > 0

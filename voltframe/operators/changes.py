@@ -82,6 +82,13 @@ def changes_since(changes: DataFrame, version: int) -> DataFrame:
     return changes.filter(F.col("_commit_version") > version)
 
 
+def read_changes(log: DataFrame, since_version: int) -> DataFrame:
+    """Change rows committed after ``since_version`` (the consumer's high
+    water mark); on a log partitioned by ``_commit_version`` the filter
+    prunes partitions."""
+    return changes_since(log, since_version)
+
+
 def latest_per_key(changes: DataFrame, keys) -> DataFrame:
     """One post-image per key: the one with the highest commit version
     (several changes to one key inside a window would otherwise collide).

@@ -60,3 +60,12 @@ def index_bounds(indexed: DataFrame) -> DataFrame:
 
 def distinct_end_times(readings: DataFrame) -> DataFrame:
     return readings.select("EndDateTime").distinct().orderBy("EndDateTime")
+
+
+def volume_checks(readings: DataFrame) -> dict[str, DataFrame]:
+    """The data-volume and duplicate checks over landing readings: points per
+    day, points per day and substation, and meters with more than one entry
+    for one start time."""
+    return {"daily_counts": daily_counts(readings),
+            "substation_daily_counts": substation_daily_counts(readings),
+            "duplicate_timestamps": duplicate_timestamps(readings)}

@@ -53,10 +53,11 @@ def read_readings_batch(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def stream_readings(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_readings(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
+                    schema: T.StructType = READING_SCHEMA) -> DataFrame:
     """Incremental file stream over a landing folder; each file is read once
     (tracked in the query checkpoint)."""
-    r = _reading_csv_options(spark.readStream.schema(_with_rescue(READING_SCHEMA)))
+    r = _reading_csv_options(spark.readStream.schema(_with_rescue(schema)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(landing).withColumn("_source_file", F.col("_metadata.file_path"))

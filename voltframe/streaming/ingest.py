@@ -35,3 +35,8 @@ def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkp
     q.awaitTermination()
     progress = q.lastProgress or {}
     return {"batchId": progress.get("batchId"), "numInputRows": progress.get("numInputRows", 0)}
+
+
+def ingest_readings(spark: SparkSession, landing: str, out: str, ckpt: str) -> dict:
+    """Landing extracts -> bronze parquet, drained and stopped."""
+    return ingest_available(spark, landing, out, ckpt)
