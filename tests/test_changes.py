@@ -72,7 +72,9 @@ def test_read_changes_and_volume_checks(spark):
     from voltframe.operators.diagnostics import volume_checks
     from voltframe.plans.pipeline import Pipeline
     log = Pipeline.of(spark, SF_SMALL).change_log
-    assert C.read_changes(log, 2).select("_commit_version").distinct().collect()[0][0] == 3
+    since = C.read_changes(log, 1)
+    assert {r[0] for r in since.select("_commit_version").distinct().collect()} <= {2, 3}
+    assert since.count() == log.filter("_commit_version > 1").count() > 0
     checks = volume_checks(Pipeline.of(spark, SF_SMALL).fx.fx_bronze16)
     assert set(checks) == {"daily_counts", "substation_daily_counts", "duplicate_timestamps"}
     assert checks["daily_counts"].count() > 0
