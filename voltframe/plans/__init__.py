@@ -1,0 +1 @@
+"""Composite jobs and the query catalogue (with its DuckDB oracle)."""
