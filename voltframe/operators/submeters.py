@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from voltframe.operators.sizing import DIMENSION_MAX_ROWS, broadcast_if_small
 
 METER_INFO_COLUMNS = ["BI_ACCT", "BI_MTR_NBR", "BI_MTR_POS_NBR", "BI_MTR_CONFIG"]
+# the no-submeter table is keyed by slot indices rather than timestamps
+NOSUB_KEY = ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
+             "StartMeterSampleIndex", "EndMeterSampleIndex"]
 
 
 def normalize_meter_info(meter_info: DataFrame) -> DataFrame:

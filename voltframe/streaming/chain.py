@@ -26,7 +26,7 @@ from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
 from voltframe.operators import readings as R
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
-from voltframe.operators.submeters import exclude_submeters
+from voltframe.operators.submeters import NOSUB_KEY, exclude_submeters
 from voltframe.plans.incremental import rebuild_hours
 from voltframe.session import ensure_checkpoint_dir
 from voltframe.sources.tables import PartitionedTable, _fs, day_of
@@ -86,7 +86,7 @@ class SilverChain:
         self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
         if self.submeter_map is not None:
             nosub = exclude_submeters(indexed, self.submeter_map)
-            self.nosub.upsert(nosub, key, version, touched=days)
+            self.nosub.upsert(nosub, NOSUB_KEY, version, touched=days)
             self._fold_hourly(self.nosub, nosub, self.hourly_nosub, version, days)
         self._mark(batch_id)
 
