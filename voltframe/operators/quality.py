@@ -37,6 +37,13 @@ def require_unique(df: DataFrame, keys, what: str = "rows") -> None:
         raise QualityError(f"{what}: duplicate keys {keys}, e.g. {sample}")
 
 
+def full_row_duplicates(df: DataFrame, ignore=("_rescued_data", "_source_file")) -> DataFrame:
+    """Rows that occur more than once on every column (metadata ignored),
+    with their count."""
+    cols = [c for c in df.columns if c not in ignore]
+    return key_duplicates(df.select(*cols), cols)
+
+
 def drop_full_duplicates(df: DataFrame) -> DataFrame:
     """Full-row duplicates are dropped (they carry no information)."""
     return df.dropDuplicates()
