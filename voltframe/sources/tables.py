@@ -78,7 +78,7 @@ class PartitionedTable:
         return df.withColumn(self.part_col, part)
 
     def touched(self, df: DataFrame) -> list[str]:
-        """Partition values present in a batch (a handful of months)."""
+        """Partition values present in a batch (the few days it covers)."""
         return [r[0] for r in df.select(self.part_col).distinct().collect()]
 
     def write_partitions(self, df: DataFrame, version: int) -> None:
