@@ -67,7 +67,10 @@ def run_readings_job(spark: SparkSession, bronze: DataFrame, meter_info: DataFra
     smap = o.write("submeter_map", S.build_submeter_map(meter_info))
     nosub = o.write("nosub", _by_day(S.exclude_submeters(indexed, smap)), READING_PARTS).drop("day")
     hourly = o.write("hourly", H.hourly_usage(indexed), HOURLY_PARTS)
-    hourly_nosub = o.write("hourly_nosub", H.hourly_usage(nosub), HOURLY_PARTS)
+    # exclusion is per meter and the hourly groups include the meter, so the
+    # main-meter hourly table comes from the hourly table, not a second pass
+    # over the readings
+    hourly_nosub = o.write("hourly_nosub", S.exclude_submeters(hourly, smap), HOURLY_PARTS)
     out = {"cleaned": cleaned, "indexed": indexed, "submeter_map": smap, "nosub": nosub,
            "hourly": hourly, "hourly_nosub": hourly_nosub,
            "daily_diagnostics": o.write("daily_diagnostics", D.daily_diagnostics(indexed))}

@@ -6,9 +6,10 @@ submeters and folded into the hourly tables:
   bronze batch -> cleaned (upsert by reading key; tables partitioned by day)
                -> indexed (upsert by reading key)
                -> no-submeter readings (upsert by reading key)
-               -> hourly tables: only the (meter, hour) groups the batch
-                  touches are re-aggregated from the no-submeter / indexed
-                  tables and upserted by the hourly key.
+               -> hourly: only the (meter, hour) groups the batch touches
+                  are re-aggregated from the indexed table and upserted by
+                  the hourly key; the main-meter hourly partitions are the
+                  rewritten hourly partitions without submeters.
 
 A batch is applied once: its id is recorded in a ledger folder after all
 tables are written, and a replayed id (restart after a failure between the
@@ -83,11 +84,15 @@ class SilverChain:
         if self.gates:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
         self.indexed.upsert(indexed, key, version, touched=days)
-        self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
+        hour_days = self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
         if self.submeter_map is not None:
             nosub = exclude_submeters(indexed, self.submeter_map)
             self.nosub.upsert(nosub, NOSUB_KEY, version, touched=days)
-            self._fold_hourly(self.nosub, nosub, self.hourly_nosub, version, days)
+            # exclusion commutes with the hourly rollup (it is per meter): the
+            # main-meter hourly partitions are the rewritten hourly partitions
+            # without submeters, read back from the version just written
+            hourly_now = self.hourly.read(partitions=hour_days)
+            self.hourly_nosub.write_partitions(exclude_submeters(hourly_now, self.submeter_map), version)
         self._mark(batch_id)
 
     def _log_changes(self, cleaned: DataFrame, key, version: int, days: list[str]) -> None:
@@ -103,20 +108,26 @@ class SilverChain:
         """All change rows written so far (``_commit_version`` from the folder)."""
         return self.spark.read.parquet(f"{self.root}/cleaned_changes")
 
+    def _hour_days(self, changed: DataFrame) -> list[str]:
+        """Local days of the hours a batch touches (from the checkpointed batch)."""
+        local = H.with_local_parts(changed.drop("day"), "StartMeterSampleIndex", self.tz)
+        return [r[0] for r in local.select(
+            F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")).distinct().collect()]
+
     def _fold_hourly(self, upstream: PartitionedTable, changed: DataFrame,
-                     target: PartitionedTable, version: int, days: list[str]) -> None:
+                     target: PartitionedTable, version: int, days: list[str]) -> list[str]:
         # with whole-hour zone offsets a local hour lies inside one UTC day, so
         # the batch's UTC days hold every reading of every touched hour
-        # the upstream table including this batch's version (written just before)
+        # (the upstream table including this batch's version, written just before)
         rebuilt = rebuild_hours(upstream.read(partitions=days, before=version + 1).drop("day"),
                                 changed.drop("day"), self.tz)
-        local_day = F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")
-        rebuilt = rebuilt.withColumn("day", local_day)
-        # local days of the touched hours, from the (checkpointed) batch rather
-        # than from the rebuilt rows, which are computed once, by the write
-        local = H.with_local_parts(changed.drop("day"), "StartMeterSampleIndex", self.tz)
-        hour_days = [r[0] for r in local.select(local_day).distinct().collect()]
+        rebuilt = rebuilt.withColumn(
+            "day", F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay"))
+        # touched local days come from the batch rather than from the rebuilt
+        # rows, which are computed once, by the write
+        hour_days = self._hour_days(changed)
         target.upsert(rebuilt, H.HOURLY_KEY, version, touched=hour_days)
+        return hour_days
 
     def run(self, bronze_path: str, checkpoint: str, schema=None):
         """Drain new bronze files through the chain (``availableNow``)."""
