@@ -78,3 +78,18 @@ def test_broadcast_guard_falls_back_beyond_cap(spark):
 def test_submeter_exclusion_does_not_shuffle_readings(spark):
     plan = _plan(QUERIES["no_submeters"](spark, SF_SMALL))
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+def test_pair_aggregation_is_partial_before_its_shuffle(spark, tmpdir_path):
+    from voltframe.plans.pipeline import Pipeline
+    path = f"{tmpdir_path}/bronze"
+    Pipeline.of(spark, SF_SMALL).bronze.write.parquet(path)
+    plan = _plan(R.clean_readings(spark.read.parquet(path)))
+    # dedupe: partial hash aggregate -> shuffle on all 8 columns -> final;
+    # pair rules: partial (count, min, max) per key -> shuffle on the key -> final
+    lines = [ln.strip() for ln in plan.splitlines()]
+    exchanges = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert len(exchanges) == 2
+    below = "\n".join(lines[exchanges[0]:exchanges[1]])
+    assert "partial_count" in below and "partial_min" in below
+    assert "Window" not in plan
