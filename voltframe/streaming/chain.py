@@ -35,7 +35,8 @@ from voltframe.sources.tables import PartitionedTable, _fs, day_of
 
 class SilverChain:
     def __init__(self, spark: SparkSession, root: str, submeter_map: DataFrame | None = None,
-                 tz: str = LOCAL_TZ, gates: bool = True):
+                 tz: str = LOCAL_TZ, gates: bool = True, lc_points: DataFrame | None = None,
+                 program_map: DataFrame | None = None, program_col: str = "BI_LOAD_TYPE"):
         self.spark, self.root, self.tz, self.gates = spark, root.rstrip("/"), tz, gates
         ensure_checkpoint_dir(spark)  # micro-batches are checkpointed to the shared folder
         self.submeter_map = submeter_map
@@ -44,6 +45,10 @@ class SilverChain:
         self.nosub = PartitionedTable(spark, f"{self.root}/nosub")
         self.hourly = PartitionedTable(spark, f"{self.root}/hourly")
         self.hourly_nosub = PartitionedTable(spark, f"{self.root}/hourly_nosub")
+        self.lc_points, self.program_map, self.program_col = lc_points, program_map, program_col
+        # (the analysis has a ``Day`` column, so its partition column is named
+        # differently: column names are case-insensitive)
+        self.lc_analysis = PartitionedTable(spark, f"{self.root}/lc_analysis", part_col="local_date")
         self.metrics: dict[int, dict] = {}
 
     # ---- ledger of applied batches
@@ -85,6 +90,8 @@ class SilverChain:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
         self.indexed.upsert(indexed, key, version, touched=days)
         hour_days = self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
+        if self.lc_points is not None and self.program_map is not None:
+            self._fold_lc(indexed, version, days, hour_days)
         if self.submeter_map is not None:
             nosub = exclude_submeters(indexed, self.submeter_map)
             self.nosub.upsert(nosub, NOSUB_KEY, version, touched=days)
@@ -108,6 +115,24 @@ class SilverChain:
         """All change rows written so far (``_commit_version`` from the folder)."""
         return self.spark.read.parquet(f"{self.root}/cleaned_changes")
 
+    def _fold_lc(self, indexed: DataFrame, version: int, days: list[str], hour_days: list[str]) -> None:
+        """Load-control analysis groups of the hours the batch touches,
+        recomputed from every reading of those hours and upserted by group
+        key: late readings for past events are folded in, and no hour is
+        written partially."""
+        from voltframe.operators.loadcontrol import load_control_analysis
+        from voltframe.plans.incremental import LC_KEY
+        upstream = self.indexed.read(partitions=days, before=version + 1).drop("day")
+        hours = (H.with_local_parts(indexed.drop("day"), "StartMeterSampleIndex", self.tz)
+                 .select("MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
+                         F.col("LocalYear").alias("Year"), F.col("LocalMonth").alias("Month"),
+                         F.col("LocalDay").alias("Day"), "HourEnding").distinct())
+        fresh = (load_control_analysis(self.lc_points, self.program_map, upstream, self.program_col, tz=self.tz)
+                 .join(hours, ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
+                               "Year", "Month", "Day", "HourEnding"], "left_semi")
+                 .withColumn("local_date", F.format_string("%04d-%02d-%02d", "Year", "Month", "Day")))
+        self.lc_analysis.upsert(fresh, LC_KEY, version, touched=hour_days)
+
     def _hour_days(self, changed: DataFrame) -> list[str]:
         """Local days of the hours a batch touches (from the checkpointed batch)."""
         local = H.with_local_parts(changed.drop("day"), "StartMeterSampleIndex", self.tz)
