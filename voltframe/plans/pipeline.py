@@ -32,7 +32,7 @@ class Pipeline:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
         p = cls._shared.get(key)
         if p is None or p.spark is not spark:
             p = cls._shared[key] = cls(spark, sf_dir)

@@ -224,7 +224,7 @@ class Fixtures:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
         fx = cls._shared.get(key)
         if fx is None or fx.spark is not spark:
             fx = cls._shared[key] = cls(spark, sf_dir)
