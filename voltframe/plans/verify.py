@@ -83,8 +83,9 @@ def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict:
                     "cols_match": ac == bc, "spark_s": round(t1 - t0, 2)}
             if not ok:
                 info["spark_cols"], info["oracle_cols"] = ac, bc
-                diff_a = [r for r in a if r not in set(b)][:3]
-                diff_b = [r for r in b if r not in set(a)][:3]
+                sa, sb = set(a), set(b)
+                diff_a = [r for r in a if r not in sb][:3]
+                diff_b = [r for r in b if r not in sa][:3]
                 info["only_spark"], info["only_oracle"] = diff_a, diff_b
             report[name] = info
             if verbose:
