@@ -192,3 +192,23 @@ def test_analysis_with_event_id_shared_by_two_programmes(spark):
     want = _reference_analysis(pts, mm, rd)
     assert got.count() > 0
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_analysis_on_autumn_dst_day(spark):
+    # event 0:30-3:00 local on 2024-11-03: 01:xx happens twice
+    ev = spark.createDataFrame([("11/3/2024", "A", "0:30", "3:00")], TEXT)
+    pts = L.expand_lc_periods(L.index_lc_periods(ev))
+    mm = spark.createDataFrame([(1, 1, 10, "A")], MAP)
+    rows = []
+    start = dt.datetime(2024, 11, 3, 4, 0)  # 23:00 CDT Nov 2
+    for i in range(12 * 7):
+        s = start + dt.timedelta(minutes=5 * i)
+        rows.append((10, "KWH", "F", 1, s, s + dt.timedelta(minutes=5), Decimal("1.00"), Decimal("1.00")))
+    rd = R.index_readings(spark.createDataFrame(rows, "MeterNumber int, UnitOfMeasure string, FlowDirection string, "
+                                                "Channel int, StartDateTime timestamp, EndDateTime timestamp, "
+                                                "AMIValue decimal(18,2), VEEValue decimal(18,2)"))
+    got = L.load_control_analysis(pts, mm, rd)
+    want = _reference_analysis(pts, mm, rd)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    he2 = [r for r in got.collect() if r.Day == 3 and r.HourEnding == 2]
+    assert he2 and sum(r.HourlyAMIValue for r in he2) == Decimal("24.00")  # two UTC hours

@@ -46,11 +46,23 @@ def test_cli_chain_then_gold(spark, tmpdir_path):
         f.write("BI_ACCT,BI_MTR_NBR,BI_MTR_POS_NBR,BI_MTR_CONFIG\n1,10,1,M\n")
     bronze, ck = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ck")
     root = os.path.join(tmpdir_path, "chain")
+    ev = os.path.join(tmpdir_path, "lc")
+    os.makedirs(ev)
+    with open(os.path.join(ev, "e.csv"), "w") as f:
+        f.write("Date,Program,StartTime,StopTime\n1/5/2024,IR1,5:00,6:00\n")
+    pm = os.path.join(tmpdir_path, "map.csv")
+    with open(pm, "w") as f:
+        f.write("Program,BI_ACCT,BI_SRV_LOC_NBR,BI_MTR_NBR,BI_LOAD_TYPE\nIR1,1,1,10,IR1\n")
+    chain_args = ["chain", "--bronze", bronze, "--root", root, "--checkpoint", ck + "/chain", "--meter-info", mi,
+                  "--lc-events", ev + "/*.csv", "--program-map", pm, "--program-col", "Program"]
     main(["ingest", "--landing", landing, "--bronze", bronze, "--checkpoint", ck + "/ingest"])
-    main(["chain", "--bronze", bronze, "--root", root, "--checkpoint", ck + "/chain", "--meter-info", mi])
+    main(chain_args)
     write_extract(landing, "b", lines[6:])
     main(["ingest", "--landing", landing, "--bronze", bronze, "--checkpoint", ck + "/ingest"])
-    main(["chain", "--bronze", bronze, "--root", root, "--checkpoint", ck + "/chain", "--meter-info", mi])
+    main(chain_args)
+    from voltframe.sources.tables import PartitionedTable
+    lc = PartitionedTable(spark, os.path.join(root, "lc_analysis"), part_col="local_date").read()
+    assert lc.count() > 0 and {r.MeterNumber for r in lc.collect()} == {10}
     gold = os.path.join(tmpdir_path, "gold")
     main(["gold", "--chain-root", root, "--out", gold])
     totals = spark.read.parquet(os.path.join(gold, "hourly_totals"))

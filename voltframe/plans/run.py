@@ -6,6 +6,7 @@
         --load-types CSV --rates CSV --out DIR
     python -m voltframe.plans.run calendar --first-year 2021 --last-year 2040 --out DIR
     python -m voltframe.plans.run chain --bronze DIR --root DIR --checkpoint DIR [--meter-info CSV]
+        [--lc-events 'DIR/*.csv' --program-map CSV [--program-col NAME]]
     python -m voltframe.plans.run gold --chain-root DIR --out DIR
     python -m voltframe.plans.run ingest --landing DIR --bronze DIR --checkpoint DIR
 
@@ -53,6 +54,9 @@ def main(argv=None) -> None:
     for a in ("--bronze", "--root", "--checkpoint"):
         ch.add_argument(a, required=True)
     ch.add_argument("--meter-info")
+    ch.add_argument("--lc-events")
+    ch.add_argument("--program-map")
+    ch.add_argument("--program-col", default="BI_LOAD_TYPE")
     gd = sub.add_parser("gold")
     gd.add_argument("--chain-root", required=True)
     gd.add_argument("--out", required=True)
@@ -85,7 +89,13 @@ def main(argv=None) -> None:
         from voltframe.operators.submeters import build_submeter_map
         from voltframe.streaming.chain import SilverChain
         smap = build_submeter_map(LD.read_dim_csv(spark, args.meter_info)) if args.meter_info else None
-        SilverChain(spark, args.root, smap).run(args.bronze, args.checkpoint)
+        points = pmap = None
+        if args.lc_events and args.program_map:
+            from voltframe.operators.loadcontrol import expand_lc_periods, index_lc_periods
+            points = expand_lc_periods(index_lc_periods(LD.read_lc_events(spark, args.lc_events))).cache()
+            pmap = LD.read_dim_csv(spark, args.program_map)
+        SilverChain(spark, args.root, smap, lc_points=points, program_map=pmap,
+                    program_col=args.program_col).run(args.bronze, args.checkpoint)
     elif args.job == "gold":
         from voltframe.sources.tables import PartitionedTable
         hourly_nosub = PartitionedTable(spark, f"{args.chain_root.rstrip('/')}/hourly_nosub").read().drop("day")
