@@ -4,8 +4,8 @@ Splits the bronze fixture of ``BENCH_SF_DIR`` into ``BENCH_BATCHES`` files by
 day, folds them one by one through ``SilverChain`` (upserts of touched day
 partitions + touched-hour rebuilds), then rebuilds the same tables in one
 batch job; checks both hourly tables agree and prints one JSON line with
-the timings. Output goes to a fresh folder under ``BENCH_OUT`` (default: a
-new temporary folder).
+the timings. Output goes to a fresh folder under ``BENCH_OUT`` or, by
+default, under the session's checkpoint folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -31,8 +31,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     n = int(os.environ.get("BENCH_BATCHES", "10"))
-    out = tempfile.mkdtemp(prefix="vf-inc-", dir=os.environ.get("BENCH_OUT") or None)
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    if os.environ.get("BENCH_OUT"):
+        out = tempfile.mkdtemp(prefix="vf-inc-", dir=os.environ["BENCH_OUT"])
+    else:  # a fresh folder under the session's (shared) checkpoint folder
+        from voltframe.session import ensure_checkpoint_dir
+        out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-incremental-{int(time.time())}"
     fx = Fixtures(spark, sf_dir)
     bronze = fx.fx_bronze
     smap = build_submeter_map(fx.fx_meter_info).cache()
