@@ -128,3 +128,21 @@ def test_index_and_null_rows(spark):
 def test_delete_where_keeps_null_predicate(spark):
     df = spark.createDataFrame([(1, None), (2, 5)], "a int, b int")
     assert sorted(r.a for r in R.delete_where(df, F.col("b") > 3).collect()) == [1]
+
+
+def test_pair_survivors_are_paired_correctly(spark):
+    k = (1, "KWH", "F", 1, T0, T0 + dt.timedelta(minutes=15))
+    rows = [k + (Decimal("2.00"), Decimal("9.00")), k + (Decimal("7.00"), Decimal("1.00"))]   # different AMI
+    k2 = (2, "KWH", "F", 1, T0, T0 + dt.timedelta(minutes=15))
+    rows += [k2 + (Decimal("3.00"), Decimal("8.00")), k2 + (Decimal("3.00"), Decimal("4.00"))]  # same AMI
+    k3 = (3, "KWH", "F", 1, T0, T0 + dt.timedelta(minutes=15))
+    rows += [k3 + (Decimal("6.00"), Decimal("5.00")), k3 + (Decimal("0.00"), Decimal("1.00"))]  # one survivor
+    got = sorted(map(tuple, R.clean_readings(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+    assert got == brute_force_clean(rows) and len(got) == 5
+
+
+def test_pair_aggregation_is_hash_based(spark):
+    from test_plans import _plan
+    rows = [(1, "KWH", "F", 1, T0, T0, Decimal("1.00"), Decimal("1.00"))]
+    plan = _plan(R.clean_readings(spark.createDataFrame(rows, SCHEMA)))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

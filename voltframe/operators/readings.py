@@ -3,7 +3,8 @@
 Duplicate handling is expressed with aggregations only, so a key that holds
 a large share of all rows is combined map-side instead of landing whole in
 one task: exact copies collapse in ``dropDuplicates`` and the per-key pair
-rules run on one aggregated row per key.
+rules run on one aggregated row per key, built from fixed-width aggregates
+(hash aggregation with partial aggregation before the shuffle).
 """
 
 from __future__ import annotations
@@ -71,21 +72,40 @@ def resolve_duplicate_pairs(df: DataFrame, keys=READING_KEY, values=READING_VALU
     if policy == "max":
         return max_per_key(df, keys, values)
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rec = F.struct(*[F.col(v) for v in values])
+    ami, vee = F.col(values[0]), F.col(values[1])
+    # a row survives in a pair iff the pair rules hold for it (null -> no);
+    # a surviving row has non-null AMI and VEE, so the survivors of a pair are
+    # rebuilt exactly from fixed-width aggregates (hash aggregation, partial
+    # before the shuffle): one survivor is (min AMI, min VEE); two with equal
+    # AMI are (a, min VEE), (a, max VEE); two with different AMI are
+    # (min AMI, VEE at min AMI), (max AMI, VEE at max AMI)
+    keep = F.coalesce(_pair_keep(F.lit(2)), F.lit(False))
+    ka, kv = F.when(keep, ami), F.when(keep, vee)
     # a row with a null key column is its own group (it never joins to a count)
-    per_key = df.groupBy(*keys, F.when(null_key, rec).alias("_nk")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(rec).alias("_lo"), F.max(rec).alias("_hi"))
-    small = (per_key.filter(F.col("_n") <= 2)
-             .select(*keys, "_n", F.explode(
-                 F.when(F.col("_n") == 1, F.array("_lo")).otherwise(F.array("_lo", "_hi"))
-             ).alias("_r"))
-             .select(*keys, "_n", *[F.col(f"_r.{v}").alias(v) for v in values])
-             .filter(_pair_keep(F.col("_n")))
-             .drop("_n"))
+    per_key = df.groupBy(*keys, F.when(null_key, F.struct(ami, vee)).alias("_nk")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(ami).alias("_a1"), F.min(vee).alias("_v1"),
+        F.count(F.when(keep, 1)).alias("_k"),
+        F.min(ka).alias("_amin"), F.max(ka).alias("_amax"),
+        F.min(kv).alias("_vmin"), F.max(kv).alias("_vmax"),
+        F.min_by(kv, ka).alias("_v_lo"), F.max_by(kv, ka).alias("_v_hi"))
+    n, k, same = F.col("_n"), F.col("_k"), F.col("_amin") == F.col("_amax")
+
+    def row(a, v):
+        return F.struct(F.col(a).alias(values[0]), F.col(v).alias(values[1]))
+    survivors = F.filter(F.array(
+        F.when(n == 1, row("_a1", "_v1")),
+        F.when((n == 2) & ((k == 1) | ((k == 2) & same)), row("_amin", "_vmin")),
+        F.when((n == 2) & (k == 2) & same, row("_amin", "_vmax")),
+        F.when((n == 2) & (k == 2) & ~same, row("_amin", "_v_lo")),
+        F.when((n == 2) & (k == 2) & ~same, row("_amax", "_v_hi")),
+    ), lambda x: x.isNotNull())
+    small = (per_key.filter(n <= 2)
+             .select(*keys, F.explode(survivors).alias("_r"))
+             .select(*keys, *[F.col(f"_r.{v}").alias(v) for v in values]))
     # keys seen 3+ times (rare; rejected by the gate) come back whole. The
     # null-safe condition keeps the input subtree identical to the one above,
     # so both branches read the same shuffle instead of scanning twice.
-    ck = per_key.filter(F.col("_n") >= 3).select(*[F.col(k).alias(f"_ck_{k}") for k in keys])
+    ck = per_key.filter(n >= 3).select(*[F.col(k).alias(f"_ck_{k}") for k in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys])
     crowded = df.join(ck, cond, "left_semi").select(*keys, *values)
     return small.unionByName(crowded)
