@@ -73,8 +73,10 @@ def test_incremental_chain_equals_full_rebuild(spark, tmpdir_path):
     assert hist.get((1, "update_preimage"), 0) == 0
     for v in (2, 3):
         assert hist.get((v, "update_preimage"), 0) == hist.get((v, "update_postimage"), 0)
-    from voltframe.operators.changes import latest_per_key, postimages
-    latest = latest_per_key(postimages(log).drop("_change_type"), R.READING_KEY + ["day"])
+    from voltframe.operators.changes import changes_since_time, latest_per_key, postimages
+    t2 = log.filter("_commit_version = 2").agg(F.min("_commit_timestamp")).first()[0]
+    assert changes_since_time(log, t2).filter("_commit_version = 1").count() == 0
+    latest = latest_per_key(postimages(log).drop("_change_type", "_commit_timestamp"), R.READING_KEY + ["day"])
     assert latest.count() == chain.cleaned.read().count()
 
 

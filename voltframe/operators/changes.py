@@ -82,6 +82,11 @@ def changes_since(changes: DataFrame, version: int) -> DataFrame:
     return changes.filter(F.col("_commit_version") > version)
 
 
+def changes_since_time(changes: DataFrame, ts) -> DataFrame:
+    """Change rows committed after a point in time (``_commit_timestamp``)."""
+    return changes.filter(F.col("_commit_timestamp") > F.lit(ts).cast("timestamp"))
+
+
 def read_changes(log: DataFrame, since_version: int) -> DataFrame:
     """Change rows committed after ``since_version`` (the consumer's high
     water mark); on a log partitioned by ``_commit_version`` the filter

@@ -104,10 +104,12 @@ class SilverChain:
 
     def _log_changes(self, cleaned: DataFrame, key, version: int, days: list[str]) -> None:
         """Append the batch's change rows (insert / update pre- and
-        post-images) for the cleaned table, partitioned by commit version.
+        post-images, with the commit time) for the cleaned table, partitioned
+        by commit version.
         Computed from the batch side against the touched partitions only."""
         current = self.cleaned.read(cleaned.schema, partitions=days, before=version)
-        changes = C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
+        changes = (C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
+                   .withColumn("_commit_timestamp", F.current_timestamp()))
         (changes.write.mode("overwrite")
          .parquet(f"{self.root}/cleaned_changes/_commit_version={version}"))
 
