@@ -38,3 +38,35 @@ def test_upsert_idempotent_and_diff_consistent(spark, t_rows, s_rows):
     post = C.postimages(ch).select("k", "v")
     applied = C.upsert(t, post, ["k"])
     assert sorted(map(tuple, applied.collect())) == sorted(map(tuple, once.collect()))
+
+
+prog = st.sampled_from(["A", "B", "C"])
+map_row = st.tuples(st.integers(1, 4), prog, st.sampled_from(["A", "B", "C", None]))
+event = st.tuples(prog, st.integers(6, 9), st.integers(1, 2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(map_row, min_size=1, max_size=8), st.lists(event, min_size=1, max_size=4))
+def test_profile_fulfilment_matches_brute_force(spark, map_rows, events):
+    from pyspark.sql import functions as F
+
+    from voltframe.operators import loadcontrol as L
+    ev = spark.createDataFrame([("1/5/2024", p, f"{h}:00", f"{h + d}:00") for p, h, d in events],
+                               "Date string, Program string, StartTime string, StopTime string")
+    pts = L.expand_lc_periods(L.index_lc_periods(ev), 0, 0)
+    # map: programme name in BI_LOAD_TYPE's place is the join column
+    mm = spark.createDataFrame([(m, m, m * 10, t, p) for m, p, t in map_rows],
+                               "BI_ACCT int, BI_SRV_LOC_NBR int, BI_MTR_NBR int, BI_LOAD_TYPE string, Prog string")
+    # the reference form: every point x every map row of its programme
+    mts = pts.join(mm, pts.Program == mm.Prog)
+    dups = mts.groupBy("MeterSampleIndex", "BI_MTR_NBR").agg(F.count("BI_LOAD_TYPE").alias("Count"))
+    pc = mm.groupBy("BI_MTR_NBR").agg(F.count("BI_LOAD_TYPE").alias("ProgramCount"))
+    diff = pc.join(dups, "BI_MTR_NBR").withColumn("ProgramDiff", F.col("ProgramCount") - F.col("Count"))
+    want = sorted(tuple(r) for r in diff.filter("ProgramDiff = 0").groupBy("BI_MTR_NBR").agg(
+        F.count(F.lit(1)), F.min("MeterSampleIndex"), F.max("MeterSampleIndex")).collect())
+    got = sorted(tuple(r) for r in L.fulfilled_by_meter(pts, mm, program_col="Prog").select(
+        "BI_MTR_NBR", "FulfilledPoints", "FirstIndex", "LastIndex").collect())
+    assert got == want
+    want_sf = sorted(tuple(r) for r in diff.groupBy("ProgramDiff").count().collect())
+    got_sf = sorted(tuple(r) for r in L.shortfall_distribution(pts, mm, program_col="Prog").collect())
+    assert got_sf == want_sf
