@@ -32,3 +32,20 @@ def test_scale_conf():
     c = scale_conf(100 * 1024 ** 4)  # 100 TB
     assert int(c["spark.sql.shuffle.partitions"]) == 100_000
     assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "40"
+
+
+def test_local_wall_instants_equal_calendar_join_for_a_year(spark):
+    from voltframe.functions.timeindex import local_wall_instants, serial_index
+    cal = build_calendar(spark, 2024, 2024).select("MeterSampleIndex", "LocalTimeStamp")
+    walls = (spark.range(0, 366 * 288)
+             .select((F.lit("2024-01-01 00:00:00").cast("timestamp")
+                      + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") * 5)).alias("wall")))
+    arith = walls.select("wall", F.explode(F.transform(local_wall_instants(F.col("wall")),
+                                                       lambda u: serial_index(u))).alias("idx"))
+    joined = walls.join(cal, walls.wall == cal.LocalTimeStamp).select("wall", F.col("MeterSampleIndex").alias("idx"))
+    # the calendar holds 2024 UTC only: compare inside it
+    lo, hi = cal.agg(F.min("MeterSampleIndex"), F.max("MeterSampleIndex")).first()
+    arith = arith.filter(F.col("idx").between(lo, hi))
+    assert arith.exceptAll(joined).count() == 0 and joined.exceptAll(arith).count() == 0
+    per_wall = arith.groupBy("wall").count()
+    assert per_wall.filter("count = 2").count() == 12
