@@ -28,6 +28,7 @@ from voltframe.operators import readings as R
 from voltframe.operators import submeters as S
 from voltframe.operators import usage as U
 from voltframe.operators.quality import require_no_nulls, require_unique
+from voltframe.session import ensure_checkpoint_dir
 from voltframe.sources.tables import write_table
 
 
@@ -58,6 +59,10 @@ def run_readings_job(spark: SparkSession, bronze: DataFrame, meter_info: DataFra
     o = Outputs(spark, out_root)
     cleaned = R.clean_readings(R.drop_header_rows(bronze))
     if gates:
+        # computed once: the gate and the write both read the checkpoint (in
+        # the shared folder named by spark.checkpoint.dir)
+        ensure_checkpoint_dir(spark)
+        cleaned = cleaned.checkpoint()
         require_unique(cleaned, R.READING_KEY, "cleaned readings")
     cleaned = o.write("cleaned", _by_day(cleaned), READING_PARTS).drop("day")
     indexed = R.index_readings(cleaned)
