@@ -24,7 +24,7 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
             .unionByName(source))
 
 
-def _change_rows(keys, cols, before: Column, after: Column) -> Column:
+def _change_rows(before: Column, after: Column) -> Column:
     same = F.coalesce(before.eqNullSafe(after), F.lit(False))
     both = before.isNotNull() & after.isNotNull()
     return F.filter(F.array(
@@ -41,7 +41,7 @@ def diff_changes(before: DataFrame, after: DataFrame, keys, version: int) -> Dat
     b = before.select(*keys, F.struct(*cols).alias("_b"))
     a = after.select(*keys, F.struct(*cols).alias("_a"))
     j = b.join(a, list(keys), "full_outer")
-    return (j.select(*keys, F.explode(_change_rows(keys, cols, F.col("_b"), F.col("_a"))).alias("_c"))
+    return (j.select(*keys, F.explode(_change_rows(F.col("_b"), F.col("_a"))).alias("_c"))
             .select(*keys, *[F.col(f"_c.r.{c}").alias(c) for c in cols],
                     F.col("_c.t").alias("_change_type"),
                     F.lit(version).cast("bigint").alias("_commit_version")))
@@ -55,7 +55,7 @@ def upsert_changes(target: DataFrame, source: DataFrame, keys, version: int) ->
     s = source.select(*keys, F.struct(*cols).alias("_a"))
     t = target.select(*keys, F.struct(*cols).alias("_b"))
     j = s.join(t, list(keys), "left")
-    return (j.select(*keys, F.explode(_change_rows(keys, cols, F.col("_b"), F.col("_a"))).alias("_c"))
+    return (j.select(*keys, F.explode(_change_rows(F.col("_b"), F.col("_a"))).alias("_c"))
             .select(*keys, *[F.col(f"_c.r.{c}").alias(c) for c in cols],
                     F.col("_c.t").alias("_change_type"),
                     F.lit(version).cast("bigint").alias("_commit_version")))
