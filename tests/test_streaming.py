@@ -149,3 +149,17 @@ def test_chain_load_control_equals_full(spark, tmpdir_path):
     inc = chain.lc_analysis.read().drop("local_date")
     assert inc.count() > 0
     assert sorted(map(tuple, inc.select(full.columns).collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_chain_run_in_bounded_batches(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    bronze = os.path.join(tmpdir_path, "bronze")
+    for lo, hi in ((1, 10), (11, 20), (21, 31)):   # three bronze files
+        _bronze_days(fx.fx_bronze, lo, hi).coalesce(1).write.mode("append").parquet(bronze)
+    chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
+    chain.run(bronze, os.path.join(tmpdir_path, "ck"), max_files_per_trigger=1)
+    assert len(chain.metrics) == 3
+    full = H.hourly_usage(R.index_readings(R.clean_readings(fx.fx_bronze)))
+    got = chain.hourly.read().drop("day")
+    assert sorted(map(tuple, got.select(full.columns).collect())) == sorted(map(tuple, full.collect()))

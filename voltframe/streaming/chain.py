@@ -156,9 +156,14 @@ class SilverChain:
         target.upsert(rebuilt, H.HOURLY_KEY, version, touched=hour_days)
         return hour_days
 
-    def run(self, bronze_path: str, checkpoint: str, schema=None):
-        """Drain new bronze files through the chain (``availableNow``)."""
+    def run(self, bronze_path: str, checkpoint: str, schema=None,
+            max_files_per_trigger: int | None = None):
+        """Drain new bronze files through the chain (``availableNow``); with
+        ``max_files_per_trigger`` a backlog is applied as several bounded
+        micro-batches instead of one."""
         reader = self.spark.readStream.format("parquet")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         if schema is None:
             schema = self.spark.read.parquet(bronze_path).schema
         q = (reader.schema(schema).load(bronze_path).writeStream
