@@ -163,3 +163,17 @@ def test_chain_run_in_bounded_batches(spark, tmpdir_path):
     full = H.hourly_usage(R.index_readings(R.clean_readings(fx.fx_bronze)))
     got = chain.hourly.read().drop("day")
     assert sorted(map(tuple, got.select(full.columns).collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_table_history_and_view(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
+    chain.apply(_bronze_days(fx.fx_bronze, 1, 3), 0)
+    chain.apply(_bronze_days(fx.fx_bronze, 3, 4), 1)
+    h = chain.cleaned.history()
+    per_version = {r.version: r["count"] for r in h.groupBy("version").count().collect()}
+    assert per_version == {1: 3, 2: 2}       # days 1-3, then days 3-4
+    assert h.filter("NOT committed").count() == 0
+    chain.cleaned.as_view("vf_cleaned_now")
+    assert spark.sql("SELECT COUNT(*) FROM vf_cleaned_now").first()[0] == chain.cleaned.read().count()

@@ -60,6 +60,32 @@ class PartitionedTable:
     def exists(self) -> bool:
         return bool(self._latest())
 
+    def history(self) -> DataFrame:
+        """(version, partition, committed) for every version folder: which
+        partitions each write rewrote (directory listing only)."""
+        fs, root, jvm = _fs(self.spark, self.path)
+        rows = []
+        if fs.exists(root):
+            for ver in fs.listStatus(root):
+                vn = ver.getPath().getName()
+                if not (ver.isDirectory() and vn.startswith("v=")):
+                    continue
+                done = fs.exists(jvm.org.apache.hadoop.fs.Path(ver.getPath(), "_SUCCESS"))
+                for part in fs.listStatus(ver.getPath()):
+                    name = part.getPath().getName()
+                    if part.isDirectory() and name.startswith(self.part_col + "="):
+                        rows.append((int(vn[2:]), name.split("=", 1)[1], done))
+        return self.spark.createDataFrame(
+            sorted(rows), f"version long, {self.part_col} string, committed boolean")
+
+    def as_view(self, name: str) -> DataFrame:
+        """Expose the current state (newest version of every partition) to SQL
+        as a temporary view; a catalogue table over the folder would see every
+        version."""
+        df = self.read()
+        df.createOrReplaceTempView(name)
+        return df
+
     def read(self, schema=None, partitions=None, before: int | None = None) -> DataFrame:
         """Current rows; ``partitions`` limits the read to those partition
         values (only their folders are listed to the reader); ``before`` reads
