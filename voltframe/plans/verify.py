@@ -1,7 +1,8 @@
 """Side-by-side check of catalogue queries against their DuckDB oracle.
 
-Used by the tests and by ``python -m voltframe.plans.verify``; it mirrors the
-driver's gate (row count, column names, order-insensitive values).
+Used by the tests and by ``python -m voltframe.plans.verify [sf_dir] [query ...]
+[--json report.json]``; it mirrors the driver's gate (row count, column names,
+order-insensitive values).
 """
 
 from __future__ import annotations
@@ -103,10 +104,21 @@ def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict:
 
 
 if __name__ == "__main__":
+    import json
+
     from voltframe.session import get_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
+    args = sys.argv[1:]
+    out_json = None
+    if "--json" in args:
+        i = args.index("--json")
+        out_json = args[i + 1]
+        del args[i:i + 2]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
     spark = get_session("local[8]", 8)
     rep = compare(spark, sf, names)
     bad = [k for k, v in rep.items() if not v.get("match", v.get("oracle", 1) is None)]
     print("FAILED:", bad)
+    if out_json:
+        with open(out_json, "w") as f:
+            json.dump({"sf_dir": sf, "failed": bad, "queries": rep}, f, indent=1, default=str)
