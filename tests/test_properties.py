@@ -70,3 +70,25 @@ def test_profile_fulfilment_matches_brute_force(spark, map_rows, events):
     want_sf = sorted(tuple(r) for r in diff.groupBy("ProgramDiff").count().collect())
     got_sf = sorted(tuple(r) for r in L.shortfall_distribution(pts, mm, program_col="Prog").collect())
     assert got_sf == want_sf
+
+
+on_grid = st.builds(lambda k, s: dt.datetime(2021, 1, 1) + dt.timedelta(minutes=5 * k, seconds=s),
+                    st.integers(-20, 2103840 + 20), st.integers(0, 59))
+any_time = st.datetimes(min_value=dt.datetime(2020, 12, 31, 20, 0), max_value=dt.datetime(2041, 1, 1, 4, 0))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(on_grid, any_time), min_size=1, max_size=200))
+def test_serial_index_matches_python(spark, stamps):
+    from pyspark.sql import functions as F
+
+    from voltframe.functions.timeindex import serial_index
+
+    def expected(t):
+        t = t.replace(second=0, microsecond=0)
+        secs = int(t.replace(tzinfo=dt.timezone.utc).timestamp()) - 1609459200
+        idx = secs // 300 + 1
+        return idx if t.minute % 5 == 0 and secs >= 0 and idx <= 2103840 else None
+    df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp")
+    got = [r[0] for r in df.select(serial_index(F.col("ts"))).collect()]
+    assert got == [expected(t) for t in stamps]
