@@ -59,3 +59,28 @@ def test_direct_totals_equal_two_level(spark):
     a = U.system_hourly_totals(p.nosub)
     b = U.hourly_totals(p.hourly_nosub)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+
+
+def test_v1_percent_difference_zero_ami_is_null(spark):
+    rows = [(1, "KWH", "F", 1, dt.datetime(2024, 1, 1, 5, 0), dt.datetime(2024, 1, 1, 5, 15),
+             Decimal("0.00"), Decimal("1.00")),
+            (1, "KWH", "F", 1, dt.datetime(2024, 1, 1, 6, 0), dt.datetime(2024, 1, 1, 6, 15),
+             Decimal("2.00"), Decimal("3.00"))]
+    t = {r.HourEnding: r for r in H.totals_by_hour(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert t[5].AMI_VEE_PercentDifference is None and t[5].AMI_VEE_kWhDifference == Decimal("1.00")
+    assert t[6].AMI_VEE_PercentDifference == 0.5
+
+
+def test_ami_vee_report_counts_differences(spark):
+    hourly = spark.createDataFrame([
+        (1, "KWH", "F", 1, 2024, 1, 2, 5, Decimal("1.00"), Decimal("1.00"), 10),
+        (1, "KWH", "F", 1, 2024, 1, 2, 6, Decimal("1.00"), Decimal("3.00"), 22),
+        (2, "KWH", "F", 1, 2024, 1, 2, 6, Decimal("1.00"), None, 22),
+    ], "MeterNumber int, UnitOfMeasure string, FlowDirection string, Channel int, LocalYear int, "
+       "LocalMonth int, LocalDay int, HourEnding int, HourlyAMIValue decimal(18,2), "
+       "HourlyVEEValue decimal(18,2), EndMeterSampleIndex int")
+    by_hour = {r.HourEnding: r for r in U.ami_vee_report(hourly, ["HourEnding"]).collect()}
+    assert by_hour[5].DIFF_COUNT_SUM == 0 and by_hour[5].DIFF_COUNT_AVG is None
+    assert by_hour[6].DIFF_COUNT_SUM == 1 and by_hour[6].VEE_AMI_DIFF_SUM == Decimal("2.00")
+    by_date = U.ami_vee_report(hourly, ["DATE"]).first()
+    assert by_date.DATE == dt.date(2024, 1, 2) and by_date.DIFF_COUNT_SUM == 1
