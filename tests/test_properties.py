@@ -92,3 +92,15 @@ def test_serial_index_matches_python(spark, stamps):
     df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp")
     got = [r[0] for r in df.select(serial_index(F.col("ts"))).collect()]
     assert got == [expected(t) for t in stamps]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 3)), max_size=8),
+       st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 3)), max_size=8))
+def test_batch_side_changes_equal_snapshot_diff(spark, target, source):
+    t = spark.createDataFrame(list(target.items()), "k int, v int")
+    s = spark.createDataFrame(list(source.items()), "k int, v int")
+    after = C.upsert(t, s, ["k"])
+    a = sorted(map(tuple, C.upsert_changes(t, s, ["k"], 1).collect()), key=repr)
+    b = sorted(map(tuple, C.diff_changes(t, after, ["k"], 1).collect()), key=repr)
+    assert a == b
