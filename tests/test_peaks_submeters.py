@@ -32,3 +32,18 @@ def test_submeter_map_from_text_ids(spark):
     assert checks[("without_main", None)] == 1 and checks[("mapped_more_than_once", None)] == 1
     readings = spark.createDataFrame([(10,), (11,), (22,), (42,)], "MeterNumber int")
     assert sorted(r.MeterNumber for r in S.exclude_submeters(readings, m).collect()) == [10, 42]
+
+
+def test_peak_queries_on_peak_hours_equal_full_hourly(spark):
+    from conftest import SF_SMALL
+    from voltframe.plans.pipeline import Pipeline
+    p = Pipeline.of(spark, SF_SMALL)
+    ipk = p.indexed_peaks
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+    assert rows(P.peak_total(p.hourly_nosub_at_peaks, ipk)) == rows(P.peak_total(p.hourly_nosub, ipk))
+    a = P.peak_by_lc_meter(p.hourly_at_peaks, ipk, p.fx.fx_load_types)
+    b = P.peak_by_lc_meter(p.hourly, ipk, p.fx.fx_load_types)
+    assert a.count() > 0 and rows(a) == rows(b.select(a.columns))
+    assert rows(P.peak_dropouts(p.hourly_nosub_in_peak_clock_hours, ipk)) == rows(P.peak_dropouts(p.hourly_nosub, ipk))

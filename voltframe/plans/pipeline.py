@@ -94,9 +94,34 @@ class Pipeline:
     def indexed_peaks(self) -> DataFrame:
         return P.index_peaks(self.peaks)
 
+    # Peak queries only need the hours that end at a peak: those hours are
+    # found first (readings ending at a peak slot; the slot set is bounded by
+    # the peaks) and only their readings are aggregated. Same rows as
+    # joining the full hourly tables to the peaks.
+    @cached_property
+    def peak_hours(self) -> DataFrame:
+        return H.hours_ending_at(self.indexed, self.indexed_peaks)
+
+    @cached_property
+    def hourly_at_peaks(self) -> DataFrame:
+        return H.hourly_usage_in_hours(self.indexed, self.peak_hours)
+
+    @cached_property
+    def hourly_nosub_at_peaks(self) -> DataFrame:
+        return H.hourly_usage_in_hours(self.nosub, self.peak_hours)
+
+    @cached_property
+    def hourly_nosub_in_peak_clock_hours(self) -> DataFrame:
+        """Hours named by the peak's own local date and hour (dropout check)."""
+        hours = self.indexed_peaks.select(F.col("CoincidYear").alias("LocalYear"),
+                                          F.col("CoincidMonth").alias("LocalMonth"),
+                                          F.col("CoincidDay").alias("LocalDay"),
+                                          F.col("CoincidHour").alias("HourEnding"))
+        return H.hourly_usage_in_hours(self.nosub, hours)
+
     @cached_property
     def peak_lc_rows(self) -> DataFrame:
-        return P.peak_by_lc_meter(self.hourly, self.indexed_peaks, self.fx.fx_load_types)
+        return P.peak_by_lc_meter(self.hourly_at_peaks, self.indexed_peaks, self.fx.fx_load_types)
 
     # ---- change batches: an early file and a later, overlapping file that
     # carries validated (VEE-filled) values
