@@ -47,3 +47,32 @@ def test_peak_queries_on_peak_hours_equal_full_hourly(spark):
     b = P.peak_by_lc_meter(p.hourly, ipk, p.fx.fx_load_types)
     assert a.count() > 0 and rows(a) == rows(b.select(a.columns))
     assert rows(P.peak_dropouts(p.hourly_nosub_in_peak_clock_hours, ipk)) == rows(P.peak_dropouts(p.hourly_nosub, ipk))
+
+
+def test_peak_hours_restriction_on_autumn_dst_day(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from voltframe.operators import hourly as H
+    from voltframe.operators import readings as R
+    rows = []
+    start = dt.datetime(2024, 11, 3, 4, 0)
+    for m in (1, 2):
+        for i in range(12 * 6):
+            s = start + dt.timedelta(minutes=5 * i)
+            if m == 2 and i % 12 == 11:
+                continue  # meter 2 misses the last interval of every hour
+            rows.append((m, "KWH", "F", 1, s, s + dt.timedelta(minutes=5), Decimal("1.00"), Decimal("2.00")))
+    ix = R.index_readings(spark.createDataFrame(rows, "MeterNumber int, UnitOfMeasure string, FlowDirection string, "
+                                                "Channel int, StartDateTime timestamp, EndDateTime timestamp, "
+                                                "AMIValue decimal(18,2), VEEValue decimal(18,2)"))
+    pk = P.index_peaks(P.peak_parts(spark.createDataFrame(
+        [(dt.datetime(2024, 11, 3, 1, 0),), (dt.datetime(2024, 11, 3, 3, 0),)], "CoincidTime timestamp")))
+    assert pk.count() == 3  # 01:00 happens twice
+    full = P.peak_total(H.hourly_usage(ix), pk).collect()
+    part = P.peak_total(H.hourly_usage_in_hours(ix, H.hours_ending_at(ix, pk)), pk).collect()
+    # 01:00 CDT (06:00 UTC) ends HourEnding 1 of meter 1 (12 readings); the
+    # 01:00 CST instant (07:00 UTC) matches no group, because both local 01:xx
+    # hours merge into HourEnding 2, which ends at 08:00 UTC; 03:00 CST ends
+    # HourEnding 3 (12 readings). Meter 2 always misses its last interval.
+    assert full == part and full[0].TotalCPHourlyAMIValue == Decimal("24.00")
