@@ -49,3 +49,15 @@ def test_local_wall_instants_equal_calendar_join_for_a_year(spark):
     assert arith.exceptAll(joined).count() == 0 and joined.exceptAll(arith).count() == 0
     per_wall = arith.groupBy("wall").count()
     assert per_wall.filter("count = 2").count() == 12
+
+
+def test_calendar_flags_for_known_days(spark):
+    from voltframe.operators.calendar import calendar_for_days
+    days = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 15),), (dt.date(2024, 1, 13),),
+                                  (dt.date(2024, 1, 16),)], "Date date")
+    cal = calendar_for_days(days).filter("LocalHour = 12")
+    flags = {(r.LocalMonth, r.LocalDay): (r.Weekend, r.Holiday) for r in cal.collect()}
+    assert flags[(1, 1)] == (0, 1)    # New Year's Day, a Monday
+    assert flags[(1, 15)] == (0, 1)   # Martin Luther King Jr. Day
+    assert flags[(1, 13)] == (1, 0)   # Saturday
+    assert flags[(1, 16)] == (0, 0)
