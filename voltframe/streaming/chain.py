@@ -3,13 +3,17 @@
 Each micro-batch of new bronze rows is cleaned, indexed, stripped of
 submeters and folded into the hourly tables:
 
-  bronze batch -> cleaned (upsert by reading key; tables partitioned by day)
+  bronze batch -> cleaned (upsert by reading key; tables partitioned by day;
+                  change rows appended to the change log)
                -> indexed (upsert by reading key)
-               -> no-submeter readings (upsert by reading key)
                -> hourly: only the (meter, hour) groups the batch touches
                   are re-aggregated from the indexed table and upserted by
-                  the hourly key; the main-meter hourly partitions are the
-                  rewritten hourly partitions without submeters.
+                  the hourly key
+               -> load-control analysis (optional): the groups of the
+                  touched hours, recomputed and upserted by group key
+               -> no-submeter readings (upsert by slot-index key) and the
+                  main-meter hourly partitions (the rewritten hourly
+                  partitions without submeters)
 
 A batch is applied once: its id is recorded in a ledger folder after all
 tables are written, and a replayed id (restart after a failure between the
