@@ -1,9 +1,10 @@
-"""Incremental maintenance of the hourly table.
+"""Incremental maintenance of the hourly and load-control tables.
 
 A change batch touches some (meter, unit, direction, channel, local hour)
 groups. Only those whole hours are re-aggregated from the upstream table and
 upserted into the hourly table -- late or corrected readings for any past
-hour are absorbed, and no partial hour is written.
+hour are absorbed, and no partial hour is written. New load-control points
+are folded in the same way (``update_lc_analysis``).
 """
 
 from __future__ import annotations
