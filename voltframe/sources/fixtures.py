@@ -115,21 +115,22 @@ SELECT DISTINCT BI_ACCT, BI_MTR_POS_NBR, BI_LOAD_TYPE FROM {fx_load_types}"""),
 SELECT DISTINCT BI_LOAD_TYPE, CONCAT('Load type ', BI_LOAD_TYPE) AS BI_LOAD_TYPE_DESC FROM {fx_load_types}"""),
     "fx_cis_mtr": (("fx_meter_info",), """
 SELECT BI_ACCT, BI_MTR_NBR AS BI_SRV_LOC_NBR, BI_MTR_POS_NBR, BI_MTR_NBR FROM {fx_meter_info}"""),
-    # monthly workbook, one row per sheet row: header row 11, peak row 12,
-    # data from 13, TOTALS at 40
-    "fx_sheet": (("nation", "region"), """
-SELECT CONCAT('m', CAST(n_regionkey + 1 AS STRING), '.xlsx') AS file, CAST(12 + rn AS INT) AS r,
-       CAST(n_nationkey AS STRING) AS c0, n_name AS c1, 'C1' AS c2,
-       CONCAT('2024-0', CAST(n_regionkey + 1 AS STRING), '-10 07:00:00') AS c3,
-       CONCAT(CAST(100 + n_nationkey AS STRING), 'A') AS c4,
-       CAST(90 + n_nationkey AS STRING) AS c5, CAST(80 + n_nationkey AS STRING) AS c6,
+    # five monthly workbooks, one row per sheet row: header row 11, peak row
+    # 12, one substation row per supplier from row 13, one blank row, TOTALS
+    "fx_sheet": (("supplier", "region"), """
+SELECT CONCAT('m', CAST(s_suppkey % 5 + 1 AS STRING), '.xlsx') AS file,
+       CAST(13 + FLOOR(s_suppkey / 5) AS INT) AS r,
+       CAST(s_suppkey AS STRING) AS c0, s_name AS c1, 'C1' AS c2,
+       CONCAT('2024-0', CAST(s_suppkey % 5 + 1 AS STRING), '-10 07:00:00') AS c3,
+       CONCAT(CAST(100 + s_nationkey AS STRING), 'A') AS c4,
+       CAST(90 + s_nationkey AS STRING) AS c5, CAST(80 + s_nationkey AS STRING) AS c6,
        '0.5' AS c7, '0.9' AS c8
-FROM (SELECT n_nationkey, n_name, n_regionkey,
-             ROW_NUMBER() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS rn FROM {nation}) t
+FROM {supplier}
 UNION ALL SELECT CONCAT('m', CAST(r_regionkey + 1 AS STRING), '.xlsx'), 12, NULL, NULL, NULL, NULL, NULL,
        CONCAT('2024-0', CAST(r_regionkey + 1 AS STRING), '-15 18:00:00'), NULL, NULL, NULL FROM {region}
-UNION ALL SELECT CONCAT('m', CAST(r_regionkey + 1 AS STRING), '.xlsx'), 40, 'TOTALS', NULL, NULL, NULL,
-       '1', '2', '3', NULL, NULL FROM {region}"""),
+UNION ALL SELECT CONCAT('m', CAST(g + 1 AS STRING), '.xlsx'), CAST(15 + mx AS INT), 'TOTALS', NULL, NULL, NULL,
+       '1', '2', '3', NULL, NULL
+FROM (SELECT s_suppkey % 5 AS g, MAX(FLOOR(s_suppkey / 5)) AS mx FROM {supplier} GROUP BY s_suppkey % 5) t"""),
     "fx_cells": (("fx_sheet",), " UNION ALL ".join(
         f"SELECT file, r AS row_no, {i} AS col_no, c{i} AS value FROM {{fx_sheet}} WHERE c{i} IS NOT NULL"
         for i in range(9))),
