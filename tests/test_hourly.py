@@ -84,3 +84,12 @@ def test_ami_vee_report_counts_differences(spark):
     assert by_hour[6].DIFF_COUNT_SUM == 1 and by_hour[6].VEE_AMI_DIFF_SUM == Decimal("2.00")
     by_date = U.ami_vee_report(hourly, ["DATE"]).first()
     assert by_date.DATE == dt.date(2024, 1, 2) and by_date.DIFF_COUNT_SUM == 1
+
+
+def test_hourly_in_hours_with_no_hours_is_empty(spark):
+    ix = _readings(spark, dt.datetime(2024, 1, 5, 0, 0), 8)
+    none = spark.createDataFrame([], "LocalYear int, LocalMonth int, LocalDay int, HourEnding int")
+    assert H.hourly_usage_in_hours(ix, none).count() == 0
+    one = spark.createDataFrame([(2024, 1, 4, 19)], "LocalYear int, LocalMonth int, LocalDay int, HourEnding int")
+    got = H.hourly_usage_in_hours(ix, one).collect()   # 00:00-01:00 UTC = 18:00-19:00 CST
+    assert [(r.HourEnding, r.HourlyAMIValue) for r in got] == [(19, Decimal("4.00"))]
