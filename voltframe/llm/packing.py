@@ -7,12 +7,14 @@ sequence of its own, so no sequence crosses documents and none needs padding.
 A training job draws batches from one bucket at a time.
 
 The work is one narrow pass: no shuffle, nothing gathered. Token ids of words
-are memoised per Python worker (at most ``MEMO_WORDS`` words; the memo is
-emptied when full), since the tokenizer never joins across white space.
+are memoised per Python worker (the first ``MEMO_WORDS`` words it meets; others
+for one batch), since the tokenizer never joins across white space.
 """
 
 from __future__ import annotations
 
+import re
+import string
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER_FILE = "word_bpe_49k.json"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 800_000
 
 
 def tokenizer_path(file: str = TOKENIZER_FILE) -> str:
@@ -33,6 +35,22 @@ def tokenizer_path(file: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(file)
 
 
+#: Characters whose lower case depends on their neighbours or has several parts.
+_FOLDS_ELSEWHERE = "\u0130\u03a3"
+#: A comma or full stop that belongs to a longer run of punctuation.
+_PUNCTUATION_RUN = re.compile(r"(?:[^\w\s]|_)[.,] ")
+_PLAIN = (string.ascii_letters + string.digits + string.whitespace).encode()
+
+
+def _punctuation_runs(text: str) -> bool:
+    """False only if every comma or full stop before a space follows a letter,
+    a digit or white space."""
+    if not text.isascii():
+        return bool(_PUNCTUATION_RUN.search(text))
+    marks = text.encode().translate(None, _PLAIN)
+    return bool(marks.strip(b".,")) or any(run in text for run in ("..", ".,", ",.", ",,"))
+
+
 class WordIds:
     """Token ids of whole texts for a tokenizer that drops white space and so
     never joins across it: ids of words between spaces, tabs and line feeds,
@@ -41,32 +59,59 @@ class WordIds:
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, tuple[int, ...]] = {}
         self.memo_words = memo_words
+        #: a word's number; its ids are ids[starts[number]:starts[number + 1]]
+        self.memo: dict[str, int] = {}
+        self.ids = np.zeros(0, dtype="<u4")
+        self.starts = np.zeros(1, dtype=np.int64)
 
     def learn(self, words: list[str]) -> None:
-        """Encode unseen words in one text and share the ids out by offset."""
-        for at in range(0, len(words), 20_000):
-            part = words[at:at + 20_000]
+        """Encode unseen words in a few texts and share the ids out by offset."""
+        ids, starts = [self.ids], [self.starts]
+        total = len(self.ids)
+        for at in range(0, len(words), 5_000):
+            part = words[at:at + 5_000]
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ends = np.cumsum([len(w) + 1 for w in part])
-            starts = np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got.ids))
-            cuts = np.searchsorted(starts, ends).tolist()
-            ids, begin = got.ids, 0
-            for word, end in zip(part, cuts):
-                self.memo[word] = tuple(ids[begin:end])
-                begin = end
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        memo = self.memo
-        unseen = [w for w in dict.fromkeys(words) if w not in memo]
+            begins = np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got))
+            starts.append(total + np.searchsorted(begins, ends))
+            ids.append(np.array(got.ids, dtype="<u4"))
+            total += len(got)
+        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words))))
+        self.ids, self.starts = np.concatenate(ids), np.concatenate(starts)
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """Chunks of ``text`` that the tokenizer would never join. Case is
+        folded here, where that commutes with the tokenizer's own folding, and a
+        comma or full stop stands alone if it follows a letter or digit: both
+        only make chunks recur more often."""
+        if not any(c in text for c in _FOLDS_ELSEWHERE):
+            text = text.lower()
+        text = text.replace("\n", " ").replace("\t", " ")
+        if not _punctuation_runs(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [self.words(t) for t in texts]
+        unseen = [w for w in set().union(*split) if w not in self.memo]
+        known = len(self.memo), len(self.ids)
         if unseen:
-            if len(memo) + len(unseen) > self.memo_words:
-                memo.clear()
-                unseen = list(dict.fromkeys(words))
             self.learn(unseen)
-        return np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), dtype="<u4")
+        found = [self._gather(np.fromiter(map(self.memo.__getitem__, ws), dtype=np.int64, count=len(ws)))
+                 for ws in split]
+        if len(self.memo) > self.memo_words:  # full: what this call learnt is dropped again
+            for w in unseen:
+                del self.memo[w]
+            self.ids, self.starts = self.ids[:known[1]].copy(), self.starts[:known[0] + 1].copy()
+        return found
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of the words, one after the other."""
+        first, counts = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(first - ends + counts, counts) + np.arange(ends[-1])]
 
 
 def binary_lengths(n: int, max_length: int = MAX_LENGTH) -> list[int]:
@@ -86,8 +131,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_length: int, end_i
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             rows: dict[str, list] = {name: [] for name in schema.names}
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            encoded = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            for doc_id, own_ids in zip(part.column(0).to_pylist(), encoded):
+                ids = np.append(own_ids, np.uint32(end_id)).astype("<u4")
                 start = 0
                 for length in binary_lengths(len(ids), max_length):
                     own = ids[start:start + length]
