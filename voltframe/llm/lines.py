@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import KEY, row_key, table
+from voltframe.llm.common import KEY, checkpointed, row_key, table
 
 MIN_SITES = 5
 MIN_CHARS = 16
@@ -64,7 +64,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result, so a first occurrence in a repeated row stays in each of them. An
     empty table gives an empty result."""
     lines = _lines(docs, id_col, text_col, site_col, min_chars)
-    drops = (lines.join(spread_lines(lines, min_sites), LINE)
+    # cut off before the join, so that its size is known and AQE can split a frequent line
+    drops = (lines.join(checkpointed(spread_lines(lines, min_sites)), LINE)
              .where(F.struct(*KEY, "pos") != F.col("first"))
              .groupBy(*KEY).agg(F.collect_set("pos").alias("drop_lines")))
     key = row_key(id_col, text_col)

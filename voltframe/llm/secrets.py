@@ -217,10 +217,11 @@ def _listed(spans: Column) -> Column:
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
     got = scan_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k, *_ in KINDS]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     order = F.create_map(*[x for i, k in enumerate(["assign", "access", "hex", "random"])
                            for x in (F.lit(k), F.lit(i))])
     merged = F.array_sort(F.transform(F.concat("base", "random"), lambda s: F.struct(
         s["start"], order[s["kind"]].alias("order"), s["kind"], s["end"])))
-    return got.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+    return got.select("doc_id", *[count(k) for k, *_ in KINDS], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                       _listed(merged).alias("spans"))

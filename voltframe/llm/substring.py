@@ -146,10 +146,12 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     """``doc, crc, first, n``: runs of windows (first window and number) of
     ``docs`` (``doc, crc, text``) that also start in a document with a smaller id."""
     index = stored(docs.where("doc IS NOT NULL").mapInArrow(_index, _ddl(_BLOCKS)), "rlz-blocks")
-    shared = (index.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-              .where("least < most").select("anchor", "least"))
+    # grouped results are written before they are joined, so that the join has
+    # two plain shuffles and AQE can split a frequent key
+    shared = stored(index.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+                    .where("least < most").select("anchor", "least"), "rlz-anchors")
     common = stored(index.join(shared, "anchor"), "rlz-shared")
-    origin = common.groupBy(*BLOCK).agg(F.min("doc").alias("origin"))
+    origin = stored(common.groupBy(*BLOCK).agg(F.min("doc").alias("origin")), "rlz-origins")
     placed = stored(common.join(origin, BLOCK), "rlz-placed")
     whole = placed.where("origin < doc").select(*DOC, "first", "n")
     # one document of each distinct block is enough to compare with
@@ -159,8 +161,8 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
              .agg(F.collect_set(F.struct("first", "n")).alias("spans")))
     windows = stored(docs.join(edges, DOC).select(*DOC, "text", "spans").mapInArrow(_windows, _ddl(_WINDOWS)),
                      "rlz-windows")
-    origin = (windows.groupBy(*BLOCK).agg(F.min("doc").alias("origin"), F.max("doc").alias("most"))
-              .where("origin < most").select(*BLOCK, "origin"))
+    origin = stored(windows.groupBy(*BLOCK).agg(F.min("doc").alias("origin"), F.max("doc").alias("most"))
+                    .where("origin < most").select(*BLOCK, "origin"), "rlz-windows-origins")
     single = windows.join(origin, BLOCK).where("origin < doc").select(*DOC, "first", F.lit(1).alias("n"))
     return whole.unionByName(single)
 
