@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +86,13 @@ def on_workers(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
+def by_value(use: Callable[[list], pa.Array], rows: int = 256) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """An iterator of Arrow arrays to one of results; ``use`` sees Python values
+    of ``rows`` rows at a time, so a worker holds no second copy of a batch."""
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in arrays:
+            yield pa.concat_arrays([use(array.slice(at, rows).to_pylist())
+                                    for at in range(0, max(len(array), 1), rows)])
+    return run

@@ -13,15 +13,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from voltframe.llm.common import table
+from voltframe.llm.common import by_value, table
 
 # Element names of the HTML standard, by what they do.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -361,16 +360,14 @@ def render(page: str | None) -> str:
     return "\n".join(flows[0].result())
 
 
-def _render_all(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in pages:
-        yield pd.Series([render(p) for p in part], dtype=object)
+_render_all = by_value(lambda pages: pa.array([render(p) for p in pages], pa.string()))
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with the visible text of ``html_col`` in ``out_col`` (an existing
     column of that name is replaced). One narrow pass. A null or empty page gives
     an empty text; repeated rows each get theirs; an empty table stays empty."""
-    return pages.withColumn(out_col, F.pandas_udf(_render_all, StringType())(F.col(html_col)))
+    return pages.withColumn(out_col, F.arrow_udf(_render_all, StringType())(F.col(html_col)))
 
 
 def op4_html_text(spark, sf_dir: str) -> DataFrame:

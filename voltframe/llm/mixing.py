@@ -5,11 +5,11 @@ over domains; nonnegative document rates are then fitted so that the expected
 domain token totals, sum over documents of rate * tokens * posterior, match the
 targets. Everything is DataFrame expressions: no Python touches a row.
 
-Classifier: multinomial naive Bayes over counts of marks (fixed substrings),
-with token-free counts of each mark taken by ``length``/``replace``. Its
+Classifier: multinomial naive Bayes over how many of a document's words are
+function words of each of ``MARKS``' groups, and how many are none. Its
 parameters are one grouped sum per domain over all labelled documents, so a hot
-domain is combined map-side. Log odds are divided by ``sqrt(1 + marks seen)``
-to keep posteriors soft on long texts.
+domain is combined map-side. Log odds are divided by the square root of the
+number of words to keep posteriors soft on long texts.
 
 Rates: minimise 1/2 * sum_k (total_k - target_k)^2 / present_k over rates >= 0
 from rates of 1 by projected gradient steps of length 1, in the metric that
@@ -31,38 +31,53 @@ from voltframe.llm.common import KEY, WORD_SEPARATOR, checkpointed, row_key, tab
 
 #: Share of the mixture's tokens that each domain is to have.
 TARGETS = {"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.12}
-#: Substrings whose counts tell the domains apart.
-MARKS = [" the ", "th", "wh", "ed ", "ing", "sch", "ch", "ei", "ung", "ß", "ü", "ä", "ö", "eau", "que", "oi", "è", "ê",
-         "ç", "é", "ción", "ñ", "ó", "í", "ll", " der ", " und ", " la ", " les ", " el ", " y ", "os "]
+# Function words that tell the domains apart, in groups.
+MARKS = [
+    "the of and to in is that it for was with as be by on are this from or an at".split(),
+    "der die und das ist von mit den im ein eine nicht auf für dem des sich zu als auch".split(),
+    "le les des et du une est dans pour sur au par qui pas avec il ne ce sont aux".split(),
+    "el los y del se las por con para su al una lo es como más pero sus este ha".split(),
+    "de la que en un a o".split(),
+]
 STEPS = 40
+#: The mixture is this much larger than needed, so that soft memberships push no rate below 1.
+HEADROOM = 1.01
 TOLERANCE = 1e-3
 
 
-def mark_counts(text: Column) -> Column:
-    """Array with the count of each mark in a lower-cased text."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.transform(F.array(*[F.lit(m) for m in MARKS]),
-                       lambda m: ((F.length(low) - F.length(F.replace(low, m))) / F.length(m)).cast("int"))
+def profile(text: Column) -> Column:
+    """``tokens``, the number of words between ASCII white space, and ``marks``,
+    how many of them are in each group of ``MARKS`` and how many in none."""
+    every = sorted({w for group in MARKS for w in group})
 
+    def once(value: Column, use) -> Column:  # the value is computed once, not wherever it is named
+        return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def token_count(text: Column) -> Column:
-    """Words between ASCII white space."""
-    words = F.split(F.coalesce(text, F.lit("")), WORD_SEPARATOR, -1)
-    return F.size(F.filter(words, lambda w: w != "")).cast("long")
+    def within(words: Column, group: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(group)))
+
+    def counts(words: Column) -> Column:
+        marked = F.filter(words, lambda w: w.isin(every))
+        tokens = F.size(words)
+        return once(marked, lambda m: F.struct(
+            tokens.cast("long").alias("tokens"),
+            F.array(*[within(m, group) for group in MARKS], tokens - F.size(m)).alias("marks")))
+    split = F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR, -1)
+    return once(F.array_remove(split, ""), counts)
 
 
 def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]]]:
     """Log priors and log mark probabilities of ``domains`` from rows with
     ``domain`` and ``marks``; Laplace-smoothed, so a domain without labelled
     rows gets a flat one."""
-    sums = [F.sum(F.get("marks", F.lit(i))).alias(f"m{i}") for i in range(len(MARKS))]
+    sums = [F.sum(F.get("marks", F.lit(i))).alias(f"m{i}") for i in range(len(MARKS) + 1)]
     got = {r["domain"]: r for r in labelled.where(F.col("domain").isin(domains)).groupBy("domain")
            .agg(F.count(F.lit(1)).alias("n"), *sums).collect()}
     n = sum(r["n"] for r in got.values())
     priors, marks = [], []
     for d in domains:
         r = got.get(d)
-        counts = [(r[f"m{i}"] if r else 0.0) + 1.0 for i in range(len(MARKS))]
+        counts = [(r[f"m{i}"] if r else 0.0) + 1.0 for i in range(len(MARKS) + 1)]
         priors.append(math.log(((r["n"] if r else 0) + 1.0) / (n + len(domains))))
         marks.append([math.log(c / sum(counts)) for c in counts])
     return priors, marks
@@ -95,9 +110,8 @@ def _rate(steps: list[list[float]], tokens: Column, post: Column) -> Column:
 def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS) -> list[list[float]]:
     """The projected-gradient steps for ``members`` (``tokens``, ``post``).
 
-    The mixture's size is the largest at which no domain's total exceeds its
-    present one by less than its target asks: the domain that is most above its
-    target keeps rate 1 and the others rise, so nothing need be thrown away.
+    The mixture is as large as it takes for the domain most above its target to
+    keep rate 1; the others rise, so nothing need be thrown away.
 
     The gradient with respect to a document's rate is tokens * sum_k post_k *
     miss_k / present_k; in the tokens metric the step depends on the posterior
@@ -112,7 +126,7 @@ def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STE
 
     now = totals([])
     share = sum(targets.values())
-    size = max((n / (targets[d] / share) for n, d in zip(now, names) if targets[d] > 0), default=0.0)
+    size = HEADROOM * max((n / (targets[d] / share) for n, d in zip(now, names) if targets[d] > 0), default=0.0)
     goal = [size * targets[d] / share for d in names]
     done: list[list[float]] = []
     got = now
@@ -136,7 +150,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
     gives an empty result."""
     names = list(targets)
     base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.col(domain_col).alias("domain"),
-                       token_count(F.col(text_col)).alias("tokens"), mark_counts(F.col(text_col)).alias("marks"))
+                       profile(F.col(text_col)).alias("profile")).select("*", "profile.*").drop("profile")
     known = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
     base = checkpointed(base)
     model = domain_model(base.join(known, "id", "left_semi"), names)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER_FILE = "word_bpe_49k.json"
-MEMO_WORDS = 800_000
+MEMO_WORDS = 400_000
 
 
 def tokenizer_path(file: str = TOKENIZER_FILE) -> str:

@@ -20,16 +20,15 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
-from voltframe.llm.common import table
+from voltframe.llm.common import by_value, table
 
 #: Bound on the rated documents that the driver fits the model on.
 FIT_ROWS = 5000
@@ -45,7 +44,7 @@ SMOOTHING = 2.0
 MIN_DOCUMENTS = 5
 PREFIX_CHARS = 4
 SHARE_SCALE = 10.0
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
@@ -119,7 +118,7 @@ def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grades: np
     top = int(grades.max()) if len(grades) else 1
     top = max(top, 1)
     known = np.bincount(at, minlength=size)[at] >= min_documents
-    rows, at, values = rows[known], at[known], values[known]
+    rows, at, values = rows[known], at[known], values[known].astype(np.float64)
     buckets, at = np.unique(at, return_inverse=True)
     n = max(len(grades), 1)
     # features count by how differently often the best and the other grades have them
@@ -162,10 +161,10 @@ def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grades: np
 _FEATURES = StructType([StructField("at", ArrayType(IntegerType())), StructField("values", ArrayType(FloatType()))])
 
 
-def _feature_rows(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for part in texts:
-        got = [features(t) for t in part]
-        yield pd.DataFrame({"at": [g[0] for g in got], "values": [g[1] for g in got]})
+def _feature_rows(texts: list) -> pa.Array:
+    got = [features(t) for t in texts]
+    return pa.array([{"at": g[0], "values": g[1]} for g in got],
+                    pa.struct([("at", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))]))
 
 
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -182,12 +181,15 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ordin
     ids = (labels.where("doc_id IS NOT NULL").select("doc_id").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     sample = rated(docs.join(F.broadcast(ids), "doc_id", "left_semi"), labels)
-    got = (sample.select("doc_id", "grade", F.pandas_udf(_feature_rows, _FEATURES)("text").alias("f"))
+    got = (sample.select("doc_id", "grade", F.arrow_udf(by_value(_feature_rows), _FEATURES)("text").alias("f"))
            .select("doc_id", "grade", "f.at", "f.values").toPandas().sort_values("doc_id", kind="stable"))
     sizes = got["at"].map(len).to_numpy(dtype=np.int64)
-    joined = lambda c, kind: np.concatenate([*got[c], np.zeros(0, kind)]).astype(kind)
-    return fit_ordinal(np.repeat(np.arange(len(got)), sizes), joined("at", np.int64), joined("values", np.float64),
-                       got["grade"].to_numpy(dtype=np.int64))
+    rows = np.repeat(np.arange(len(got), dtype=np.int32), sizes)
+    at = np.concatenate([np.zeros(0, np.int32), *got["at"]]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.float32), *got["values"]]).astype(np.float32)
+    grades = got["grade"].to_numpy(dtype=np.int64)
+    del got, sizes
+    return fit_ordinal(rows, at, values, grades)
 
 
 _GRADED = StructType([StructField("expected_grade", DoubleType()), StructField("tail_probability", DoubleType())])
@@ -197,12 +199,11 @@ def graded(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> Data
     """``docs`` with ``expected_grade`` and ``tail_probability`` (of the best grade)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in texts:
-            tails = shared.value.tails(np.array([shared.value.score(t) for t in part]).reshape(-1))
-            yield pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail_probability": tails[:, -1]})
+    def scores(texts: list) -> pa.Array:
+        tails = shared.value.tails(np.array([shared.value.score(t) for t in texts]).reshape(-1))
+        return pa.StructArray.from_arrays([pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], _GRADED.names)
 
-    got = docs.withColumn("graded_as", F.pandas_udf(scores, _GRADED)(F.col(text_col)))
+    got = docs.withColumn("graded_as", F.arrow_udf(by_value(scores), _GRADED)(F.col(text_col)))
     return got.withColumns({c: F.col(f"graded_as.{c}") for c in _GRADED.names}).drop("graded_as")
 
 

@@ -21,16 +21,14 @@ then only returns pairs of different components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from voltframe.llm.common import checkpointed, components
+from voltframe.llm.common import by_value, checkpointed, components
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
@@ -61,9 +59,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(value[0])
 
 
-def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in texts:
-        yield pd.Series([fingerprint(t) for t in part], dtype="int64")
+_fingerprints = by_value(lambda texts: pa.array([fingerprint(t) for t in texts], pa.int64()))
 
 
 def segments(count: int) -> list[tuple[int, int]]:
@@ -140,7 +136,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null component_id. Repeated rows each get their row. An empty table gives
     an empty result; further columns are ignored."""
     prints = checkpointed(docs.select(F.col(id_col).alias("id"),
-                                      F.pandas_udf(_fingerprints, LongType())(F.col(text_col)).alias("fp")))
+                                      F.arrow_udf(_fingerprints, LongType())(F.col(text_col)).alias("fp")))
     fps = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("least")))
     roots = link_fingerprints(fps.select("fp"), max_distance)
     named = fps.join(roots, "fp")
