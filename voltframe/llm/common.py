@@ -41,12 +41,12 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     """Null-safe identity of a row for joins: is the id missing, the id, a hash
     of the text. Rows that agree in all three hold the same document, so they
     also get the same result."""
-    return [F.col(id_col).isNull().alias("k_null"),
-            F.coalesce(F.col(id_col), F.lit(0)).alias("k_id"),
-            F.xxhash64(F.col(text_col)).alias("k_text")]
+    return [F.col(id_col).isNull().alias("__k_null"),
+            F.coalesce(F.col(id_col), F.lit(0)).alias("__k_id"),
+            F.xxhash64(F.col(text_col)).alias("__k_text")]
 
 
-KEY = ["k_null", "k_id", "k_text"]
+KEY = ["__k_null", "__k_id", "__k_text"]
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:

@@ -67,17 +67,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # cut off before the join, so that its size is known and AQE can split a frequent line
     drops = (lines.join(checkpointed(spread_lines(lines, min_sites)), LINE)
              .where(F.struct(*KEY, "pos") != F.col("first"))
-             .groupBy(*KEY).agg(F.collect_set("pos").alias("drop_lines")))
+             .groupBy(*KEY).agg(F.collect_set("pos").alias("__drop_lines")))
     key = row_key(id_col, text_col)
     split = F.split(F.col(text_col), "\n", -1)
     every = F.sequence(F.lit(0), F.size(split) - 1)
-    kept = F.array_join(F.transform(F.array_except(every, "drop_lines"), lambda i: F.get(split, i)), "\n")
-    removed = F.coalesce(F.size("drop_lines"), F.lit(0))
+    kept = F.array_join(F.transform(F.array_except(every, "__drop_lines"), lambda i: F.get(split, i)), "\n")
+    removed = F.coalesce(F.size("__drop_lines"), F.lit(0))
     return (docs.withColumns(dict(zip(KEY, key))).join(drops, KEY, "left")
             .withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)),
-                          "n_removed": F.when(F.col("drop_lines").isNull(), 0).otherwise(removed)})
-            .withColumn(text_col, F.when(F.col("drop_lines").isNull(), F.col(text_col)).otherwise(kept))
-            .drop(*KEY, "drop_lines"))
+                          "n_removed": F.when(F.col("__drop_lines").isNull(), 0).otherwise(removed)})
+            .withColumn(text_col, F.when(F.col("__drop_lines").isNull(), F.col(text_col)).otherwise(kept))
+            .drop(*KEY, "__drop_lines"))
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -165,10 +165,11 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id",
         text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """``docs`` with each row as often as its ``copies`` says."""
-    copies = mixture(docs, labels, targets, STEPS, id_col, text_col, domain_col).select(*KEY, "copies").distinct()
+    copies = (mixture(docs, labels, targets, STEPS, id_col, text_col, domain_col)
+              .select(*KEY, F.col("copies").cast("int").alias("__copies")).distinct())
     keyed = docs.withColumns(dict(zip(KEY, row_key(id_col, text_col)))).join(copies, KEY)
-    again = keyed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return again.drop(*KEY, "copies", "copy")
+    again = keyed.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
+    return again.drop(*KEY, "__copies", "__copy")
 
 
 def op6_soft_mixing(spark, sf_dir: str) -> DataFrame:

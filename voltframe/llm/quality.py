@@ -132,7 +132,7 @@ def fit_ordinal(rows: np.ndarray, at: np.ndarray, values: np.ndarray, grades: np
     theta = _ordered(start)
     probe = np.ones(len(w))
     for _ in range(POWER_STEPS):  # the largest curvature of the loss bounds the step
-        probe /= max(np.linalg.norm(probe), 1e-12)
+        probe = probe / max(np.linalg.norm(probe), 1e-12)
         probe = np.bincount(at, values * np.bincount(rows, values * probe[at], minlength=n)[rows], minlength=len(w))
     rate = 1.0 / (np.linalg.norm(probe) / (2 * n) + ridge)
     ahead, last, ahead_t, last_t = w, w, theta, theta
@@ -203,8 +203,8 @@ def graded(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> Data
         tails = shared.value.tails(np.array([shared.value.score(t) for t in texts]).reshape(-1))
         return pa.StructArray.from_arrays([pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], _GRADED.names)
 
-    got = docs.withColumn("graded_as", F.arrow_udf(by_value(scores), _GRADED)(F.col(text_col)))
-    return got.withColumns({c: F.col(f"graded_as.{c}") for c in _GRADED.names}).drop("graded_as")
+    got = docs.withColumn("__graded", F.arrow_udf(by_value(scores), _GRADED)(F.col(text_col)))
+    return got.withColumns({c: F.col(f"__graded.{c}") for c in _GRADED.names}).drop("__graded")
 
 
 def quality_filter(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_TAIL) -> DataFrame:

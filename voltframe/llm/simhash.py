@@ -149,10 +149,10 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` whose id is their component's smallest; of repeated
     ids one row stays. Columns and their order are those of ``docs``."""
     def key(c: str) -> list[Column]:
-        return [F.coalesce(F.col(c), F.lit(0)).alias("sim_id"), F.col(c).isNull().alias("sim_null")]
+        return [F.coalesce(F.col(c), F.lit(0)).alias("__sim_id"), F.col(c).isNull().alias("__sim_null")]
     chosen = simhash_groups(docs, id_col, text_col).select(*key("component_id")).distinct()
-    on = ["sim_id", "sim_null"]
-    return (docs.withColumns({"sim_id": key(id_col)[0], "sim_null": key(id_col)[1]})
+    on = ["__sim_id", "__sim_null"]
+    return (docs.withColumns({"__sim_id": key(id_col)[0], "__sim_null": key(id_col)[1]})
             .join(chosen, on, "left_semi").dropDuplicates(on).drop(*on))
 
 
