@@ -134,16 +134,6 @@ def test_incremental_lc_analysis_equals_full(spark):
     assert second.groupBy(*LC_KEY).count().filter("count > 1").count() == 0
 
 
-def test_meter_programs_sql_equals_dataframe_form(spark):
-    from conftest import SF_SMALL
-    from voltframe.plans.pipeline import Pipeline
-    fx = Pipeline(spark, SF_SMALL).fx
-    t = (fx.fx_cis_service, fx.fx_cis_lm_srv, fx.fx_cis_lm_dvc, fx.fx_cis_ref, fx.fx_cis_mtr)
-    a = L.meter_programs_sql(spark, *t)
-    b = L.meter_programs(*t)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
-
-
 def test_ambiguous_policy(spark):
     ev = spark.createDataFrame([("11/3/2024", "A", "1:00", "3:00"), ("3/10/2024", "A", "2:00", "4:00")], TEXT)
     all_rows = L.index_lc_periods(ev).filter("Date = '11/3/2024'").collect()

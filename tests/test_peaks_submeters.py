@@ -1,3 +1,5 @@
+import pytest
+
 from voltframe.operators import peaks as P
 from voltframe.operators import submeters as S
 
@@ -12,6 +14,14 @@ def test_sheet_slicing_rules(spark):
     cells += [("a.xlsx", 16, 0, "TOTALS")]      # row 15 (just above) is dropped too
     cells += [("a.xlsx", 5, 0, "TOTALS")]       # above the header: ignored
     df = spark.createDataFrame(cells, CELLS)
+    with pytest.raises(Exception, match="no TOTALS row in b.xlsx"):  # not dropped in silence
+        P.slice_sheets(df).collect()
+    bad = [("c.xlsx", 12, 5, "soon"), ("c.xlsx", 13, 1, "Sub"), ("c.xlsx", 15, 0, "TOTALS")]
+    with pytest.raises(Exception, match="no peak time in c.xlsx"):
+        P.monthly_substation_load(spark.createDataFrame(bad, CELLS)).collect()
+    with pytest.raises(Exception, match="no peak cell in c.xlsx"):
+        P.monthly_substation_load(spark.createDataFrame(bad[1:], CELLS)).collect()
+    df = df.filter("file = 'a.xlsx'")
     rows = P.sheet_rows(P.slice_sheets(df)).collect()
     assert sorted((r.file, r.row_no) for r in rows) == [("a.xlsx", 12), ("a.xlsx", 13), ("a.xlsx", 14)]
     peaks = P.coincident_peaks(df).collect()

@@ -59,20 +59,20 @@ def test_peak_join_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan
 
 
-def test_broadcast_guard_falls_back_beyond_cap(spark):
-    from voltframe.operators.sizing import broadcast_if_small
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    fact = spark.range(100000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = _plan(fact.join(broadcast_if_small(big, 2000), "k"))
-        plain = _plan(fact.join(broadcast_if_small(big, 10), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in hinted
-    assert "BroadcastHashJoin" not in plain and "SortMergeJoin" in plain
+def test_building_a_query_starts_no_job(spark):
+    from voltframe.plans.pipeline import Pipeline
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("peak_total", "peak_by_lc_meter", "year_month_dim", "peak_dropouts", "lc_analysis", "no_submeters",
+                 "monthly_substation_load"):
+        QUERIES[name](spark, SF_SMALL)  # lists the files
+        group = f"build-{name}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            Pipeline._shared.clear()  # no plan kept from another query
+            QUERIES[name](spark, SF_SMALL)
+            assert not tracker.getJobIdsForGroup(group), name
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_submeter_exclusion_does_not_shuffle_readings(spark):

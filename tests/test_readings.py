@@ -146,3 +146,15 @@ def test_pair_aggregation_is_hash_based(spark):
     rows = [(1, "KWH", "F", 1, T0, T0, Decimal("1.00"), Decimal("1.00"))]
     plan = _plan(R.clean_readings(spark.createDataFrame(rows, SCHEMA)))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_duplicate_rows_lists_keys_with_a_null(spark):
+    """A left join from the duplicated keys: the null key is listed, unmatched."""
+    t1, rows = T0 + dt.timedelta(minutes=15), []
+    for channel in (1, None):
+        rows += [(7, "KWH", "F", channel, T0, t1, Decimal(v), Decimal(v)) for v in (1, 2)]
+    rows += [(8, "KWH", "F", 1, T0, t1, Decimal(1), Decimal(1))]
+    got = R.duplicate_rows(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.Channel is None, r["count"], r.AMIValue) for r in got if r.Channel) == [
+        (False, 2, Decimal(1)), (False, 2, Decimal(2))]
+    assert [(r["count"], r.AMIValue) for r in got if r.Channel is None] == [(2, None)]

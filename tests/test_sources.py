@@ -1,6 +1,10 @@
 import gzip
 import os
 
+from pyspark.sql import functions as F
+
+import pytest
+
 from voltframe.operators import peaks as P
 from voltframe.sources import landing as LD
 
@@ -92,3 +96,17 @@ def test_schema_evolution_and_catalogue_names(spark, tmpdir_path):
     assert spark.table("vf_evolving_t").count() == 2
     TB.drop_table(spark, "vf_evolving_t")
     assert not spark.catalog.tableExists("vf_evolving_t")
+
+
+def test_a_file_of_another_kind_is_an_error(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "m1.ods"), "w") as f:
+        f.write("x")
+    with pytest.raises(Exception, match="neither a workbook nor a CSV export"):
+        LD.read_sheet_cells(spark, tmpdir_path).collect()
+
+
+def test_bronze_format_is_found_by_spark(spark, tmpdir_path):
+    from voltframe.plans.run import _read_bronze
+    at = os.path.join(tmpdir_path, "bronze")
+    spark.range(3).withColumn("day", F.lit("2024-01-01")).write.partitionBy("day").parquet(at)
+    assert _read_bronze(spark, "file:" + at).count() == 3

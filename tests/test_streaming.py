@@ -177,3 +177,20 @@ def test_table_history_and_view(spark, tmpdir_path):
     assert h.filter("NOT committed").count() == 0
     chain.cleaned.as_view("vf_cleaned_now")
     assert spark.sql("SELECT COUNT(*) FROM vf_cleaned_now").first()[0] == chain.cleaned.read().count()
+
+
+def test_a_new_checkpoint_skips_no_batch(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    at = lambda *p: os.path.join(tmpdir_path, *p)
+    for k, (lo, hi) in enumerate(((1, 5), (6, 10))):
+        _bronze_days(fx.fx_bronze, lo, hi).write.parquet(at(f"bronze{k}"))
+    chain = SilverChain(spark, at("c"), gates=False)
+    chain.run(at("bronze0"), at("ck0"))
+    first = chain.cleaned.read().count()
+    chain.run(at("bronze0"), at("ck0"))  # nothing new
+    assert chain.cleaned.read().count() == first > 0
+    chain.run(at("bronze1"), at("ck1"))  # batch ids start again at 0
+    days = {r[0] for r in chain.cleaned.read().select(F.dayofmonth("StartDateTime")).distinct().collect()}
+    assert days >= set(range(2, 10))
+    assert chain.cleaned.read().count() == R.clean_readings(R.drop_header_rows(_bronze_days(fx.fx_bronze, 1, 10))).count()

@@ -10,5 +10,4 @@ loadcontrol  event periods, points, fulfilment, controlled-hours analysis
 peaks        workbook slicing, coincident peaks, peak-hour usage
 calendar     5-minute calendar with weekend and holiday flags
 changes      upsert, change rows, high water, re-aggregation scope
-sizing       broadcast only behind a bounded size check
 """

@@ -81,9 +81,8 @@ HOUR_PARTS = ["LocalYear", "LocalMonth", "LocalDay", "HourEnding"]
 def hourly_usage_in_hours(indexed: DataFrame, hours: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """``hourly_usage`` restricted to the given local hours (LocalYear,
     LocalMonth, LocalDay, HourEnding): readings outside them are dropped
-    map-side (bounded broadcast) before the aggregation shuffle."""
-    from voltframe.operators.sizing import DIMENSION_MAX_ROWS, broadcast_if_small
-    h = broadcast_if_small(hours.select(*HOUR_PARTS).distinct(), DIMENSION_MAX_ROWS)
+    before the aggregation shuffle (map-side if AQE finds the hours small)."""
+    h = hours.select(*HOUR_PARTS).distinct()
     return (with_local_parts(indexed, "StartMeterSampleIndex", tz)
             .join(h, HOUR_PARTS, "left_semi")
             .groupBy(*HOURLY_KEY).agg(*hourly_aggs()))
@@ -93,8 +92,6 @@ def hours_ending_at(indexed: DataFrame, slots: DataFrame, tz: str = LOCAL_TZ) ->
     """Local hours of the readings that end at one of ``slots`` (a column
     ``MeterSampleIndex``): every hourly group whose last slot is one of them
     lies in these hours."""
-    from voltframe.operators.sizing import DIMENSION_MAX_ROWS, broadcast_if_small
-    s = broadcast_if_small(slots.select(F.col("MeterSampleIndex").alias("_s")).distinct(),
-                           DIMENSION_MAX_ROWS)
+    s = slots.select(F.col("MeterSampleIndex").alias("_s")).distinct()
     ends = indexed.join(s, F.col("EndMeterSampleIndex") == F.col("_s"), "left_semi")
     return with_local_parts(ends, "StartMeterSampleIndex", tz).select(*HOUR_PARTS).distinct()

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.text import SHEET_DATETIME_FORMAT, strip_caps_to_double, to_double, year_month
 from voltframe.functions.timeindex import LOCAL_TZ, local_wall_instants, serial_index
-from voltframe.operators.sizing import WIDE_DIMENSION_MAX_ROWS, broadcast_if_small
 
 # --- fixed values: workbook layout -----------------------------------------
 HEADER_ROW = 11          # rows above the header are skipped
@@ -23,7 +22,6 @@ GAP_ROWS = 1             # the row just above TOTALS is dropped as well
 PEAK_CELL_COL = 5        # peak timestamp: first data row, sixth column
 SHEET_COLUMNS = ["ID", "Substation", "CH", "NonCoincidTime", "NonCoincidLoad", "CoincidLoad",
                  "GRESupplied", "LDFact", "PwrFact"]
-CONTRIBUTOR_COL = 1      # "CONTRIBUTOR" header; null for non-substation rows
 YEAR_FLOOR = 2017        # monthly loads are kept for Year > YEAR_FLOOR
 PEAK_TYPES_POS1 = ("IR1", "GN1")  # position-1 load types kept for peak analysis
 # ---------------------------------------------------------------------------
@@ -32,15 +30,14 @@ PEAK_TYPES_POS1 = ("IR1", "GN1")  # position-1 load types kept for peak analysis
 def slice_sheets(cells: DataFrame, header_row: int = HEADER_ROW, gap_rows: int = GAP_ROWS,
                  totals_label: str = TOTALS_LABEL) -> DataFrame:
     """Cells of the data block: below the header, above the TOTALS row
-    minus ``gap_rows``, per file. Files without TOTALS keep nothing."""
+    minus ``gap_rows``, per file. A file without a TOTALS row is an error."""
     totals = (cells.filter((F.col("col_no") == 0) & (F.col("value") == totals_label)
                            & (F.col("row_no") > header_row))
               .groupBy("file").agg(F.min("row_no").alias("_totals")))
-    # one row per workbook file
-    return (cells.join(broadcast_if_small(totals), "file")
-            .filter((F.col("row_no") > header_row)
-                    & (F.col("row_no") < F.col("_totals") - gap_rows))
-            .drop("_totals"))
+    missing = F.raise_error(F.concat(F.lit("no TOTALS row in "), "file")).cast("boolean")
+    inside = (F.col("row_no") > header_row) & (F.col("row_no") < F.col("_totals") - gap_rows)
+    return (cells.join(totals, "file", "left")
+            .filter(F.when(F.col("_totals").isNull(), missing).otherwise(inside)).drop("_totals"))
 
 
 def sheet_rows(sliced: DataFrame, n_cols: int = len(SHEET_COLUMNS)) -> DataFrame:
@@ -52,11 +49,13 @@ def sheet_rows(sliced: DataFrame, n_cols: int = len(SHEET_COLUMNS)) -> DataFrame
 
 
 def coincident_peaks(cells: DataFrame, header_row: int = HEADER_ROW) -> DataFrame:
-    """Per file: the peak timestamp (first data row, column 5) and its parts."""
+    """Per file: the peak timestamp (first data row, column 5) and its parts.
+    A cell that is no timestamp is an error."""
+    time = F.try_to_timestamp(F.col("value"), F.lit(SHEET_DATETIME_FORMAT))
+    bad = F.raise_error(F.concat(F.lit("no peak time in "), "file")).cast("timestamp")
     peak = (slice_sheets(cells, header_row)
             .filter((F.col("row_no") == header_row + 1) & (F.col("col_no") == PEAK_CELL_COL))
-            .select("file", F.try_to_timestamp(F.col("value"), F.lit(SHEET_DATETIME_FORMAT))
-                    .alias("CoincidTime")))
+            .select("file", F.when(time.isNull(), bad).otherwise(time).alias("CoincidTime")))
     return peak_parts(peak).select("file", "CoincidTime", "CoincidYear", "CoincidMonth",
                                    "CoincidDay", "CoincidHour")
 
@@ -75,8 +74,7 @@ def monthly_substation_load(cells: DataFrame, header_row: int = HEADER_ROW,
     ym = coincident_peaks(cells, header_row).select(
         "file", F.col("CoincidMonth").alias("Month"), F.col("CoincidYear").alias("Year"))
     typed = (named.filter(F.col("Substation").isNotNull())
-             # one row per workbook file
-             .join(broadcast_if_small(ym), "file")
+             .join(ym, "file", "left")  # one row per workbook file
              .withColumn("NonCoincidLoad", strip_caps_to_double("NonCoincidLoad"))
              .withColumn("CoincidLoad", strip_caps_to_double("CoincidLoad"))
              .withColumn("GRESupplied", to_double("GRESupplied"))
@@ -84,7 +82,9 @@ def monthly_substation_load(cells: DataFrame, header_row: int = HEADER_ROW,
              .withColumn("PwrFact", to_double("PwrFact"))
              .withColumn("YearMonth", year_month("Year", "Month"))
              .withColumn("YearMonthSub", year_month("Year", "Month", "Substation")))
-    return typed.filter(F.col("Year") > year_floor).select(*SHEET_COLUMNS, "Month", "Year",
+    missing = F.raise_error(F.concat(F.lit("no peak cell in "), "file")).cast("boolean")
+    kept = F.when(F.col("Year").isNull() & F.col("file").isNotNull(), missing).otherwise(F.col("Year") > year_floor)
+    return typed.filter(kept).select(*SHEET_COLUMNS, "Month", "Year",
                                                            "YearMonth", "YearMonthSub")
 
 
@@ -105,8 +105,8 @@ def index_peaks(peaks: DataFrame, tz: str = LOCAL_TZ, ambiguous: str = "all") ->
 
 def _at_peak(hourly: DataFrame, indexed_peaks: DataFrame) -> DataFrame:
     # peaks: a few rows per month
-    pk = broadcast_if_small(indexed_peaks.select("CoincidTime", "CoincidYear", "CoincidMonth",
-                                                 "CoincidDay", "CoincidHour", "MeterSampleIndex"))
+    pk = indexed_peaks.select("CoincidTime", "CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
+                              "MeterSampleIndex")
     return (hourly.join(pk, hourly["EndMeterSampleIndex"] == pk["MeterSampleIndex"])
             .drop("MeterSampleIndex", "LocalYear", "LocalMonth", "LocalDay", "HourEnding"))
 
@@ -147,8 +147,8 @@ def load_type_lists(load_types: DataFrame, keep_pos1=PEAK_TYPES_POS1) -> DataFra
 def peak_by_lc_meter(hourly: DataFrame, indexed_peaks: DataFrame, load_types: DataFrame,
                      keep_pos1=PEAK_TYPES_POS1) -> DataFrame:
     """Peak-hour usage of meters that belong to a load-control programme."""
-    # one row per load-control meter: broadcast after a bounded count
-    lists = broadcast_if_small(load_type_lists(load_types, keep_pos1), WIDE_DIMENSION_MAX_ROWS)
+    # one row per load-control meter
+    lists = load_type_lists(load_types, keep_pos1)
     at = _at_peak(hourly, indexed_peaks)
     return (at.join(lists, at["MeterNumber"] == lists["BI_MTR_NBR"])
             .withColumn("YearMonth", year_month("CoincidYear", "CoincidMonth")))
@@ -157,16 +157,15 @@ def peak_by_lc_meter(hourly: DataFrame, indexed_peaks: DataFrame, load_types: Da
 def year_month_dim(peak_rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Distinct peak months with their demand rates (rates: one row per month)."""
     ym = peak_rows.select("CoincidYear", "CoincidMonth", "YearMonth").distinct()
-    r = broadcast_if_small(rates)
-    return (ym.join(r, ym["CoincidMonth"] == r["Month"]).drop("Month"))
+    return (ym.join(rates, ym["CoincidMonth"] == rates["Month"]).drop("Month"))
 
 
 def peak_dropouts(hourly: DataFrame, indexed_peaks: DataFrame) -> DataFrame:
     """Meters with usage in the hour ending at the peak whose hourly row does
     not end exactly at the peak slot (a missing last interval): the peak join
     drops them silently, so count them per peak month."""
-    pk = broadcast_if_small(indexed_peaks.select("CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
-                                                 F.col("MeterSampleIndex").alias("_pi")))
+    pk = indexed_peaks.select("CoincidYear", "CoincidMonth", "CoincidDay", "CoincidHour",
+                              F.col("MeterSampleIndex").alias("_pi"))
     h = hourly.join(pk, (hourly["LocalYear"] == pk["CoincidYear"]) & (hourly["LocalMonth"] == pk["CoincidMonth"])
                     & (hourly["LocalDay"] == pk["CoincidDay"]) & (hourly["HourEnding"] == pk["CoincidHour"]))
     return (h.filter(F.col("EndMeterSampleIndex") != F.col("_pi"))

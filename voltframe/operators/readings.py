@@ -141,8 +141,15 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def duplicate_rows(raw: DataFrame, keys=READING_KEY) -> DataFrame:
-    """Raw rows of every key that is duplicated after exact-copy removal."""
+    """Raw rows of every key that is duplicated after exact-copy removal: a left
+    join from the duplicated keys. A key with a null column is listed, but its
+    null matches no raw row."""
     dup = duplicate_keys(reading_facts(raw).dropDuplicates(), keys)
-    # every duplicated key comes from ``raw``, so the reference's left join
-    # is an inner join; with the raw side streamed AQE can split a hot key
-    return raw.join(dup, keys, "inner").select(*keys, "count", *[c for c in raw.columns if c not in keys])
+    rest = [c for c in raw.columns if c not in keys]
+    # keys come from ``raw``: without a null they all match, and with the raw
+    # side streamed AQE can split a hot key
+    matched = raw.join(dup, keys, "inner").select(*keys, "count", *rest)
+    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    alone = dup.filter(some_null).select(*keys, "count", *[F.lit(None).cast(types[c]).alias(c) for c in rest])
+    return matched.unionByName(alone)

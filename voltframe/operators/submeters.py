@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.operators.sizing import DIMENSION_MAX_ROWS, broadcast_if_small
 
 METER_INFO_COLUMNS = ["BI_ACCT", "BI_MTR_NBR", "BI_MTR_POS_NBR", "BI_MTR_CONFIG"]
 # the no-submeter table is keyed by slot indices rather than timestamps
@@ -59,13 +58,8 @@ def submeter_map_checks(meter_info: DataFrame, submeter_map: DataFrame) -> DataF
             .unionByName(per_pos))
 
 
-def exclude_submeters(readings: DataFrame, submeter_map: DataFrame,
-                      max_broadcast_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Readings of main meters only (left anti join on the meter number).
-
-    The submeter set (one int per submeter) is broadcast after a bounded row
-    count, so the readings are never shuffled for this join; beyond the cap
-    the planner's shuffle join is used."""
+def exclude_submeters(readings: DataFrame, submeter_map: DataFrame) -> DataFrame:
+    """Readings of main meters only (left anti join on the meter number). AQE
+    broadcasts the submeter set if its size at run time allows."""
     subs = submeter_map.select(F.col("BI_MTR_NBR").alias("_sub")).distinct()
-    subs = broadcast_if_small(subs, max_broadcast_rows)
     return readings.join(subs, F.col("MeterNumber") == F.col("_sub"), "left_anti")

@@ -18,15 +18,15 @@ reading extracts (CSV / CSV.gz). Checkpoints go to the shared folder named by
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def _read_bronze(spark: SparkSession, path: str) -> DataFrame:
     from voltframe.sources.landing import read_readings_batch
-    has_parquet = any(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs) \
-        if os.path.isdir(path) else path.endswith(".parquet")
+    # Spark lists the files, so any file system that the cluster mounts works
+    has_parquet = bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                       .option("recursiveFileLookup", True).load(path).inputFiles())
     return spark.read.parquet(path) if has_parquet else read_readings_batch(spark, path)
 
 
@@ -66,9 +66,12 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     from voltframe.plans import jobs
-    from voltframe.session import get_session
+    from voltframe.session import get_session, size_for
     from voltframe.sources import landing as LD
     spark = get_session()
+    inputs = {"readings": ["bronze"], "loadcontrol": ["indexed"], "peaks": ["hourly", "hourly_nosub"],
+              "chain": ["bronze"], "gold": ["chain_root"], "ingest": ["landing"]}
+    size_for(spark, *[getattr(args, name) for name in inputs.get(args.job, [])])
 
     if args.job == "readings":
         jobs.run_readings_job(spark, _read_bronze(spark, args.bronze),

@@ -83,3 +83,16 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024
 def apply_conf(spark: SparkSession, conf: dict) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)
+
+
+def size_for(spark: SparkSession, *paths: str) -> None:
+    """Size the session's shuffles and splits for the files under ``paths``:
+    Spark lists them and adds up their lengths, without opening one."""
+    total = 0
+    for path in paths:
+        total += (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+                  .agg({"length": "sum"}).first()[0] or 0)
+    conf = scale_conf(total)
+    conf["spark.sql.shuffle.partitions"] = str(max(int(conf["spark.sql.shuffle.partitions"]),
+                                                   spark.sparkContext.defaultParallelism))
+    apply_conf(spark, conf)

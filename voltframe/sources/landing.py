@@ -78,13 +78,14 @@ def read_demand_rates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
-def read_sheet_cells(spark: SparkSession, folder: str, pattern: str = "*.csv",
+def read_sheet_cells(spark: SparkSession, folder: str, pattern: str = "*",
                      sheet_name: str | int = 0) -> DataFrame:
     """Workbook files -> cell table (file, row_no, col_no, value).
 
     Each file is decoded in its own task (``binaryFile`` + ``mapInPandas``);
     the slicing happens afterwards in Spark. CSV exports decode with pandas;
-    ``.xlsx`` needs openpyxl on the executors.
+    ``.xlsx`` needs openpyxl on the executors. A file of another kind that
+    ``pattern`` lets in is an error, not an empty result.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
 
@@ -93,20 +94,19 @@ def read_sheet_cells(spark: SparkSession, folder: str, pattern: str = "*.csv",
 
         import pandas as pd
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 name = path.rsplit("/", 1)[-1]
                 if name.lower().endswith((".xlsx", ".xlsm")):
                     sheet = pd.read_excel(io.BytesIO(content), sheet_name=sheet_name, header=None, dtype=str)
+                elif not name.lower().endswith(".csv"):
+                    raise ValueError(f"neither a workbook nor a CSV export: {path}")
                 else:
                     sheet = pd.read_csv(io.BytesIO(content), header=None, dtype=str,
                                         skip_blank_lines=False, keep_default_na=False, na_values=[""])
                 cells = sheet.stack().reset_index()
                 cells.columns = ["row_no", "col_no", "value"]
                 cells.insert(0, "file", name)
-                out.append(cells.astype({"row_no": "int32", "col_no": "int32", "value": str}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+                yield cells.astype({"row_no": "int32", "col_no": "int32", "value": str})
 
     return files.select("path", "content").mapInPandas(
         decode, "file string, row_no int, col_no int, value string")

@@ -56,22 +56,31 @@ class SilverChain:
         self.metrics: dict[int, dict] = {}
 
     # ---- ledger of applied batches
-    def _ledger(self, batch_id: int) -> str:
-        return f"{self.root}/_ledger/batch={batch_id:012d}"
+    # Batch ids count from 0 in every checkpoint, so they are kept per
+    # checkpoint ``scope``: a new or reset checkpoint skips nothing.
+    def _ledger(self, batch_id: int, scope: str) -> str:
+        return f"{self.root}/_ledger/scope={scope}/batch={batch_id:012d}"
 
-    def applied(self, batch_id: int) -> bool:
+    def applied(self, batch_id: int, scope: str = "batch") -> bool:
         fs, _, jvm = _fs(self.spark, self.root)
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id)))
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id, scope)))
 
-    def _mark(self, batch_id: int) -> None:
+    def _mark(self, batch_id: int, scope: str) -> None:
         fs, _, jvm = _fs(self.spark, self.root)
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id)))
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id, scope)))
+
+    def _next_version(self) -> int:
+        """One more than the applied batches of all scopes: a batch that died
+        before its mark gets the same version again."""
+        fs, _, jvm = _fs(self.spark, self.root)
+        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_ledger/scope=*/batch=*"))
+        return 1 + len(marks or [])
 
     # ---- one micro-batch
-    def apply(self, bronze_batch: DataFrame, batch_id: int) -> None:
-        if self.applied(batch_id):
+    def apply(self, bronze_batch: DataFrame, batch_id: int, scope: str = "batch") -> None:
+        if self.applied(batch_id, scope):
             return
-        version = batch_id + 1
+        version = self._next_version()
         raw, seen = observed(bronze_batch, f"bronze_{batch_id}")
         batch = R.drop_header_rows(raw)
         cleaned, kept = observed(R.clean_readings(batch), f"cleaned_{batch_id}")
@@ -82,7 +91,7 @@ class SilverChain:
         # UTC days of the batch: the partitions every reading-keyed table rewrites
         days = self.cleaned.touched(cleaned)
         if not days:  # nothing new
-            self._mark(batch_id)
+            self._mark(batch_id, scope)
             return
         if self.gates:
             require_unique(cleaned, R.READING_KEY + ["day"], "cleaned batch")
@@ -104,7 +113,7 @@ class SilverChain:
             # without submeters, read back from the version just written
             hourly_now = self.hourly.read(partitions=hour_days)
             self.hourly_nosub.write_partitions(exclude_submeters(hourly_now, self.submeter_map), version)
-        self._mark(batch_id)
+        self._mark(batch_id, scope)
 
     def _log_changes(self, cleaned: DataFrame, key, version: int, days: list[str]) -> None:
         """Append the batch's change rows (insert / update pre- and
@@ -170,8 +179,13 @@ class SilverChain:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         if schema is None:
             schema = self.spark.read.parquet(bronze_path).schema
+
+        def apply(df: DataFrame, batch_id: int) -> None:
+            # the id that Spark keeps in the checkpoint: a reset checkpoint has a new one
+            query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            self.apply(df, batch_id, query or "batch")
         q = (reader.schema(schema).load(bronze_path).writeStream
-             .foreachBatch(lambda df, bid: self.apply(df, bid))
+             .foreachBatch(apply)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
