@@ -194,3 +194,53 @@ def test_a_new_checkpoint_skips_no_batch(spark, tmpdir_path):
     days = {r[0] for r in chain.cleaned.read().select(F.dayofmonth("StartDateTime")).distinct().collect()}
     assert days >= set(range(2, 10))
     assert chain.cleaned.read().count() == R.clean_readings(R.drop_header_rows(_bronze_days(fx.fx_bronze, 1, 10))).count()
+
+
+def test_replayed_batch_reaches_consumers_once(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    from voltframe.streaming.changes import consume_changes
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
+    batch, fold, seen = _bronze_days(fx.fx_bronze, 1, 5), chain._fold_hourly, []
+    log, ck = os.path.join(tmpdir_path, "c", "cleaned_changes"), os.path.join(tmpdir_path, "ck")
+
+    def crash(*a, **k):
+        raise RuntimeError("executor lost")
+    chain._fold_hourly = crash
+    try:
+        chain.apply(batch, 0)
+    except RuntimeError:
+        pass
+    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
+    chain._fold_hourly = fold
+    chain.apply(batch, 0)
+    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
+    assert sum(seen) == chain.change_log().count() > 0
+
+
+def test_zone_off_the_whole_hour_is_refused(spark, tmpdir_path):
+    import pytest
+    with pytest.raises(ValueError, match="whole hours"):
+        SilverChain(spark, tmpdir_path, tz="Asia/Kolkata")
+
+
+def test_local_parts_need_a_utc_session(spark):
+    import pytest
+    from voltframe.functions.timeindex import index_to_local
+    df = spark.range(1).select(F.hour(index_to_local(F.lit(1))).alias("h"))
+    assert df.first().h == 18
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        with pytest.raises(Exception, match="must be UTC"):
+            spark.range(1).select(F.hour(index_to_local(F.lit(1))).alias("h")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_upsert_with_a_new_column(spark, tmpdir_path):
+    from voltframe.sources.tables import PartitionedTable
+    t = PartitionedTable(spark, os.path.join(tmpdir_path, "t"))
+    t.upsert(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], "k int, x string, day string"), ["k"], 1)
+    t.upsert(spark.createDataFrame([(1, 5, "d1"), (3, 6, "d1")], "k int, y int, day string"), ["k"], 2)
+    got = {r.k: (r.x, r.y) for r in t.read().collect()}
+    assert got == {1: (None, 5), 2: ("b", None), 3: (None, 6)}

@@ -8,6 +8,9 @@ has to be joined (or sorted on one partition) to attach it.
 
 from __future__ import annotations
 
+import datetime as dt
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,7 +51,21 @@ def index_to_utc(idx) -> Column:
 
 
 def to_local(ts, tz: str = LOCAL_TZ) -> Column:
-    return F.from_utc_timestamp(_c(ts), tz)
+    """Local wall time of a UTC instant, as a timestamp whose parts are local
+    under a UTC session; an error under any other session zone."""
+    wrong = F.raise_error(F.concat(F.lit("spark.sql.session.timeZone must be UTC, not "), F.current_timezone()))
+    return F.when(F.current_timezone().isin("UTC", "Etc/UTC", "GMT", "Z", "+00:00"),
+                  F.from_utc_timestamp(_c(ts), tz)).otherwise(wrong.cast("timestamp"))
+
+
+def require_whole_hours(tz: str, first_year: int = 2021, last_year: int = 2040) -> None:
+    """Raise if a zone is ever off the whole hour: its local hours would lie
+    across two UTC days."""
+    zone = ZoneInfo(tz)
+    for year in range(first_year, last_year + 1):
+        for month in range(1, 13):
+            if dt.datetime(year, month, 1, tzinfo=zone).utcoffset() % dt.timedelta(hours=1):
+                raise ValueError(f"zone {tz} is not at whole hours from UTC")
 
 
 def index_to_local(idx, tz: str = LOCAL_TZ) -> Column:

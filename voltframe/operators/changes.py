@@ -136,6 +136,20 @@ def first_changed_day(changes: DataFrame, ts_col: str = "StartDateTime"):
     return changes.agg(F.min(F.to_date(ts_col))).first()[0]
 
 
+def since_first_change(upstream: DataFrame, changes: DataFrame, ts_col: str = "StartDateTime") -> DataFrame:
+    """``reference_scope`` as one plan: the bound is a scalar subquery, so
+    nothing runs before the result is asked for. No changes give no rows."""
+    first = changes.agg(F.min(F.to_date(ts_col)).cast("timestamp")).scalar()
+    return upstream.filter(F.col(ts_col) >= first)
+
+
+def changes_after(changes: DataFrame, mark: DataFrame) -> DataFrame:
+    """Change rows past a high-water mark (the row that ``high_water`` gave for
+    what has been processed); all of them if nothing has."""
+    version = F.coalesce(mark.select("HighWaterVersion").scalar(), F.lit(-1))
+    return changes.filter(F.col("_commit_version") > version)
+
+
 def reference_scope(upstream: DataFrame, changes: DataFrame, ts_col: str = "StartDateTime") -> DataFrame:
     """The reference's re-aggregation scope: every upstream row from the
     first changed day on. The bound is a literal, so it reaches the parquet

@@ -99,7 +99,8 @@ class PartitionedTable:
             if schema is None:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(*paths.values())
+        # versions may have been written with fewer columns
+        df = self.spark.read.option("mergeSchema", "true").parquet(*paths.values())
         part = F.regexp_extract(F.col("_metadata.file_path"), rf"/{self.part_col}=([^/]+)/", 1)
         return df.withColumn(self.part_col, part)
 
@@ -123,7 +124,9 @@ class PartitionedTable:
             touched = self.touched(source)
         current = self.read(source.schema, partitions=touched, before=version)
         if self._latest(version) and touched:
-            new = upsert(current.select(*source.columns), source, list(keys) + [self.part_col])
+            # a column that only one side has is null on the other
+            both = lambda a, b: a.unionByName(b.limit(0), allowMissingColumns=True)
+            new = upsert(both(current, source), both(source, current), list(keys) + [self.part_col])
         else:
             new = source
         # the new version goes to its own folder, so the rows being replaced

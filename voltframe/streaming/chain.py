@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.functions.timeindex import LOCAL_TZ
+from voltframe.functions.timeindex import require_whole_hours
 from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
 from voltframe.operators import readings as R
@@ -42,6 +43,7 @@ class SilverChain:
                  tz: str = LOCAL_TZ, gates: bool = True, lc_points: DataFrame | None = None,
                  program_map: DataFrame | None = None, program_col: str = "BI_LOAD_TYPE"):
         self.spark, self.root, self.tz, self.gates = spark, root.rstrip("/"), tz, gates
+        require_whole_hours(tz)
         ensure_checkpoint_dir(spark)  # micro-batches are checkpointed to the shared folder
         self.submeter_map = submeter_map
         self.cleaned = PartitionedTable(spark, f"{self.root}/cleaned")
@@ -121,6 +123,9 @@ class SilverChain:
         by commit version.
         Computed from the batch side against the touched partitions only."""
         current = self.cleaned.read(cleaned.schema, partitions=days, before=version)
+        fs, done, _ = _fs(self.spark, f"{self.root}/cleaned_changes/_commit_version={version}/_SUCCESS")
+        if fs.exists(done):  # written by an earlier attempt; again it would reach consumers twice
+            return
         changes = (C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
                    .withColumn("_commit_timestamp", F.current_timestamp()))
         (changes.write.mode("overwrite")
