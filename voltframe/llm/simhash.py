@@ -115,6 +115,8 @@ def link_fingerprints(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataF
     part = components(star)
     known = checkpointed(fps.join(part.withColumnRenamed("id", "fp"), "fp", "left")
                          .select("fp", F.coalesce("root", "fp").alias("root")))
+    # each row becomes 18 keys a segment: spread the rows over all tasks first
+    known = known.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     left = known.select("fp", "root", F.inline(_keys(cuts, flips=False)))
     right = known.select(F.col("fp").alias("fp2"), F.col("root").alias("root2"),
                          F.inline(_keys(cuts, flips=True)))
