@@ -47,6 +47,34 @@ UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTi
 UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTime,
        StartDateTime + INTERVAL '15' MINUTE AS EndDateTime,
        CAST(0 AS DECIMAL(18,2)), v FROM {fx_slots} WHERE k % 50 = 4"""),
+    # the cases that real extracts rarely have: pairs with a null key column,
+    # a null AMI in a pair, keys with three different rows
+    "fx_bronze_hard": (("fx_bronze", "fx_slots"), """
+SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTime, EndDateTime, AMIValue, VEEValue FROM {fx_bronze}
+UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, CAST(NULL AS INT), StartDateTime,
+       StartDateTime + INTERVAL '15' MINUTE, v, v FROM {fx_slots} WHERE k % 50 = 5
+UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, CAST(NULL AS INT), StartDateTime,
+       StartDateTime + INTERVAL '15' MINUTE, CAST(0 AS DECIMAL(18,2)), v FROM {fx_slots} WHERE k % 50 = 5
+UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTime,
+       StartDateTime + INTERVAL '15' MINUTE, CAST(NULL AS DECIMAL(18,2)), v FROM {fx_slots} WHERE k % 50 = 6
+UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTime,
+       StartDateTime + INTERVAL '15' MINUTE, CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)) FROM {fx_slots} WHERE k % 50 = 7
+UNION ALL SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, StartDateTime,
+       StartDateTime + INTERVAL '15' MINUTE, CAST(v + 1 AS DECIMAL(18,2)), v FROM {fx_slots} WHERE k % 50 = 7"""),
+    # the bronze readings, by meter moved over both clock changes of 2024 and
+    # the first of 2025
+    "fx_bronze_dst": (("fx_bronze",), """
+SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel,
+       StartDateTime + CAST(CASE MeterNumber % 4 WHEN 0 THEN 0 WHEN 1 THEN 55 WHEN 2 THEN 290 ELSE 420 END AS INT)
+                       * INTERVAL '1' DAY AS StartDateTime,
+       EndDateTime + CAST(CASE MeterNumber % 4 WHEN 0 THEN 0 WHEN 1 THEN 55 WHEN 2 THEN 290 ELSE 420 END AS INT)
+                     * INTERVAL '1' DAY AS EndDateTime, AMIValue, VEEValue
+FROM {fx_bronze}"""),
+    # peaks at any half past an hour of two years (local wall time): hours that
+    # the clock skips or repeats are among them
+    "fx_peaks_dst": (("orders",), """
+SELECT DISTINCT CAST(TIMESTAMP '2024-01-01 00:30:00' + CAST(o_orderkey % 17544 AS INT) * INTERVAL '1' HOUR AS TIMESTAMP) AS CoincidTime
+FROM {orders}"""),
     # the 16-column landing layout
     "fx_bronze16": (("fx_bronze", "nation"), """
 SELECT b.MeterNumber, b.UnitOfMeasure, b.FlowDirection, b.Channel,
@@ -98,8 +126,8 @@ FROM {fx_lc_events}"""),
 SELECT DISTINCT CAST(TIMESTAMP '2024-01-01 18:00:00' + CAST(o_orderkey % 28 AS INT) * INTERVAL '1' DAY AS TIMESTAMP) AS CoincidTime
 FROM {orders}"""),
     "fx_rates": (("nation",), """
-SELECT CAST(n_nationkey + 1 AS INT) AS Month, CAST(10 + n_nationkey AS DOUBLE) AS DemandRate
-FROM {nation} WHERE n_nationkey < 12"""),
+SELECT CAST(n_nationkey % 12 + 1 AS INT) AS Month, CAST(10 + MAX(n_nationkey) AS DOUBLE) AS DemandRate
+FROM {nation} GROUP BY CAST(n_nationkey % 12 + 1 AS INT)"""),
     "fx_cis_service": (("customer",), """
 SELECT CAST(c_custkey AS INT) AS BI_SRV_LOC_NBR, CAST(FLOOR(c_custkey / 3) AS INT) AS BI_ACCT,
        CAST(TIMESTAMP '2015-01-01 00:00:00' AS TIMESTAMP) AS BI_CON_DT, 'A1' AS BI_PRIM_RATE_SCHED,
@@ -108,7 +136,7 @@ SELECT CAST(c_custkey AS INT) AS BI_SRV_LOC_NBR, CAST(FLOOR(c_custkey / 3) AS IN
             ELSE CAST(NULL AS TIMESTAMP) END AS BI_DISC_DT
 FROM {customer}"""),
     "fx_cis_lm_srv": (("fx_cis_service",), """
-SELECT BI_SRV_LOC_NBR, BI_ACCT FROM {fx_cis_service} WHERE BI_SRV_LOC_NBR % 2 = 0"""),
+SELECT BI_SRV_LOC_NBR, BI_ACCT FROM {fx_cis_service}"""),
     "fx_cis_lm_dvc": (("fx_load_types",), """
 SELECT DISTINCT BI_ACCT, BI_MTR_POS_NBR, BI_LOAD_TYPE FROM {fx_load_types}"""),
     "fx_cis_ref": (("fx_load_types",), """
