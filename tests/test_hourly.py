@@ -93,3 +93,17 @@ def test_hourly_in_hours_with_no_hours_is_empty(spark):
     one = spark.createDataFrame([(2024, 1, 4, 19)], "LocalYear int, LocalMonth int, LocalDay int, HourEnding int")
     got = H.hourly_usage_in_hours(ix, one).collect()   # 00:00-01:00 UTC = 18:00-19:00 CST
     assert [(r.HourEnding, r.HourlyAMIValue) for r in got] == [(19, Decimal("4.00"))]
+
+
+def test_readings_outside_the_calendar_are_not_dropped_in_silence(spark):
+    import datetime as dt
+
+    import pytest
+    from voltframe.operators import readings as R
+    rows = [(1, "KWH", "F", 1, dt.datetime(y, 3, 1, 6), dt.datetime(y, 3, 1, 6, 15), 1.0, 1.0) for y in (2024, 2041)]
+    df = R.index_readings(spark.createDataFrame(rows, "MeterNumber int, UnitOfMeasure string, FlowDirection string, "
+                                                "Channel int, StartDateTime timestamp, EndDateTime timestamp, "
+                                                "AMIValue double, VEEValue double"))
+    with pytest.raises(Exception, match="a reading has no slot"):
+        H.hourly_usage(df).collect()
+    assert H.with_local_parts(df, unplaced="drop").count() == 1

@@ -6,22 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions.text import pct_difference
-from voltframe.functions.timeindex import LOCAL_TZ, hour_ending, index_to_local
+from voltframe.functions.timeindex import (CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR, LOCAL_TZ, hour_ending,
+                                           index_to_local)
 
 HOURLY_KEY = ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
               "LocalYear", "LocalMonth", "LocalDay", "HourEnding"]
 
 
 def with_local_parts(df: DataFrame, index_col: str = "StartMeterSampleIndex",
-                     tz: str = LOCAL_TZ) -> DataFrame:
+                     tz: str = LOCAL_TZ, unplaced: str = "error") -> DataFrame:
     """Local calendar parts of a slot index and the hour ending (1..24).
 
-    Rows without an index have no calendar slot and are dropped (inner-join
-    semantics). All parts come from the slot *start*, so hour ending 24 stays
-    on the start's local day.
+    A row without an index has no calendar slot: its time is missing, off the
+    5-minute grid or outside the calendar's years. That is an error; with
+    ``unplaced="drop"`` such rows are left out. All parts come from the slot
+    *start*, so hour ending 24 stays on the start's local day.
     """
+    if unplaced not in ("error", "drop"):
+        raise ValueError(f"unplaced must be 'error' or 'drop', not {unplaced!r}")
     local = index_to_local(F.col(index_col), tz)
-    return (df.filter(F.col(index_col).isNotNull())
+    there = F.col(index_col).isNotNull()
+    if unplaced == "error":
+        there = F.when(there, F.lit(True)).otherwise(F.raise_error(F.lit(
+            f"a reading has no slot: {index_col} is null (time missing, off the 5-minute grid or outside "
+            f"{CALENDAR_FIRST_YEAR}-{CALENDAR_LAST_YEAR})")).cast("boolean"))
+    return (df.filter(there)
               .withColumn("_local", local)
               .withColumns({"LocalYear": F.year("_local"), "LocalMonth": F.month("_local"),
                             "LocalDay": F.dayofmonth("_local"), "HourEnding": hour_ending("_local")})
