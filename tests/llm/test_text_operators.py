@@ -152,6 +152,16 @@ def test_simhash_groups_odd_rows(docs, empty):
     assert simhash.simhash_groups(empty).count() == 0 and simhash.keep_one_per_group(empty).count() == 0
 
 
+def test_one_row_stays_of_each_component(spark):
+    """Rows without id, or with one id, but different texts are different documents."""
+    texts = [f"{w} stands in a text of its own about {w} and {w} again" for w in ("ash", "birch", "cedar", "elm")]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, ""), (4, None), (5, texts[2]), (5, texts[3]),
+            (6, texts[3]), (7, texts[2])]
+    kept = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted(
+        [(None, texts[0]), (None, texts[1]), (4, None), (5, texts[2]), (5, texts[3])], key=str)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from voltframe.llm.common import by_value, checkpointed, components
+from voltframe.llm.common import KEY, by_value, checkpointed, components, row_key
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
@@ -128,6 +128,18 @@ def link_fingerprints(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataF
 
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, max_distance: int) -> DataFrame:
+    """``id, text_hash, fp, root, component_id`` of every row; ``root`` names the component."""
+    prints = checkpointed(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
+                                      F.arrow_udf(_fingerprints, LongType())(F.col(text_col)).alias("fp")))
+    fps = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = link_fingerprints(fps.select("fp"), max_distance)
+    named = fps.join(roots, "fp")
+    tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = named.join(tops, "root").select("fp", "root", "component_id")
+    return prints.join(of, "fp")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One row per row of ``docs``: the id, ``fp`` (long) and ``component_id``,
@@ -137,25 +149,21 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     takes part but is never the smallest; a component of null ids only has a
     null component_id. Repeated rows each get their row. An empty table gives
     an empty result; further columns are ignored."""
-    prints = checkpointed(docs.select(F.col(id_col).alias("id"),
-                                      F.arrow_udf(_fingerprints, LongType())(F.col(text_col)).alias("fp")))
-    fps = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = link_fingerprints(fps.select("fp"), max_distance)
-    named = fps.join(roots, "fp")
-    tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(tops, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; of repeated
-    ids one row stays. Columns and their order are those of ``docs``."""
-    def key(c: str) -> list[Column]:
-        return [F.coalesce(F.col(c), F.lit(0)).alias("__sim_id"), F.col(c).isNull().alias("__sim_null")]
-    chosen = simhash_groups(docs, id_col, text_col).select(*key("component_id")).distinct()
-    on = ["__sim_id", "__sim_null"]
-    return (docs.withColumns({"__sim_id": key(id_col)[0], "__sim_null": key(id_col)[1]})
-            .join(chosen, on, "left_semi").dropDuplicates(on).drop(*on))
+    return _grouped(docs, id_col, text_col, max_distance).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest id, of
+    several rows with it the one with the smallest hash of its text. In a
+    component of null ids only, the hash alone decides. Columns and their order
+    are those of ``docs``. An empty table gives an empty result."""
+    chosen = (_grouped(docs, id_col, text_col, max_distance)
+              .where(F.col("id").eqNullSafe(F.col("component_id")))
+              .groupBy("root", "id").agg(F.min("text_hash").alias("__k_text"))
+              .select(*row_key("id", "__k_text")[:2], "__k_text").distinct())
+    keyed = docs.withColumns(dict(zip(KEY, row_key(id_col, text_col))))
+    return keyed.join(chosen, KEY, "left_semi").dropDuplicates(KEY).drop(*KEY)
 
 
 def op9_simhash_dedup(spark, sf_dir: str) -> DataFrame:
