@@ -25,6 +25,7 @@ and a block returns, besides counts, a spanning set of its links, not all pairs.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -84,12 +85,17 @@ class Quantiser:
                    for i, (c, b) in enumerate(zip(self.cuts, self.books)))
         return own, codes, np.sqrt(over)
 
+    @cached_property
+    def between(self) -> np.ndarray:
+        """Distances of the centres, once per Python worker: at most MAX_LISTS squared numbers."""
+        own = (self.centres ** 2).sum(axis=1)
+        return np.sqrt(np.maximum(own[:, None] + own[None, :] - 2 * self.centres @ self.centres.T, 0))
+
     def probes(self, u: np.ndarray, own: np.ndarray, radius: float) -> list[np.ndarray]:
         """Lists that may hold a vector within ``radius``."""
         to = (u ** 2).sum(axis=1)[:, None] + (self.centres ** 2).sum(axis=1)[None, :] - 2 * u @ self.centres.T
-        between = np.sqrt(np.maximum(((self.centres[:, None, :] - self.centres[None, :, :]) ** 2).sum(axis=2), 0))
         excess = to - to[np.arange(len(u)), own][:, None]
-        return [np.nonzero(e <= 2 * radius * b + ROUNDING)[0] for e, b in zip(excess, between[own])]
+        return [np.nonzero(e <= 2 * radius * b + ROUNDING)[0] for e, b in zip(excess, self.between[own])]
 
     def tables(self, u: np.ndarray, at: int) -> list[np.ndarray]:
         """Squared distances of the residual parts to ``at`` from all codes."""
