@@ -55,6 +55,7 @@ ENCODINGS = [
 #: Chance that two symbols of ordinary text agree, and that neighbours differ in class.
 TEXT_COLLISIONS, TEXT_CHANGES = 0.07, 0.12
 
+ROW = ["row1", "row2"]
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -199,15 +200,16 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tested = stored(tested, "secret-tests")
     good = (tested.join(_thresholds(tested), ["encoding", "band"])
             .where((F.col("cell") >= F.col("least_cell")) & (F.col("p_random") >= MIN_RANDOM)).select("value"))
+    # 128 bits stand for a row: equal rows have equal results
+    row = [F.xxhash64(F.lit(i), "id", "base", "runs").alias(c) for i, c in enumerate(ROW)]
     # each run of a document looks its value up; a document's own runs come together again
     hits = (found.where(F.size("runs") > 0).select("id", "base", F.explode("runs").alias("r"), "runs")
-            .select(F.xxhash64("id", "base", "runs").alias("row"), F.col("r").alias("span"),
-                    F.col("r.value").alias("value")).distinct()
-            .join(good, "value").groupBy("row").agg(F.array_sort(F.collect_set("span")).alias("random")))
-    keyed = found.withColumn("row", F.xxhash64("id", "base", "runs"))
+            .select(*row, F.col("r").alias("span"), F.col("r.value").alias("value")).distinct()
+            .join(good, "value").groupBy(*ROW).agg(F.array_sort(F.collect_set("span")).alias("random")))
+    keyed = found.select("*", *row)
     by_start = F.array_sort(F.transform("random", lambda s: F.struct(s["start"], s["kind"], s["end"], s["value"])))
     back = F.transform(by_start, lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
-    return keyed.join(hits, "row", "left").select(F.col("id").alias(id_col), "base",
+    return keyed.join(hits, ROW, "left").select(F.col("id").alias(id_col), "base",
                                                   F.coalesce(back, F.array().cast(SPAN)).alias("random"))
 
 
