@@ -227,7 +227,8 @@ def test_packing_round_trip(spark, docs, empty):
 
 
 @pytest.mark.parametrize("text", ["Hello, World. it's fine, 'tis. ok?. a_, b_. ΣΑΣ. İstanbul, é,", "", " ", "... ,, . ",
-                                  "a\x1cb. ½, 3.5, <|endoftext|>, x", "x, y　z. KK, don't, we'll. 's, 's's. "])
+                                  "a\x1cb. ½, 3.5, <|endoftext|>, x", "x, y　z. KK, don't, we'll. 's, 's's. ",
+                                  "naïve Æther µ ÿ ß\xa0à\x85b \xad\xadc e\u0301t ÀÉ, x\u0308. ª º ½÷×"])
 def test_word_ids_equal_whole_text(text):
     words = packing.WordIds(packing.tokenizer_path(), memo_words=3)
     want = words.tokenizer.encode(text, add_special_tokens=False).ids
