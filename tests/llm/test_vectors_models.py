@@ -50,6 +50,21 @@ def test_pq_links_equal_brute_force(spark):
     assert pq.cosine_links(df.where("false")).count() == 0
 
 
+def test_pq_probes_reach_every_near_vector():
+    r = np.random.default_rng(3)
+    u = pq._unit(r.standard_normal((400, 5)))
+    u = np.concatenate((u, pq._unit(u + 0.05 * r.standard_normal(u.shape))))
+    model = pq.Quantiser.fit(u, 40)
+    own, _, _ = model.encode(u)
+    plain = np.linalg.norm(model.centres[:, None, :] - model.centres[None, :, :], axis=2)
+    assert np.allclose(model.between, plain, atol=1e-7)
+    radius = math.sqrt(2 - 2 * 0.98)
+    probes = model.probes(u, own, radius)
+    near = np.linalg.norm(u[:, None, :] - u[None, :, :], axis=2) <= radius
+    assert all(own[j] in probes[i] for i, j in zip(*np.nonzero(near)))
+    assert np.mean([len(p) for p in probes]) < 30
+
+
 def test_pq_blocks_of_a_hot_list(spark, monkeypatch):
     monkeypatch.setattr(pq, "MEMBER_BLOCK", 16)
     monkeypatch.setattr(pq, "PROBE_BLOCK", 32)
