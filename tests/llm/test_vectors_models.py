@@ -167,6 +167,28 @@ def test_mixing_matches_targets_and_numpy(spark):
     assert (np.abs(got["copies"] - rate) < 1).all()
 
 
+@pytest.mark.parametrize("hot", ["es", "de"])
+def test_mixing_keeps_every_document_of_a_hot_language(spark, hot):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    n = docs.count()
+    more = docs.where(F.col("lang") == hot).drop("doc_id").crossJoin(spark.range(20)).limit(n // 3)
+    more = more.withColumn("doc_id", F.lit(10_000_000) + F.monotonically_increasing_id()).select(docs.columns)
+    got = mixing.mixture(docs.unionByName(more), labels).toPandas()
+    total = (got["rate"] * got["tokens"]).to_numpy()[:, None] * np.stack(got["post"])
+    assert np.allclose(total.sum(axis=0) / total.sum(), list(mixing.TARGETS.values()), atol=3e-3)
+    assert got["rate"].min() >= 1 and got["copies"].min() >= 1
+
+
+def test_mixing_rates_when_targets_are_out_of_reach(spark):
+    rows = [(100, [0.6, 0.4]) if i % 2 else (100, [0.4, 0.6]) for i in range(40)] + [(0, [0.5, 0.5])]
+    members = spark.createDataFrame(rows, "tokens long, post array<double>")
+    # 0.95 of the first domain can't be had; a target of 0 gives its documents up
+    far = members.withColumn("rate", mixing.fitted_rate(members, {"a": 0.95, "b": 0.05})).toPandas()["rate"]
+    assert far.min() >= 1 and far.max() > 1
+    none = members.withColumn("rate", mixing.fitted_rate(members, {"a": 1.0, "b": 0.0})).toPandas()["rate"]
+    assert none[1] >= 1 and none[0] < 1 and none[40] == 1
+
+
 def test_mixing_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
     got = mixing.mixture(docs, labels)

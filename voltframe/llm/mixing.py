@@ -14,6 +14,8 @@ number of words to keep posteriors soft on long texts.
 Rates: minimise 1/2 * sum_k (total_k - target_k)^2 / present_k over rates >= 0
 from rates of 1 by projected gradient steps of length 1, in the metric that
 weighs each document by its tokens; there the loss has curvature 1 at most.
+All rates are then divided by the least of them if that is below 1: shares stay
+as fitted, the mixture grows, and no document is left out.
 A step needs only the domain totals, one aggregate of as many numbers
 as there are domains, so the driver sees those sums and nothing else. A
 document's rate is recomputed from the steps so far: no rate table is shuffled.
@@ -40,8 +42,10 @@ MARKS = [
     "de la que en un a o".split(),
 ]
 STEPS = 40
-#: The mixture is this much larger than needed, so that soft memberships push no rate below 1.
+#: Size of the fitted mixture, as a multiple of what keeps the total of the domain most above its target.
 HEADROOM = 1.01
+#: Most growth by division; rates that would need more are fitted again at this size, none below 1.
+MOST_GROWTH = 8.0
 TOLERANCE = 1e-3
 
 
@@ -95,38 +99,48 @@ def posteriors(marks: Column, model: tuple[list[float], list[list[float]]]) -> C
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
 
 
-def _rate(steps: list[list[float]], tokens: Column, post: Column) -> Column:
-    """Rate after the projected steps: r = max(0, r - sum_k step_k * post_k) in turn."""
+def _wanted(post: Column, targets: Mapping[str, float]) -> Column:
+    """Whether the likeliest domain has a share in the mixture."""
+    shares = F.array(*[F.lit(float(t)) for t in targets.values()])
+    return F.get(shares, (F.array_position(post, F.array_max(post)) - 1).cast("int")) > 0
+
+
+def _rate(steps: list[list[float]], tokens: Column, post: Column, floor: Column) -> Column:
+    """Rate after the projected steps: r = max(floor, r - sum_k step_k * post_k) in turn."""
     if not steps:
         return F.lit(1.0)
     moves = F.array(*[F.array(*[F.lit(x) for x in s]) for s in steps])
 
     def move(rate: Column, step: Column) -> Column:
         by = F.aggregate(F.zip_with(step, post, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(0.0), rate - by)
+        return F.greatest(floor, rate - by)
     return F.when(tokens > 0, F.aggregate(moves, F.lit(1.0), move)).otherwise(F.lit(1.0))
 
 
-def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS) -> list[list[float]]:
-    """The projected-gradient steps for ``members`` (``tokens``, ``post``).
+def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS, growth: float = HEADROOM,
+              floor: Column | None = None) -> list[list[float]]:
+    """The projected-gradient steps for ``members`` (``tokens``, ``post``), for
+    rates of at least ``floor`` (0 unless given).
 
-    The mixture is as large as it takes for the domain most above its target to
-    keep rate 1; the others rise, so nothing need be thrown away.
+    The mixture is ``growth`` times as large as it takes for the domain most
+    above its target to keep its total. Rates of single documents can still
+    fall below 1; ``fitted_rate`` sees to that.
 
     The gradient with respect to a document's rate is tokens * sum_k post_k *
     miss_k / present_k; in the tokens metric the step depends on the posterior
     alone."""
     names = list(targets)
     tokens, post = F.col("tokens"), F.col("post")
+    floor = F.lit(0.0) if floor is None else floor
     at = [F.get(post, F.lit(k)) for k in range(len(names))]
 
     def totals(done: list[list[float]]) -> list[float]:
-        rate = _rate(done, tokens, post)
+        rate = _rate(done, tokens, post, floor)
         return [float(x or 0.0) for x in members.agg(*[F.sum(rate * tokens * p) for p in at]).first()]
 
     now = totals([])
     share = sum(targets.values())
-    size = HEADROOM * max((n / (targets[d] / share) for n, d in zip(now, names) if targets[d] > 0), default=0.0)
+    size = growth * max((n / (targets[d] / share) for n, d in zip(now, names) if targets[d] > 0), default=0.0)
     goal = [size * targets[d] / share for d in names]
     done: list[list[float]] = []
     got = now
@@ -136,11 +150,33 @@ def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STE
     return done
 
 
+def fitted_rate(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS) -> Column:
+    """Rate of each of ``members`` (``tokens``, ``post``): the fitted rates, divided
+    by the least one of documents with tokens if that is below 1.
+
+    Where that would grow the mixture more than ``MOST_GROWTH``-fold (targets
+    that soft posteriors can hardly meet) the fit is made again at that size
+    with rates of 1 at least; totals then come as near the targets as that
+    allows. Only documents whose likeliest domain has target 0 may go below 1."""
+    tokens, post = F.col("tokens"), F.col("post")
+    wanted = _wanted(post, targets)
+    rate = _rate(fit_steps(members, targets, steps), tokens, post, F.lit(0.0))
+    least = members.where((tokens > 0) & wanted).agg(F.min(rate)).first()[0]
+    if least is None or least >= 1:
+        return rate
+    if least * MOST_GROWTH >= 1:  # the division may end a hair below 1
+        raised = F.when(wanted, F.greatest(F.lit(1.0), rate / least)).otherwise(rate / least)
+        return F.when(tokens > 0, raised).otherwise(F.lit(1.0))
+    floor = F.when(wanted, F.lit(1.0)).otherwise(F.lit(0.0))
+    return _rate(fit_steps(members, targets, steps, MOST_GROWTH, floor), tokens, post, floor)
+
+
 def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, steps: int = STEPS,
             id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """One row per row key of ``docs`` (id and text): ``tokens``, ``post`` (posteriors in the
     order of ``targets``), ``rate`` and ``copies``, the rate rounded up or down
-    by a hash of the row so that its expectation is the rate.
+    by a hash of the row so that its expectation is the rate. No rate is below 1
+    unless a target is 0 (``fitted_rate``), so ``copies`` is 1 at least.
 
     ``labels`` names the labelled documents by ``doc_id``; their ``domain_col``
     teaches the classifier. A label outside ``targets`` or a null one teaches
@@ -156,7 +192,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
     model = domain_model(base.join(known, "id", "left_semi"), names)
     members = checkpointed(base.select(*KEY, F.col("id").alias(id_col), "tokens",
                                        posteriors(F.col("marks"), model).alias("post")))
-    rate = _rate(fit_steps(members, targets, steps), F.col("tokens"), F.col("post"))
+    rate = fitted_rate(members, targets, steps)
     draw = (F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) / float(1 << 30))
     return (members.withColumn("rate", rate)
             .withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long"))))
