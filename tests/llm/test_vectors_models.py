@@ -189,6 +189,27 @@ def test_mixing_rates_when_targets_are_out_of_reach(spark):
     assert none[1] >= 1 and none[0] < 1 and none[40] == 1
 
 
+def test_mixing_learns_any_domain_from_labels(spark):
+    r = random.Random(8)
+    stems = {"xx": ["zork", "blim", "quax"], "yy": ["fnord", "glap", "wibb"], "zz": ["hurz", "morp", "tling"]}
+    rows = [(i, " ".join(r.choice(w) + r.choice("aeiou") + r.choice(["", ",", "."]) for _ in range(12)), d)
+            for i, (d, w) in enumerate(list(stems.items()) * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    labels = docs.where("doc_id < 60").select("doc_id")
+    got = mixing.mixture(docs, labels, {"xx": 0.2, "yy": 0.3, "zz": 0.5}, domain_col="kind").toPandas()
+    best = np.stack(got["post"]).argmax(axis=1)
+    want = {i: list(stems).index(d) for i, _, d in rows}
+    assert all(want[i] == k for i, k in zip(got["doc_id"], best))
+
+
+def test_mixing_held_out_accuracy(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    got = mixing.mixture(docs, labels).join(labels.select("doc_id"), "doc_id", "left_anti")
+    got = got.join(docs.select("doc_id", "lang"), "doc_id").select("post", "lang").toPandas()
+    right = np.array(list(mixing.TARGETS))[np.stack(got["post"]).argmax(axis=1)] == got["lang"].to_numpy()
+    assert all(right[got["lang"] == d].mean() >= 0.95 for d in mixing.TARGETS)
+
+
 def test_mixing_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
     got = mixing.mixture(docs, labels)

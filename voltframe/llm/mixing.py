@@ -5,11 +5,13 @@ over domains; nonnegative document rates are then fitted so that the expected
 domain token totals, sum over documents of rate * tokens * posterior, match the
 targets. Everything is DataFrame expressions: no Python touches a row.
 
-Classifier: multinomial naive Bayes over how many of a document's words are
-function words of each of ``MARKS``' groups, and how many are none. Its
-parameters are one grouped sum per domain over all labelled documents, so a hot
-domain is combined map-side. Log odds are divided by the square root of the
-number of words to keep posteriors soft on long texts.
+Classifier: multinomial naive Bayes over the first and the last ``PART``
+characters of each word, hashed to ``BUCKETS`` buckets; white space separates
+words, marks around them don't count. Its parameters are one grouped sum per
+domain and bucket over all labelled documents, so a hot domain is combined
+map-side, whatever the domains are called and whichever column holds them. Log
+odds are divided by the square root of the number of features to keep
+posteriors soft on long texts.
 
 Rates: minimise 1/2 * sum_k (total_k - target_k)^2 / present_k over rates >= 0
 from rates of 1 by projected gradient steps of length 1, in the metric that
@@ -23,9 +25,9 @@ document's rate is recomputed from the steps so far: no rate table is shuffled.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +35,10 @@ from voltframe.llm.common import KEY, WORD_SEPARATOR, checkpointed, row_key, tab
 
 #: Share of the mixture's tokens that each domain is to have.
 TARGETS = {"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.12}
-# Function words that tell the domains apart, in groups.
-MARKS = [
-    "the of and to in is that it for was with as be by on are this from or an at".split(),
-    "der die und das ist von mit den im ein eine nicht auf für dem des sich zu als auch".split(),
-    "le les des et du une est dans pour sur au par qui pas avec il ne ce sont aux".split(),
-    "el los y del se las por con para su al una lo es como más pero sus este ha".split(),
-    "de la que en un a o".split(),
-]
+BUCKETS = 2048
+PART = 3
+#: Stripped from both ends of a word before its parts are taken.
+AROUND = ".,;:!?()[]{}<>\"'`*_-/\\|\u2026\u2013\u2014\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00a1\u00bf"
 STEPS = 40
 #: Size of the fitted mixture, as a multiple of what keeps the total of the domain most above its target.
 HEADROOM = 1.01
@@ -49,54 +47,65 @@ MOST_GROWTH = 8.0
 TOLERANCE = 1e-3
 
 
-def profile(text: Column) -> Column:
-    """``tokens``, the number of words between ASCII white space, and ``marks``,
-    how many of them are in each group of ``MARKS`` and how many in none."""
-    every = sorted({w for group in MARKS for w in group})
-
-    def once(value: Column, use) -> Column:  # the value is computed once, not wherever it is named
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
-    def within(words: Column, group: list[str]) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(group)))
-
-    def counts(words: Column) -> Column:
-        marked = F.filter(words, lambda w: w.isin(every))
-        tokens = F.size(words)
-        return once(marked, lambda m: F.struct(
-            tokens.cast("long").alias("tokens"),
-            F.array(*[within(m, group) for group in MARKS], tokens - F.size(m)).alias("marks")))
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR, -1)
-    return once(F.array_remove(split, ""), counts)
-
-
-def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]]]:
-    """Log priors and log mark probabilities of ``domains`` from rows with
-    ``domain`` and ``marks``; Laplace-smoothed, so a domain without labelled
-    rows gets a flat one."""
-    sums = [F.sum(F.get("marks", F.lit(i))).alias(f"m{i}") for i in range(len(MARKS) + 1)]
-    got = {r["domain"]: r for r in labelled.where(F.col("domain").isin(domains)).groupBy("domain")
-           .agg(F.count(F.lit(1)).alias("n"), *sums).collect()}
-    n = sum(r["n"] for r in got.values())
-    priors, marks = [], []
-    for d in domains:
-        r = got.get(d)
-        counts = [(r[f"m{i}"] if r else 0.0) + 1.0 for i in range(len(MARKS) + 1)]
-        priors.append(math.log(((r["n"] if r else 0) + 1.0) / (n + len(domains))))
-        marks.append([math.log(c / sum(counts)) for c in counts])
-    return priors, marks
-
-
-def posteriors(marks: Column, model: tuple[list[float], list[list[float]]]) -> Column:
+def words(text: Column) -> Column:
+    """The lower-case words between ASCII white space; empty for null."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR, -1), "")
+
+
+def buckets(words: Column) -> Column:
+    """Buckets, 0 to ``BUCKETS`` - 1, of the beginnings and the ends of ``words``."""
+    def hashed(seed: int, part: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), part), F.lit(BUCKETS)).cast("int")
+    bare = F.transform(words, lambda w: F.trim(w, F.lit(AROUND)))
+    return _once(bare, lambda b: F.concat(F.transform(b, lambda w: hashed(0, F.substring(w, 1, PART))),
+                                          F.transform(b, lambda w: hashed(1, F.substring(w, -PART, PART)))))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once, not wherever it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float], np.ndarray]:
+    """Log priors and log probabilities of the buckets (a row for each) of
+    ``domains`` from rows with ``domain`` and ``words``; Laplace-smoothed, so a
+    domain without labelled rows gets a flat one."""
+    rows = labelled.where(F.col("domain").isin(domains))
+    # bucket -1 counts the rows
+    at = F.explode(F.concat(F.array(F.lit(-1)), buckets(F.col("words"))))
+    got = rows.select("domain", at.alias("at")).groupBy("domain", "at").agg(F.count(F.lit(1)).alias("n")).collect()
+    number = {d: k for k, d in enumerate(domains)}
+    n, counts = np.zeros(len(domains)), np.ones((BUCKETS, len(domains)))
+    for r in got:
+        if r["at"] < 0:
+            n[number[r["domain"]]] = r["n"]
+        else:
+            counts[r["at"], number[r["domain"]]] += r["n"]
+    priors = np.log((n + 1) / (n.sum() + len(domains)))
+    return [float(p) for p in priors], np.log(counts / counts.sum(axis=0))
+
+
+def posteriors(words: Column, model: tuple[list[float], np.ndarray]) -> Column:
     """Array of the domains' posteriors."""
-    seen = F.aggregate(marks, F.lit(0), lambda a, x: a + x)
+    priors, logs = model
+
+    def numbers(values) -> Column:  # one literal, folded by the optimiser
+        return F.split(F.lit(" ".join(f"{x:.6g}" for x in values)), " ").cast("array<double>")
+
+    def judge(at: Column) -> Column:
+        def logit(prior: float, logs) -> Column:
+            table = numbers(logs)
+            total = F.aggregate(at, F.lit(0.0), lambda a, b: a + F.get(table, b))
+            return F.lit(prior) + total / F.sqrt(F.size(at) + 1.0)
 
-    def logit(prior: float, logs: list[float]) -> Column:
-        products = F.zip_with(marks, F.array(*[F.lit(x) for x in logs]), lambda a, b: a * b)
-        return F.lit(prior) + F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / F.sqrt(seen + 1.0)
-    logits = F.array(*[logit(p, m) for p, m in zip(*model)])
-    raised = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
+        def share(logits: Column) -> Column:
+            raised = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
+            return _once(raised, lambda r: F.transform(
+                r, lambda x: x / F.aggregate(r, F.lit(0.0), lambda a, y: a + y)))
+        # odds against the last domain: one lookup less for each feature
+        odds = [logit(p - priors[-1], logs[:, k] - logs[:, -1]) for k, p in enumerate(priors[:-1])]
+        return _once(F.array(*odds, F.lit(0.0)), share)
+    return _once(buckets(words), judge)
 
 
 def _wanted(post: Column, targets: Mapping[str, float]) -> Column:
@@ -180,18 +189,20 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
 
     ``labels`` names the labelled documents by ``doc_id``; their ``domain_col``
     teaches the classifier. A label outside ``targets`` or a null one teaches
-    nothing. A null or empty text has no marks and no tokens: posterior equal
+    nothing. A null or empty text has no words and no tokens: posterior equal
     to the prior, rate 1, one copy. Null ids and repeated rows take part like
     others. Without labelled documents all domains are alike. An empty table
     gives an empty result."""
     names = list(targets)
-    base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.col(domain_col).alias("domain"),
-                       profile(F.col(text_col)).alias("profile")).select("*", "profile.*").drop("profile")
     known = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    base = checkpointed(base)
-    model = domain_model(base.join(known, "id", "left_semi"), names)
-    members = checkpointed(base.select(*KEY, F.col("id").alias(id_col), "tokens",
-                                       posteriors(F.col("marks"), model).alias("post")))
+    # texts, not words, are dealt; always by a shuffle, as the labels grow with the documents
+    labelled = (docs.select(F.col(id_col).alias("id"), F.col(domain_col).alias("domain"), F.col(text_col).alias("text"))
+                .where(F.col("domain").isin(names)).join(known.hint("merge"), "id", "left_semi"))
+    model = domain_model(labelled.select("domain", words(F.col("text")).alias("words")), names)
+    members = (docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
+               .select(*KEY, F.col("id").alias(id_col), _once(F.col("words"), lambda w: F.struct(
+                   F.size(w).cast("long").alias("tokens"), posteriors(w, model).alias("post"))).alias("judged")))
+    members = checkpointed(members.select(*KEY, id_col, "judged.*"))
     rate = fitted_rate(members, targets, steps)
     draw = (F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) / float(1 << 30))
     return (members.withColumn("rate", rate)
