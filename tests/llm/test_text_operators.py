@@ -58,6 +58,34 @@ def test_random_battery_finds_random_and_leaves_words(spark):
     assert not [i for i in found if i >= 100]
 
 
+def test_random_battery_looks_into_assignments_and_paths(spark):
+    r = random.Random(4)
+    plain = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = [("AWS_KEY_ID=", plain + "+/", ""), ("AccountKey=", plain + "+/", "=="), ("?sv=1&sig=", plain, ""),
+             ("see /my-app/", plain, ""), ("x/my-app/", plain + "-_", ""), ("key-", plain + "+/", "="),
+             ("key_", plain + "+/", ""), ("deadbeefdeadbeef0123/", plain, ""), ("𝒳 a=b=", plain + "+/", "")]
+    rows, where = [], {}
+    for i in range(20 * len(forms)):
+        before, symbols, after = forms[i % len(forms)]
+        value = "".join(r.choice(symbols) for _ in range(40))
+        if symbols.endswith("+/"):
+            value = value[:9] + "+" + value[10:19] + "/" + value[20:]
+        rows.append((i, f"text {before}{value}{after} end"))
+        where[i] = (5 + len(before), 45 + len(before))
+    words = ["MY_VERY_LONG_SETTING_NAME=some-ordinary-value-of-words", "docs/user-guide/getting_started/installation=yes",
+             "internationalisierungs-bestrebungen/donaudampfschifffahrtsgesellschaft=1"]
+    rows += [(1000 + i, f"text {w} here") for i, w in enumerate(words * 60)]
+    got = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    for g in got:
+        assert all(texts[g.doc_id][s.start:s.end] == s.value for s in g.random)
+    found = {g.doc_id for g in got for s in g.random if g.doc_id < 1000
+             and s.start <= where[g.doc_id][0] + 2 and s.end >= where[g.doc_id][1] - 2}
+    for k in range(len(forms)):
+        assert len([i for i in found if i % len(forms) == k]) >= 17, forms[k]
+    assert not [g for g in got if g.doc_id >= 1000 and g.random]
+
+
 def windows_removed(texts):
     """Brute force over all windows: (id, text) -> kept words per row."""
     words = [(i, (t or "").encode().split()) for i, t in texts]

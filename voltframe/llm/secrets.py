@@ -1,10 +1,12 @@
 """Secret scans: known forms and a battery of randomness tests.
 
 Known forms are three patterns (``assign``, ``access``, ``hex``). The battery
-adds ``random`` spans: maximal runs of ``[A-Za-z0-9+/_=-]`` of at least
-``MIN_RUN`` characters that overlap no known span. From the characters that
-occur an encoding is inferred (hex, base32, base36, base62, base64), whose
-alphabet the tests use:
+adds ``random`` spans: maximal runs of ``[A-Za-z0-9+/_=-]``, known spans cut out of
+them. A run that fits no encoding (``NAME=value``, paths, a prefix before
+base64) is split at inner ``=``, and what still fits none both at ``/`` and
+``+`` and at ``-`` and ``_``. Pieces of at least ``MIN_RUN`` characters are
+tested. From the characters that occur an encoding is inferred (hex, base32,
+base36, base62, base64), whose alphabet the tests use:
 
 * chi-squared uniformity of the symbol counts over the alphabet,
 * number of runs of one character class (lower, upper, digit, other),
@@ -52,6 +54,7 @@ ENCODINGS = [
     ("base64", "[A-Za-z0-9+/]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "[A-Za-z0-9_-]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 ]
+FITS = "^(?:" + "|".join(pattern for _, pattern, _ in ENCODINGS) + ")$"
 #: Chance that two symbols of ordinary text agree, and that neighbours differ in class.
 TEXT_COLLISIONS, TEXT_CHANGES = 0.07, 0.12
 
@@ -79,6 +82,43 @@ def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     return F.aggregate(zipped, empty, step, lambda done: done["spans"])
 
 
+def _without(run: Column, base: Column) -> Column:
+    """What ``base`` (sorted by start) leaves of one run."""
+    def piece(start: Column, end: Column) -> Column:
+        value = F.substring(run["value"], start - run["start"] + 1, end - start)
+        span = F.struct(F.lit("random").alias("kind"), start.alias("start"), end.alias("end"), value.alias("value"))
+        return F.filter(F.array(span).cast(SPAN), lambda s: s["end"] - s["start"] >= MIN_RUN)
+
+    def step(done: Column, b: Column) -> Column:
+        return F.struct(F.greatest(done["at"], b["end"]).alias("at"),
+                        F.concat(done["spans"], piece(done["at"], b["start"])).alias("spans"))
+    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    empty = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("spans"))
+    cut = F.aggregate(inside, empty, step, lambda done: F.concat(done["spans"], piece(done["at"], run["end"])))
+    return F.when(F.size(inside) == 0, F.array(run).cast(SPAN)).otherwise(cut)
+
+
+def _within(spans: Column, pattern: str) -> Column:
+    """Matches of ``pattern`` of at least ``MIN_RUN`` characters in each of ``spans``."""
+    def moved(span: Column) -> Column:
+        return F.transform(_matches(span["value"], "random", pattern, 0, MIN_RUN), lambda m: F.struct(
+            m["kind"].alias("kind"), (m["start"] + span["start"]).alias("start"),
+            (m["end"] + span["start"]).alias("end"), m["value"].alias("value")))
+    return F.flatten(F.transform(spans, moved))
+
+
+def _pieces(run: Column, base: Column) -> Column:
+    """The spans of one run that the battery tests."""
+    def once(value: Column, use) -> Column:  # the value is computed once, not wherever it is named
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def split(spans: Column, *patterns: str) -> Column:
+        return once(spans, lambda all_: once(F.filter(all_, lambda s: ~s["value"].rlike(FITS)), lambda odd: F.when(
+            F.size(odd) == 0, all_).otherwise(F.concat(F.filter(all_, lambda s: s["value"].rlike(FITS)),
+                                                       *[_within(odd, p) for p in patterns]))))
+    return split(split(_without(run, base), "[^=]+=*"), "[^/+]+", "[^_-]+")
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal, within 0.3 % of its value (a closed form
     by Boerjesson and Sundberg)."""
@@ -186,8 +226,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = F.transform(F.flatten(F.array(*base)),
                         lambda s: F.struct(s["start"], rank[s["kind"]].alias("order"), s["kind"], s["end"], s["value"]))
     spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
-    runs = F.filter(_matches(text, "random", RUN, 0, MIN_RUN),
-                    lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    runs = F.flatten(F.transform(_matches(text, "random", RUN, 0, MIN_RUN), lambda r: _pieces(r, F.col("base"))))
     found = stored(docs.select(F.col(id_col).alias("id"), spans.alias("base"), text.alias("text"))
                    .select("id", "base", runs.alias("runs")), "secret-spans")
     tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct()
@@ -206,6 +245,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = (found.where(F.size("runs") > 0).select("id", "base", F.explode("runs").alias("r"), "runs")
             .select(*row, F.col("r").alias("span"), F.col("r.value").alias("value")).distinct()
             .join(good, "value").groupBy(*ROW).agg(F.array_sort(F.collect_set("span")).alias("random")))
+    # the two ways to split a run overlap: a span inside another says nothing new
+    hits = hits.withColumn("random", F.filter("random", lambda s: ~F.exists("random", lambda o: (
+        (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (s["end"] - s["start"] < o["end"] - o["start"])))))
     keyed = found.select("*", *row)
     by_start = F.array_sort(F.transform("random", lambda s: F.struct(s["start"], s["kind"], s["end"], s["value"])))
     back = F.transform(by_start, lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
