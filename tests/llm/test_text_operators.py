@@ -278,6 +278,23 @@ def test_render(page, text):
     assert render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> b", "a x=1 b"),
+    ("a<svg><title>t</title><defs><text>d</text></defs><g>junk<rect width='1'/><text x=1>one</text><text>two</text></g>"
+     "</svg>b", "a\none\ntwo\nb"),
+    ("<svg><defs/><title/><text>seen</text><path d='M0'/></svg>after", "seen\nafter"),
+    ("<svg><g fill=a/><text>t</text></g></svg>u", "t\nu"), ("<defs>html</defs>", "html"),
+    ("<div style='visibility:hidden'>a<br><b style='visibility: visible'>b</b>c</div>d", "b\nd"),
+    ("<div style='display:none'>a<b style='visibility:visible'>b</b></div>d", "d"),
+    ("<table><tr><td><p>one<p>two<ul><li>a<li>b</ul><pre>x\n  y</pre></table>",
+     "one\n\ntwo\n\n  - a\n  - b\n\nx\n  y"),
+    ("<table><tr><td>a<br>b<td>1<tr><td>ccc<td>2</table>", "a    1\nb\nccc  2"),
+    ("<table><tr><td>menu<td><p>" + "w" * 70 + "<p>end</table>", "menu\n" + "w" * 70 + "\n\nend"),
+    ("<table><tr><td><tr><td>x</table>", "x")])
+def test_render_formulas_drawings_visibility_and_cells(page, text):
+    assert render(page) == text
+
+
 def test_render_depth_and_spark(spark):
     assert render("<div>" * 50_000 + "x") == "x"
     df = spark.createDataFrame([(1, "<p>a", "old"), (1, "<p>a", "old"), (2, None, None)], "page_id int, html string, text string")

@@ -33,15 +33,22 @@ LISTS = set("ul ol menu dir".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl blockquote pre figure table hr fieldset".split())
 BLOCKS = SPACED | set("address article aside body center details dialog div dd dt figcaption footer form header hgroup "
                       "html legend li main nav optgroup option section summary tr caption".split())
-HIDDEN = set("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist "
-             "title meta link".split())
+HIDDEN = set("head script style template noscript iframe noembed noframes object audio video canvas datalist title "
+             "meta link".split())
+#: Parts of a formula that give it again in another form.
+MATH_HIDDEN = set("annotation annotation-xml".split())
+#: Parts of an svg that aren't drawn where they stand; of the others, only what ``SVG_TEXT`` holds is text.
+SVG_HIDDEN = set("defs metadata desc symbol clippath mask pattern marker filter lineargradient radialgradient".split())
+SVG_TEXT = set("text foreignobject".split())
 SCOPE = set("table td th caption html template".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(?:[!?]|/[^a-zA-Z])[^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')?)*)(>?)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
+_UNQUOTED = re.compile(r"""=\s*[^\s"']+\Z""")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -104,11 +111,16 @@ class _Tree:
         elif tag in ("thead", "tbody", "tfoot", "caption", "colgroup"):
             self.close({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"})
             self.close({"tr"}, {"table"})
-        if tag in VOID:
+        if tag in VOID or self.empty(attributes):
             self.events += [("open", tag, attributes), ("close", tag)]
         else:
             self.push(tag, attributes)
 
+    def empty(self, attributes: str) -> bool:
+        """Whether ``/>`` ends the element, as it does in svg and math only."""
+        return (attributes.endswith("/") and bool(self.open["svg"] or self.open["math"])
+                and not _UNQUOTED.search(attributes))
+
     def _inside(self, tag: str) -> bool:
         for t in reversed(self.stack):
             if t == tag or t == "table":
@@ -157,7 +169,7 @@ def events(page: str) -> list[tuple]:
             tree.end(tag)
             continue
         tree.start(tag, token[3])
-        if tag in RAW:
+        if tag in RAW and not tree.empty(token[3]):
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
             stop = end.start() if end else len(page)
             tree.events.append(("text", unescape(page[at:stop]) if tag in ("textarea", "title") else page[at:stop]))
@@ -239,7 +251,7 @@ class _Table:
     earlier rows still fill, with the number of rows left."""
 
     def __init__(self):
-        self.rows: list[dict[int, tuple[str, int]]] = []
+        self.rows: list[dict[int, tuple[list[str], int]]] = []
         self.below: dict[int, int] = {}
         self.fresh: dict[int, int] = {}
 
@@ -256,23 +268,31 @@ class _Table:
         at = 0 if last is None else last + row[last][1]
         while at in self.below:
             at += 1
-        row[at] = (" ".join(x.strip() for x in lines if x.strip()), across)
+        row[at] = (lines if len(lines) > 1 else [x.strip() for x in lines], across)
         self.fresh.update({at + i: down for i in range(across) if down > 1})
 
     def lines(self) -> list[str]:
+        """Rows are as high as their highest cell. Where a cell of several lines
+        has one beyond ``ALIGN_WIDTH``, the cells of its row follow each other."""
         widths: Counter = Counter()
-        for row in self.rows:
-            for at, (text, across) in row.items():
-                if across == 1 and len(text) <= ALIGN_WIDTH:
-                    widths[at] = max(widths[at], len(text))
+        stacked = [any(len(lines) > 1 and max(map(len, lines)) > ALIGN_WIDTH for lines, _ in row.values())
+                   for row in self.rows]
+        for row, apart in zip(self.rows, stacked):
+            for at, (lines, across) in row.items():
+                if across == 1 and not apart:
+                    widths[at] = max([widths[at], *[len(x) for x in lines if len(x) <= ALIGN_WIDTH]])
         out = []
-        for row in self.rows:
-            line, col = "", 0
-            for at, (text, across) in sorted(row.items()):
-                line += "".join(" " * widths[c] + "  " for c in range(col, at))
-                line += text.ljust(sum(widths[c] + 2 for c in range(at, at + across)) - 2) + "  "
-                col = at + across
-            if line.strip():
+        for row, apart in zip(self.rows, stacked):
+            if apart:
+                out += [x for _, (lines, _) in sorted(row.items()) for x in lines]
+                continue
+            for i in range(max((len(lines) for lines, _ in row.values()), default=0)):
+                line, col = "", 0
+                for at, (lines, across) in sorted(row.items()):
+                    line += "".join(" " * widths[c] + "  " for c in range(col, at))
+                    text = lines[i] if i < len(lines) else ""
+                    line += text.ljust(sum(widths[c] + 2 for c in range(at, at + across)) - 2) + "  "
+                    col = at + across
                 out.append(line.rstrip())
         return out
 
@@ -285,11 +305,12 @@ def _number(attributes: dict[str, str], name: str, default: int, most: int) -> i
 def render(page: str | None) -> str:
     """Visible text of a page; empty for null."""
     flows, tables, cells, counters = [_Flow()], [], [], []
-    hidden = pre = 0
+    hidden = pre = svg = svg_text = math = 0
+    visible = [True]
     for event in events(page or ""):
         kind, what = event[0], event[1]
         if kind == "text":
-            if not hidden:
+            if not hidden and visible[-1] and (svg_text or not svg):
                 flows[-1].text(what, bool(pre))
             continue
         if kind == "open":
@@ -298,14 +319,31 @@ def render(page: str | None) -> str:
                 continue
             attributes = _attributes(event[2])
             unseen = (what in HIDDEN or "hidden" in attributes or bool(_UNSEEN.search(attributes.get("style", "")))
-                      or what == "dialog" and "open" not in attributes)
+                      or what == "dialog" and "open" not in attributes or svg and what in SVG_HIDDEN
+                      or math and what in MATH_HIDDEN)
             if unseen:
                 hidden = 1
                 continue
             flow = flows[-1]
+            said = _VISIBILITY.findall(attributes.get("style", ""))
+            visible.append(said[-1].lower() in ("visible", "initial") if said else visible[-1])
             if what == "br":
-                flow.newline()
+                if visible[-1]:
+                    flow.newline()
                 continue
+            if what == "svg":
+                svg += 1
+            elif svg and what in SVG_TEXT:
+                svg_text += 1
+                flow.block(1)
+            elif what == "math":
+                math += 1
+                if attributes.get("display", "").lower() == "block":
+                    flow.block(1)
+            elif what == "mtr":
+                flow.block(1)
+            elif what == "mtd":
+                flow.space = True
             if what in BLOCKS:
                 nested = what in LISTS and bool(counters)
                 flow.block(2 if what in SPACED and not nested else 1)
@@ -336,7 +374,15 @@ def render(page: str | None) -> str:
         if hidden:
             hidden -= 1
             continue
+        visible.pop()
         flow = flows[-1]
+        if what == "svg":
+            svg -= 1
+        elif what == "math":
+            math -= 1
+        elif svg and what in SVG_TEXT:
+            svg_text -= 1
+            flow.block(1)
         if what in ("td", "th") and tables:
             across, down, counters, pre = cells.pop()
             tables[-1].cell(flows.pop().result(), across, down)
@@ -355,7 +401,10 @@ def render(page: str | None) -> str:
         elif what == "table":
             for line in tables.pop().lines():
                 flow.block(1)
-                flow.put(line)
+                if line:
+                    flow.put(line)
+                else:
+                    flow.newline()
             flow.block(2)
     return "\n".join(flows[0].result())
 
