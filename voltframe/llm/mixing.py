@@ -35,6 +35,7 @@ from voltframe.llm.common import KEY, WORD_SEPARATOR, checkpointed, row_key, tab
 
 #: Share of the mixture's tokens that each domain is to have.
 TARGETS = {"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.12}
+#: A power of two.
 BUCKETS = 2048
 PART = 3
 #: Stripped from both ends of a word before its parts are taken.
@@ -54,11 +55,11 @@ def words(text: Column) -> Column:
 
 def buckets(words: Column) -> Column:
     """Buckets, 0 to ``BUCKETS`` - 1, of the beginnings and the ends of ``words``."""
-    def hashed(seed: int, part: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed), part), F.lit(BUCKETS)).cast("int")
+    def hashed(part: Column) -> Column:
+        return F.xxhash64(part).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     bare = F.transform(words, lambda w: F.trim(w, F.lit(AROUND)))
-    return _once(bare, lambda b: F.concat(F.transform(b, lambda w: hashed(0, F.substring(w, 1, PART))),
-                                          F.transform(b, lambda w: hashed(1, F.substring(w, -PART, PART)))))
+    return _once(bare, lambda b: F.concat(F.transform(b, lambda w: hashed(F.substring(w, 1, PART))),
+                                          F.transform(b, lambda w: hashed(F.substring(w, -PART, PART)))))
 
 
 def _once(value: Column, use) -> Column:
