@@ -71,17 +71,18 @@ def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float],
     """Log priors and log probabilities of the buckets (a row for each) of
     ``domains`` from rows with ``domain`` and ``words``; Laplace-smoothed, so a
     domain without labelled rows gets a flat one."""
-    rows = labelled.where(F.col("domain").isin(domains))
-    # bucket -1 counts the rows
-    at = F.explode(F.concat(F.array(F.lit(-1)), buckets(F.col("words"))))
-    got = rows.select("domain", at.alias("at")).groupBy("domain", "at").agg(F.count(F.lit(1)).alias("n")).collect()
-    number = {d: k for k, d in enumerate(domains)}
+    number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("int") - 1
+    # bucket BUCKETS counts the rows; one number stands for domain and bucket
+    at = F.explode(F.concat(F.array(F.lit(BUCKETS)), buckets(F.col("words")))).alias("at")
+    got = (labelled.where(F.col("domain").isin(domains)).select(number.alias("k"), at)
+           .groupBy((F.col("k") * (BUCKETS + 1) + F.col("at")).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
     n, counts = np.zeros(len(domains)), np.ones((BUCKETS, len(domains)))
     for r in got:
-        if r["at"] < 0:
-            n[number[r["domain"]]] = r["n"]
+        k, b = divmod(r["cell"], BUCKETS + 1)
+        if b == BUCKETS:
+            n[k] = r["n"]
         else:
-            counts[r["at"], number[r["domain"]]] += r["n"]
+            counts[b, k] += r["n"]
     priors = np.log((n + 1) / (n.sum() + len(domains)))
     return [float(p) for p in priors], np.log(counts / counts.sum(axis=0))
 
