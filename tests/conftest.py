@@ -20,6 +20,3 @@ def spark():
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="vf-test-")
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from voltframe.plans.catalog import ORACLE, QUERIES
 from voltframe.plans.verify import compare
 

@@ -51,7 +51,7 @@ def test_reaggregation_scope_whole_hours(spark):
 
 
 def test_reference_scope_equals_touched_hours(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from voltframe.operators import hourly as H
     from voltframe.operators import readings as R
     from voltframe.plans.incremental import rebuild_hours
@@ -68,7 +68,7 @@ def test_reference_scope_equals_touched_hours(spark):
 
 
 def test_read_changes_and_volume_checks(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from voltframe.operators.diagnostics import volume_checks
     from voltframe.plans.pipeline import Pipeline
     log = Pipeline.of(spark, SF_SMALL).change_log

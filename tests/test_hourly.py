@@ -53,7 +53,7 @@ def test_rank_ties_break_on_hour(spark):
 
 
 def test_direct_totals_equal_two_level(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from voltframe.plans.pipeline import Pipeline
     p = Pipeline.of(spark, SF_SMALL)
     a = U.system_hourly_totals(p.nosub)

@@ -1,6 +1,6 @@
 import os
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from voltframe.plans import jobs
 from voltframe.plans.catalog import QUERIES
 from voltframe.plans.pipeline import Pipeline

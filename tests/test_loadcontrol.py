@@ -118,7 +118,7 @@ def test_peaks_index_dst(spark):
 
 
 def test_incremental_lc_analysis_equals_full(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from voltframe.plans.incremental import LC_KEY, update_lc_analysis
     from voltframe.plans.pipeline import Pipeline
     p = Pipeline(spark, SF_SMALL)

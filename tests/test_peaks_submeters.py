@@ -45,7 +45,7 @@ def test_submeter_map_from_text_ids(spark):
 
 
 def test_peak_queries_on_peak_hours_equal_full_hourly(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from voltframe.plans.pipeline import Pipeline
     p = Pipeline.of(spark, SF_SMALL)
     ipk = p.indexed_peaks

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from test_readings import SCHEMA, brute_force_clean
 from voltframe.operators import readings as R
 from voltframe.plans.catalog import QUERIES
