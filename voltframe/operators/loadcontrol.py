@@ -95,7 +95,7 @@ def expand_lc_periods(periods: DataFrame, start_offset: int = -48,
 
 # ------------------------------------------------------------------ fulfilment
 
-def _map(meter_map: DataFrame, program_col: str) -> DataFrame:
+def program_map(meter_map: DataFrame, program_col: str) -> DataFrame:
     """Programme-map columns; ids exported as text are cast once here (T8)."""
     ids = {c: F.col(c).try_cast("int").alias(c) for c in ("BI_ACCT", "BI_SRV_LOC_NBR", "BI_MTR_NBR")}
     return meter_map.select(ids["BI_ACCT"], ids["BI_SRV_LOC_NBR"], ids["BI_MTR_NBR"], "BI_LOAD_TYPE",
@@ -117,7 +117,7 @@ def meter_profiles(meter_map: DataFrame, program_col: str = "BI_LOAD_TYPE",
     counts rows); pair it with ``profile_fulfilment(..., distinct_types=True)``
     so that overlapping events of one programme count once per slot.
     """
-    m = _map(meter_map, program_col)
+    m = program_map(meter_map, program_col)
     if distinct_types:
         m = m.dropDuplicates(["BI_MTR_NBR", "_prog", "BI_LOAD_TYPE"])
     pc = m.groupBy("BI_MTR_NBR").agg(F.count("BI_LOAD_TYPE").alias("ProgramCount"))
@@ -206,7 +206,7 @@ def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: Data
           .join(slots, F.col("EndMeterSampleIndex") == F.col("_slot"), "left_semi"))
     # distinct (account, location, type, programme) rows per meter, with the
     # meter's profile; AQE picks the joins from the sides' sizes at run time
-    mp = (_map(meter_map, program_col).dropDuplicates()
+    mp = (program_map(meter_map, program_col).dropDuplicates()
           .join(prof.select("BI_MTR_NBR", "ProfileKey"), "BI_MTR_NBR"))
     pt = (pts.select(F.col("Program").alias("_pp"), F.col("MeterSampleIndex").alias("_pi"),
                      "LoadControlEventID", "LoadControlEvent").dropDuplicates())
@@ -216,11 +216,18 @@ def load_control_analysis(points: DataFrame, meter_map: DataFrame, indexed: Data
                 (F.col("ProfileKey") == F.col("_pk")) & (F.col("EndMeterSampleIndex") == F.col("_oi")),
                 "left_semi"))
     joined = rd.join(pt, (F.col("_prog") == F.col("_pp")) & (F.col("EndMeterSampleIndex") == F.col("_pi")))
-    # an event id reached through two programmes would pair a reading with the
-    # same (event, type) twice: keep the distinct rows
-    cols = [*indexed.columns, "BI_ACCT", "BI_SRV_LOC_NBR", "BI_LOAD_TYPE", "LoadControlEventID", "LoadControlEvent"]
-    joined = joined.select(*cols).dropDuplicates()
-    return (with_local_parts(joined, "StartMeterSampleIndex", tz)
+    return controlled_hours(joined, indexed.columns, tz)
+
+
+def controlled_hours(joined: DataFrame, reading_columns: list[str], tz: str = LOCAL_TZ) -> DataFrame:
+    """Readings paired with the events that control them -> sums per local hour
+    and event.
+
+    An event id reached through two programmes would pair a reading with the
+    same (event, type) twice: only distinct rows count.
+    """
+    cols = [*reading_columns, "BI_ACCT", "BI_SRV_LOC_NBR", "BI_LOAD_TYPE", "LoadControlEventID", "LoadControlEvent"]
+    return (with_local_parts(joined.select(*cols).dropDuplicates(), "StartMeterSampleIndex", tz)
             .groupBy(*LC_GROUP)
             .agg(F.sum("AMIValue").alias("HourlyAMIValue"),
                  F.sum("VEEValue").alias("HourlyVEEValue"),

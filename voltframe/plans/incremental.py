@@ -9,11 +9,13 @@ are folded in the same way (``update_lc_analysis``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from voltframe.functions.timeindex import LOCAL_TZ
+from voltframe.functions.timeindex import LOCAL_TZ, STEP_MINUTES
 from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
+from voltframe.operators.loadcontrol import load_control_analysis
 
 
 def rebuild_hours(upstream_indexed: DataFrame, changed_indexed: DataFrame,
@@ -35,29 +37,31 @@ def apply_hourly(hourly: DataFrame, upstream_indexed: DataFrame, changed_indexed
 
 # ------------------------------------------------------------ load control
 
+SLOTS_PER_HOUR = 60 // STEP_MINUTES
 LC_KEY = ["BI_ACCT", "BI_SRV_LOC_NBR", "MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
           "Year", "Month", "Day", "HourEnding", "LoadControlEventID", "BI_LOAD_TYPE"]
 
 
 def update_lc_analysis(existing: DataFrame | None, points: DataFrame, meter_map: DataFrame,
-                       indexed: DataFrame, since_index: int, program_col: str = "BI_LOAD_TYPE",
-                       max_sample_slots: int = 24, tz: str = LOCAL_TZ) -> DataFrame:
+                       indexed: DataFrame, since_index: int | Column, program_col: str = "BI_LOAD_TYPE",
+                       tz: str = LOCAL_TZ, analysis=load_control_analysis) -> DataFrame:
     """Fold everything after ``since_index`` into the analysis table.
 
     Groups (meter, local hour, event, load type) that have a reading ending
     after ``since_index`` are recomputed from *all* their readings and upserted
     on the group key -- no partial hour is appended (the reference appends
     the rows after its cut-off, so an hour split by it gets two rows).
-    Recomputing from ``since_index - 12 - max_sample_slots`` on is enough: a
-    group's readings start inside one hour, so none of them ends earlier.
-    Fulfilment at a slot only depends on the points at that slot.
+    A group's readings start inside one hour, so none of them ends earlier than
+    an hour and the longest sample before ``since_index``; that length comes from
+    the readings themselves. Fulfilment at a slot only depends on the events at
+    that slot. ``analysis`` is ``load_control_analysis`` with points or
+    ``load_control_intervals`` with periods.
     """
-    from pyspark.sql import functions as F
-
-    from voltframe.operators.loadcontrol import load_control_analysis
-    lower = since_index - 12 - max_sample_slots
-    fresh = (load_control_analysis(points, meter_map, indexed, program_col, since_index=lower, tz=tz)
-             .filter(F.col("EndMeterSampleIndex") > since_index))
+    since = since_index if isinstance(since_index, Column) else F.lit(since_index)
+    longest = indexed.agg(F.coalesce(F.max(F.col("EndMeterSampleIndex") - F.col("StartMeterSampleIndex")),
+                                     F.lit(0))).scalar()
+    fresh = (analysis(points, meter_map, indexed, program_col, since_index=since - SLOTS_PER_HOUR - longest, tz=tz)
+             .filter(F.col("EndMeterSampleIndex") > since))
     if existing is None:
         return fresh
     return C.upsert(existing, fresh, LC_KEY)

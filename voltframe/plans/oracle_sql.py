@@ -128,6 +128,24 @@ LC_FULFIL_CTES = LC_PERIODS_CTES + [
                  FROM pc JOIN dups d USING (BI_MTR_NBR)"""),
 ]
 
+# events and programme map that grow, on the readings moved over the clock
+# changes: every slot of every event, then the matches of each reading's meter
+LC_WIDE_CTES = ([(n, b.replace("fx_bronze", "fx_bronze_dst")) for n, b in READING_CTES]
+                + [(n, b.replace("fx_lc_text", "fx_lc_text_wide")) for n, b in LC_PERIODS_CTES] + [
+    ("cover", "SELECT Program, MeterSampleIndex, COUNT(*) AS c FROM points GROUP BY ALL"),
+    ("ends", """SELECT DISTINCT MeterNumber, EndMeterSampleIndex AS i FROM indexed
+                WHERE FlowDirection = 'F' AND Channel = 1 AND EndMeterSampleIndex IS NOT NULL"""),
+    ("matches", """SELECT e.MeterNumber, e.i, SUM(CASE WHEN m.BI_LOAD_TYPE IS NULL THEN 0 ELSE c END) AS n
+                   FROM ends e JOIN fx_load_types_wide m ON m.BI_MTR_NBR = e.MeterNumber
+                   JOIN cover ON cover.Program = m.Program AND cover.MeterSampleIndex = e.i GROUP BY ALL"""),
+    ("ful", """SELECT MeterNumber, i FROM matches JOIN (SELECT BI_MTR_NBR, COUNT(BI_LOAD_TYPE) AS programs
+               FROM fx_load_types_wide GROUP BY ALL) pc ON pc.BI_MTR_NBR = MeterNumber WHERE n = programs"""),
+    ("fts", """SELECT DISTINCT m.BI_ACCT, m.BI_SRV_LOC_NBR, m.BI_MTR_NBR, ful.i AS MeterSampleIndex,
+               p.LoadControlEventID, m.BI_LOAD_TYPE, p.LoadControlEvent
+               FROM ful JOIN fx_load_types_wide m ON m.BI_MTR_NBR = ful.MeterNumber
+               JOIN points p ON p.Program = m.Program AND p.MeterSampleIndex = ful.i"""),
+])
+
 PEAK_CTES = [
     ("pk", """SELECT CoincidTime, CAST(year(CoincidTime) AS INTEGER) AS CoincidYear,
                      CAST(month(CoincidTime) AS INTEGER) AS CoincidMonth,

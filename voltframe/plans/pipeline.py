@@ -85,6 +85,15 @@ class Pipeline:
     def lc_points(self) -> DataFrame:
         return L.expand_lc_periods(self.lc_periods)
 
+    # ---- load control with events that grow, on readings over the clock changes
+    @cached_property
+    def indexed_dst(self) -> DataFrame:
+        return R.index_readings(R.clean_readings(self.fx.fx_bronze_dst))
+
+    @cached_property
+    def lc_periods_wide(self) -> DataFrame:
+        return L.index_lc_periods(self.fx.fx_lc_text_wide)
+
     # ---- peaks
     @cached_property
     def peaks(self) -> DataFrame:

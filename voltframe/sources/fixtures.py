@@ -121,6 +121,34 @@ SELECT CONCAT(CAST(month(StartDateTime) AS STRING), '/', CAST(dayofmonth(StartDa
        CONCAT(CAST(hour(StartDateTime) AS STRING), ':', lpad(CAST(minute(StartDateTime) AS STRING), 2, '0')) AS StartTime,
        CONCAT(CAST(hour(EndDateTime) AS STRING), ':', lpad(CAST(minute(EndDateTime) AS STRING), 2, '0')) AS StopTime
 FROM {fx_lc_events}"""),
+    # one event for every order, in the programme of the customer's zone (15
+    # customers), on the days of ``fx_bronze_dst``: events overlap, cross the clock
+    # changes and midnight, and one in 97 is named twice in two date formats
+    "fx_lc_text_wide": (("orders",), """
+SELECT DISTINCT CONCAT(CASE WHEN twice = 1 THEN lpad(CAST(month(day) AS STRING), 2, '0') ELSE CAST(month(day) AS STRING) END,
+              '/', CAST(dayofmonth(day) AS STRING), '/', CAST(year(day) AS STRING)) AS Date, Program,
+       CONCAT(CAST(CAST(FLOOR(first / 60) AS INT) AS STRING), ':', lpad(CAST(first % 60 AS STRING), 2, '0')) AS StartTime,
+       CONCAT(CAST(CAST(FLOOR(last / 60) AS INT) AS STRING), ':', lpad(CAST(last % 60 AS STRING), 2, '0')) AS StopTime
+FROM (SELECT Program, day, first, (first + length) % 1440 AS last, twice
+      FROM (SELECT CONCAT(CASE o_orderkey % 4 WHEN 0 THEN 'IR1' WHEN 1 THEN 'DF1' WHEN 2 THEN 'WH1' ELSE 'GN1' END, ' Z',
+                   CAST(CAST(FLOOR(o_custkey / 15) AS INT) AS STRING)) AS Program,
+            CAST(TIMESTAMP '2024-01-01 00:00:00'
+                 + CAST(CASE FLOOR(o_orderkey / 4) % 4 WHEN 0 THEN 0 WHEN 1 THEN 55 WHEN 2 THEN 290 ELSE 420 END AS INT)
+                   * INTERVAL '1' DAY + CAST(FLOOR(o_orderkey / 16) % 30 AS INT) * INTERVAL '1' DAY AS TIMESTAMP) AS day,
+            CAST((o_orderkey * 7) % 288 * 5 AS INT) AS first, CAST(30 + (o_orderkey % 12) * 25 AS INT) AS length, 0 AS twice
+            FROM {orders}
+            UNION ALL
+            SELECT CONCAT(CASE o_orderkey % 4 WHEN 0 THEN 'IR1' WHEN 1 THEN 'DF1' WHEN 2 THEN 'WH1' ELSE 'GN1' END, ' Z',
+                   CAST(CAST(FLOOR(o_custkey / 15) AS INT) AS STRING)),
+            CAST(TIMESTAMP '2024-01-01 00:00:00'
+                 + CAST(CASE FLOOR(o_orderkey / 4) % 4 WHEN 0 THEN 0 WHEN 1 THEN 55 WHEN 2 THEN 290 ELSE 420 END AS INT)
+                   * INTERVAL '1' DAY + CAST(FLOOR(o_orderkey / 16) % 30 AS INT) * INTERVAL '1' DAY AS TIMESTAMP),
+            CAST((o_orderkey * 7) % 288 * 5 AS INT), CAST(30 + (o_orderkey % 12) * 25 AS INT), 1
+            FROM {orders} WHERE o_orderkey % 97 = 0) o) e"""),
+    "fx_load_types_wide": (("fx_load_types",), """
+SELECT BI_ACCT, BI_MTR_NBR, BI_MTR_POS_NBR, BI_SRV_LOC_NBR, BI_LOAD_TYPE,
+       CONCAT(BI_LOAD_TYPE, ' Z', CAST(CAST(FLOOR(BI_MTR_NBR / 15) AS INT) AS STRING)) AS Program
+FROM {fx_load_types}"""),
     # coincident peaks (local wall time), one per day at 18:00
     "fx_peaks": (("orders",), """
 SELECT DISTINCT CAST(TIMESTAMP '2024-01-01 18:00:00' + CAST(o_orderkey % 28 AS INT) * INTERVAL '1' DAY AS TIMESTAMP) AS CoincidTime
