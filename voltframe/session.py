@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder name below the shared checkpoint folder, for tables that a
+    run writes and reads again. Nothing is created; the folder is scratch space."""
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
                max_partitions: int = 100_000) -> dict:
     """Shuffle sizing for a run over ``input_bytes`` of input: enough shuffle

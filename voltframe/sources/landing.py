@@ -36,31 +36,55 @@ LC_EVENT_SCHEMA = T.StructType([
 # ---------------------------------------------------------------------------
 
 
-def _with_rescue(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(RESCUE_COLUMN, T.StringType(), True)])
+LINE_COLUMN = "_line"
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    """The layout with every field as text, and the line of a row that has too
+    few or too many fields."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields]
+                        + [T.StructField(LINE_COLUMN, T.StringType(), True)])
 
 
 def _reading_csv_options(reader):
-    # header skipped, malformed lines kept with the raw text in the rescue
-    # column; .gz files are decompressed by extension
+    # header skipped; .gz files are decompressed by extension
     return (reader.option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", RESCUE_COLUMN))
+            .option("columnNameOfCorruptRecord", LINE_COLUMN))
+
+
+def typed_with_rescue(text: DataFrame, schema: T.StructType = READING_SCHEMA) -> DataFrame:
+    """Text columns -> the layout's types, field by field. A field that doesn't
+    fit its type is null, and its text is kept in ``_rescued_data``: a JSON object
+    of such fields by name, with the whole line under ``_line`` if the row has too
+    few or too many fields. It is null for a row where everything fits; the good
+    fields of a damaged row are kept."""
+    typed, failed = [], []
+    for f in schema.fields:
+        value = F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        failed.append(F.when(value.isNull() & F.col(f.name).isNotNull(), F.col(f.name)).alias(f.name))
+    if LINE_COLUMN in text.columns:
+        failed.append(F.col(LINE_COLUMN))
+    # to_json leaves out null fields
+    rescued = F.when(F.coalesce(*failed).isNotNull(), F.to_json(F.struct(*failed)))
+    rest = [c for c in text.columns if c not in schema.fieldNames() and c != LINE_COLUMN]
+    return text.select(*typed, rescued.alias(RESCUE_COLUMN), *rest)
 
 
 def read_readings_batch(spark: SparkSession, path: str) -> DataFrame:
     """One extract file or a folder of them (plain or gzip CSV)."""
-    df = _reading_csv_options(spark.read.schema(_with_rescue(READING_SCHEMA))).csv(path)
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    df = _reading_csv_options(spark.read.schema(_as_text(READING_SCHEMA))).csv(path)
+    return typed_with_rescue(df.withColumn("_source_file", F.col("_metadata.file_path")))
 
 
 def stream_readings(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
                     schema: T.StructType = READING_SCHEMA) -> DataFrame:
     """Incremental file stream over a landing folder; each file is read once
     (tracked in the query checkpoint)."""
-    r = _reading_csv_options(spark.readStream.schema(_with_rescue(schema)))
+    r = _reading_csv_options(spark.readStream.schema(_as_text(schema)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(landing).withColumn("_source_file", F.col("_metadata.file_path"))
+    return typed_with_rescue(r.csv(landing).withColumn("_source_file", F.col("_metadata.file_path")), schema)
 
 
 def read_lc_events(spark: SparkSession, path_glob: str) -> DataFrame:
