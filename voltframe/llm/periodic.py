@@ -226,13 +226,19 @@ def with_planted_runs(id_col: Column, text_col: Column) -> Column:
     from some place on replaced by repetitions of a few words at that place."""
     h = F.crc32(id_col.cast("string").cast("binary"))
     g = F.floor(h / 10)
-    words = F.filter(F.split(text_col, WORD_SEPARATOR), lambda w: w != "")
-    n = F.size(words).cast("long")
-    a = g % F.greatest(n, F.lit(1))
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    again = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(
-        F.element_at(words, (a + (i - a) % p + 1).cast("int"))))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text_col)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % F.greatest(n, F.lit(1))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        times = (F.floor((n - a) / p) + 1).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), (n - a).cast("int"))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+
+    # in an array of one, so that the words are split once for all their uses
+    words = F.array(F.filter(F.split(text_col, WORD_SEPARATOR), lambda w: w != ""))
+    return F.when(h % 10 == 0, F.transform(words, repeated)[0]).otherwise(text_col)
 
 
 def op11_periodic_runs(spark, sf_dir: str) -> DataFrame:
