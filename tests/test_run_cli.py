@@ -60,8 +60,8 @@ def test_cli_chain_then_gold(spark, tmpdir_path):
     write_extract(landing, "b", lines[6:])
     main(["ingest", "--landing", landing, "--bronze", bronze, "--checkpoint", ck + "/ingest"])
     main(chain_args)
-    from voltframe.sources.tables import PartitionedTable
-    lc = PartitionedTable(spark, os.path.join(root, "lc_analysis"), part_col="local_date").read()
+    from voltframe.sources.tables import DayTable
+    lc = DayTable(spark, os.path.join(root, "lc_analysis"), part_col="local_date").read()
     assert lc.count() > 0 and {r.MeterNumber for r in lc.collect()} == {10}
     gold = os.path.join(tmpdir_path, "gold")
     main(["gold", "--chain-root", root, "--out", gold])

@@ -63,7 +63,7 @@ def test_incremental_chain_equals_full_rebuild(spark, tmpdir_path):
                         (chain.nosub, exclude_submeters(full_ix, smap))):
         got = table.read().drop("day")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
-    assert len(chain.hourly.versions()) == 3
+    assert chain.progress().filter('step = 2').count() == 3
     # the change log: batch 1 inserts everything, later batches insert new
     # keys and update overlapping ones (pre- and post-images pair up)
     log = chain.change_log()
@@ -91,17 +91,17 @@ def test_replayed_batch_after_partial_failure_is_exact(spark, tmpdir_path):
 
     chain = SilverChain(spark, os.path.join(tmpdir_path, "crash"))
     chain.apply(b0, 0)
-    original = chain._fold_hourly
+    original = chain.hourly.merged
 
     def crash(*a, **k):
         raise RuntimeError("executor lost")
-    chain._fold_hourly = crash
+    chain.hourly.merged = crash
     try:
-        chain.apply(b1, 1)  # cleaned + indexed of version 2 are written, then the batch dies
+        chain.apply(b1, 1)  # cleaned + indexed of version 2 are staged, then the batch dies
     except RuntimeError:
         pass
     assert not chain.applied(1)
-    chain._fold_hourly = original
+    chain.hourly.merged = original
     chain.apply(b1, 1)      # replay
     for t in ("cleaned", "indexed", "hourly"):
         a = getattr(chain, t).read()
@@ -165,18 +165,48 @@ def test_chain_run_in_bounded_batches(spark, tmpdir_path):
     assert sorted(map(tuple, got.select(full.columns).collect())) == sorted(map(tuple, full.collect()))
 
 
-def test_table_history_and_view(spark, tmpdir_path):
+def test_a_batch_rewrites_touched_partitions_only(spark, tmpdir_path):
+    from glob import glob
+
     from voltframe.sources.fixtures import Fixtures
     fx = Fixtures.of(spark, "/root/testdata/sf0.001")
     chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
     chain.apply(_bronze_days(fx.fx_bronze, 1, 3), 0)
+    files = lambda: set(glob(os.path.join(tmpdir_path, "c", "cleaned", "day=*", "*.parquet")))
+    first = files()
     chain.apply(_bronze_days(fx.fx_bronze, 3, 4), 1)
-    h = chain.cleaned.history()
-    per_version = {r.version: r["count"] for r in h.groupBy("version").count().collect()}
-    assert per_version == {1: 3, 2: 2}       # days 1-3, then days 3-4
-    assert h.filter("NOT committed").count() == 0
-    chain.cleaned.as_view("vf_cleaned_now")
-    assert spark.sql("SELECT COUNT(*) FROM vf_cleaned_now").first()[0] == chain.cleaned.read().count()
+    day = lambda f: f.split("day=")[1][:10]
+    assert {day(f) for f in first - files()} == {"2024-01-03"}
+    assert {day(f) for f in files() - first} == {"2024-01-03", "2024-01-04"}
+
+
+def test_a_batch_that_died_while_put_in_place(spark, tmpdir_path):
+    """Some tables are replaced, others not: the staged partitions are put in
+    place again, with the change rows of the first attempt."""
+    from voltframe.sources.fixtures import Fixtures
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    chains = [SilverChain(spark, os.path.join(tmpdir_path, n), gates=False) for n in ("whole", "died")]
+    for c in chains:
+        c.apply(_bronze_days(fx.fx_bronze, 1, 10), 0)
+    chains[0].apply(_bronze_days(fx.fx_bronze, 8, 20), 1)
+    replace = chains[1].hourly.replace
+
+    def crash(content):
+        raise RuntimeError("driver lost")
+    chains[1].hourly.replace = crash
+    try:
+        chains[1].apply(_bronze_days(fx.fx_bronze, 8, 20), 1)
+    except RuntimeError:
+        pass
+    chains[1].hourly.replace = replace
+    assert not chains[1].applied(1)
+    chains[1].apply(_bronze_days(fx.fx_bronze, 8, 20), 1)
+    chains[1].apply(_bronze_days(fx.fx_bronze, 8, 20), 1)  # and once more, in vain
+    for table in ("cleaned", "indexed", "hourly"):
+        a, b = (getattr(c, table).read() for c in chains)
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(a.columns).collect()), key=repr)
+    logs = [c.change_log().groupBy("_commit_version", "_change_type").count().collect() for c in chains]
+    assert sorted(logs[0]) == sorted(logs[1])
 
 
 def test_a_new_checkpoint_skips_no_batch(spark, tmpdir_path):
@@ -201,18 +231,18 @@ def test_replayed_batch_reaches_consumers_once(spark, tmpdir_path):
     from voltframe.streaming.changes import consume_changes
     fx = Fixtures.of(spark, "/root/testdata/sf0.001")
     chain = SilverChain(spark, os.path.join(tmpdir_path, "c"), gates=False)
-    batch, fold, seen = _bronze_days(fx.fx_bronze, 1, 5), chain._fold_hourly, []
+    batch, merged, seen = _bronze_days(fx.fx_bronze, 1, 5), chain.hourly.merged, []
     log, ck = os.path.join(tmpdir_path, "c", "cleaned_changes"), os.path.join(tmpdir_path, "ck")
 
     def crash(*a, **k):
         raise RuntimeError("executor lost")
-    chain._fold_hourly = crash
+    chain.hourly.merged = crash
     try:
         chain.apply(batch, 0)
     except RuntimeError:
         pass
-    consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
-    chain._fold_hourly = fold
+    assert not os.path.exists(log)  # consumers see nothing of a batch that died
+    chain.hourly.merged = merged
     chain.apply(batch, 0)
     consume_changes(spark, log, ck, lambda df, bid: seen.append(df.count()))
     assert sum(seen) == chain.change_log().count() > 0
@@ -238,9 +268,9 @@ def test_local_parts_need_a_utc_session(spark):
 
 
 def test_upsert_with_a_new_column(spark, tmpdir_path):
-    from voltframe.sources.tables import PartitionedTable
-    t = PartitionedTable(spark, os.path.join(tmpdir_path, "t"))
-    t.upsert(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], "k int, x string, day string"), ["k"], 1)
-    t.upsert(spark.createDataFrame([(1, 5, "d1"), (3, 6, "d1")], "k int, y int, day string"), ["k"], 2)
+    from voltframe.sources.tables import DayTable
+    t = DayTable(spark, os.path.join(tmpdir_path, "t"))
+    t.upsert(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], "k int, x string, day string"), ["k"])
+    t.upsert(spark.createDataFrame([(1, 5, "d1"), (3, 6, "d1")], "k int, y int, day string"), ["k"])
     got = {r.k: (r.x, r.y) for r in t.read().collect()}
     assert got == {1: (None, 5), 2: ("b", None), 3: (None, 6)}

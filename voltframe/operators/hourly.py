@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.text import pct_difference
 from voltframe.functions.timeindex import (CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR, LOCAL_TZ, hour_ending,
-                                           index_to_local)
+                                           index_to_local, index_to_utc)
 
 HOURLY_KEY = ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
               "LocalYear", "LocalMonth", "LocalDay", "HourEnding"]
@@ -104,3 +104,28 @@ def hours_ending_at(indexed: DataFrame, slots: DataFrame, tz: str = LOCAL_TZ) ->
     s = slots.select(F.col("MeterSampleIndex").alias("_s")).distinct()
     ends = indexed.join(s, F.col("EndMeterSampleIndex") == F.col("_s"), "left_semi")
     return with_local_parts(ends, "StartMeterSampleIndex", tz).select(*HOUR_PARTS).distinct()
+
+
+SLOTS_PER_DAY = 288
+
+
+def start_days(slots: DataFrame, longest_slots: int, slot_col: str = "MeterSampleIndex") -> DataFrame:
+    """Distinct UTC days (``day``) on which a reading of at most ``longest_slots``
+    slots may start that ends at one of ``slots``."""
+    last = F.to_date(index_to_utc(F.col(slot_col) - 1))
+    first = F.to_date(index_to_utc(F.col(slot_col) - max(longest_slots, 1)))
+    return (slots.filter(F.col(slot_col) > 0)
+            .select(F.explode(F.sequence(first, last)).alias("day")).distinct())
+
+
+def hourly_usage_ending_at(by_day: DataFrame, slots: DataFrame, longest_slots: int, tz: str = LOCAL_TZ) -> DataFrame:
+    """The rows of ``hourly_usage`` that can end at one of ``slots``, from a table
+    of indexed readings partitioned by the UTC day of their start (``day``).
+
+    Both reads of the table are joined to the few days of the slots, which Spark
+    turns into dynamic partition pruning: other days aren't read. A zone at whole
+    hours from UTC has each local hour inside one UTC day, so the days hold all
+    readings of the hours found."""
+    days = start_days(slots, longest_slots)
+    near = by_day.join(F.broadcast(days), "day", "left_semi").drop("day")
+    return hourly_usage_in_hours(near, hours_ending_at(near, slots, tz), tz)

@@ -100,8 +100,8 @@ def main(argv=None) -> None:
         SilverChain(spark, args.root, smap, lc_points=points, program_map=pmap,
                     program_col=args.program_col).run(args.bronze, args.checkpoint)
     elif args.job == "gold":
-        from voltframe.sources.tables import PartitionedTable
-        hourly_nosub = PartitionedTable(spark, f"{args.chain_root.rstrip('/')}/hourly_nosub").read().drop("day")
+        from voltframe.sources.tables import DayTable
+        hourly_nosub = DayTable(spark, f"{args.chain_root.rstrip('/')}/hourly_nosub").read().drop("day")
         jobs.refresh_usage_gold(spark, hourly_nosub, args.out)
     elif args.job == "ingest":
         from voltframe.streaming.ingest import ingest_available

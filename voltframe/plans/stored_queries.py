@@ -7,15 +7,21 @@ and is derived from the given tables, so it grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from voltframe.operators import hourly as H
+from voltframe.operators import peaks as P
+from voltframe.operators import readings as R
+from voltframe.operators import submeters as S
 from voltframe.plans import oracle_sql as O
 from voltframe.plans.pipeline import Pipeline, out
 from voltframe.plans.registry import q, register
 from voltframe.session import scratch_folder
 from voltframe.sources import landing as LD
+from voltframe.sources.tables import write_bucketed
 from voltframe.streaming import corrections as CO
+from voltframe.streaming.chain import SilverChain
 from voltframe.streaming.ingest import ingest_available
 
 KEYS = O.KEY
@@ -120,3 +126,135 @@ def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
          .start(f"{root}/changes").awaitTermination())
     return out(spark.read.parquet(f"{root}/changes"), double=["AMIValue"])
+
+
+# ------------------------------------- micro-batch merge by partition overwrite
+
+_B1 = ("cleaned1", O.CLEANED.replace("FROM fx_bronze", "FROM fx_bronze WHERE day(StartDateTime) <= 20"))
+_B2 = ("cleaned2", O.CLEANED.replace("FROM fx_bronze", f"""FROM (SELECT {KEYS}, AMIValue,
+  COALESCE(VEEValue, AMIValue) AS VEEValue FROM fx_bronze WHERE day(StartDateTime) >= 10)"""))
+_NOW = ("now", f"""SELECT {KEYS}, CASE WHEN b.MeterNumber IS NULL THEN a.AMIValue ELSE b.AMIValue END AS AMIValue,
+  CASE WHEN b.MeterNumber IS NULL THEN a.VEEValue ELSE b.VEEValue END AS VEEValue
+FROM cleaned1 a FULL JOIN cleaned2 b USING ({KEYS})""")
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> SilverChain:
+    """Two drops of bronze files, the second with validated values for days that
+    the first has too, drained into the chain's tables; then a run with nothing
+    new, and the last batch replayed."""
+    root = scratch_folder(spark, "merge")
+    bronze = R.reading_facts(Pipeline.of(spark, sf_dir).bronze)
+    day = F.dayofmonth("StartDateTime")
+    chain = SilverChain(spark, f"{root}/silver")
+    for drop in (bronze.filter(day <= 20),
+                 bronze.filter(day >= 10).withColumn("VEEValue", F.coalesce("VEEValue", "AMIValue")), None):
+        if drop is not None:
+            drop.write.mode("append").parquet(f"{root}/bronze")
+        chain.run(f"{root}/bronze", f"{root}/checkpoint", schema=bronze.schema)
+    last = chain.progress().agg(F.max("batch_id"), F.max("scope")).first()
+    chain.apply(bronze, *last)
+    return chain
+
+
+@register("merge_readings", q(f"""SELECT {KEYS}, CAST(AMIValue AS DOUBLE) AS AMIValue,
+  CAST(VEEValue AS DOUBLE) AS VEEValue FROM now""", ctes=[_B1, _B2, _NOW]))
+def merge_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(_merged(spark, sf_dir).cleaned.read().drop("day"), double=["AMIValue", "VEEValue"])
+
+
+@register("merge_changes", q(f"""
+SELECT {KEYS}, CAST(AMIValue AS DOUBLE) AS AMIValue, CAST(VEEValue AS DOUBLE) AS VEEValue, 'insert' AS _change_type,
+       CAST(1 AS BIGINT) AS _commit_version FROM cleaned1
+UNION ALL SELECT {KEYS}, CAST(b.AMIValue AS DOUBLE), CAST(b.VEEValue AS DOUBLE), 'insert', 2
+FROM cleaned2 b ANTI JOIN cleaned1 a USING ({KEYS})
+UNION ALL SELECT {KEYS}, CAST(unnest([a.AMIValue, b.AMIValue]) AS DOUBLE), CAST(unnest([a.VEEValue, b.VEEValue]) AS DOUBLE),
+       unnest(['update_preimage', 'update_postimage']), 2
+FROM cleaned1 a JOIN cleaned2 b USING ({KEYS})
+WHERE a.AMIValue IS DISTINCT FROM b.AMIValue OR a.VEEValue IS DISTINCT FROM b.VEEValue""", ctes=[_B1, _B2]))
+def merge_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _merged(spark, sf_dir).change_log()
+    return out(log.select(*R.READING_KEY, "AMIValue", "VEEValue", "_change_type", "_commit_version"),
+               double=["AMIValue", "VEEValue"])
+
+
+_HOURLY_COLS = ("MeterNumber, UnitOfMeasure, FlowDirection, Channel, LocalYear, LocalMonth, LocalDay, "
+                "HourEnding, CAST(HourlyAMIValue AS DOUBLE) AS HourlyAMIValue, "
+                "CAST(HourlyVEEValue AS DOUBLE) AS HourlyVEEValue, EndMeterSampleIndex")
+_HOURLY_DOUBLES = ["HourlyAMIValue", "HourlyVEEValue"]
+
+
+@register("merge_hourly", q(f"SELECT {_HOURLY_COLS} FROM hr", ctes=[
+    _B1, _B2, _NOW, ("ix", O.INDEXED.replace("FROM cleaned", "FROM now")), ("hr", O.hourly_of("ix"))]))
+def merge_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(_merged(spark, sf_dir).hourly.read().drop("day"), double=_HOURLY_DOUBLES)
+
+
+# ------------------------------------------- readings by day, readings by meter
+
+def _on(ctes, **tables: str):
+    """Oracle steps over other fixtures."""
+    for old, new in tables.items():
+        ctes = [(name, body.replace(old, new)) for name, body in ctes]
+    return list(ctes)
+
+
+def by_day_usage_at(spark: SparkSession, indexed: DataFrame, peaks: DataFrame) -> DataFrame:
+    """Readings stored by day; the hourly rows that can end at a peak, from the
+    days of the peaks alone."""
+    path, seen = f"{scratch_folder(spark, 'by-day')}/readings", Observation()
+    length = F.max(F.col("EndMeterSampleIndex") - F.col("StartMeterSampleIndex")).alias("longest")
+    (indexed.withColumn("day", F.to_date("StartDateTime")).observe(seen, length)
+     .hint("rebalance", "day").write.partitionBy("day").parquet(path))
+    return H.hourly_usage_ending_at(spark.read.parquet(path), peaks, seen.get["longest"] or 1)
+
+
+@register("peak_total_by_day", q("""
+SELECT CoincidYear, CoincidMonth, CAST(SUM(HourlyAMIValue) AS DOUBLE) AS TotalCPHourlyAMIValue,
+       CAST(SUM(HourlyVEEValue) AS DOUBLE) AS TotalCPHourlyVEEValue,
+       CAST(CoincidYear AS VARCHAR) || '-' || CAST(CoincidMonth AS VARCHAR) AS YearMonth
+FROM hourly_nosub h JOIN ipk ON h.EndMeterSampleIndex = ipk.MeterSampleIndex
+GROUP BY CoincidYear, CoincidMonth""", uses=("fx_bronze_dst", "fx_meter_info", "fx_peaks_dst"),
+    ctes=_on(O.HOURLY_NOSUB_CTES, fx_bronze="fx_bronze_dst") + _on(O.PEAK_CTES, fx_peaks="fx_peaks_dst")))
+def peak_total_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage of the main meters at the peaks: only the peaks' days are read."""
+    p = Pipeline.of(spark, sf_dir)
+    peaks = P.index_peaks(P.peak_parts(p.fx.fx_peaks_dst))
+    hourly = by_day_usage_at(spark, S.exclude_submeters(p.indexed_dst, p.submeter_map), peaks)
+    return out(P.peak_total(hourly, peaks), double=["TotalCPHourlyAMIValue", "TotalCPHourlyVEEValue"])
+
+
+_TYPES = """
+SELECT BI_ACCT, BI_MTR_NBR, BI_MTR_POS_NBR, string_agg(BI_LOAD_TYPE, ',' ORDER BY BI_LOAD_TYPE) AS BI_LOAD_TYPE_LIST
+FROM fx_load_types WHERE NOT (BI_MTR_POS_NBR = 1 AND BI_LOAD_TYPE NOT IN ('IR1', 'GN1')) GROUP BY ALL"""
+
+
+@register("peak_by_lc_meter_dst", q("""
+SELECT h.MeterNumber, h.UnitOfMeasure, h.FlowDirection, h.Channel,
+       CAST(h.HourlyAMIValue AS DOUBLE) AS HourlyAMIValue, CAST(h.HourlyVEEValue AS DOUBLE) AS HourlyVEEValue,
+       h.EndMeterSampleIndex, ipk.CoincidTime, ipk.CoincidYear, ipk.CoincidMonth, ipk.CoincidDay, ipk.CoincidHour,
+       tl.BI_ACCT, tl.BI_MTR_NBR, tl.BI_MTR_POS_NBR, tl.BI_LOAD_TYPE_LIST,
+       CAST(ipk.CoincidYear AS VARCHAR) || '-' || CAST(ipk.CoincidMonth AS VARCHAR) AS YearMonth
+FROM hourly h JOIN ipk ON h.EndMeterSampleIndex = ipk.MeterSampleIndex
+JOIN tl ON h.MeterNumber = tl.BI_MTR_NBR""", uses=("fx_bronze_dst", "fx_load_types", "fx_peaks_dst"),
+    ctes=_on(O.HOURLY_CTES, fx_bronze="fx_bronze_dst") + _on(O.PEAK_CTES, fx_peaks="fx_peaks_dst") + [("tl", _TYPES)]))
+def peak_by_lc_meter_dst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peaks at any hour of two years, on readings over the clock changes."""
+    p = Pipeline.of(spark, sf_dir)
+    peaks = P.index_peaks(P.peak_parts(p.fx.fx_peaks_dst))
+    return out(P.peak_by_lc_meter(by_day_usage_at(spark, p.indexed_dst, peaks), peaks, p.fx.fx_load_types),
+               double=_HOURLY_DOUBLES)
+
+
+@register("hourly_usage_bucketed", q(f"SELECT {_HOURLY_COLS} FROM hourly_nosub", uses=("fx_bronze", "fx_meter_info"),
+                                     ctes=O.HOURLY_NOSUB_CTES))
+def hourly_usage_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings and submeters as catalogue tables bucketed by meter: neither the
+    exclusion of the submeters nor the hourly rollup moves a reading."""
+    p = Pipeline.of(spark, sf_dir)
+    folder = scratch_folder(spark, "bucketed")
+    name = "vf_" + folder.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(p.indexed, f"{name}_readings", f"{folder}/readings", "MeterNumber", buckets)
+    write_bucketed(p.submeter_map, f"{name}_submeters", f"{folder}/submeters", "BI_MTR_NBR", buckets)
+    main = S.exclude_submeters(spark.table(f"{name}_readings"), spark.table(f"{name}_submeters").hint("merge"))
+    return out(H.hourly_usage(main), double=_HOURLY_DOUBLES)

@@ -1,141 +1,77 @@
-"""Parquet tables addressed by path, with upsert by partition.
-
-A table is a folder of parquet partitions ``<part_col>=<value>``; each write
-of a partition goes to a fresh version folder and the reader takes, per
-partition, the newest complete version. An upsert therefore rewrites only
-the partitions the batch touches, and a failed write leaves the previous
-version readable. No transaction log beyond that folder naming.
+"""Parquet tables addressed by path.
+
+``DayTable`` is a folder partitioned by one text column (a day). A merge
+computes the complete new content of the partitions that a batch touches;
+``replace`` puts it in place with Spark's dynamic partition overwrite, which
+leaves all other partitions alone. The new content must not be read from the
+table itself while it is replaced: write it elsewhere first (see
+``streaming/chain.py``).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.operators.changes import upsert
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder (files of several schemas are merged), or None if
+    nothing has been written there yet."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-class PartitionedTable:
+class DayTable:
     def __init__(self, spark: SparkSession, path: str, part_col: str = "day"):
         self.spark, self.path, self.part_col = spark, path.rstrip("/"), part_col
 
-    # -- layout: <path>/v=<n>/<part_col>=<value>/part-*.parquet, _SUCCESS per version
-    def _latest(self, before: int | None = None) -> dict[str, str]:
-        """Per partition value, the folder inside the newest committed version
-        (older than ``before`` when given) that holds it (directory listing
-        only; no data is read)."""
-        fs, root, jvm = _fs(self.spark, self.path)
-        if not fs.exists(root):
-            return {}
-        latest: dict[str, tuple[int, str]] = {}
-        for ver in fs.listStatus(root):
-            vn = ver.getPath().getName()
-            if not (ver.isDirectory() and vn.startswith("v=")):
-                continue
-            if not fs.exists(jvm.org.apache.hadoop.fs.Path(ver.getPath(), "_SUCCESS")):
-                continue  # an unfinished write is invisible
-            n = int(vn[2:])
-            if before is not None and n >= before:
-                continue
-            for part in fs.listStatus(ver.getPath()):
-                name = part.getPath().getName()
-                if part.isDirectory() and name.startswith(self.part_col + "="):
-                    if name not in latest or n > latest[name][0]:
-                        latest[name] = (n, part.getPath().toString())
-        return {k: v[1] for k, v in latest.items()}
-
-    def versions(self) -> list[int]:
-        fs, root, _ = _fs(self.spark, self.path)
-        if not fs.exists(root):
-            return []
-        return sorted(int(v.getPath().getName()[2:]) for v in fs.listStatus(root)
-                      if v.getPath().getName().startswith("v="))
-
-    def exists(self) -> bool:
-        return bool(self._latest())
-
-    def history(self) -> DataFrame:
-        """(version, partition, committed) for every version folder: which
-        partitions each write rewrote (directory listing only)."""
-        fs, root, jvm = _fs(self.spark, self.path)
-        rows = []
-        if fs.exists(root):
-            for ver in fs.listStatus(root):
-                vn = ver.getPath().getName()
-                if not (ver.isDirectory() and vn.startswith("v=")):
-                    continue
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(ver.getPath(), "_SUCCESS"))
-                for part in fs.listStatus(ver.getPath()):
-                    name = part.getPath().getName()
-                    if part.isDirectory() and name.startswith(self.part_col + "="):
-                        rows.append((int(vn[2:]), name.split("=", 1)[1], done))
-        return self.spark.createDataFrame(
-            sorted(rows), f"version long, {self.part_col} string, committed boolean")
-
-    def as_view(self, name: str) -> DataFrame:
-        """Expose the current state (newest version of every partition) to SQL
-        as a temporary view; a catalogue table over the folder would see every
-        version."""
-        df = self.read()
-        df.createOrReplaceTempView(name)
-        return df
-
-    def read(self, schema=None, partitions=None, before: int | None = None) -> DataFrame:
-        """Current rows; ``partitions`` limits the read to those partition
-        values (only their folders are listed to the reader); ``before`` reads
-        the table as it was before that version (a replayed write sees the
-        same input as the first attempt)."""
-        paths = self._latest(before)
-        if partitions is not None:
-            wanted = {f"{self.part_col}={p}" for p in partitions}
-            paths = {k: v for k, v in paths.items() if k in wanted}
-        if not paths:
+    def read(self, schema=None, partitions=None) -> DataFrame:
+        """Current rows; ``partitions`` limits the read to those partition values
+        (other folders are pruned). Before the first write the table is empty and
+        has ``schema``, without which reading it is an error."""
+        df = read_if_there(self.spark, self.path)
+        if df is None:
             if schema is None:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], schema)
-        # versions may have been written with fewer columns
-        df = self.spark.read.option("mergeSchema", "true").parquet(*paths.values())
-        part = F.regexp_extract(F.col("_metadata.file_path"), rf"/{self.part_col}=([^/]+)/", 1)
-        return df.withColumn(self.part_col, part)
+        df = df.withColumn(self.part_col, F.col(self.part_col).cast("string"))
+        return df if partitions is None else df.filter(F.col(self.part_col).isin(list(partitions)))
 
     def touched(self, df: DataFrame) -> list[str]:
         """Partition values present in a batch (the few days it covers)."""
         return [r[0] for r in df.select(self.part_col).distinct().collect()]
 
-    def write_partitions(self, df: DataFrame, version: int) -> None:
-        """Write complete partitions as version ``version`` in one job; the
-        version becomes visible when the job commits its ``_SUCCESS``."""
-        write_table(df, f"{self.path}/v={version:08d}", "overwrite", [self.part_col])
-
-    def upsert(self, source: DataFrame, keys, version: int, check_unique: bool = False,
-               touched: list[str] | None = None) -> DataFrame:
-        """Replace matching keys, insert the rest; rewrites touched partitions
-        only. Returns the rows written. ``check_unique`` verifies the key is
-        still unique in the rewritten partitions (never the whole table).
-        ``touched`` (the partition values of ``source``) skips one job when
-        the caller already knows them."""
-        if touched is None:
-            touched = self.touched(source)
-        current = self.read(source.schema, partitions=touched, before=version)
-        if self._latest(version) and touched:
-            # a column that only one side has is null on the other
-            both = lambda a, b: a.unionByName(b.limit(0), allowMissingColumns=True)
-            new = upsert(both(current, source), both(source, current), list(keys) + [self.part_col])
-        else:
-            new = source
-        # the new version goes to its own folder, so the rows being replaced
-        # are never overwritten while they are read
-        self.write_partitions(new, version)
-        if check_unique:
-            from voltframe.operators.quality import require_unique
-            require_unique(self.read(partitions=touched), list(keys) + [self.part_col], self.path)
-        return new
+    def merged(self, source: DataFrame, keys, touched: list[str] | None = None) -> DataFrame:
+        """The complete new content of the partitions that ``source`` touches:
+        matching keys take the source row, others are inserted; on the first
+        write just the source. Merging the same source again gives the same
+        content. ``touched`` (the partition values of ``source``) saves a job
+        when the caller knows them."""
+        touched = self.touched(source) if touched is None else touched
+        current = self.read(source.schema, partitions=touched)
+        # a column that only one side has is null on the other
+        both = lambda a, b: a.unionByName(b.limit(0), allowMissingColumns=True)
+        return upsert(both(current, source), both(source, current), list(keys) + [self.part_col])
+
+    def replace(self, content: DataFrame) -> None:
+        """Put complete partitions in place of those of the same values."""
+        (content.hint("rebalance", self.part_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.path))
+
+    def upsert(self, source: DataFrame, keys) -> None:
+        """Merge a batch in one call. The new content is checkpointed in the
+        shared folder before the partitions that it was read from are replaced;
+        ``streaming/chain.py`` has the form that survives a driver's end."""
+        from voltframe.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        self.replace(self.merged(source, keys).checkpoint())
 
 
 def month_of(col: str):
@@ -176,3 +112,10 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, column: str, buckets: int) -> None:
+    """Write a catalogue table bucketed by a column, one file a bucket. Joins on
+    the column and aggregations whose key holds it then need no exchange."""
+    (df.repartition(buckets, column).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, column).format("parquet").saveAsTable(name))

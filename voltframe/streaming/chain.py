@@ -3,8 +3,7 @@
 Each micro-batch of new bronze rows is cleaned, indexed, stripped of
 submeters and folded into the hourly tables:
 
-  bronze batch -> cleaned (upsert by reading key; tables partitioned by day;
-                  change rows appended to the change log)
+  bronze batch -> cleaned (upsert by reading key; change rows to the change log)
                -> indexed (upsert by reading key)
                -> hourly: only the (meter, hour) groups the batch touches
                   are re-aggregated from the indexed table and upserted by
@@ -15,10 +14,14 @@ submeters and folded into the hourly tables:
                   main-meter hourly partitions (the rewritten hourly
                   partitions without submeters)
 
-A batch is applied once: its id is recorded in a ledger folder after all
-tables are written, and a replayed id (restart after a failure between the
-writes and the checkpoint commit) is skipped. Every table write goes to a new
-version folder, so a half-applied batch is never visible as a mix.
+All tables are partitioned by day. A batch has two steps. First the complete
+new content of the partitions it touches is staged, with its change rows, and a
+row in ``progress`` says so. Then the staged partitions are put in place by
+dynamic partition overwrite, the change rows under (query id, batch id), and
+another row says that. A batch that died in the first step starts anew; one
+that died in the second puts the same staged partitions in place again; one that
+Spark replays after both does nothing. Ids are kept for each query id, so a new
+or reset checkpoint skips nothing.
 """
 
 from __future__ import annotations
@@ -31,11 +34,14 @@ from voltframe.functions.timeindex import require_whole_hours
 from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
 from voltframe.operators import readings as R
+from voltframe.operators.loadcontrol import load_control_analysis
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
 from voltframe.operators.submeters import NOSUB_KEY, exclude_submeters
-from voltframe.plans.incremental import rebuild_hours
+from voltframe.plans.incremental import LC_KEY, rebuild_hours
 from voltframe.session import ensure_checkpoint_dir
-from voltframe.sources.tables import PartitionedTable, _fs, day_of
+from voltframe.sources.tables import DayTable, day_of, read_if_there
+
+STAGED, APPLIED = 1, 2
 
 
 class SilverChain:
@@ -46,134 +52,118 @@ class SilverChain:
         require_whole_hours(tz)
         ensure_checkpoint_dir(spark)  # micro-batches are checkpointed to the shared folder
         self.submeter_map = submeter_map
-        self.cleaned = PartitionedTable(spark, f"{self.root}/cleaned")
-        self.indexed = PartitionedTable(spark, f"{self.root}/indexed")
-        self.nosub = PartitionedTable(spark, f"{self.root}/nosub")
-        self.hourly = PartitionedTable(spark, f"{self.root}/hourly")
-        self.hourly_nosub = PartitionedTable(spark, f"{self.root}/hourly_nosub")
+        self.cleaned = DayTable(spark, f"{self.root}/cleaned")
+        self.indexed = DayTable(spark, f"{self.root}/indexed")
+        self.nosub = DayTable(spark, f"{self.root}/nosub")
+        self.hourly = DayTable(spark, f"{self.root}/hourly")
+        self.hourly_nosub = DayTable(spark, f"{self.root}/hourly_nosub")
         self.lc_points, self.program_map, self.program_col = lc_points, program_map, program_col
         # (the analysis has a ``Day`` column, so its partition column is named
         # differently: column names are case-insensitive)
-        self.lc_analysis = PartitionedTable(spark, f"{self.root}/lc_analysis", part_col="local_date")
+        self.lc_analysis = DayTable(spark, f"{self.root}/lc_analysis", part_col="local_date")
         self.metrics: dict[int, dict] = {}
 
-    # ---- ledger of applied batches
-    # Batch ids count from 0 in every checkpoint, so they are kept per
-    # checkpoint ``scope``: a new or reset checkpoint skips nothing.
-    def _ledger(self, batch_id: int, scope: str) -> str:
-        return f"{self.root}/_ledger/scope={scope}/batch={batch_id:012d}"
-
-    def applied(self, batch_id: int, scope: str = "batch") -> bool:
-        fs, _, jvm = _fs(self.spark, self.root)
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id, scope)))
+    # ---- progress: one row for each step of a batch
+    def progress(self) -> DataFrame:
+        """``scope, batch_id, version, step``; ``step`` is STAGED or APPLIED."""
+        rows = read_if_there(self.spark, f"{self.root}/progress")
+        return rows if rows is not None else self.spark.createDataFrame(
+            [], "scope string, batch_id long, version long, step int")
 
-    def _mark(self, batch_id: int, scope: str) -> None:
-        fs, _, jvm = _fs(self.spark, self.root)
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self._ledger(batch_id, scope)))
+    def _done(self, scope: str, batch_id: int, version: int, step: int) -> None:
+        self.spark.createDataFrame([(scope, batch_id, version, step)],
+                                   "scope string, batch_id long, version long, step int") \
+            .coalesce(1).write.mode("append").parquet(f"{self.root}/progress")
 
-    def _next_version(self) -> int:
-        """One more than the applied batches of all scopes: a batch that died
-        before its mark gets the same version again."""
-        fs, _, jvm = _fs(self.spark, self.root)
-        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_ledger/scope=*/batch=*"))
-        return 1 + len(marks or [])
+    def applied(self, batch_id: int, scope: str = "batch") -> bool:
+        return not self.progress().filter((F.col("scope") == scope) & (F.col("batch_id") == batch_id)
+                                          & (F.col("step") == APPLIED)).isEmpty()
 
     # ---- one micro-batch
     def apply(self, bronze_batch: DataFrame, batch_id: int, scope: str = "batch") -> None:
-        if self.applied(batch_id, scope):
+        mine = (F.col("scope") == scope) & (F.col("batch_id") == batch_id)
+        step, version, last = self.progress().agg(
+            F.max(F.when(mine, F.col("step"))), F.max(F.when(mine, F.col("version"))), F.max("version")).first()
+        if step == APPLIED:
             return
-        version = self._next_version()
+        staged = f"{self.root}/staged/scope={scope}"  # a batch's stage is that of the one before it no more
+        if step is None:
+            version = (last or 0) + 1
+            self._stage(bronze_batch, batch_id, version, staged)
+            self._done(scope, batch_id, version, STAGED)
+        self._put_in_place(batch_id, version, scope, staged)
+        self._done(scope, batch_id, version, APPLIED)
+
+    def _stage(self, bronze_batch: DataFrame, batch_id: int, version: int, staged: str) -> None:
+        """New content of every touched partition of every table, as of after
+        this batch; empty for a batch without readings."""
+        def stage(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{staged}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{staged}/{name}")
+
         raw, seen = observed(bronze_batch, f"bronze_{batch_id}")
-        batch = R.drop_header_rows(raw)
-        cleaned, kept = observed(R.clean_readings(batch), f"cleaned_{batch_id}")
-        cleaned = cleaned.withColumn("day", day_of("StartDateTime"))
-        cleaned = cleaned.checkpoint()  # the batch is reused by every stage below
-        self.metrics[batch_id] = {"bronze_rows": seen.get.get("rows"),
-                                  "cleaned_rows": kept.get.get("rows")}
-        # UTC days of the batch: the partitions every reading-keyed table rewrites
-        days = self.cleaned.touched(cleaned)
-        if not days:  # nothing new
-            self._mark(batch_id, scope)
-            return
-        if self.gates:
-            require_unique(cleaned, R.READING_KEY + ["day"], "cleaned batch")
+        cleaned, kept = observed(R.clean_readings(R.drop_header_rows(raw)), f"cleaned_{batch_id}")
+        # the batch is reused by every stage below
+        cleaned = cleaned.withColumn("day", day_of("StartDateTime")).checkpoint()
+        self.metrics[batch_id] = {"bronze_rows": seen.get.get("rows"), "cleaned_rows": kept.get.get("rows")}
+        days = self.cleaned.touched(cleaned)  # UTC days: what every reading-keyed table rewrites
         key = R.READING_KEY
-        self._log_changes(cleaned, key, version, days)
-        self.cleaned.upsert(cleaned, key, version, check_unique=self.gates, touched=days)
+        if self.gates:
+            require_unique(cleaned, key + ["day"], "cleaned batch")
+        current = self.cleaned.read(cleaned.schema, partitions=days).select(*cleaned.columns)
+        stage("changes", C.upsert_changes(current, cleaned, [*key, "day"], version)
+              .withColumn("_commit_timestamp", F.current_timestamp()))
+        now = stage("cleaned", self.cleaned.merged(cleaned, key, days))
+        if self.gates:
+            require_unique(now, [*key, "day"], "cleaned readings of the touched days")
         indexed = R.index_readings(cleaned.drop("day")).withColumn("day", day_of("StartDateTime"))
         if self.gates:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
-        self.indexed.upsert(indexed, key, version, touched=days)
-        hour_days = self._fold_hourly(self.indexed, indexed, self.hourly, version, days)
+        upstream = stage("indexed", self.indexed.merged(indexed, key, days)).drop("day")
+        # with whole-hour zone offsets a local hour lies inside one UTC day, so
+        # the touched days hold every reading of every touched hour
+        hours = H.with_local_parts(indexed.drop("day"), "StartMeterSampleIndex", self.tz)
+        hour_days = [r[0] for r in hours.select(
+            F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")).distinct().collect()]
+        rebuilt = rebuild_hours(upstream, indexed.drop("day"), self.tz).withColumn(
+            "day", F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay"))
+        hourly = stage("hourly", self.hourly.merged(rebuilt, H.HOURLY_KEY, hour_days))
         if self.lc_points is not None and self.program_map is not None:
-            self._fold_lc(indexed, version, days, hour_days)
+            stage("lc_analysis", self.lc_analysis.merged(self._controlled(upstream, hours), LC_KEY, hour_days))
         if self.submeter_map is not None:
             nosub = exclude_submeters(indexed, self.submeter_map)
-            self.nosub.upsert(nosub, NOSUB_KEY, version, touched=days)
-            # exclusion commutes with the hourly rollup (it is per meter): the
-            # main-meter hourly partitions are the rewritten hourly partitions
-            # without submeters, read back from the version just written
-            hourly_now = self.hourly.read(partitions=hour_days)
-            self.hourly_nosub.write_partitions(exclude_submeters(hourly_now, self.submeter_map), version)
-        self._mark(batch_id, scope)
-
-    def _log_changes(self, cleaned: DataFrame, key, version: int, days: list[str]) -> None:
-        """Append the batch's change rows (insert / update pre- and
-        post-images, with the commit time) for the cleaned table, partitioned
-        by commit version.
-        Computed from the batch side against the touched partitions only."""
-        current = self.cleaned.read(cleaned.schema, partitions=days, before=version)
-        fs, done, _ = _fs(self.spark, f"{self.root}/cleaned_changes/_commit_version={version}/_SUCCESS")
-        if fs.exists(done):  # written by an earlier attempt; again it would reach consumers twice
-            return
-        changes = (C.upsert_changes(current.select(*cleaned.columns), cleaned, list(key) + ["day"], version)
-                   .withColumn("_commit_timestamp", F.current_timestamp()))
-        (changes.write.mode("overwrite")
-         .parquet(f"{self.root}/cleaned_changes/_commit_version={version}"))
+            stage("nosub", self.nosub.merged(nosub, NOSUB_KEY, days))
+            # exclusion commutes with the hourly rollup (it is per meter)
+            stage("hourly_nosub", exclude_submeters(hourly, self.submeter_map))
+
+    def _controlled(self, upstream: DataFrame, hours: DataFrame) -> DataFrame:
+        """Load-control analysis groups of the touched hours, recomputed from
+        every reading of those hours: late readings for past events are folded
+        in, and no hour is written partially."""
+        hour = ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel", "Year", "Month", "Day", "HourEnding"]
+        touched = (hours.withColumnsRenamed({"LocalYear": "Year", "LocalMonth": "Month", "LocalDay": "Day"})
+                   .select(*hour).distinct())
+        return (load_control_analysis(self.lc_points, self.program_map, upstream, self.program_col, tz=self.tz)
+                .join(touched, hour, "left_semi")
+                .withColumn("local_date", F.format_string("%04d-%02d-%02d", "Year", "Month", "Day")))
+
+    def _put_in_place(self, batch_id: int, version: int, scope: str, staged: str) -> None:
+        tables = {"cleaned": self.cleaned, "indexed": self.indexed, "hourly": self.hourly}
+        if self.lc_points is not None and self.program_map is not None:
+            tables["lc_analysis"] = self.lc_analysis
+        if self.submeter_map is not None:
+            tables |= {"nosub": self.nosub, "hourly_nosub": self.hourly_nosub}
+        for name, table in tables.items():
+            table.replace(self.spark.read.parquet(f"{staged}/{name}"))
+        # a consumer may see the rows of a batch that died here twice; they are
+        # changes by key, so applying them again changes nothing
+        (self.spark.read.parquet(f"{staged}/changes").write.mode("overwrite")
+         .parquet(f"{self.root}/cleaned_changes/scope={scope}/batch={batch_id}"))
 
     def change_log(self) -> DataFrame:
-        """All change rows written so far (``_commit_version`` from the folder)."""
+        """All change rows so far (``_commit_version`` counts the batches)."""
         return self.spark.read.parquet(f"{self.root}/cleaned_changes")
 
-    def _fold_lc(self, indexed: DataFrame, version: int, days: list[str], hour_days: list[str]) -> None:
-        """Load-control analysis groups of the hours the batch touches,
-        recomputed from every reading of those hours and upserted by group
-        key: late readings for past events are folded in, and no hour is
-        written partially."""
-        from voltframe.operators.loadcontrol import load_control_analysis
-        from voltframe.plans.incremental import LC_KEY
-        upstream = self.indexed.read(partitions=days, before=version + 1).drop("day")
-        hours = (H.with_local_parts(indexed.drop("day"), "StartMeterSampleIndex", self.tz)
-                 .select("MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
-                         F.col("LocalYear").alias("Year"), F.col("LocalMonth").alias("Month"),
-                         F.col("LocalDay").alias("Day"), "HourEnding").distinct())
-        fresh = (load_control_analysis(self.lc_points, self.program_map, upstream, self.program_col, tz=self.tz)
-                 .join(hours, ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
-                               "Year", "Month", "Day", "HourEnding"], "left_semi")
-                 .withColumn("local_date", F.format_string("%04d-%02d-%02d", "Year", "Month", "Day")))
-        self.lc_analysis.upsert(fresh, LC_KEY, version, touched=hour_days)
-
-    def _hour_days(self, changed: DataFrame) -> list[str]:
-        """Local days of the hours a batch touches (from the checkpointed batch)."""
-        local = H.with_local_parts(changed.drop("day"), "StartMeterSampleIndex", self.tz)
-        return [r[0] for r in local.select(
-            F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay")).distinct().collect()]
-
-    def _fold_hourly(self, upstream: PartitionedTable, changed: DataFrame,
-                     target: PartitionedTable, version: int, days: list[str]) -> list[str]:
-        # with whole-hour zone offsets a local hour lies inside one UTC day, so
-        # the batch's UTC days hold every reading of every touched hour
-        # (the upstream table including this batch's version, written just before)
-        rebuilt = rebuild_hours(upstream.read(partitions=days, before=version + 1).drop("day"),
-                                changed.drop("day"), self.tz)
-        rebuilt = rebuilt.withColumn(
-            "day", F.format_string("%04d-%02d-%02d", "LocalYear", "LocalMonth", "LocalDay"))
-        # touched local days come from the batch rather than from the rebuilt
-        # rows, which are computed once, by the write
-        hour_days = self._hour_days(changed)
-        target.upsert(rebuilt, H.HOURLY_KEY, version, touched=hour_days)
-        return hour_days
-
     def run(self, bronze_path: str, checkpoint: str, schema=None,
             max_files_per_trigger: int | None = None):
         """Drain new bronze files through the chain (``availableNow``); with
