@@ -34,7 +34,9 @@ SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl blockquote pre figure table
 BLOCKS = SPACED | set("address article aside body center details dialog div dd dt figcaption footer form header hgroup "
                       "html legend li main nav optgroup option section summary tr caption".split())
 HIDDEN = set("head script style template noscript iframe noembed noframes object audio video canvas datalist title "
-             "meta link".split())
+             "meta link rp".split())
+#: Buttons that an input makes, with the label of one that has no value.
+BUTTONS = {"submit": "Submit", "reset": "Reset", "button": ""}
 #: Parts of a formula that give it again in another form.
 MATH_HIDDEN = set("annotation annotation-xml".split())
 #: Parts of an svg that aren't drawn where they stand; of the others, only what ``SVG_TEXT`` holds is text.
@@ -46,8 +48,11 @@ _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(?:[!?]|/[^a-zA-Z])[^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')?)*)(>?)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+#: A selector of an element's own name, id and classes.
+_SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
 _UNQUOTED = re.compile(r"""=\s*[^\s"']+\Z""")
 
 
@@ -242,8 +247,9 @@ class _Flow:
         return lines
 
 
-#: Cells beyond this width don't widen their column.
-ALIGN_WIDTH = 60
+#: A column is as wide as its widest cell, unless that takes more blanks than so many
+#: times the table's characters; then as wide as the widest cell that doesn't.
+MOST_BLANKS = 4
 
 
 class _Table:
@@ -272,28 +278,32 @@ class _Table:
         self.fresh.update({at + i: down for i in range(across) if down > 1})
 
     def lines(self) -> list[str]:
-        """Rows are as high as their highest cell. Where a cell of several lines
-        has one beyond ``ALIGN_WIDTH``, the cells of its row follow each other."""
-        widths: Counter = Counter()
-        stacked = [any(len(lines) > 1 and max(map(len, lines)) > ALIGN_WIDTH for lines, _ in row.values())
-                   for row in self.rows]
-        for row, apart in zip(self.rows, stacked):
+        """Rows are as high as their highest cell, columns as wide as their widest."""
+        sizes: dict[int, list[int]] = {}
+        total = 0
+        for row in self.rows:
             for at, (lines, across) in row.items():
-                if across == 1 and not apart:
-                    widths[at] = max([widths[at], *[len(x) for x in lines if len(x) <= ALIGN_WIDTH]])
+                total += sum(map(len, lines))
+                if across == 1:
+                    sizes.setdefault(at, []).extend(map(len, lines))
+        widths: Counter = Counter()
+        for at, column in sizes.items():
+            column.sort()
+            taken = 0
+            for n, size in enumerate(column):
+                taken += size
+                if (n + 1) * size - taken <= MOST_BLANKS * total:
+                    widths[at] = size
         out = []
-        for row, apart in zip(self.rows, stacked):
-            if apart:
-                out += [x for _, (lines, _) in sorted(row.items()) for x in lines]
-                continue
+        for row in self.rows:
             for i in range(max((len(lines) for lines, _ in row.values()), default=0)):
-                line, col = "", 0
+                line, col = [], 0
                 for at, (lines, across) in sorted(row.items()):
-                    line += "".join(" " * widths[c] + "  " for c in range(col, at))
+                    line += [" " * (widths[c] + 2) for c in range(col, at)]
                     text = lines[i] if i < len(lines) else ""
-                    line += text.ljust(sum(widths[c] + 2 for c in range(at, at + across)) - 2) + "  "
+                    line.append(text.ljust(sum(widths[c] + 2 for c in range(at, at + across)) - 2) + "  ")
                     col = at + across
-                out.append(line.rstrip())
+                out.append("".join(line).rstrip())
         return out
 
 
@@ -302,15 +312,113 @@ def _number(attributes: dict[str, str], name: str, default: int, most: int) -> i
     return min(max(int(found[1]), 1), most) if found else default
 
 
+def _integer(attributes: dict[str, str], name: str) -> int | None:
+    found = re.match(r"\s*([+-]?\d{1,9})", attributes.get(name, ""))
+    return int(found[1]) if found else None
+
+
+class _Styles:
+    """``display`` and ``visibility`` by the rules of a page's style elements whose
+    selectors are an element's own name, id and classes, and by style attributes.
+    Rules for other media than screens, and other selectors, don't count."""
+
+    def __init__(self, found: list[tuple]):
+        #: by one of its parts: (specificity, order, name, parts, property, value, important)
+        self.rules: dict[str, list[tuple]] = {}
+        order = 0
+        for at, event in enumerate(found):
+            if event[0] == "open" and event[1] == "style" and at + 1 < len(found) and found[at + 1][0] == "text":
+                media = _attributes(event[2]).get("media", "").lower()
+                if not media or "screen" in media or "all" in media:
+                    order = self._read(_COMMENT.sub("", found[at + 1][1]), order)
+
+    def _read(self, sheet: str, order: int) -> int:
+        for media, body in self._parts(sheet):
+            if media and not ("screen" in media or "all" in media):
+                continue
+            for selectors, declared in _RULE.findall(body):
+                said = _DECLARED.findall(declared)
+                for selector in selectors.split(",") if said else ():
+                    m = _SIMPLE.match(selector.strip())
+                    if not m or not m[0]:
+                        continue
+                    name = (m[1] or "*").lower()
+                    parts = re.findall(r"[.#][\w-]+", m[2])
+                    rank = (sum(p[0] == "#" for p in parts), sum(p[0] == "." for p in parts), name != "*")
+                    for prop, value, important in said:
+                        order += 1
+                        self.rules.setdefault(parts[0] if parts else name, []).append(
+                            (rank, order, name, parts, prop.lower(), value.lower(), bool(important)))
+        return order
+
+    @staticmethod
+    def _parts(sheet: str) -> list[tuple[str, str]]:
+        """The sheet outside of at-rules, and the body of each with its medium
+        (other at-rules as of a medium of their own)."""
+        out, plain, at = [], [], 0
+        while (mark := sheet.find("@", at)) >= 0:
+            plain.append(sheet[at:mark])
+            brace, stop = sheet.find("{", mark), sheet.find(";", mark)
+            if stop >= 0 and (brace < 0 or stop < brace):  # @import, @charset
+                at = stop + 1
+                continue
+            if brace < 0:
+                at = len(sheet)
+                break
+            depth, end = 1, brace + 1
+            while depth and (m := re.compile("[{}]").search(sheet, end)):
+                depth += 1 if m[0] == "{" else -1
+                end = m.end()
+            end = end if not depth else len(sheet)
+            head = sheet[mark:brace].strip().lower()
+            out.append((head if head.startswith("@media") else "@other", sheet[brace + 1:end - 1]))
+            at = end
+        return [("", "".join(plain) + sheet[at:]), *out]
+
+    def of(self, tag: str, attributes: dict[str, str]) -> dict[str, str]:
+        best: dict[str, tuple] = {}
+        if self.rules:
+            own = {"." + c for c in attributes.get("class", "").split()}
+            if attributes.get("id"):
+                own.add("#" + attributes["id"])
+            for key in ("*", tag, *own):
+                for rank, order, name, parts, prop, value, important in self.rules.get(key, ()):
+                    if name in ("*", tag) and own.issuperset(parts):
+                        best[prop] = max(best.get(prop, ()), (important, False, rank, order, value))
+        for prop, value, important in _DECLARED.findall(attributes.get("style", "")):
+            best[prop.lower()] = max(best.get(prop.lower(), ()), (bool(important), True, (), 0, value.lower()),
+                                     key=lambda b: b[:2])
+        return {prop: b[-1] for prop, b in best.items()}
+
+
+def _items(found: list[tuple]) -> dict[int, int]:
+    """Number of items of each list, by the place of its opening."""
+    items: dict[int, int] = {}
+    path: list[tuple[int, str]] = []
+    for at, event in enumerate(found):
+        if event[0] == "open":
+            if event[1] == "li" and path and path[-1][1] in LISTS:
+                items[path[-1][0]] = items.get(path[-1][0], 0) + 1
+            path.append((at, event[1]))
+        elif event[0] == "close":
+            path.pop()
+    return items
+
+
 def render(page: str | None) -> str:
     """Visible text of a page; empty for null."""
     flows, tables, cells, counters = [_Flow()], [], [], []
     hidden = pre = svg = svg_text = math = 0
     visible = [True]
-    for event in events(page or ""):
+    # of each open element: 0, or for a closed ``details`` 1, then 2 once its summary has come
+    folded = [0]
+    found = events(page or "")
+    styles = _Styles(found)
+    items = _items(found) if "reversed" in (page or "").lower() else {}
+    for place, event in enumerate(found):
         kind, what = event[0], event[1]
         if kind == "text":
-            if not hidden and visible[-1] and (svg_text or not svg):
+            if not hidden and visible[-1] and not folded[-1] and (svg_text or not svg):
                 flows[-1].text(what, bool(pre))
             continue
         if kind == "open":
@@ -318,15 +426,27 @@ def render(page: str | None) -> str:
                 hidden += 1
                 continue
             attributes = _attributes(event[2])
-            unseen = (what in HIDDEN or "hidden" in attributes or bool(_UNSEEN.search(attributes.get("style", "")))
-                      or what == "dialog" and "open" not in attributes or svg and what in SVG_HIDDEN
-                      or math and what in MATH_HIDDEN)
+            style = styles.of(what, attributes)
+            summary = what == "summary" and folded[-1] == 1
+            if summary:
+                folded[-1] = 2
+            shown = style.get("display")
+            unseen = (what in HIDDEN or (shown == "none" if shown else "hidden" in attributes
+                                         or what == "dialog" and "open" not in attributes)
+                      or svg and what in SVG_HIDDEN or math and what in MATH_HIDDEN or folded[-1] and not summary)
             if unseen:
                 hidden = 1
                 continue
             flow = flows[-1]
-            said = _VISIBILITY.findall(attributes.get("style", ""))
-            visible.append(said[-1].lower() in ("visible", "initial") if said else visible[-1])
+            said = style.get("visibility")
+            visible.append(said in ("visible", "initial") if said in ("hidden", "collapse", "visible", "initial")
+                           else visible[-1])
+            folded.append(1 if what == "details" and "open" not in attributes else 0)
+            if what == "input":
+                kind_of = attributes.get("type", "").lower()
+                if kind_of in BUTTONS and visible[-1]:
+                    flow.text(attributes.get("value", BUTTONS[kind_of]), False)
+                continue
             if what == "br":
                 if visible[-1]:
                     flow.newline()
@@ -348,13 +468,19 @@ def render(page: str | None) -> str:
                 nested = what in LISTS and bool(counters)
                 flow.block(2 if what in SPACED and not nested else 1)
             if what in LISTS:
-                counters.append(_number(attributes, "start", 1, 10 ** 9) if what == "ol" else None)
+                back = "reversed" in attributes
+                first = _integer(attributes, "start")
+                first = first if first is not None else items.get(place, 0) if back else 1
+                counters.append([first, -1 if back else 1] if what == "ol" else None)
                 flow.indent.append("  ")
             elif what == "li":
                 mark = "- "
                 if counters and counters[-1] is not None:
-                    mark = f"{counters[-1]}. "
-                    counters[-1] += 1
+                    value = _integer(attributes, "value")
+                    if value is not None:
+                        counters[-1][0] = value
+                    mark = f"{counters[-1][0]}. "
+                    counters[-1][0] += counters[-1][1]
                 flow.indent.append(" " * len(mark))
                 flow.marker = mark
             elif what in ("dd", "blockquote"):
@@ -375,6 +501,7 @@ def render(page: str | None) -> str:
             hidden -= 1
             continue
         visible.pop()
+        folded.pop()
         flow = flows[-1]
         if what == "svg":
             svg -= 1
