@@ -55,6 +55,10 @@ ENCODINGS = [
     ("base64url", "[A-Za-z0-9_-]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 ]
 FITS = "^(?:" + "|".join(pattern for _, pattern, _ in ENCODINGS) + ")$"
+#: Known forms that lie inside one run of ``RUN``.
+KNOWN = "AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}"
+#: Matches whose places are summed up together.
+CHUNK = 128
 #: Chance that two symbols of ordinary text agree, and that neighbours differ in class.
 TEXT_COLLISIONS, TEXT_CHANGES = 0.07, 0.12
 
@@ -62,40 +66,60 @@ ROW = ["row1", "row2"]
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
-def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Spans of leftmost non-overlapping matches: the pieces between them, as
-    ``split`` gives them, and the matches themselves tell the positions."""
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once, not wherever it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _sums(lengths: Column) -> Column:
+    """For each of an array of lengths, the sum of those before it. Sums are made
+    in chunks, and chunks of chunks are few, so the work follows the array's
+    length although every step of a fold copies what it has gathered."""
+    def along(xs: Column, first: Column) -> Column:
+        done = F.aggregate(xs, F.array(first), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+        return F.slice(done, 1, F.size(xs))
+
+    def chunked(xs: Column) -> Column:
+        n = F.ceil(F.size(xs) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.slice(xs, (i - 1) * CHUNK + 1, CHUNK))
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    some = _once(chunked(lengths), lambda chunks: _once(
+        along(F.transform(chunks, total), F.lit(0)),
+        lambda first: F.flatten(F.transform(chunks, lambda xs, i: along(xs, F.get(first, i))))))
+    return F.when(F.size(lengths) == 0, F.array().cast("array<int>")).otherwise(some)
+
+
+def _found(text: Column, pattern: str, group: int) -> Column:
+    """Leftmost non-overlapping matches as ``gap`` (the text before each), ``whole``
+    and ``part``: the pieces between them, as ``split`` gives them, tell the places."""
     whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     part = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1)) if group else whole
-    gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), part.alias("part"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-
-    def step(done: Column, m: Column) -> Column:
-        start = done["at"] + F.length(m["gap"])
-        end = start + F.length(m["whole"])
-        span = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
-                                m["part"].alias("value")))
-        fits = F.length(m["part"]) >= least
-        return F.struct(end.alias("at"), F.when(fits, F.concat(done["spans"], span.cast(SPAN)))
-                        .otherwise(done["spans"]).alias("spans"))
-    return F.aggregate(zipped, empty, step, lambda done: done["spans"])
-
-
-def _without(run: Column, base: Column) -> Column:
-    """What ``base`` (sorted by start) leaves of one run."""
-    def piece(start: Column, end: Column) -> Column:
-        value = F.substring(run["value"], start - run["start"] + 1, end - start)
-        span = F.struct(F.lit("random").alias("kind"), start.alias("start"), end.alias("end"), value.alias("value"))
-        return F.filter(F.array(span).cast(SPAN), lambda s: s["end"] - s["start"] >= MIN_RUN)
-
-    def step(done: Column, b: Column) -> Column:
-        return F.struct(F.greatest(done["at"], b["end"]).alias("at"),
-                        F.concat(done["spans"], piece(done["at"], b["start"])).alias("spans"))
-    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    empty = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("spans"))
-    cut = F.aggregate(inside, empty, step, lambda done: F.concat(done["spans"], piece(done["at"], run["end"])))
-    return F.when(F.size(inside) == 0, F.array(run).cast(SPAN)).otherwise(cut)
+    return F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("gap"), whole.alias("whole"),
+                        part.alias("part"))
+
+
+def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
+    """Spans of the leftmost non-overlapping matches whose group has ``least`` characters."""
+    def placed(found: Column) -> Column:
+        lengths = F.transform(found, lambda m: F.length(m["gap"]) + F.length(m["whole"]))
+
+        def span(m: Column, before: Column) -> Column:
+            start = before + F.length(m["gap"])
+            return F.struct(F.lit(kind).alias("kind"), start.alias("start"),
+                            (start + F.length(m["whole"])).alias("end"), m["part"].alias("value"))
+        spans = _once(_once(lengths, _sums), lambda sums: F.transform(found, lambda m, i: span(m, F.get(sums, i))))
+        return F.filter(spans, lambda s: F.length(s["value"]) >= least).cast(SPAN)
+    return _once(_found(text, pattern, group), placed)
+
+
+def _masked(text: Column, pattern: str, group: int, least: int) -> Column:
+    """``text`` with the characters of such matches replaced by blanks."""
+    def blanked(found: Column) -> Column:
+        part = F.array_join(F.transform(found, lambda m: F.concat(m["gap"], F.when(
+            F.length(m["part"]) >= least, F.repeat(F.lit(" "), F.length(m["whole"]))).otherwise(m["whole"]))), "")
+        return F.when(F.size(found) == 0, text).otherwise(
+            F.concat(part, F.element_at(F.split(text, pattern, -1), -1)))
+    return _once(_found(text, pattern, group), blanked)
 
 
 def _within(spans: Column, pattern: str) -> Column:
@@ -107,16 +131,32 @@ def _within(spans: Column, pattern: str) -> Column:
     return F.flatten(F.transform(spans, moved))
 
 
-def _pieces(run: Column, base: Column) -> Column:
-    """The spans of one run that the battery tests."""
-    def once(value: Column, use) -> Column:  # the value is computed once, not wherever it is named
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
+def _pieces(run: Column) -> Column:
+    """The spans of one run that the battery tests: what known keys and digests
+    inside it leave, split until it fits an encoding."""
     def split(spans: Column, *patterns: str) -> Column:
-        return once(spans, lambda all_: once(F.filter(all_, lambda s: ~s["value"].rlike(FITS)), lambda odd: F.when(
+        return _once(spans, lambda all_: _once(F.filter(all_, lambda s: ~s["value"].rlike(FITS)), lambda odd: F.when(
             F.size(odd) == 0, all_).otherwise(F.concat(F.filter(all_, lambda s: s["value"].rlike(FITS)),
                                                        *[_within(odd, p) for p in patterns]))))
-    return split(split(_without(run, base), "[^=]+=*"), "[^/+]+", "[^_-]+")
+
+    def cut(spans: Column) -> Column:
+        return F.when(F.exists(spans, lambda s: s["value"].rlike(KNOWN)), _between(spans)).otherwise(spans)
+    return split(split(cut(F.array(run).cast(SPAN)), "[^=]+=*"), "[^/+]+", "[^_-]+")
+
+
+def _between(spans: Column) -> Column:
+    """What is left of ``spans`` between the known forms in them."""
+    def left(span: Column) -> Column:
+        gaps = F.split(span["value"], KNOWN, -1)
+        known = F.concat(F.transform(F.regexp_extract_all(span["value"], F.lit(f"({KNOWN})"), F.lit(1)),
+                                     lambda k: F.length(k)), F.array(F.lit(0)))
+        both = F.arrays_zip(gaps.alias("gap"), known.alias("known"))
+        return _once(both, lambda b: _once(
+            _sums(F.transform(b, lambda x: F.length(x["gap"]) + x["known"])),
+            lambda sums: F.transform(b, lambda x, i: F.struct(
+                F.lit("random").alias("kind"), (span["start"] + F.get(sums, i)).alias("start"),
+                (span["start"] + F.get(sums, i) + F.length(x["gap"])).alias("end"), x["gap"].alias("value")))))
+    return F.filter(F.flatten(F.transform(spans, left)), lambda s: F.length(s["value"]) >= MIN_RUN).cast(SPAN)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -226,9 +266,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = F.transform(F.flatten(F.array(*base)),
                         lambda s: F.struct(s["start"], rank[s["kind"]].alias("order"), s["kind"], s["end"], s["value"]))
     spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
-    runs = F.flatten(F.transform(_matches(text, "random", RUN, 0, MIN_RUN), lambda r: _pieces(r, F.col("base"))))
-    found = stored(docs.select(F.col(id_col).alias("id"), spans.alias("base"), text.alias("text"))
-                   .select("id", "base", runs.alias("runs")), "secret-spans")
+    # blanks in place of assignments part the runs; other known forms lie inside a run
+    plain = _masked(text, *KINDS[0][1:])
+    runs = F.flatten(F.transform(_matches(plain, "random", RUN, 0, MIN_RUN), _pieces))
+    found = stored(docs.select(F.col(id_col).alias("id"), spans.alias("base"), runs.alias("runs")), "secret-spans")
     tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct()
               .withColumn("t", _inferred(F.col("value"))).select("value", "t.*")
               .where((F.col("encoding").isNotNull()) & (F.length("body") >= MIN_RUN - 4)))
@@ -244,10 +285,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # each run of a document looks its value up; a document's own runs come together again
     hits = (found.where(F.size("runs") > 0).select("id", "base", F.explode("runs").alias("r"), "runs")
             .select(*row, F.col("r").alias("span"), F.col("r.value").alias("value")).distinct()
-            .join(good, "value").groupBy(*ROW).agg(F.array_sort(F.collect_set("span")).alias("random")))
+            .join(good, "value"))
     # the two ways to split a run overlap: a span inside another says nothing new
-    hits = hits.withColumn("random", F.filter("random", lambda s: ~F.exists("random", lambda o: (
-        (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (s["end"] - s["start"] < o["end"] - o["start"])))))
+    before = (Window.partitionBy(*ROW).orderBy("span.start", F.desc("span.end"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    hits = (hits.withColumn("reach", F.max("span.end").over(before))
+            .where(F.col("reach").isNull() | (F.col("reach") < F.col("span.end")))
+            .groupBy(*ROW).agg(F.array_sort(F.collect_list("span")).alias("random")))
     keyed = found.select("*", *row)
     by_start = F.array_sort(F.transform("random", lambda s: F.struct(s["start"], s["kind"], s["end"], s["value"])))
     back = F.transform(by_start, lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
