@@ -9,8 +9,9 @@ an exact distinct count. Boilerplate is then removed from every document but
 its first occurrence (smallest id, then position), so the corpus keeps one
 copy of each line and groups of copied documents keep one full member.
 
-Lines shorter than ``min_chars`` after trimming are left alone: short phrases
-recur by chance on many sites of a large corpus.
+Every line that isn't blank is judged. Lines shorter than ``min_chars`` after
+trimming recur by chance on many sites of a large corpus; they need
+``SHORT_SHARE`` of all sites (``min_sites`` at least), also exactly near that.
 """
 
 from __future__ import annotations
@@ -22,35 +23,46 @@ from voltframe.llm.common import KEY, checkpointed, row_key, table
 
 MIN_SITES = 5
 MIN_CHARS = 16
+SHORT_SHARE = 0.5
 LG_K = 12
 ERRORS = 3
+#: Parts that the rows of one line are dealt into where they are counted exactly.
+SALTS = 64
 
 LINE = ["h1", "h2"]
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
-    """One row per judged line: key of its document, position, 128-bit hash, site."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int, min_chars: int) -> DataFrame:
+    """One row per line that isn't blank: key of its document, position, 128-bit
+    hash, site, and ``need``, the sites that make it boilerplate."""
+    sites = docs.agg(F.count_distinct(F.col(site_col))).scalar()
+    most = F.greatest(F.lit(min_sites), F.ceil(F.lit(SHORT_SHARE) * sites)).cast("long")
+    size = F.length(F.trim("line"))
     return (docs.select(*row_key(id_col, text_col), F.col(site_col).alias("site"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-            .where(F.length(F.trim("line")) >= min_chars)
-            .select(*KEY, "pos", "site", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
+            .where(size > 0)
+            .select(*KEY, "pos", "site", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+                    F.when(size >= min_chars, F.lit(min_sites).cast("long")).otherwise(most).alias("need")))
 
 
-def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Hashes of lines on at least ``min_sites`` distinct sites, each with its
-    first occurrence (``first``: document key and position)."""
-    band = max(1.0, ERRORS * 1.04 / 2 ** (LG_K / 2) * min_sites)
+def spread_lines(lines: DataFrame) -> DataFrame:
+    """Hashes of lines on at least ``need`` distinct sites, each with its first
+    occurrence (``first``: document key and position)."""
+    band = F.greatest(F.lit(1.0), ERRORS * 1.04 / 2 ** (LG_K / 2) * F.col("need"))
     seen = lines.groupBy(*LINE).agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("site", LG_K).alias("sketch"),
-                                    F.min(F.struct(*KEY, "pos")).alias("first"))
+                                    F.min(F.struct(*KEY, "pos")).alias("first"), F.min("need").alias("need"))
     # a line on s sites occurs at least s times
-    seen = (seen.where(F.col("n") >= min_sites)
-            .select(*LINE, "first", F.hll_sketch_estimate("sketch").alias("sites"))
-            .where(F.col("sites") >= min_sites - band))
-    near = seen.where(F.col("sites") <= min_sites + band)
-    exact = (lines.join(near.select(*LINE), LINE, "left_semi").select(*LINE, "site").distinct()
-             .groupBy(*LINE).agg(F.count("site").alias("exact")))
+    seen = (seen.where(F.col("n") >= F.col("need"))
+            .select(*LINE, "first", "need", F.hll_sketch_estimate("sketch").alias("sites"))
+            .where(F.col("sites") >= F.col("need") - band))
+    near = seen.where(F.col("sites") <= F.col("need") + band)
+    # a line of a third of all rows meets its hash in SALTS parts, not in one task
+    part = F.pmod(F.xxhash64(*KEY, "pos"), F.lit(SALTS)).cast("int")
+    parts = near.select(*LINE, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+    exact = (lines.select(*LINE, "site", part.alias("part")).join(parts, [*LINE, "part"], "left_semi")
+             .select(*LINE, "site").distinct().groupBy(*LINE).agg(F.count("site").alias("exact")))
     return (seen.join(exact, LINE, "left")
-            .where(F.coalesce("exact", "sites") >= min_sites).select(*LINE, "first"))
+            .where(F.coalesce("exact", "sites") >= F.col("need")).select(*LINE, "first"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
@@ -63,9 +75,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the first occurrence is chosen. Rows that agree in id and text get the same
     result, so a first occurrence in a repeated row stays in each of them. An
     empty table gives an empty result."""
-    lines = _lines(docs, id_col, text_col, site_col, min_chars)
+    lines = _lines(docs, id_col, text_col, site_col, min_sites, min_chars)
     # cut off before the join, so that its size is known and AQE can split a frequent line
-    drops = (lines.join(checkpointed(spread_lines(lines, min_sites)), LINE)
+    drops = (lines.join(checkpointed(spread_lines(lines)), LINE)
              .where(F.struct(*KEY, "pos") != F.col("first"))
              .groupBy(*KEY).agg(F.collect_set("pos").alias("__drop_lines")))
     key = row_key(id_col, text_col)
@@ -91,8 +103,10 @@ WITH l AS (
   FROM documents),
 spread AS (
   SELECT line, min(struct_pack(d := doc_id, p := pos)) AS one
-  FROM l WHERE length(trim(line, ' ')) >= {MIN_CHARS}
-  GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}),
+  FROM l, (SELECT count(DISTINCT source) AS sites FROM documents)
+  WHERE trim(line, ' ') <> '' GROUP BY line, sites
+  HAVING count(DISTINCT source) >= {MIN_SITES}
+     AND (length(trim(line, ' ')) >= {MIN_CHARS} OR count(DISTINCT source) >= {SHORT_SHARE} * sites)),
 marked AS (
   SELECT l.doc_id, l.pos, l.line,
          spread.line IS NOT NULL AND (l.doc_id, l.pos) <> (spread.one.d, spread.one.p) AS gone
