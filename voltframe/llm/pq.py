@@ -211,13 +211,15 @@ def cosine_links(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col: str
                           F.col(vector_col).cast("array<double>").alias("v"),
                           (usable(F.col(vector_col)) & F.col(label_col).isNotNull()
                            & F.col(id_col).isNotNull()).alias("fit"))
-    # -0.0 and 0.0 are one value to grouping; equal vectors share their first id
+    # -0.0 and 0.0 are one value to grouping. A distinct vector has a number of its
+    # own (``id``), since different vectors may carry one id; ``first`` is its smallest id
     distinct = checkpointed(rows.where("fit").groupBy("label", "v").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v")))
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .withColumns({"dim": F.size("v"), "id": F.monotonically_increasing_id()}))
     sizes = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     models = {}
     for dim, n in sizes.items():
-        sample = (distinct.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
+        sample = (distinct.where(F.col("dim") == dim).orderBy(F.xxhash64("first"), "first", "id").limit(FIT_ROWS)
                   .select("v").toPandas())
         models[dim] = Quantiser.fit(_unit(matrix(sample["v"])), min(MAX_LISTS, max(1, -(-n // LIST_ROWS))))
     if not models:
@@ -243,9 +245,11 @@ def cosine_links(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col: str
                          .applyInPandas(_block_links(min_cosine, models), "a long, b long, n long"))
     roots = components(links.where("a <> b").select("a", "b"))
     counts = links.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "id")
-    known = (distinct.select("label", "v", "id", "copies").join(counts, "id", "left").join(roots, "id", "left")
+    least = (distinct.join(roots, "id").groupBy("root").agg(F.min("first").alias("least")))
+    known = (distinct.select("label", "v", "id", "first", "copies").join(counts, "id", "left")
+             .join(roots.join(least, "root").select("id", "least"), "id", "left")
              .select("label", "v", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"),
-                     F.coalesce("root", "id").alias("root")))
+                     F.coalesce("least", "first").alias("root")))
     linked = (rows.where("fit").join(known, ["label", "v"]).select("id", F.col("n").alias("n_links"),
                                                                    F.col("root").alias("component_id")))
     alone = rows.where("NOT fit").select("id", F.lit(0).cast("long").alias("n_links"),
