@@ -10,24 +10,33 @@ verified distance is at most the window's radius: a nearer vector would, with
 its projections spread normally about the query's, have collided often enough
 with a probability of about 0.99; or when the block is exhausted.
 
-Every block is searched for every query, block by block of bounded size, and
-gives at most k rows a query; the nearest of those are the result.
+Every block is searched for every query and gives at most k rows a query; the
+nearest of those are the result. A block's arrays are built once for each of at
+most ``MOST_ROUNDS`` parts of the queries, which then pass by in batches; there
+are ``MOST_BLOCKS`` blocks at most, which grow beyond ``BLOCK_ROWS`` with the
+table. So the rows shuffled are ``MOST_ROUNDS`` times the vectors and
+``MOST_BLOCKS`` times the queries at most, in proportion to both; memory is that
+of one block. The search itself is queries x blocks, as in any exact check.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voltframe.llm.common import table
+from voltframe.llm.common import checkpointed, table
 from voltframe.llm.vectors import matrix, usable
 
 K = 10
 BLOCK_ROWS = 12_000
 QUERY_ROWS = 512
+MOST_BLOCKS = 512
+MOST_ROUNDS = 8
 PROJECTIONS = 40
 #: Share of the lines a vector must collide on. A vector at the window's radius
 #: collides on a line with probability 0.683.
@@ -86,17 +95,39 @@ class SortedProjections:
             radius *= GROWTH
 
 
-def _search_block(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    data, queries = rows[~rows["is_query"]], rows[rows["is_query"]]
-    out: list[pd.DataFrame] = []
-    if len(data) and len(queries):
-        index = SortedProjections(matrix(data["v"]), data["id"].to_numpy())
-        for q_id, q in zip(queries["id"].to_numpy(), matrix(queries["v"])):
-            at, near = index.search(q, q_id, K)
-            out.append(pd.DataFrame({"query_id": q_id, "vec_id": index.ids[at], "score": near}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"),
-                                                    "vec_id": pd.Series(dtype="int64"),
-                                                    "score": pd.Series(dtype="float64")})
+_FOUND = pa.schema([("number", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (dim, block, round), the block's vectors before the
+    queries: each block is indexed once, and its queries pass by in batches."""
+    at, members, index = None, [], None
+    for batch in batches:
+        rows = batch.to_pandas()
+        keys = list(zip(rows["dim"], rows["block"], rows["round"], rows["is_query"]))
+        begin = 0
+        while begin < len(rows):
+            key = keys[begin]
+            end = begin + 1
+            while end < len(rows) and keys[end] == key:
+                end += 1
+            part = rows.iloc[begin:end]
+            begin = end
+            if key[:3] != at:
+                at, members, index = key[:3], [], None
+            if not key[3]:
+                members.append((matrix(part["v"]), part["id"].to_numpy()))
+            elif members:
+                if index is None:
+                    index = SortedProjections(np.concatenate([x for x, _ in members]),
+                                              np.concatenate([i for _, i in members]))
+                got = [(number, q_id, *index.search(q, q_id, K)) for number, q_id, q in
+                       zip(part["number"].tolist(), part["id"].tolist(), matrix(part["v"]))]
+                sizes = [len(g[2]) for g in got]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([g[0] for g in got], sizes)), pa.array(np.repeat([g[1] for g in got], sizes)),
+                     pa.array(np.concatenate([index.ids[g[2]] for g in got])),
+                     pa.array(np.concatenate([g[3] for g in got]))], schema=_FOUND)
 
 
 def nearest(data: DataFrame, queries: DataFrame, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
@@ -108,26 +139,29 @@ def nearest(data: DataFrame, queries: DataFrame, block_rows: int = BLOCK_ROWS, q
     Vectors that are null, empty, zero or hold null or non-finite components
     take no part, nor do rows without id; only vectors of equal length meet. A
     row with the query's id counts as the query's own. Repeated rows of ``data``
-    are candidates each; repeated queries are searched once. An empty table
+    are candidates each; a query that is repeated with the same vector is
+    searched once, one with another vector is another query. An empty table
     gives an empty result."""
     def clean(df: DataFrame) -> DataFrame:
         return (df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
                 .select(F.col(id_col).cast("long").alias("id"),
                         F.col(vector_col).cast("array<double>").alias("v"), F.size(vector_col).alias("dim")))
-    data, queries = clean(data), clean(queries).dropDuplicates(["id", "dim"])
-    sizes = [data.count(), queries.count()]
-    blocks, groups = (max(1, -(-n // most)) for n, most in zip(sizes, (block_rows, query_rows)))
+    # a number for each query: its rows must get the same one in every block
+    data, queries = clean(data), checkpointed(clean(queries).dropDuplicates(["id", "v"])
+                                              .withColumn("number", F.monotonically_increasing_id()))
+    blocks = min(MOST_BLOCKS, max(1, -(-data.count() // block_rows)))
+    rounds = min(MOST_ROUNDS, max(1, -(-queries.count() // query_rows)))
     # dealt by a hash, so equal vectors of different rows spread
     deal = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
-    left = data.select("*", F.lit(False).alias("is_query"),
-                       deal(blocks, F.col("id"), F.col("v")).alias("block"),
-                       F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    right = queries.select("*", F.lit(True).alias("is_query"),
-                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                           deal(groups, F.col("id")).alias("group"))
-    found = (left.unionByName(right).groupBy("dim", "block", "group")
-             .applyInPandas(_search_block, "query_id long, vec_id long, score double"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    place = ["dim", "block", "round", "is_query"]
+    left = data.select("id", "v", "dim", F.lit(None).cast("long").alias("number"), F.lit(False).alias("is_query"),
+                       deal(blocks, F.col("id"), F.col("v")).alias("block"), every(rounds).alias("round"))
+    right = queries.select("id", "v", "dim", "number", F.lit(True).alias("is_query"), every(blocks).alias("block"),
+                           deal(rounds, F.col("id")).alias("round"))
+    found = (left.unionByName(right).repartition(blocks * rounds, *place[:3]).sortWithinPartitions(*place)
+             .mapInArrow(_search, "number long, query_id long, vec_id long, score double"))
+    order = Window.partitionBy("number").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K)
             .select("query_id", "rank", "vec_id", "score"))
 
