@@ -167,20 +167,25 @@ def _feature_rows(texts: list) -> pa.Array:
                     pa.struct([("at", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))]))
 
 
+def _grades(labels: DataFrame) -> DataFrame:
+    """``(doc_id, grade)`` of the complete ratings; of several ratings of a
+    document the lowest grade counts."""
+    return (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+            .groupBy("doc_id").agg(F.min(F.col("quality") + 1 - F.col("toxic")).cast("int").alias("grade")))
+
+
 def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, text, grade)`` of documents that have a complete rating; of
-    several ratings of a document the lowest grade counts."""
-    grades = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
-              .groupBy("doc_id").agg(F.min(F.col("quality") + 1 - F.col("toxic")).cast("int").alias("grade")))
-    return docs.select("doc_id", "text").join(grades, "doc_id")
+    """``(doc_id, text, grade)`` of documents that have a complete rating."""
+    return docs.select("doc_id", "text").join(_grades(labels), "doc_id")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> OrdinalModel:
-    """Fit on the ``fit_rows`` rated documents with the smallest id hash. The
-    sample is chosen on ids alone, so only its texts move."""
-    ids = (labels.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    """Fit on the ``fit_rows`` documents with the smallest id hash of those that
+    are there and have a complete rating. The sample is chosen on ids alone, so
+    only its texts move."""
+    ids = (_grades(labels).join(docs.select("doc_id"), "doc_id", "left_semi")
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    sample = rated(docs.join(F.broadcast(ids), "doc_id", "left_semi"), labels)
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     got = (sample.select("doc_id", "grade", F.arrow_udf(by_value(_feature_rows), _FEATURES)("text").alias("f"))
            .select("doc_id", "grade", "f.at", "f.values").toPandas().sort_values("doc_id", kind="stable"))
     sizes = got["at"].map(len).to_numpy(dtype=np.int64)
