@@ -13,18 +13,22 @@ map-side, whatever the domains are called and whichever column holds them. Log
 odds are divided by the square root of the number of features to keep
 posteriors soft on long texts.
 
-Rates: minimise 1/2 * sum_k (total_k - target_k)^2 / present_k over rates >= 0
-from rates of 1 by projected gradient steps of length 1, in the metric that
-weighs each document by its tokens; there the loss has curvature 1 at most.
-All rates are then divided by the least of them if that is below 1: shares stay
-as fitted, the mixture grows, and no document is left out.
-A step needs only the domain totals, one aggregate of as many numbers
-as there are domains, so the driver sees those sums and nothing else. A
-document's rate is recomputed from the steps so far: no rate table is shuffled.
+Rates: of all rates of at least 1 whose totals are in the targets' proportions,
+those nearest 1 (least squares weighted by tokens; the mixture's size is free).
+They have the form max(1, 1 + sum_k force_k * posterior_k), the projection of an
+unbounded rate onto its bound, so the fit looks for one force per domain: least
+squares whose gradient is how far the domain totals are off. Projected gradient
+steps are scaled by the curvature of the documents that the bound doesn't hold
+(as in Newton's method) and shortened until the objective falls; a handful
+settle it. A step is one aggregate of a few numbers per pair of domains, so the
+driver sees those sums and nothing else; a document's rate follows from the
+forces: no rate table is shuffled. A single document can't drive the others'
+rates, since none is divided by another.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
@@ -40,12 +44,13 @@ BUCKETS = 2048
 PART = 3
 #: Stripped from both ends of a word before its parts are taken.
 AROUND = ".,;:!?()[]{}<>\"'`*_-/\\|\u2026\u2013\u2014\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00a1\u00bf"
-STEPS = 40
-#: Size of the fitted mixture, as a multiple of what keeps the total of the domain most above its target.
-HEADROOM = 1.01
-#: Most growth by division; rates that would need more are fitted again at this size, none below 1.
-MOST_GROWTH = 8.0
+#: Most steps of one fit; a fit that hasn't settled by then is an error.
+STEPS = 60
+#: How far a domain's share of the mixture may be from its target.
 TOLERANCE = 1e-3
+#: Weights of the forces in the objective, tried in turn until the targets are met.
+#: They keep the fit bounded where no rates can meet them.
+RIDGES = (1e-3, 1e-4, 1e-5)
 
 
 def words(text: Column) -> Column:
@@ -116,73 +121,108 @@ def _wanted(post: Column, targets: Mapping[str, float]) -> Column:
     return F.get(shares, (F.array_position(post, F.array_max(post)) - 1).cast("int")) > 0
 
 
-def _rate(steps: list[list[float]], tokens: Column, post: Column, floor: Column) -> Column:
-    """Rate after the projected steps: r = max(floor, r - sum_k step_k * post_k) in turn."""
-    if not steps:
-        return F.lit(1.0)
-    moves = F.array(*[F.array(*[F.lit(x) for x in s]) for s in steps])
-
-    def move(rate: Column, step: Column) -> Column:
-        by = F.aggregate(F.zip_with(step, post, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(floor, rate - by)
-    return F.when(tokens > 0, F.aggregate(moves, F.lit(1.0), move)).otherwise(F.lit(1.0))
-
-
-def fit_steps(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS, growth: float = HEADROOM,
-              floor: Column | None = None) -> list[list[float]]:
-    """The projected-gradient steps for ``members`` (``tokens``, ``post``), for
-    rates of at least ``floor`` (0 unless given).
-
-    The mixture is ``growth`` times as large as it takes for the domain most
-    above its target to keep its total. Rates of single documents can still
-    fall below 1; ``fitted_rate`` sees to that.
-
-    The gradient with respect to a document's rate is tokens * sum_k post_k *
-    miss_k / present_k; in the tokens metric the step depends on the posterior
-    alone."""
-    names = list(targets)
-    tokens, post = F.col("tokens"), F.col("post")
-    floor = F.lit(0.0) if floor is None else floor
-    at = [F.get(post, F.lit(k)) for k in range(len(names))]
-
-    def totals(done: list[list[float]]) -> list[float]:
-        rate = _rate(done, tokens, post, floor)
-        return [float(x or 0.0) for x in members.agg(*[F.sum(rate * tokens * p) for p in at]).first()]
-
-    now = totals([])
-    share = sum(targets.values())
-    size = growth * max((n / (targets[d] / share) for n, d in zip(now, names) if targets[d] > 0), default=0.0)
-    goal = [size * targets[d] / share for d in names]
-    done: list[list[float]] = []
-    got = now
-    while len(done) < steps and max(abs(g - t) for g, t in zip(got, goal)) > TOLERANCE * size:
-        done.append([(g - t) / n if n > 0 else 0.0 for g, t, n in zip(got, goal, now)])
-        got = totals(done)
-    return done
-
-
-def fitted_rate(members: DataFrame, targets: Mapping[str, float], steps: int = STEPS) -> Column:
-    """Rate of each of ``members`` (``tokens``, ``post``): the fitted rates, divided
-    by the least one of documents with tokens if that is below 1.
-
-    Where that would grow the mixture more than ``MOST_GROWTH``-fold (targets
-    that soft posteriors can hardly meet) the fit is made again at that size
-    with rates of 1 at least; totals then come as near the targets as that
-    allows. Only documents whose likeliest domain has target 0 may go below 1."""
-    tokens, post = F.col("tokens"), F.col("post")
-    wanted = _wanted(post, targets)
-    rate = _rate(fit_steps(members, targets, steps), tokens, post, F.lit(0.0))
-    least = members.where((tokens > 0) & wanted).agg(F.min(rate)).first()[0]
-    if least is None or least >= 1:
-        return rate
-    if least * MOST_GROWTH >= 1:  # the division may end a hair below 1
-        raised = F.when(wanted, F.greatest(F.lit(1.0), rate / least)).otherwise(rate / least)
-        return F.when(tokens > 0, raised).otherwise(F.lit(1.0))
-    floor = F.when(wanted, F.lit(1.0)).otherwise(F.lit(0.0))
-    return _rate(fit_steps(members, targets, steps, MOST_GROWTH, floor), tokens, post, floor)
-
-
-def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, steps: int = STEPS,
+def _pull(force: np.ndarray, post: Column) -> Column:
+    terms = [F.lit(float(f)) * F.get(post, F.lit(k)) for k, f in enumerate(force)]
+    return sum(terms[1:], terms[0])
+
+
+def _rate(force: np.ndarray, targets: Mapping[str, float], tokens: Column, post: Column) -> Column:
+    rate = F.greatest(F.lit(1.0), 1.0 + _pull(force, post))
+    return F.when(tokens <= 0, F.lit(1.0)).when(_wanted(post, targets), rate).otherwise(F.lit(0.0))
+
+
+class _Fit:
+    """The objective over the wanted documents with tokens: half the sum of tokens *
+    max(0, pull)^2, plus what the rates of 1 give, plus the ridge."""
+
+    def __init__(self, members: DataFrame, targets: Mapping[str, float]):
+        self.members = members.where((F.col("tokens") > 0) & _wanted(F.col("post"), targets))
+        self.target = np.array([float(t) for t in targets.values()]) / sum(targets.values())
+        self.k = len(targets)
+        start = self.sums(np.zeros(self.k))
+        self.size = start[1].sum()  # all posteriors of a document add up to 1
+        self.base = start[1] / self.size if self.size else start[1]
+
+    def sums(self, force: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the squares, the domain totals and the curvature at ``force``."""
+        tokens, post = F.col("tokens"), F.col("post")
+        pull = _pull(force, post)
+        at = [F.get(post, F.lit(k)) for k in range(self.k)]
+        free = F.when(pull >= 0, tokens).otherwise(0.0)  # the bound doesn't hold these
+        got = self.members.agg(
+            F.sum(free * pull * pull / 2), *[F.sum((tokens + free * pull) * p) for p in at],
+            *[F.sum(free * at[i] * at[j]) for i in range(self.k) for j in range(i + 1)]).first()
+        got = [float(x or 0.0) for x in got]
+        curve = np.zeros((self.k, self.k))
+        curve[np.tril_indices(self.k)] = got[1 + self.k:]
+        return got[0], np.array(got[1:1 + self.k]), curve + np.tril(curve, -1).T
+
+    def settle(self, force: np.ndarray, ridge: float, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forces at the least of the objective, those of domains out of ``use``
+        staying 0, and by how much the share of each domain in use is too small."""
+        aim, base = self.target, self.base
+        weight = np.maximum(base, 1e-9)
+
+        def value(half: float, force: np.ndarray) -> float:
+            return half / self.size + base @ force + ridge / 2 * (weight * force ** 2).sum()
+        half, totals, curve = self.sums(force)
+        now = value(half, force)
+        for _ in range(STEPS):
+            slope = totals / self.size + ridge * weight * force
+            # forces stay at right angles to the targets: that leaves the size free
+            n = int(use.sum())
+            system = np.zeros((n + 1, n + 1))
+            system[:n, :n] = (curve / self.size + ridge * np.diag(weight) + 1e-12 * np.eye(self.k))[np.ix_(use, use)]
+            system[:n, n] = system[n, :n] = -aim[use]
+            found = np.linalg.lstsq(system, np.append(-slope[use], 0.0), rcond=None)[0]
+            step = np.zeros(self.k)
+            step[use] = found[:n]
+            if abs(slope @ step) < 1e-12:
+                break
+            length = 1.0
+            while True:
+                half, totals, curve = self.sums(force + length * step)
+                then = value(half, force + length * step)
+                if then <= now + 1e-4 * length * (slope @ step) or length < 1e-6:
+                    break
+                length /= 2
+            force, before, now = force + length * step, now, then
+            if before - now < 1e-12 * max(1.0, abs(now)):
+                break
+        else:
+            raise RuntimeError(f"mixing rates did not settle in {STEPS} steps")
+        short = np.zeros(self.k)
+        short[use] = aim[use] / aim[use].sum() - totals[use] / totals[use].sum()
+        return force, short
+
+
+def fit_forces(members: DataFrame, targets: Mapping[str, float]) -> np.ndarray:
+    """One force a domain (order of ``targets``) for ``members`` (``tokens``,
+    ``post``). If no rates can meet the targets (no document is of some domain,
+    say), the domain that falls shortest is given up with a warning, and the
+    others are fitted to their targets among themselves."""
+    fit = _Fit(members, targets)
+    use = fit.target > 0
+    while fit.size and use.sum() > 1:
+        force = np.zeros(len(targets))
+        for ridge in RIDGES:
+            force, short = fit.settle(force, ridge, use)
+            if np.abs(short).max() <= TOLERANCE:
+                return force
+        worst = int(short.argmax())
+        warnings.warn(f"mixing: no rates give {list(targets)[worst]!r} its share; it is {short[worst]:.3f} too small",
+                      stacklevel=2)
+        use = use & (np.arange(len(use)) != worst)
+    return np.zeros(len(targets))
+
+
+def fitted_rate(members: DataFrame, targets: Mapping[str, float]) -> Column:
+    """Rate of each of ``members`` (``tokens``, ``post``): 1 at least. Documents
+    whose likeliest domain has target 0 get 0, those without tokens 1."""
+    return _rate(fit_forces(members, targets), targets, F.col("tokens"), F.col("post"))
+
+
+def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS,
             id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """One row per row key of ``docs`` (id and text): ``tokens``, ``post`` (posteriors in the
     order of ``targets``), ``rate`` and ``copies``, the rate rounded up or down
@@ -205,7 +245,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
                .select(*KEY, F.col("id").alias(id_col), _once(F.col("words"), lambda w: F.struct(
                    F.size(w).cast("long").alias("tokens"), posteriors(w, model).alias("post"))).alias("judged")))
     members = checkpointed(members.select(*KEY, id_col, "judged.*"))
-    rate = fitted_rate(members, targets, steps)
+    rate = fitted_rate(members, targets)
     draw = (F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) / float(1 << 30))
     return (members.withColumn("rate", rate)
             .withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long"))))
@@ -214,7 +254,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id",
         text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """``docs`` with each row as often as its ``copies`` says."""
-    copies = (mixture(docs, labels, targets, STEPS, id_col, text_col, domain_col)
+    copies = (mixture(docs, labels, targets, id_col, text_col, domain_col)
               .select(*KEY, F.col("copies").cast("int").alias("__copies")).distinct())
     keyed = docs.withColumns(dict(zip(KEY, row_key(id_col, text_col)))).join(copies, KEY)
     again = keyed.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
