@@ -45,6 +45,23 @@ def test_secret_positions_edge_cases(spark, docs, empty):
     assert secrets.scan_secrets(empty).count() == 0
 
 
+def test_secret_scan_of_long_texts(spark):
+    """Work follows the length of a text: several MB of digests, of assignments,
+    of random keys, and one run of a million characters."""
+    r = random.Random(9)
+    digests = " ".join("%064x" % r.getrandbits(256) for _ in range(30_000))
+    assigned = "\n".join("token=%032x;" % r.getrandbits(128) for _ in range(30_000))
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = " ".join("".join(r.choices(symbols, k=40)) for _ in range(20_000))
+    rows = [(1, digests), (2, assigned), (3, keys), (4, "ab/-" * 300_000), (5, "x-" * 50 + "0123456789abcdef" + "/y" * 50)]
+    texts = dict(rows)
+    for g in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in g.base) == base_spans(texts[g.doc_id])
+        assert all(texts[g.doc_id][s.start:s.end] == s.value for s in g.random)
+        assert g.doc_id == 3 or not g.random
+        assert g.doc_id != 3 or len(g.random) > 19_000
+
+
 def test_random_battery_finds_random_and_leaves_words(spark):
     r = random.Random(3)
     symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -231,6 +248,18 @@ def test_spread_lines_near_the_threshold_are_exact(spark):
     assert {int(g.n): g.r for g in got} == {n: (n - 1 if n >= 30 else 0) for n in range(1, 60)}
 
 
+def test_short_lines_need_half_of_the_sites(spark):
+    rows = [(i, f"Log in\nYes\ntext of document {i} alone\n \n", f"s{i}") for i in range(10)]
+    rows += [(10 + i, f"No\ntext of document {10 + i} alone", f"s{10 + i}") for i in range(10)]
+    rows = [(i, t.replace("Yes\n", "") if i == 9 else t, s) for i, t, s in rows]
+    got = lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    kept = {g.doc_id: g.text.split("\n") for g in got}
+    assert "Log in" in kept[0] and not any("Log in" in kept[i] for i in range(1, 10))  # 10 of 20 sites
+    assert all("Yes" in kept[i] for i in range(9))  # 9 of 20
+    assert kept[3][-2:] == [" ", ""]  # blank lines stay
+    assert "No" in kept[10] and not any("No" in kept[i] for i in range(11, 20))
+
+
 def test_packing_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(packing.tokenizer_path())
@@ -289,12 +318,43 @@ def test_render(page, text):
     ("<table><tr><td><p>one<p>two<ul><li>a<li>b</ul><pre>x\n  y</pre></table>",
      "one\n\ntwo\n\n  - a\n  - b\n\nx\n  y"),
     ("<table><tr><td>a<br>b<td>1<tr><td>ccc<td>2</table>", "a    1\nb\nccc  2"),
-    ("<table><tr><td>menu<td><p>" + "w" * 70 + "<p>end</table>", "menu\n" + "w" * 70 + "\n\nend"),
+    ("<table><tr><td>menu<td><p>" + "w" * 70 + "<p>end</table>", "menu  " + "w" * 70 + "\n\n      end"),
     ("<table><tr><td><tr><td>x</table>", "x")])
 def test_render_formulas_drawings_visibility_and_cells(page, text):
     assert render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<style>.x{display:none}</style><p class='a x'>no</p>yes", "yes"),
+    ("<style>p{visibility:hidden}</style><p>no<b style='visibility:visible'>seen</b></p>yes", "seen\n\nyes"),
+    ("<style>/* p{} */ h1, p.x , #i {color:red; display : none !important}</style><p>a<p class=x>b<p id=i>c<h1>d</h1>e", "a\n\ne"),
+    ("<style>.x{display:none} #i{display:block}</style><p class=x>a<p class=x id=i>b", "b"),
+    ("<style>.x{display:none}</style><p class=x style='display:block'>a<p class=x>b", "a"),
+    ("<style>p{display:none!important}</style><p style='display:block'>a</p>b", "b"),
+    ("<style>@media print{p{display:none}} @import 'x'; @media screen { b {display:none} }</style><p>a <b>c</b></p>d", "a\n\nd"),
+    ("<style>@font-face{src:x} div p, a:hover, [hidden] {display:none}</style><div><p>a</p></div>", "a"),
+    ("<style media=print>p{display:none}</style><p>a", "a"), ("<style>.x{display:block}</style><p hidden class=x>a", "a"),
+    ("<style>@media screen {p{", ""), ("<style>*{visibility:hidden}</style>a<p>b", "a"),
+    ("<details><summary>s<b>t</b></summary>body<p>x</p><summary>u</summary></details>after", "st\nafter"),
+    ("<details open><summary>s</summary>body</details>", "s\nbody"), ("<details>a</details>b", "b"),
+    ("<details><summary>s</summary><details open>in</details></details>o", "s\no"),
+    ("<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>", "漢kan"),
+    ("<ol><li>a<li value=7>b<li>c</ol>", "  1. a\n  7. b\n  8. c"), ("<ol start=-1><li>a<li>b</ol>", "  -1. a\n  0. b"),
+    ("<ol reversed><li>a<li>b<ol reversed><li>x</ol><li>c</ol>", "  3. a\n  2. b\n       1. x\n  1. c"),
+    ("<ol reversed start=9><li>a<li>b</ol>", "  9. a\n  8. b"),
+    ("<form>name <input type=text value=x><input type=submit value=Send> <input type=reset><input type=hidden value=h></form>",
+     "name Send Reset"),
+    ("<table><tr><td>" + "w" * 70 + "<td>x<tr><td>a<td>y</table>", "w" * 70 + "  x\na" + " " * 71 + "y")])
+def test_render_styles_details_numbers_and_buttons(page, text):
+    assert render(page) == text
+
+
+def test_one_very_wide_cell_pads_no_other_row():
+    page = "<table>" + "<tr><td>abc<td>x" * 2000 + "<tr><td>" + "w" * 20_000 + "<td>y</table>"
+    lines_ = render(page).split("\n")
+    assert lines_[0] == "abc  x" and lines_[-1] == "w" * 20_000 + "  y" and len(lines_) == 2001
+
+
 def test_render_depth_and_spark(spark):
     assert render("<div>" * 50_000 + "x") == "x"
     df = spark.createDataFrame([(1, "<p>a", "old"), (1, "<p>a", "old"), (2, None, None)], "page_id int, html string, text string")

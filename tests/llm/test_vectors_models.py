@@ -50,6 +50,13 @@ def test_pq_links_equal_brute_force(spark):
     assert pq.cosine_links(df.where("false")).count() == 0
 
 
+def test_pq_one_id_on_different_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (0, [0.01, 1.0], 1),
+                                (1, [0.02, 1.0], 1)], "vec_id long, embedding array<double>, label int")
+    got = sorted((g.vec_id, g.n_links, g.component_id) for g in pq.cosine_links(df).collect())
+    assert got == [(0, 2, 0), (1, 1, 1), (1, 2, 0), (1, 2, 0), (2, 1, 1)]
+
+
 def test_pq_probes_reach_every_near_vector():
     r = np.random.default_rng(3)
     u = pq._unit(r.standard_normal((400, 5)))
@@ -92,11 +99,30 @@ def test_ann_recall_scores_and_ties(spark):
         gap = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
         best = [i for i in np.lexsort((ids, gap)) if ids[i] != q][:10]
         hits += len({v for _, v, _ in found} & set(ids[best].tolist()))
-        assert [k for k, _, _ in found] == list(range(1, 11))
+        assert [k for k, _, _ in found] == list(range(1, 14))
         assert all(abs(s - gap[ids == v][0]) < 1e-12 for _, v, s in found)
     assert len(got) == (ids % 100 == 0).sum() and hits >= 0.9 * 10 * len(got)
 
 
+def test_ann_one_id_on_different_vectors(spark):
+    df = spark.createDataFrame([(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (100, [1.0, 0.0])],
+                               "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id = 100")).collect()
+    assert sorted((g.query_id, g.rank, g.vec_id) for g in got) == [(100, 1, 1), (100, 1, 2), (100, 2, 1), (100, 2, 2)]
+
+
+def test_ann_rows_shuffled_follow_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_BLOCKS", 4)
+    monkeypatch.setattr(ann, "MOST_ROUNDS", 2)
+    r = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.standard_normal((900, 4)))],
+                               "vec_id long, embedding array<double>")
+    few = ann.nearest(df, df.where("vec_id % 10 = 0"), block_rows=50, query_rows=10)
+    many = ann.nearest(df, df.where("vec_id % 10 = 0"), block_rows=10_000, query_rows=10_000)
+    rows = lambda d: sorted((g.query_id, g.rank, g.vec_id) for g in d.collect())
+    assert rows(few) == rows(many)
+
+
 def test_ann_odd_rows(spark):
     df = vectors(spark)
     got = ann.nearest(df, df.where("vec_id % 100 = 0"), block_rows=7, query_rows=1)
@@ -105,7 +131,7 @@ def test_ann_odd_rows(spark):
         assert r.vec_id in usable and r.vec_id != r.query_id
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(30)], "vec_id long, embedding array<double>")
     found = ann.nearest(same, same.where("vec_id = 0")).orderBy("rank").collect()
-    assert [r.vec_id for r in found] == list(range(1, 11)) and all(r.score == 0 for r in found)
+    assert [r.vec_id for r in found] == list(range(1, 14)) and all(r.score == 0 for r in found)
     few = same.where("vec_id < 4")
     assert ann.nearest(few, few.where("vec_id = 0")).count() == 3
     assert ann.nearest(same.where("false"), same.where("false")).count() == 0
@@ -123,6 +149,21 @@ def test_quality_held_out(spark):
     assert list(model.thresholds) == sorted(model.thresholds)
 
 
+def test_quality_sample_is_of_complete_ratings(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) if i % 50 == 0 else (i, 1, None) for i in range(6000)],
+                                   "doc_id long, quality int, toxic int")
+    seen = []
+    fit = quality.fit_ordinal
+    quality.fit_ordinal = lambda rows, at, values, grades, **k: seen.append(len(grades)) or fit(rows, at, values, grades)
+    try:
+        quality.train(docs, labels, fit_rows=40)
+        quality.train(docs, labels, fit_rows=500)
+    finally:
+        quality.fit_ordinal = fit
+    assert seen == [40, 60]
+
+
 def test_quality_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 0, 1), (5, None, 0), (None, 1, 1), (7, 1, 1)],
                                    "doc_id long, quality int, toxic int")
@@ -153,20 +194,30 @@ def test_mixing_matches_targets_and_numpy(spark):
     tokens, rate = got["tokens"].to_numpy(dtype=float), got["rate"].to_numpy()
     total = (rate[:, None] * tokens[:, None] * post).sum(axis=0)
     assert np.allclose(total / total.sum(), list(mixing.TARGETS.values()), atol=3e-3) and (rate >= 0).all()
-    # the same projected gradient steps in numpy
-    now = (tokens[:, None] * post).sum(axis=0)
+    # the same problem by plain projected gradient steps on the forces, in numpy
     share = np.array(list(mixing.TARGETS.values())) / sum(mixing.TARGETS.values())
-    goal = mixing.HEADROOM * (now / share).max() * share
-    want = np.ones(len(tokens))
-    for _ in range(mixing.STEPS):
-        miss = (want[:, None] * tokens[:, None] * post).sum(axis=0) - goal
-        if np.abs(miss).max() <= mixing.TOLERANCE * goal.sum():
-            break
-        want = np.maximum(0, want - post @ (miss / now))
-    assert np.allclose(np.where(tokens > 0, want, 1), rate, atol=1e-9)
+    post, weight = post[tokens > 0], tokens[tokens > 0] / tokens.sum()
+    across = np.eye(len(share)) - np.outer(share, share) / (share @ share)
+    force = np.zeros(len(share))
+    for _ in range(20_000):
+        force -= 0.5 * across @ ((weight * np.maximum(0, post @ force)) @ post + weight @ post)
+    assert np.allclose(np.maximum(1, 1 + post @ force), rate[tokens > 0], atol=0.02)
+    assert (rate[tokens == 0] == 1).all() and rate.min() >= 1
     assert (np.abs(got["copies"] - rate) < 1).all()
 
 
+def test_mixing_one_document_cannot_multiply_the_others(spark):
+    soft = [(100, [0.6, 0.4])] * 600 + [(100, [0.4, 0.6])] * 400
+    grown = []
+    for rows in (soft, soft + [(100, [0.0, 1.0])], soft + [(100, [1.0, 0.0])]):
+        members = spark.createDataFrame(rows, "tokens long, post array<double>")
+        got = members.withColumn("rate", mixing.fitted_rate(members, {"a": 0.55, "b": 0.45})).toPandas()
+        total = (got["rate"] * got["tokens"]).to_numpy() @ np.stack(got["post"])
+        assert abs(total[0] / total.sum() - 0.55) <= 1e-3 and got["rate"].min() >= 1
+        grown.append(total.sum() / got["tokens"].sum())
+    assert max(grown) < 1.7
+
+
 @pytest.mark.parametrize("hot", ["es", "de"])
 def test_mixing_keeps_every_document_of_a_hot_language(spark, hot):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
@@ -183,8 +234,16 @@ def test_mixing_rates_when_targets_are_out_of_reach(spark):
     rows = [(100, [0.6, 0.4]) if i % 2 else (100, [0.4, 0.6]) for i in range(40)] + [(0, [0.5, 0.5])]
     members = spark.createDataFrame(rows, "tokens long, post array<double>")
     # 0.95 of the first domain can't be had; a target of 0 gives its documents up
-    far = members.withColumn("rate", mixing.fitted_rate(members, {"a": 0.95, "b": 0.05})).toPandas()["rate"]
-    assert far.min() >= 1 and far.max() > 1
+    with pytest.warns(UserWarning, match="no rates give 'a' its share"):
+        far = members.withColumn("rate", mixing.fitted_rate(members, {"a": 0.95, "b": 0.05})).toPandas()["rate"]
+    assert far.min() == far.max() == 1
+    # a domain without documents: the two others keep their proportion
+    rows = [(100, [0.95, 0.05, 0.0])] * 30 + [(100, [0.05, 0.95, 0.0])] * 10
+    three = spark.createDataFrame(rows, "tokens long, post array<double>")
+    with pytest.warns(UserWarning, match="no rates give 'c' its share"):
+        got = three.withColumn("rate", mixing.fitted_rate(three, {"a": 0.4, "b": 0.4, "c": 0.2})).toPandas()
+    total = got["rate"].to_numpy() @ np.stack(got["post"])
+    assert abs(total[0] / total[:2].sum() - 0.5) <= 1e-3 and got["rate"].min() >= 1 and got["rate"].max() < 4
     none = members.withColumn("rate", mixing.fitted_rate(members, {"a": 1.0, "b": 0.0})).toPandas()["rate"]
     assert none[1] >= 1 and none[0] < 1 and none[40] == 1
 
@@ -243,5 +302,5 @@ def test_pipeline_stages_on_an_empty_table(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
