@@ -62,7 +62,10 @@ def buckets(words: Column) -> Column:
     """Buckets, 0 to ``BUCKETS`` - 1, of the beginnings and the ends of ``words``."""
     def hashed(part: Column) -> Column:
         return F.xxhash64(part).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    bare = F.transform(words, lambda w: F.trim(w, F.lit(AROUND)))
+    def stripped(w: Column) -> Column:  # a word that begins with a letter has marks at its end only
+        plain = (w >= F.lit("a")) & (w < F.lit("{"))
+        return F.when(plain, F.rtrim(w, F.lit(AROUND))).otherwise(F.trim(w, F.lit(AROUND)))
+    bare = F.transform(words, stripped)
     return _once(bare, lambda b: F.concat(F.transform(b, lambda w: hashed(F.substring(w, 1, PART))),
                                           F.transform(b, lambda w: hashed(F.substring(w, -PART, PART)))))
 
