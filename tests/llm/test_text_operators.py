@@ -140,6 +140,56 @@ def test_substring_dedup_equals_all_windows(spark):
     assert got == windows_removed(rows)
 
 
+def plain_parse(words, smaller):
+    """Greedy factors of 50 words or more: from the left, the longest stretch that stands in
+    a smaller document; a factor begins at the first window that the one before doesn't hold."""
+    places = {}
+    for o, w in smaller:
+        for s in range(len(w) - 49):
+            places.setdefault(tuple(w[s:s + 50]), []).append((w, s))
+    out, i = [], 0
+    while i + 50 <= len(words):
+        best = 0
+        for w, s in places.get(tuple(words[i:i + 50]), ()):
+            n = 50
+            while i + n < len(words) and s + n < len(w) and words[i + n] == w[s + n]:
+                n += 1
+            best = max(best, n)
+        if best:
+            out.append((i, best))
+        i += best - 49 if best else 1
+    return out
+
+
+def test_factors_are_true_and_near_a_plain_greedy_parse(spark):
+    r = random.Random(5)
+    base = [[f"w{r.randrange(500)}" for _ in range(r.randrange(200, 900))] for _ in range(6)]
+    rows = []
+    for i in range(40):
+        w = []
+        for _ in range(r.randrange(1, 5)):
+            b = r.choice(base)
+            a = r.randrange(len(b))
+            w += b[a:a + r.randrange(30, 700)] + [f"x{r.randrange(9**9)}" for _ in range(r.choice([0, 3, 60]))]
+        rows.append((i, w))
+    rows += [(100, rows[3][1]), (101, rows[3][1] + rows[8][1])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    words, ours, plain = dict(rows), 0, 0
+    for g in substring.substring_dedup(df).collect():
+        w, gone = words[g.doc_id], set()
+        for f in g.factors:
+            assert f.origin < g.doc_id and f.length >= 50
+            assert w[f.start:f.start + f.length] == words[f.origin][f.origin_start:f.origin_start + f.length]
+            gone |= set(range(f.start, f.start + f.length))
+        parse = plain_parse(w, [(o, x) for o, x in rows if o < g.doc_id])
+        assert gone == {i for s, n in parse for i in range(s, s + n)} and len(gone) == g.n_removed
+        assert len(g.factors) >= len(parse)
+        ours, plain = ours + len(g.factors), plain + len(parse)
+        if g.doc_id == 100:
+            assert [(f.start, f.length) for f in g.factors] == [(0, len(w))]
+    assert ours <= 1.6 * plain, (ours, plain)
+
+
 def test_substring_dedup_odd_rows(docs, empty):
     assert substring.substring_dedup(docs).count() == docs.count()
     assert substring.substring_dedup(empty).count() == 0
