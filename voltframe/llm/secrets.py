@@ -5,8 +5,8 @@ adds ``random`` spans: maximal runs of ``[A-Za-z0-9+/_=-]``, known spans cut out
 them. A run that fits no encoding (``NAME=value``, paths, a prefix before
 base64) is split at inner ``=``, and what still fits none both at ``/`` and
 ``+`` and at ``-`` and ``_``. Pieces of at least ``MIN_RUN`` characters are
-tested. From the characters that occur an encoding is inferred (hex, base32,
-base36, base62, base64), whose alphabet the tests use:
+tested. From the characters that occur an encoding is inferred (hex, letters of
+one or both cases, base32, base36, base62, base64), whose alphabet the tests use:
 
 * chi-squared uniformity of the symbol counts over the alphabet,
 * number of runs of one character class (lower, upper, digit, other),
@@ -15,6 +15,7 @@ base36, base62, base64), whose alphabet the tests use:
 Each test has a two-sided or upper p-value under "drawn evenly from the
 alphabet"; Fisher's sum of the three must not reject (``MIN_RANDOM``). What
 passes is then held against the opposite null, "ordinary text in this alphabet":
+letters that follow each other as in the corpus's own words (``letter_model``),
 symbols with the collision rate of words and rare changes of class. Its p-value
 falls with the length of the run, so a short run needs a far more even look
 than a long one. Benjamini-Hochberg over these p-values, in strata of encoding
@@ -28,6 +29,7 @@ grid, whatever the corpus.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +41,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 KINDS = [("assign", ASSIGN, 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16)]
 
 RUN = "[A-Za-z0-9+/_=-]+"
-MIN_RUN = 20
+MIN_RUN = 12
 MIN_RANDOM = 1e-3
 FALSE_DISCOVERIES = 1e-3
 #: Grid of -log10(p): steps of 0.05 up to 40.
@@ -48,8 +50,11 @@ GRID, GRID_TOP = 0.05, 800
 #: Name, pattern of the whole run, symbols in rank order.
 ENCODINGS = [
     ("hex", "[0-9a-f]+|[0-9A-F]+", "0123456789abcdef"),
+    ("lower", "[a-z]+", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", "[A-Z]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "[A-Z2-7]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base36", "[a-z0-9]+", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("letters", "[A-Za-z]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base62", "[A-Za-z0-9]+", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "[A-Za-z0-9+/]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "[A-Za-z0-9_-]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -59,6 +64,9 @@ FITS = "^(?:" + "|".join(pattern for _, pattern, _ in ENCODINGS) + ")$"
 KNOWN = "AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}"
 #: Matches whose places are summed up together.
 CHUNK = 128
+#: Share of even draws in the letter model, and how much the log probabilities of
+#: neighbouring pairs of a text vary together.
+EVEN_SHARE, TOGETHER = 0.02, 2.0
 #: Chance that two symbols of ordinary text agree, and that neighbours differ in class.
 TEXT_COLLISIONS, TEXT_CHANGES = 0.07, 0.12
 
@@ -193,7 +201,44 @@ def _inferred(run: Column) -> Column:
     return F.struct(name.alias("encoding"), size.alias("k"), symbols.alias("symbols"), body.alias("body"))
 
 
-def _statistics(runs: DataFrame) -> DataFrame:
+def letter_model(text: DataFrame) -> tuple[list[float], float, float]:
+    """How letters follow each other in the distinct words of ``text`` (one string
+    column): log probability of each of the 26 x 26 pairs given its first letter,
+    and mean and variance of that over a word's pairs. Every word counts once, so
+    what is copied often weighs no more."""
+    words = (text.select(F.explode(F.split(F.lower(F.col(text.columns[0])), "[^a-z]+")).alias("w"))
+             .where(F.length("w") >= 3).distinct())
+    pairs = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, 2))
+    counts = np.zeros((26, 26))
+    for r in words.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[ord(r["pair"][0]) - 97, ord(r["pair"][1]) - 97] = r["n"]
+    rows = counts.sum(axis=1, keepdims=True)
+    given = (1 - EVEN_SHARE) * (counts + 1 / 26) / (rows + 1) + EVEN_SHARE / 26
+    logs = np.log(given)
+    share = (counts + 1e-9) / (counts + 1e-9).sum()
+    mean = float((share * logs).sum())
+    return logs.ravel().tolist(), mean, max(float((share * (logs - mean) ** 2).sum()), 0.1)
+
+
+def _letter_pairs(body: Column, model: tuple[list[float], float, float]) -> Column:
+    """P-value of the run's letter pairs being as unusual under the model."""
+    logs, mean, variance = model
+    table = F.split(F.lit(" ".join(f"{x:.6g}" for x in logs)), " ").cast("array<double>")
+    codes = F.transform(F.split(F.lower(body), ""), lambda c: F.ascii(c) - 97)
+
+    def test(codes: Column) -> Column:
+        letter = lambda c: (c >= 0) & (c < 26)
+        ends = F.zip_with(codes, F.slice(codes, 2, F.size(codes)), lambda a, b: F.when(
+            letter(a) & F.coalesce(letter(b), F.lit(False)), F.get(table, a * 26 + b)))
+        found = F.filter(ends, lambda x: x.isNotNull())
+        n = F.size(found)
+        total = F.aggregate(found, F.lit(0.0), lambda s, x: s + x)
+        return F.when(n == 0, F.lit(1.0)).otherwise(
+            1 - _upper_tail((total - n * mean) / F.sqrt(n * (variance * TOGETHER))) + 1e-300)
+    return _once(codes, test)
+
+
+def _statistics(runs: DataFrame, model: tuple[list[float], float, float]) -> DataFrame:
     """The battery over rows with ``encoding, k, symbols, body``: adds ``n``,
     ``p_random`` and ``p_text``."""
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
@@ -228,8 +273,10 @@ def _statistics(runs: DataFrame) -> DataFrame:
     same = F.col("same_class")
     got = got.withColumn("same_class", F.when(F.col("encoding") == "hex", 0.53125)
                          .when(F.col("encoding") == "base32", 0.6953125).when(F.col("encoding") == "base36", 0.5987654)
-                         .otherwise(0.375))
-    runs_z = (F.col("changes") - (n - 1) * (1 - same)) / F.sqrt((n - 1) * same * (1 - same))
+                         .when(F.col("encoding") == "letters", 0.5).otherwise(0.375))
+    one_class = F.col("encoding").isin("lower", "upper")  # no changes of class to count
+    runs_z = F.when(one_class, F.lit(0.0)).otherwise(
+        (F.col("changes") - (n - 1) * (1 - same)) / F.sqrt((n - 1) * same * (1 - same)))
     serial_z = (F.col("serial") + 1 / n) * F.sqrt(n)
     both = lambda z: F.least(F.lit(1.0), 2 * _upper_tail(F.abs(z)))
     # under "ordinary text": agreements among pairs, and class changes, are binomial-like
@@ -238,7 +285,10 @@ def _statistics(runs: DataFrame) -> DataFrame:
     text_chi = (agree - pairs * ic) / F.sqrt(pairs * ic * (1 - ic) + n * (n - 1) * (n - 2) * 0.0022)
     text_runs = (F.col("changes") - (n - 1) * e) / F.sqrt((n - 1) * e * (1 - e))
     return (got.withColumn("p_random", _fisher([_upper_tail(chi), both(runs_z), both(serial_z)]))
-            .withColumn("p_text", _fisher([1 - _upper_tail(text_chi) + 1e-300, _upper_tail(text_runs)])))
+            .withColumn("p_text", F.when(one_class, _fisher([1 - _upper_tail(text_chi) + 1e-300,
+                                                             _letter_pairs(F.col("body"), model)]))
+                        .otherwise(_fisher([1 - _upper_tail(text_chi) + 1e-300, _upper_tail(text_runs),
+                                            _letter_pairs(F.col("body"), model)]))))
 
 
 def _thresholds(tested: DataFrame) -> DataFrame:
@@ -273,7 +323,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct()
               .withColumn("t", _inferred(F.col("value"))).select("value", "t.*")
               .where((F.col("encoding").isNotNull()) & (F.length("body") >= MIN_RUN - 4)))
-    tested = (_statistics(tested)
+    tested = (_statistics(tested, letter_model(docs.select(F.col(text_col).alias("text"))))
               .withColumn("band", F.floor(F.log2("n")).cast("int"))
               .withColumn("cell", F.least(F.lit(GRID_TOP), F.floor(-F.log10("p_text") / GRID)).cast("int"))
               .select("value", "encoding", "band", "cell", "p_random"))
