@@ -1,9 +1,11 @@
 """Secret scan, substring dedup, line dedup, SimHash, packing against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -140,6 +142,77 @@ def test_substring_dedup_equals_all_windows(spark):
     assert got == windows_removed(rows)
 
 
+def test_battery_p_values_and_cut_equal_plain_ones(spark):
+    """Statistics, p-values and Benjamini-Hochberg against plain Python."""
+    r = random.Random(7)
+    symbols = {"lower": "abcdefghijklmnopqrstuvwxyz", "base36": "0123456789abcdefghijklmnopqrstuvwxyz"}
+    logs = [math.log((1 + (i * 7) % 5) / 78) for i in range(676)]
+    mean, variance = -3.0, 1.5
+    rows = [(e, "".join(r.choice(symbols[e]) for _ in range(n))) for e in symbols for n in (12, 20, 40, 90) for _ in range(15)]
+    rows += [("lower", w) for w in ("internationalisation", "aaaaaaaaaaaaaaaa", "abababababababab")]
+    df = spark.createDataFrame([(e, len(symbols[e]), symbols[e], b) for e, b in rows],
+                               "encoding string, k int, symbols string, body string")
+    tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+
+    def fisher(ps):
+        q = math.prod(max(p, 1e-300) for p in ps)
+        return min(1.0, q * sum((-math.log(q)) ** j / math.factorial(j) for j in range(len(ps))))
+    for g in secrets._statistics(df, (logs, mean, variance)).collect():
+        n, k, x = len(g.body), g.k, [g.symbols.index(c) + 1 for c in g.body]
+        squares = sum(v * v for v in Counter(g.body).values())
+        kind = [c.isdigit() for c in g.body]
+        changes = sum(a != b for a, b in zip(kind, kind[1:]))
+        m = sum(x) / n
+        spread = sum((v - m) ** 2 for v in x)
+        serial = sum((a - m) * (b - m) for a, b in zip(x, x[1:])) / spread if spread > 1e-9 else 1.0
+        same = 0.5987654
+        runs_z = 0.0 if g.encoding == "lower" else (changes - (n - 1) * (1 - same)) / math.sqrt((n - 1) * same * (1 - same))
+        p_random = fisher([tail((k / n * squares - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)),
+                           min(1, 2 * tail(abs(runs_z))), min(1, 2 * tail(abs((serial + 1 / n) * math.sqrt(n))))])
+        pairs = n * (n - 1) / 2
+        ic, e = secrets.TEXT_COLLISIONS, secrets.TEXT_CHANGES
+        agree = ((squares - n) / 2 - pairs * ic) / math.sqrt(pairs * ic * (1 - ic) + n * (n - 1) * (n - 2) * 0.0022)
+        found = [logs[(ord(a) - 97) * 26 + ord(b) - 97] for a, b in zip(g.body, g.body[1:]) if a.isalpha() and b.isalpha()]
+        unusual = tail(-(sum(found) - len(found) * mean) / math.sqrt(len(found) * variance * secrets.TOGETHER)) if found else 1.0
+        ps = [tail(-agree), unusual]
+        if g.encoding != "lower":
+            ps.insert(1, tail((changes - (n - 1) * e) / math.sqrt((n - 1) * e * (1 - e))))
+        assert g.n == n
+        for got, want in ((g.p_random, p_random), (g.p_text, fisher(ps))):
+            assert got == pytest.approx(want, rel=0.05, abs=2e-4)
+    cells = [("hex", 4, c) for c in [0] * 500 + [20] * 30 + [60] * 5 + [100] * 3] + [("hex", 5, c) for c in [1] * 20 + [59] * 4]
+    df = spark.createDataFrame([(*c, i) for i, c in enumerate(cells)], "encoding string, band int, cell int, value int")
+    got = {r.band: r.least_cell for r in secrets._thresholds(df).collect()}
+    for band in (4, 5):
+        ps = sorted(10 ** (-c * secrets.GRID) for _, b, c in cells if b == band)
+        ok = [p for i, p in enumerate(ps, 1) if p <= i / len(ps) * secrets.FALSE_DISCOVERIES]
+        least = min((c for _, b, c in cells if b == band and 10 ** (-c * secrets.GRID) <= max(ok)), default=None) if ok else None
+        assert got.get(band) == least
+
+
+def test_battery_recall_by_encoding_and_length(spark):
+    """Random strings of every alphabet among ordinary documents; no ordinary text is taken for one."""
+    r = random.Random(11)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    lower = upper.lower()
+    alphabets = {"base62": upper + lower + digits, "base64": upper + lower + digits + "+/", "base36": lower + digits,
+                 "base32": upper + "234567", "hex": "0123456789ABCDEF", "lower": lower, "upper": upper, "letters": upper + lower}
+    rows, where = [], {}
+    for kind, symbols in alphabets.items():
+        for n in (16, 24, 40):
+            for _ in range(40):
+                i = 10 ** 6 + len(rows)
+                rows.append((i, f"some plain words before it {''.join(r.choices(symbols, k=n))} and after"))
+                where[i] = kind, n
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    got = secrets.scan_secrets(docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string")))
+    found = [g.doc_id for g in got.where(F.size("random") > 0).select("doc_id").collect()]
+    assert not [i for i in found if i not in where]
+    count = Counter(where[i] for i in found)
+    for (kind, n), c in {k: count[k] for k in set(where.values())}.items():
+        assert c >= (24 if kind == "hex" or n < 20 else 36), (kind, n, c)
+
+
 def plain_parse(words, smaller):
     """Greedy factors of 50 words or more: from the left, the longest stretch that stands in
     a smaller document; a factor begins at the first window that the one before doesn't hold."""
