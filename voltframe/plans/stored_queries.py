@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from voltframe.operators import changes as C
 from voltframe.operators import hourly as H
+from voltframe.operators import loadcontrol as L
 from voltframe.operators import peaks as P
 from voltframe.operators import readings as R
 from voltframe.operators import submeters as S
+from voltframe.operators.quality import observed
 from voltframe.plans import oracle_sql as O
 from voltframe.plans.pipeline import Pipeline, out
 from voltframe.plans.registry import q, register
 from voltframe.session import scratch_folder
 from voltframe.sources import landing as LD
-from voltframe.sources.tables import write_bucketed
+from voltframe.sources.tables import read_evolving, register_table, write_bucketed, write_table
 from voltframe.streaming import corrections as CO
 from voltframe.streaming.chain import SilverChain
 from voltframe.streaming.ingest import ingest_available
@@ -138,14 +141,14 @@ _NOW = ("now", f"""SELECT {KEYS}, CASE WHEN b.MeterNumber IS NULL THEN a.AMIValu
 FROM cleaned1 a FULL JOIN cleaned2 b USING ({KEYS})""")
 
 
-def _merged(spark: SparkSession, sf_dir: str) -> SilverChain:
+def _merged(spark: SparkSession, sf_dir: str, submeter_map: DataFrame | None = None) -> SilverChain:
     """Two drops of bronze files, the second with validated values for days that
     the first has too, drained into the chain's tables; then a run with nothing
     new, and the last batch replayed."""
     root = scratch_folder(spark, "merge")
     bronze = R.reading_facts(Pipeline.of(spark, sf_dir).bronze)
     day = F.dayofmonth("StartDateTime")
-    chain = SilverChain(spark, f"{root}/silver")
+    chain = SilverChain(spark, f"{root}/silver", submeter_map)
     for drop in (bronze.filter(day <= 20),
                  bronze.filter(day >= 10).withColumn("VEEValue", F.coalesce("VEEValue", "AMIValue")), None):
         if drop is not None:
@@ -189,6 +192,103 @@ def merge_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(_merged(spark, sf_dir).hourly.read().drop("day"), double=_HOURLY_DOUBLES)
 
 
+@register("merge_nosub", q(f"""SELECT {KEYS}, CAST(AMIValue AS DOUBLE) AS AMIValue, CAST(VEEValue AS DOUBLE) AS VEEValue,
+  StartMeterSampleIndex, EndMeterSampleIndex, SampleRate FROM nosub""", uses=("fx_bronze", "fx_meter_info"), ctes=[
+    _B1, _B2, _NOW, ("indexed", O.INDEXED.replace("FROM cleaned", "FROM now")), ("submap", O.SUBMAP), ("nosub", O.NOSUB)]))
+def merge_nosub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexed readings of main meters, kept up to date by the merges."""
+    chain = _merged(spark, sf_dir, Pipeline.of(spark, sf_dir).submeter_map)
+    return out(chain.nosub.read().drop("day"), double=["AMIValue", "VEEValue"])
+
+
+@register("changes_since", q(f"""
+SELECT {KEYS}, CAST(b.AMIValue AS DOUBLE) AS AMIValue, CAST(b.VEEValue AS DOUBLE) AS VEEValue,
+       CASE WHEN a.MeterNumber IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type
+FROM cleaned2 b LEFT JOIN cleaned1 a USING ({KEYS})
+WHERE a.MeterNumber IS NULL OR a.AMIValue IS DISTINCT FROM b.AMIValue OR a.VEEValue IS DISTINCT FROM b.VEEValue""",
+                             ctes=[_B1, _B2]))
+def changes_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a consumer applies who has seen all changes up to the time of the
+    first merge."""
+    log = _merged(spark, sf_dir).change_log()
+    seen = log.filter("_commit_version = 1").agg(F.max("_commit_timestamp")).first()[0]
+    later = C.postimages(C.changes_since_time(log, seen))
+    return out(later.select(*R.READING_KEY, "AMIValue", "VEEValue", "_change_type"), double=["AMIValue", "VEEValue"])
+
+
+# ----------------------------------------------------- extracts of other tables
+
+def _csv(df: DataFrame, folder: str, **options) -> str:
+    df.write.options(header=True, **options).csv(folder)
+    return folder
+
+
+@register("csv_submeter_map", q("SELECT * FROM submap", uses=("fx_meter_info",), ctes=[("submap", O.SUBMAP)]))
+def csv_submeter_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The meter export as a folder of compressed text files, all columns text."""
+    folder = _csv(Pipeline.of(spark, sf_dir).fx.fx_meter_info, scratch_folder(spark, "meters"), compression="gzip")
+    return S.build_submeter_map(LD.read_dim_csv(spark, folder))
+
+
+@register("csv_lc_periods", q("SELECT * FROM periods", uses=("fx_lc_text_wide",), ctes=[
+    (n, b.replace("fx_lc_text", "fx_lc_text_wide")) for n, b in O.LC_PERIODS_CTES[:4]]))
+def csv_lc_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files found by a glob, read with their fixed schema."""
+    folder = _csv(Pipeline.of(spark, sf_dir).fx.fx_lc_text_wide, scratch_folder(spark, "events"))
+    return L.index_lc_periods(LD.read_lc_events(spark, f"{folder}/*.csv"))
+
+
+@register("csv_supplier_rates", q("""
+SELECT CAST(s_suppkey AS INTEGER) AS Month, CAST(s_acctbal AS DOUBLE) AS DemandRate FROM supplier""", uses=()))
+def csv_supplier_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate file whose column types are found in its text."""
+    rates = Pipeline.of(spark, sf_dir).fx.supplier.select(F.col("s_suppkey").alias("Month"),
+                                                          F.col("s_acctbal").alias("DemandRate"))
+    return LD.read_demand_rates(spark, _csv(rates, scratch_folder(spark, "rates")))
+
+
+@register("evolving_readings", q(f"""
+SELECT {KEYS}, CAST(AMIValue AS DOUBLE) AS AMIValue,
+       CASE WHEN day(StartDateTime) <= 15 THEN NULL ELSE CAST(VEEValue AS DOUBLE) END AS VEEValue FROM fx_bronze"""))
+def evolving_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose first files lack a column that later ones have."""
+    path = scratch_folder(spark, "evolving")
+    readings = R.reading_facts(Pipeline.of(spark, sf_dir).bronze)
+    early = F.dayofmonth("StartDateTime") <= 15
+    write_table(readings.filter(early).drop("VEEValue"), path, "append")
+    write_table(readings.filter(~early), path, "append")
+    return out(read_evolving(spark, path).select(*R.READING_KEY, "AMIValue", "VEEValue"), double=["AMIValue", "VEEValue"])
+
+
+@register("written_hourly", q("""
+SELECT MeterNumber, UnitOfMeasure, FlowDirection, Channel, LocalYear, LocalMonth, LocalDay, HourEnding,
+       CAST(HourlyAMIValue AS DOUBLE) AS HourlyAMIValue, CAST(HourlyVEEValue AS DOUBLE) AS HourlyVEEValue,
+       EndMeterSampleIndex FROM hourly""", ctes=O.HOURLY_CTES))
+def written_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table written by month, overwritten whole, and read by its
+    catalogue name."""
+    path = scratch_folder(spark, "hourly")
+    hourly = Pipeline.of(spark, sf_dir).hourly
+    for content in (hourly.limit(0), hourly):
+        write_table(content, path, "overwrite", ["LocalYear", "LocalMonth"])
+    name = "vf_" + path.rsplit("-", 1)[1]
+    register_table(spark, name, path)
+    return out(spark.table(name).select(*hourly.columns), double=_HOURLY_DOUBLES)
+
+
+@register("row_counts", q("""
+SELECT 'bronze' AS "Stage", COUNT(*) AS "Rows" FROM fx_bronze
+UNION ALL SELECT 'cleaned', COUNT(*) FROM cleaned UNION ALL SELECT 'hourly', COUNT(*) FROM hourly""", ctes=O.HOURLY_CTES))
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after each step, observed while the last one is written."""
+    bronze, seen = observed(R.reading_facts(Pipeline.of(spark, sf_dir).bronze), "bronze")
+    cleaned, kept = observed(R.clean_readings(bronze), "cleaned")
+    hourly, made = observed(H.hourly_usage(R.index_readings(cleaned)), "hourly")
+    hourly.write.parquet(scratch_folder(spark, "counted"))
+    return spark.createDataFrame([(n, o.get["rows"]) for n, o in (("bronze", seen), ("cleaned", kept), ("hourly", made))],
+                                 "Stage string, Rows long")
+
+
 # ------------------------------------------- readings by day, readings by meter
 
 def _on(ctes, **tables: str):

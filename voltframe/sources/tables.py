@@ -106,8 +106,11 @@ def union_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:
-    """Expose a parquet folder under a catalogue name."""
+    """Expose a parquet folder under a catalogue name, with the partitions that
+    it has now."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
