@@ -78,20 +78,13 @@ def top_hours(totals: DataFrame, n: int = 100) -> DataFrame:
                           "Year", "Month", "Day", "HourEnding").limit(n)
 
 
-def ami_vee_diffs(hourly: DataFrame) -> DataFrame:
-    h = as_calendar_names(hourly)
-    diff = F.abs(F.col("HourlyAMIValue") - F.col("HourlyVEEValue"))
-    return (h.withColumn("VEE_AMI_DIFF", diff)
-             .withColumn("DIFF_COUNT", F.when(F.col("VEE_AMI_DIFF") != 0, 1).otherwise(0))
-             .withColumn("DATE", F.make_date("Year", "Month", "Day")))
-
-
 def ami_vee_report(hourly: DataFrame, by) -> DataFrame:
     """Count of hours where AMI and VEE differ and the summed absolute
     difference, grouped by ``by`` (e.g. ["HourEnding"], ["DATE"], ["Year", "Month"])."""
-    out = (ami_vee_diffs(hourly).groupBy(*by)
-           .agg(F.sum("DIFF_COUNT").alias("DIFF_COUNT_SUM"),
-                F.sum("VEE_AMI_DIFF").alias("VEE_AMI_DIFF_SUM")))
+    ami, vee = F.col("HourlyAMIValue"), F.col("HourlyVEEValue")
+    hours = as_calendar_names(hourly).withColumn("DATE", F.make_date("Year", "Month", "Day"))
+    out = hours.groupBy(*by).agg(F.count_if(ami != vee).alias("DIFF_COUNT_SUM"),
+                                 F.sum(F.abs(ami - vee)).alias("VEE_AMI_DIFF_SUM"))
     if list(by) == ["HourEnding"]:
         out = out.withColumn("DIFF_COUNT_AVG", F.try_divide(
             F.col("VEE_AMI_DIFF_SUM").cast("double"), F.col("DIFF_COUNT_SUM").cast("double")))
