@@ -186,6 +186,33 @@ def test_ordinal_thresholds_recover_order():
     assert np.corrcoef(expected, grades)[0, 1] > 0.85 and model.thresholds[0] < model.thresholds[1]
 
 
+def test_ordinal_fit_equals_plain_descent():
+    """The same likelihood, minimised step by step with differences in place of derivatives."""
+    r = np.random.default_rng(4)
+    x = (r.random((400, 4)) < [0.5, 0.3, 0.6, 0.4]).astype(float)
+    grades = np.digitize(x @ [1.2, -0.8, 0.5, 0.0] + r.logistic(size=400), [-0.2, 1.0])
+    rows, at = np.nonzero(x)
+    model = quality.fit_ordinal(rows, at, x[rows, at], grades, size=4, steps=3000)
+    best = grades == grades.max()
+    part = [x[k].sum(axis=0) + quality.SMOOTHING for k in (best, ~best)]
+    scale = np.abs(np.log(part[0] / (best.sum() + 2 * quality.SMOOTHING))
+                   - np.log(part[1] / ((~best).sum() + 2 * quality.SMOOTHING)))
+
+    def loss(p):
+        above = 1 / (1 + np.exp(p[4:][None, :] - (x * scale @ p[:4])[:, None]))
+        full = np.hstack((np.ones((400, 1)), above, np.zeros((400, 1))))
+        chance = full[np.arange(400), grades] - full[np.arange(400), grades + 1]
+        return -np.log(chance).mean() + quality.RIDGE / 2 * (p[:4] ** 2).sum()
+    p, step = np.array([0.0, 0.0, 0.0, 0.0, 0.0, 1.0]), 1.0
+    for _ in range(4000):
+        slope = np.array([(loss(p + 1e-5 * e) - loss(p - 1e-5 * e)) / 2e-5 for e in np.eye(6)])
+        while loss(p - step * slope) > loss(p) and step > 1e-8:
+            step /= 2
+        p, step = p - step * slope, step * 1.5
+    want = 1 / (1 + np.exp(p[4:][None, :] - (x * scale @ p[:4])[:, None]))
+    assert np.abs(model.tails(x @ model.weights) - want).max() < 0.01
+
+
 def test_mixing_matches_targets_and_numpy(spark):
     got = mixing.op6_soft_mixing(spark, SF).toPandas()
     names = list(mixing.TARGETS)
