@@ -37,11 +37,12 @@ from pyspark.sql.window import Window
 from voltframe.llm.common import stored, table
 
 #: Fixed values of the known forms: kind, pattern, group that must have a length, that length.
+#: Where a pattern can't begin inside a match that is too short, it asks for the length itself.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-KINDS = [("assign", ASSIGN, 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16)]
+KINDS = [("assign", ASSIGN, 2, 12), ("access", "AKIA[A-Z0-9]{14,}", 0, 18), ("hex", "[0-9a-f]{16,}", 0, 16)]
 
-RUN = "[A-Za-z0-9+/_=-]+"
 MIN_RUN = 12
+RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 MIN_RANDOM = 1e-3
 FALSE_DISCOVERIES = 1e-3
 #: Grid of -log10(p): steps of 0.05 up to 40.
@@ -99,35 +100,39 @@ def _sums(lengths: Column) -> Column:
 
 def _found(text: Column, pattern: str, group: int) -> Column:
     """Leftmost non-overlapping matches as ``gap`` (the text before each), ``whole``
-    and ``part``: the pieces between them, as ``split`` gives them, tell the places."""
-    whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    part = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1)) if group else whole
-    return F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("gap"), whole.alias("whole"),
-                        part.alias("part"))
+    and ``part``: the pieces between them, as ``split`` gives them, tell the places.
+    A text without a match is searched once."""
+    def parted(whole: Column) -> Column:
+        part = F.transform(whole, lambda w: F.regexp_extract(w, pattern, group)) if group else whole
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(whole))
+        return F.when(F.size(whole) > 0, F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), part.alias("part")))
+    found = _once(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), parted)
+    return F.coalesce(found, F.array().cast("array<struct<gap:string,whole:string,part:string>>"))
 
 
-def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Spans of the leftmost non-overlapping matches whose group has ``least`` characters."""
-    def placed(found: Column) -> Column:
-        lengths = F.transform(found, lambda m: F.length(m["gap"]) + F.length(m["whole"]))
+def _spans(found: Column, kind: str, least: int) -> Column:
+    """Spans of those of ``found`` whose part has ``least`` characters."""
+    def placed(all_: Column) -> Column:
+        lengths = F.transform(all_, lambda m: F.length(m["gap"]) + F.length(m["whole"]))
 
         def span(m: Column, before: Column) -> Column:
             start = before + F.length(m["gap"])
             return F.struct(F.lit(kind).alias("kind"), start.alias("start"),
                             (start + F.length(m["whole"])).alias("end"), m["part"].alias("value"))
-        spans = _once(_once(lengths, _sums), lambda sums: F.transform(found, lambda m, i: span(m, F.get(sums, i))))
-        return F.filter(spans, lambda s: F.length(s["value"]) >= least).cast(SPAN)
-    return _once(_found(text, pattern, group), placed)
+        spans = _once(_once(lengths, _sums), lambda sums: F.transform(all_, lambda m, i: span(m, F.get(sums, i))))
+        return F.when(F.size(all_) > 0, F.filter(spans, lambda s: F.length(s["value"]) >= least).cast(SPAN))
+    return F.coalesce(_once(found, placed), F.array().cast(SPAN))
+
+
+def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
+    return _spans(_found(text, pattern, group), kind, least)
 
 
-def _masked(text: Column, pattern: str, group: int, least: int) -> Column:
+def _masked(text: Column, found: Column, pattern: str, least: int) -> Column:
     """``text`` with the characters of such matches replaced by blanks."""
-    def blanked(found: Column) -> Column:
-        part = F.array_join(F.transform(found, lambda m: F.concat(m["gap"], F.when(
-            F.length(m["part"]) >= least, F.repeat(F.lit(" "), F.length(m["whole"]))).otherwise(m["whole"]))), "")
-        return F.when(F.size(found) == 0, text).otherwise(
-            F.concat(part, F.element_at(F.split(text, pattern, -1), -1)))
-    return _once(_found(text, pattern, group), blanked)
+    part = F.array_join(F.transform(found, lambda m: F.concat(m["gap"], F.when(
+        F.length(m["part"]) >= least, F.repeat(F.lit(" "), F.length(m["whole"]))).otherwise(m["whole"]))), "")
+    return F.when(F.size(found) == 0, text).otherwise(F.concat(part, F.element_at(F.split(text, pattern, -1), -1)))
 
 
 def _within(spans: Column, pattern: str) -> Column:
@@ -311,15 +316,19 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null text counts as empty; null ids and repeated rows are kept; an empty
     table gives no rows; further columns are ignored."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = [_matches(text, *k) for k in KINDS]
     rank = F.create_map(*[x for i, (k, *_) in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
-    keyed = F.transform(F.flatten(F.array(*base)),
+    # each text is searched once for each kind; what is found serves spans and blanks
+    known = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
+        "id", "text", *[_found(F.col("text"), pattern, group).alias(k) for k, pattern, group, _ in KINDS])
+    keyed = F.transform(F.flatten(F.array(*[_spans(F.col(k), k, least) for k, _, _, least in KINDS])),
                         lambda s: F.struct(s["start"], rank[s["kind"]].alias("order"), s["kind"], s["end"], s["value"]))
     spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
     # blanks in place of assignments part the runs; other known forms lie inside a run
-    plain = _masked(text, *KINDS[0][1:])
-    runs = F.flatten(F.transform(_matches(plain, "random", RUN, 0, MIN_RUN), _pieces))
-    found = stored(docs.select(F.col(id_col).alias("id"), spans.alias("base"), runs.alias("runs")), "secret-spans")
+    kind, pattern, _, least = KINDS[0]
+    plain = _masked(F.col("text"), F.col(kind), pattern, least)
+    runs = F.flatten(F.transform(_matches(F.col("plain"), "random", RUN, 0, MIN_RUN), _pieces))
+    found = stored(known.select("id", spans.alias("base"), plain.alias("plain")).select("id", "base", runs.alias("runs")),
+                   "secret-spans")
     tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct()
               .withColumn("t", _inferred(F.col("value"))).select("value", "t.*")
               .where((F.col("encoding").isNotNull()) & (F.length("body") >= MIN_RUN - 4)))
