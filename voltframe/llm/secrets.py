@@ -180,30 +180,32 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(F.lit(1e-300), F.when(z >= 0, tail).otherwise(1 - tail))
 
 
-def _fisher(ps: list[Column]) -> Column:
-    """Combined p-value of two or three independent ones: for k of them and
-    their product q, q * sum_j (-ln q)^j / j!, j < k."""
+def _product(ps: list[Column]) -> Column:
     q = ps[0]
     for p in ps[1:]:
         q = q * p
-    q = F.greatest(q, F.lit(1e-300))
+    return F.greatest(q, F.lit(1e-300))
+
+
+def _fisher(q: Column, k: Column) -> Column:
+    """Combined p-value of two or three independent ones: for k of them and
+    their product q, q * sum_j (-ln q)^j / j!, j < k."""
     less = -F.log(q)
-    out = 1 + less + (less * less / 2 if len(ps) == 3 else 0)
-    return F.least(F.lit(1.0), q * out)
+    return F.least(F.lit(1.0), q * (1 + less + F.when(k == 3, less * less / 2).otherwise(0.0)))
 
 
-def _inferred(run: Column) -> Column:
-    """Encoding of one run, its alphabet and the run without padding; a null
-    encoding if none fits."""
-    name, size, symbols = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("string")
-    for enc, pattern, alphabet in reversed(ENCODINGS):
-        fits = run.rlike(f"^(?:{pattern})$")
-        name = F.when(fits, F.lit(enc)).otherwise(name)
-        size = F.when(fits, F.lit(len(alphabet))).otherwise(size)
-        symbols = F.when(fits, F.lit(alphabet)).otherwise(symbols)
-    body = F.rtrim(run, F.lit("="))
-    body = F.when(name == "hex", F.lower(body)).otherwise(body)
-    return F.struct(name.alias("encoding"), size.alias("k"), symbols.alias("symbols"), body.alias("body"))
+def with_encoding(runs: DataFrame) -> DataFrame:
+    """``value`` with its encoding (null if none fits), the size and symbols of the
+    alphabet, and the run without padding (``body``)."""
+    name = F.lit(None).cast("string")
+    for encoding, pattern, _ in reversed(ENCODINGS):
+        name = F.when(F.col("value").rlike(f"^(?:{pattern})$"), F.lit(encoding)).otherwise(name)
+    sizes = F.create_map(*[x for e, _, symbols in ENCODINGS for x in (F.lit(e), F.lit(len(symbols)))])
+    alphabets = F.create_map(*[x for e, _, symbols in ENCODINGS for x in (F.lit(e), F.lit(symbols))])
+    bare = F.rtrim(F.col("value"), F.lit("="))
+    return (runs.withColumn("encoding", name).where("encoding IS NOT NULL")
+            .withColumns({"k": sizes[F.col("encoding")], "symbols": alphabets[F.col("encoding")],
+                          "body": F.when(F.col("encoding") == "hex", F.lower(bare)).otherwise(bare)}))
 
 
 def letter_model(text: DataFrame) -> tuple[list[float], float, float]:
@@ -288,12 +290,16 @@ def _statistics(runs: DataFrame, model: tuple[list[float], float, float]) -> Dat
     agree = (squares - n) / 2
     pairs = n * (n - 1) / 2
     text_chi = (agree - pairs * ic) / F.sqrt(pairs * ic * (1 - ic) + n * (n - 1) * (n - 2) * 0.0022)
-    text_runs = (F.col("changes") - (n - 1) * e) / F.sqrt((n - 1) * e * (1 - e))
-    return (got.withColumn("p_random", _fisher([_upper_tail(chi), both(runs_z), both(serial_z)]))
-            .withColumn("p_text", F.when(one_class, _fisher([1 - _upper_tail(text_chi) + 1e-300,
-                                                             _letter_pairs(F.col("body"), model)]))
-                        .otherwise(_fisher([1 - _upper_tail(text_chi) + 1e-300, _upper_tail(text_runs),
-                                            _letter_pairs(F.col("body"), model)]))))
+    text_runs = F.when(one_class, F.lit(1.0)).otherwise(
+        _upper_tail((F.col("changes") - (n - 1) * e) / F.sqrt((n - 1) * e * (1 - e))))
+    # one column after the other, so that none is worked out again inside the next
+    got = got.withColumns({"chi": chi, "runs_z": runs_z, "serial_z": serial_z, "text_chi": text_chi,
+                           "text_runs": text_runs, "pairs": _letter_pairs(F.col("body"), model)})
+    got = got.withColumns({
+        "q_random": _product([_upper_tail(F.col("chi")), both(F.col("runs_z")), both(F.col("serial_z"))]),
+        "q_text": _product([1 - _upper_tail(F.col("text_chi")) + 1e-300, F.col("text_runs"), F.col("pairs")])})
+    return got.withColumns({"p_random": _fisher(F.col("q_random"), F.lit(3)),
+                            "p_text": _fisher(F.col("q_text"), F.when(one_class, 2).otherwise(3))})
 
 
 def _thresholds(tested: DataFrame) -> DataFrame:
@@ -329,9 +335,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     runs = F.flatten(F.transform(_matches(F.col("plain"), "random", RUN, 0, MIN_RUN), _pieces))
     found = stored(known.select("id", spans.alias("base"), plain.alias("plain")).select("id", "base", runs.alias("runs")),
                    "secret-spans")
-    tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct()
-              .withColumn("t", _inferred(F.col("value"))).select("value", "t.*")
-              .where((F.col("encoding").isNotNull()) & (F.length("body") >= MIN_RUN - 4)))
+    tested = (found.where(F.size("runs") > 0).select(F.explode("runs.value").alias("value")).distinct())
+    tested = with_encoding(tested).where(F.length("body") >= MIN_RUN - 4)
     tested = (_statistics(tested, letter_model(docs.select(F.col(text_col).alias("text"))))
               .withColumn("band", F.floor(F.log2("n")).cast("int"))
               .withColumn("cell", F.least(F.lit(GRID_TOP), F.floor(-F.log10("p_text") / GRID)).cast("int"))
@@ -342,9 +347,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # 128 bits stand for a row: equal rows have equal results
     row = [F.xxhash64(F.lit(i), "id", "base", "runs").alias(c) for i, c in enumerate(ROW)]
     # each run of a document looks its value up; a document's own runs come together again
-    hits = (found.where(F.size("runs") > 0).select("id", "base", F.explode("runs").alias("r"), "runs")
-            .select(*row, F.col("r").alias("span"), F.col("r.value").alias("value")).distinct()
-            .join(good, "value"))
+    hits = (found.where(F.size("runs") > 0).select(*row, "runs").select(*ROW, F.explode("runs").alias("span"))
+            .select("*", F.col("span.value").alias("value")).distinct().join(good, "value"))
     # the two ways to split a run overlap: a span inside another says nothing new
     before = (Window.partitionBy(*ROW).orderBy("span.start", F.desc("span.end"))
               .rowsBetween(Window.unboundedPreceding, -1))
