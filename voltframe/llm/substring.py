@@ -255,11 +255,12 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     shared = stored(index.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
                     .where("least < most").select("anchor", "least"), "rlz-anchors")
     common = stored(index.join(shared, "anchor"), "rlz-shared")
-    origin = stored(common.groupBy(*BLOCK).agg(F.min("doc").alias("origin"), F.max("doc").alias("most")), "rlz-hashes")
-    placed = stored(common.join(origin, BLOCK), "rlz-placed")
-    repeated = placed.where("origin < most").drop("anchor", "least", "origin", "most").distinct()
-    whole = _with_origin(repeated, "rlz-whole").select(*DOC, "first", "n", F.lit(1).alias("blocks"), "origin", "origin_start")
-    lists = repeated.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("seq", "first", "b1", "b2"))).alias("spans"))
+    hashes = stored(common.groupBy(*BLOCK).agg(F.min("doc").alias("origin"), F.max("doc").alias("most"),
+                                               F.min_by("first", "doc").alias("origin_start")), "rlz-hashes")
+    placed = stored(common.join(hashes, BLOCK), "rlz-placed")
+    repeated = placed.where("origin < most")
+    whole = repeated.select(*DOC, "first", "n", F.lit(1).alias("blocks"), "origin", "origin_start")
+    lists = repeated.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.struct("seq", "first", "b1", "b2"))).alias("spans"))
     runs = stored(lists.mapInArrow(_neighbours, _ddl(_RUNS)), "rlz-runs")
     longer = _with_origin(runs, "rlz-longer").select(*DOC, "first", F.lit(0).alias("n"), "blocks", "origin", "origin_start")
     # one document of each distinct block is enough to compare with
