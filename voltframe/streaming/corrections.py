@@ -1,13 +1,13 @@
 """Late and corrected readings as keyed state of a stream.
 
 Every delivery of a reading carries a version. The state keeps, for each meter
-and day, the newest version of each of its readings; a micro-batch emits what it
+and month, the newest version of each of its readings; a micro-batch emits what it
 changes: an ``insert`` for a reading seen first, a pre-image and a post-image
 where a newer version replaces an older one, nothing for a version that comes
 late behind a newer one. No watermark: a correction may be of any age.
 
-The state of one key is a day of one meter, so it is bounded by the slots of a
-day; keys are spread over the state store's partitions and checkpointed with
+The state of one key is a month of one meter, so it is bounded by the slots of a
+month, and a batch calls Python once for a meter's month, not for each day; keys are spread over the state store's partitions and checkpointed with
 the query.
 """
 
@@ -62,8 +62,8 @@ def corrections(deliveries: DataFrame) -> DataFrame:
         yield got
 
     rows = deliveries.select(*KEY_COLUMNS, "AMIValue", "Version", "Delivery",
-                             F.to_date("StartDateTime").alias("Day"))
-    return rows.groupBy("MeterNumber", "Day").applyInPandasWithState(
+                             F.trunc("StartDateTime", "month").alias("Month"))
+    return rows.groupBy("MeterNumber", "Month").applyInPandasWithState(
         newest, CHANGES, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
