@@ -78,3 +78,28 @@ def test_read_changes_and_volume_checks(spark):
     checks = volume_checks(Pipeline.of(spark, SF_SMALL).fx.fx_bronze16)
     assert set(checks) == {"daily_counts", "substation_daily_counts", "duplicate_timestamps"}
     assert checks["daily_counts"].count() > 0
+
+
+def test_change_log_deals_each_batch_once(spark, monkeypatch):
+    """Both batches lie in partitions that follow their rows; merge and change
+    rows add no exchange by key that depends on the session's sizes."""
+    from sf_dirs import SF_SMALL
+    from voltframe.plans.explain import plan_text
+    from voltframe.plans.pipeline import Pipeline
+    p = Pipeline(spark, SF_SMALL)
+    monkeypatch.setattr(p.fx, "parts", lambda name, rows_each=0: 7)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = [ln for ln in plan_text(C.high_water(p.change_log)).splitlines() if "Exchange hashpartitioning" in ln]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_reading = [ln for ln in lines if "EndDateTime" in ln]
+    assert by_reading and all(", 7)" in ln for ln in by_reading)
+
+
+def test_partitions_follow_the_rows(spark, tmpdir_path):
+    from voltframe.sources.fixtures import Fixtures
+    spark.range(1000).write.parquet(f"{tmpdir_path}/events.parquet")
+    fx = Fixtures(spark, tmpdir_path)
+    assert fx.parts("events", 10) == 100
+    assert fx.parts("events", 10**6) == spark.sparkContext.defaultParallelism

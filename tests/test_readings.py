@@ -158,3 +158,19 @@ def test_duplicate_rows_lists_keys_with_a_null(spark):
     assert sorted((r.Channel is None, r["count"], r.AMIValue) for r in got if r.Channel) == [
         (False, 2, Decimal(1)), (False, 2, Decimal(2))]
     assert [(r["count"], r.AMIValue) for r in got if r.Channel is None] == [(2, None)]
+
+
+def test_dealt_readings_follow_the_same_rules(spark):
+    k = lambda m, c=1: (m, "KWH", "F", c, T0, T0 + dt.timedelta(minutes=15))
+    d = Decimal
+    rows = [k(1) + (d("2.00"), d("9.00")), k(1) + (d("7.00"), d("1.00")),            # both survive
+            k(2) + (d("3.00"), d("8.00")), k(2) + (d("0.00"), d("8.00")),            # 0 AMI goes
+            k(3) + (d("3.00"), None), k(3) + (d("3.00"), d("3.00")),                 # null VEE goes
+            k(4) + (None, d("3.00")), k(4) + (d("4.00"), d("3.00")),                 # null AMI in a pair
+            k(5) + (d("0.00"), None)] * 2                                            # alone, with a copy
+    rows += [k(6) + (d(i), d("0.00")) for i in range(3)]                             # three pass as they are
+    rows += [k(7, None) + (d("0.00"), d("1.00")), k(7, None) + (d("1.00"), d("1.00"))]  # null in the key
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(tuple, R.clean_readings(df, parts=5).collect()), key=repr)
+    assert got == brute_force_clean(rows)
+    assert got == sorted(map(tuple, R.clean_readings(df).collect()), key=repr)

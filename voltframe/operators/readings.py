@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.timeindex import sample_minutes, serial_index
@@ -116,9 +116,29 @@ def max_per_key(df: DataFrame, keys=READING_KEY, values=READING_VALUES) -> DataF
     return df.groupBy(*keys).agg(*[F.max(v).alias(v) for v in values])
 
 
-def clean_readings(bronze: DataFrame, policy: str = "reference") -> DataFrame:
-    """bronze (any superset of the reading columns) -> unique cleaned readings."""
-    return resolve_duplicate_pairs(reading_facts(bronze).dropDuplicates(), policy=policy)
+def dealt_pairs(df: DataFrame, keys=READING_KEY) -> DataFrame:
+    """``resolve_duplicate_pairs`` (reference policy) of rows that are dealt out by
+    key already: the rules as written, by a count over the key's rows. They stay
+    where they are, sorted by key; a key with very many rows spills."""
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    alone = F.when(null_key, F.struct(*READING_VALUES))
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, alone)))
+    return counted.filter(F.coalesce(_pair_keep(F.col("_n")), F.lit(False)) | (F.col("_n") != 2)).drop("_n")
+
+
+def clean_readings(bronze: DataFrame, policy: str = "reference", parts: int | None = None) -> DataFrame:
+    """bronze (any superset of the reading columns) -> unique cleaned readings.
+
+    With ``parts`` the readings are dealt out by key into so many partitions at
+    first. All later steps by key (pair rules, merges, change rows of several
+    batches with the same ``parts``) work inside them without another exchange,
+    so a task's memory follows the rows of a partition. Without, a key with a
+    large share of all rows is combined before the exchange.
+    """
+    facts = reading_facts(bronze)
+    if parts and policy == "reference":
+        return dealt_pairs(facts.repartition(parts, *READING_KEY).dropDuplicates())
+    return resolve_duplicate_pairs(facts.dropDuplicates(), policy=policy)
 
 
 def index_readings(cleaned: DataFrame) -> DataFrame:

@@ -88,12 +88,17 @@ class Pipeline:
     # ---- load control with events that grow, on readings over the clock changes
     @cached_property
     def indexed_dst(self) -> DataFrame:
-        return R.index_readings(R.clean_readings(self.fx.fx_bronze_dst))
+        return R.index_readings(R.clean_readings(self.fx.fx_bronze_dst, parts=self.fx.parts("events")))
 
     @cached_property
     def lc_periods_wide(self) -> DataFrame:
         return L.index_lc_periods(self.fx.fx_lc_text_wide)
 
+    @cached_property
+    def lc_parts(self) -> int:
+        """Partitions for the events' intervals: an event has some eight, cut by bins."""
+        return self.fx.parts("orders", 25_000)
+
     # ---- peaks
     @cached_property
     def peaks(self) -> DataFrame:
@@ -134,15 +139,16 @@ class Pipeline:
 
     # ---- change batches: an early file and a later, overlapping file that
     # carries validated (VEE-filled) values
+    # (both dealt out by key into the same partitions, so they meet there)
     @cached_property
     def batch1(self) -> DataFrame:
-        return R.clean_readings(self.bronze.filter(F.dayofmonth("StartDateTime") <= 20))
+        return R.clean_readings(self.bronze.filter(F.dayofmonth("StartDateTime") <= 20), parts=self.fx.parts("events"))
 
     @cached_property
     def batch2(self) -> DataFrame:
         b2 = (self.bronze.filter(F.dayofmonth("StartDateTime") >= 10)
               .withColumn("VEEValue", F.coalesce("VEEValue", "AMIValue")))
-        return R.clean_readings(b2)
+        return R.clean_readings(b2, parts=self.fx.parts("events"))
 
     @cached_property
     def upserted(self) -> DataFrame:

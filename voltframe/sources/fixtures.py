@@ -292,6 +292,7 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
         use_utc(spark)
 
     def table(self, name: str) -> DataFrame:
@@ -299,6 +300,13 @@ class Fixtures:
             self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
+    def parts(self, name: str, rows_each: int = 150_000) -> int:
+        """How many partitions of ``rows_each`` rows a driver table fills (its row
+        count stands in the files' footers), and no fewer than there are cores."""
+        if name not in self._rows:
+            self._rows[name] = self.table(name).count()
+        return max(self.spark.sparkContext.defaultParallelism, -(-self._rows[name] // rows_each))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
             return self.table(name)
