@@ -65,3 +65,23 @@ def test_sweep_sums_one_bin_of_a_key_at_a_time(spark):
     plan = plan_text(I.program_coverage(I.event_segments(p.lc_periods_wide)))
     assert "partial_sum" in plan  # deltas are added up before they are shuffled
     assert any("Window" in line and "bin" in line for line in plan.splitlines())
+
+
+def test_dealt_sweeps_give_the_same_intervals(spark):
+    p = Pipeline.of(spark, SF_SMALL)
+    args = (p.lc_periods_wide, p.fx.fx_load_types_wide, p.indexed_dst, "Program")
+    got = I.load_control_intervals(*args, parts=5)
+    assert rows(got) == rows(I.load_control_intervals(*args))
+    from voltframe.plans.explain import plan_text
+    # one exchange for a sweep, and the profile's text goes with no interval
+    sweeps = [ln for ln in plan_text(got).splitlines() if "Exchange hashpartitioning" in ln and "bin" in ln and ", 5)" in ln]
+    assert sweeps and not any("Window" in ln and "entries" in ln for ln in plan_text(got).splitlines())
+
+
+def test_incremental_runs_start_from_tables(spark):
+    """The result's own plan is the upsert of two tables, whatever led to them."""
+    from voltframe.plans.catalog import QUERIES
+    from voltframe.plans.explain import plan_text
+    plan = plan_text(QUERIES["lc_incremental"](spark, SF_SMALL))
+    assert "Window" not in plan and "events.parquet" not in plan
+    assert plan.count("lc-existing") and plan.count("lc-fresh")

@@ -78,10 +78,14 @@ def in_bins(intervals: DataFrame) -> DataFrame:
                           "hi": F.least("hi", F.col("bin") * BIN + BIN - 1)}))
 
 
-def swept(intervals: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+def swept(intervals: DataFrame, keys: list[str], sums: list[str], parts: int | None = None) -> DataFrame:
     """``keys, bin, lo, hi, sums``: the sums over the intervals that cover a slot,
-    run-length coded, where the first of them or another isn't zero."""
+    run-length coded, where the first of them or another isn't zero. With ``parts``
+    the intervals are dealt out by key and bin into so many partitions, in which
+    they are both added up and swept."""
     cut = in_bins(intervals.select(*keys, "lo", "hi", *sums))
+    if parts:
+        cut = cut.repartition(parts, *keys, "bin")
     step = F.explode(F.array(F.struct(F.col("lo").alias("at"), *[F.col(s).alias(s) for s in sums]),
                              F.struct((F.col("hi") + 1).alias("at"), *[(-F.col(s)).alias(s) for s in sums])))
     steps = (cut.select(*keys, "bin", step.alias("x")).select(*keys, "bin", "x.*")
@@ -98,14 +102,21 @@ def swept(intervals: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     return runs.filter(some)
 
 
-def program_coverage(segments: DataFrame, distinct_types: bool = False) -> DataFrame:
+def program_coverage(segments: DataFrame, distinct_types: bool = False, parts: int | None = None) -> DataFrame:
     """``Program, bin, lo, hi, cover``: points of a programme at each slot of the
     interval (1 for any number with ``distinct_types``)."""
-    cover = swept(segments.withColumnRenamed("weight", "cover"), ["Program"], ["cover"])
+    cover = swept(segments.withColumnRenamed("weight", "cover"), ["Program"], ["cover"], parts)
     return cover.withColumn("cover", F.lit(1).cast("long")) if distinct_types else cover
 
 
-def fulfilled_intervals(coverage: DataFrame, profiles: DataFrame) -> DataFrame:
+def numbered_profiles(profiles: DataFrame) -> DataFrame:
+    """``meter_profiles`` with the smallest meter of each profile for its key: the
+    key's text holds all programmes, too long to go with every interval."""
+    first = profiles.groupBy("ProfileKey").agg(F.min("BI_MTR_NBR").alias("_first"))
+    return profiles.join(first, "ProfileKey").drop("ProfileKey").withColumnRenamed("_first", "ProfileKey")
+
+
+def fulfilled_intervals(coverage: DataFrame, profiles: DataFrame, parts: int | None = None) -> DataFrame:
     """``ProfileKey, bin, lo, hi``: where the points of a profile's programmes are
     as many as its programmes, and at least one of them has a point."""
     entry = (profiles.groupBy("ProfileKey", "ProgramCount").agg(F.first("entries").alias("entries"))
@@ -113,23 +124,24 @@ def fulfilled_intervals(coverage: DataFrame, profiles: DataFrame) -> DataFrame:
              .select("ProfileKey", "ProgramCount", F.col("x._prog").alias("Program"), F.col("x.w").alias("w")))
     hits = entry.join(coverage, "Program").select(
         "ProfileKey", "ProgramCount", "lo", "hi", (F.col("w") * F.col("cover")).alias("hits"), F.col("cover").alias("n"))
-    return (swept(hits, ["ProfileKey", "ProgramCount"], ["hits", "n"])
+    return (swept(hits, ["ProfileKey", "ProgramCount"], ["hits", "n"], parts)
             .filter((F.col("hits") == F.col("ProgramCount")) & (F.col("n") > 0))
             .select("ProfileKey", "bin", "lo", "hi"))
 
 
 def load_control_intervals(periods: DataFrame, meter_map: DataFrame, indexed: DataFrame,
                            program_col: str = "BI_LOAD_TYPE", since_index: int | Column = 1, tz: str = LOCAL_TZ,
-                           direction: str = "F", channel: int = 1, distinct_types: bool = False) -> DataFrame:
+                           direction: str = "F", channel: int = 1, distinct_types: bool = False,
+                           parts: int | None = None) -> DataFrame:
     """``load_control_analysis`` of the same events, from their periods
     (``index_lc_periods``) in place of their points: equal row for row.
 
     The days with a fulfilled interval (at most one row a calendar day, so
-    broadcast) trim the readings before any shuffle.
+    broadcast) trim the readings before any shuffle. ``parts``: see ``swept``.
     """
     segments = event_segments(periods, since_index=since_index)
-    profiles = meter_profiles(meter_map, program_col, distinct_types)
-    fulfilled = fulfilled_intervals(program_coverage(segments, distinct_types), profiles)
+    profiles = numbered_profiles(meter_profiles(meter_map, program_col, distinct_types))
+    fulfilled = fulfilled_intervals(program_coverage(segments, distinct_types, parts), profiles, parts)
     days = F.broadcast(fulfilled.select(F.col("bin").alias("_day")).distinct())
     slot = F.col("EndMeterSampleIndex")
     readings = (indexed.filter((F.col("FlowDirection") == direction) & (F.col("Channel") == channel) & slot.isNotNull())

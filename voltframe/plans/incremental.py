@@ -44,7 +44,7 @@ LC_KEY = ["BI_ACCT", "BI_SRV_LOC_NBR", "MeterNumber", "UnitOfMeasure", "FlowDire
 
 def update_lc_analysis(existing: DataFrame | None, points: DataFrame, meter_map: DataFrame,
                        indexed: DataFrame, since_index: int | Column, program_col: str = "BI_LOAD_TYPE",
-                       tz: str = LOCAL_TZ, analysis=load_control_analysis) -> DataFrame:
+                       tz: str = LOCAL_TZ, analysis=load_control_analysis, keep=None) -> DataFrame:
     """Fold everything after ``since_index`` into the analysis table.
 
     Groups (meter, local hour, event, load type) that have a reading ending
@@ -55,13 +55,15 @@ def update_lc_analysis(existing: DataFrame | None, points: DataFrame, meter_map:
     an hour and the longest sample before ``since_index``; that length comes from
     the readings themselves. Fulfilment at a slot only depends on the events at
     that slot. ``analysis`` is ``load_control_analysis`` with points or
-    ``load_control_intervals`` with periods.
+    ``load_control_intervals`` with periods. The upsert reads the recomputed
+    groups twice; ``keep`` (``tables.stored``, say) may store them in between.
     """
     since = since_index if isinstance(since_index, Column) else F.lit(since_index)
     longest = indexed.agg(F.coalesce(F.max(F.col("EndMeterSampleIndex") - F.col("StartMeterSampleIndex")),
                                      F.lit(0))).scalar()
     fresh = (analysis(points, meter_map, indexed, program_col, since_index=since - SLOTS_PER_HOUR - longest, tz=tz)
              .filter(F.col("EndMeterSampleIndex") > since))
+    fresh = keep(fresh) if keep else fresh
     if existing is None:
         return fresh
     return C.upsert(existing, fresh, LC_KEY)

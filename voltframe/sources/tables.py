@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.operators.changes import upsert
+from voltframe.session import scratch_folder
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
@@ -28,6 +29,14 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a new scratch folder and read from there: what several
+    later steps need is worked out once, and their plans begin here."""
+    folder = scratch_folder(df.sparkSession, tag)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 class DayTable:
     def __init__(self, spark: SparkSession, path: str, part_col: str = "day"):
         self.spark, self.path, self.part_col = spark, path.rstrip("/"), part_col
