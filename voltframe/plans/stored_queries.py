@@ -146,9 +146,10 @@ def _merged(spark: SparkSession, sf_dir: str, submeter_map: DataFrame | None = N
     the first has too, drained into the chain's tables; then a run with nothing
     new, and the last batch replayed."""
     root = scratch_folder(spark, "merge")
-    bronze = R.reading_facts(Pipeline.of(spark, sf_dir).bronze)
+    p = Pipeline.of(spark, sf_dir)
+    bronze = R.reading_facts(p.bronze)
     day = F.dayofmonth("StartDateTime")
-    chain = SilverChain(spark, f"{root}/silver", submeter_map)
+    chain = SilverChain(spark, f"{root}/silver", submeter_map, parts=p.fx.parts("events"))
     for drop in (bronze.filter(day <= 20),
                  bronze.filter(day >= 10).withColumn("VEEValue", F.coalesce("VEEValue", "AMIValue")), None):
         if drop is not None:

@@ -38,7 +38,6 @@ from voltframe.operators.loadcontrol import load_control_analysis
 from voltframe.operators.quality import observed, require_no_nulls, require_unique
 from voltframe.operators.submeters import NOSUB_KEY, exclude_submeters
 from voltframe.plans.incremental import LC_KEY, rebuild_hours
-from voltframe.session import ensure_checkpoint_dir
 from voltframe.sources.tables import DayTable, day_of, read_if_there
 
 STAGED, APPLIED = 1, 2
@@ -47,11 +46,11 @@ STAGED, APPLIED = 1, 2
 class SilverChain:
     def __init__(self, spark: SparkSession, root: str, submeter_map: DataFrame | None = None,
                  tz: str = LOCAL_TZ, gates: bool = True, lc_points: DataFrame | None = None,
-                 program_map: DataFrame | None = None, program_col: str = "BI_LOAD_TYPE"):
+                 program_map: DataFrame | None = None, program_col: str = "BI_LOAD_TYPE", parts: int | None = None):
         self.spark, self.root, self.tz, self.gates = spark, root.rstrip("/"), tz, gates
         require_whole_hours(tz)
-        ensure_checkpoint_dir(spark)  # micro-batches are checkpointed to the shared folder
         self.submeter_map = submeter_map
+        self.parts = parts  # of a batch's readings, see ``clean_readings``
         self.cleaned = DayTable(spark, f"{self.root}/cleaned")
         self.indexed = DayTable(spark, f"{self.root}/indexed")
         self.nosub = DayTable(spark, f"{self.root}/nosub")
@@ -102,9 +101,9 @@ class SilverChain:
             return self.spark.read.schema(df.schema).parquet(f"{staged}/{name}")
 
         raw, seen = observed(bronze_batch, f"bronze_{batch_id}")
-        cleaned, kept = observed(R.clean_readings(R.drop_header_rows(raw)), f"cleaned_{batch_id}")
+        cleaned, kept = observed(R.clean_readings(R.drop_header_rows(raw), parts=self.parts), f"cleaned_{batch_id}")
         # the batch is reused by every stage below
-        cleaned = cleaned.withColumn("day", day_of("StartDateTime")).checkpoint()
+        cleaned = stage("batch", cleaned.withColumn("day", day_of("StartDateTime")))
         self.metrics[batch_id] = {"bronze_rows": seen.get.get("rows"), "cleaned_rows": kept.get.get("rows")}
         days = self.cleaned.touched(cleaned)  # UTC days: what every reading-keyed table rewrites
         key = R.READING_KEY
@@ -119,7 +118,8 @@ class SilverChain:
         indexed = R.index_readings(cleaned.drop("day")).withColumn("day", day_of("StartDateTime"))
         if self.gates:
             require_no_nulls(indexed, ["StartMeterSampleIndex", "EndMeterSampleIndex"], "indexed batch")
-        upstream = stage("indexed", self.indexed.merged(indexed, key, days)).drop("day")
+        # indexing is per reading: the index of what was merged is the merge of the indexed
+        upstream = stage("indexed", R.index_readings(now.drop("day")).withColumn("day", day_of("StartDateTime"))).drop("day")
         # with whole-hour zone offsets a local hour lies inside one UTC day, so
         # the touched days hold every reading of every touched hour
         hours = H.with_local_parts(indexed.drop("day"), "StartMeterSampleIndex", self.tz)
