@@ -103,3 +103,40 @@ def test_partitions_follow_the_rows(spark, tmpdir_path):
     fx = Fixtures(spark, tmpdir_path)
     assert fx.parts("events", 10) == 100
     assert fx.parts("events", 10**6) == spark.sparkContext.defaultParallelism
+
+
+def test_slots_are_grouped_in_partitions_that_follow_the_events(spark, tmpdir_path, monkeypatch):
+    """Same rows as the SQL text; no task groups a whole file split."""
+    from voltframe.plans.explain import plan_text
+    from voltframe.sources.fixtures import FIXTURES, Fixtures
+    rows = [(i, None if i % 13 == 0 else f"2024-01-0{1 + i % 3} 0{i % 5}:{i % 4 * 14 + 3}:10", None if i % 11 == 0 else i % 6,
+             None if i % 17 == 0 else ("error", "view")[i % 2], None if i % 7 == 0 else i / 8) for i in range(400)] * 2
+    (spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+     .withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmpdir_path}/events.parquet"))
+    fx = Fixtures(spark, tmpdir_path)
+    monkeypatch.setattr(fx, "parts", lambda name, rows_each=0: 7)
+    want = spark.sql(FIXTURES["fx_slots"][1], events=fx.events)
+    assert fx.fx_slots.schema == want.schema
+    assert (sorted(map(tuple, fx.fx_slots.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr))
+    lines = plan_text(fx.fx_slots).splitlines()
+    deal = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert len(deal) == 1 and ", 7)" in lines[deal[0]]
+    assert not any("Aggregate" in ln for ln in lines[deal[0]:])  # below it
+
+
+def test_usage_quantiles_sums_hours_in_partitions_that_follow_the_rows(spark, monkeypatch):
+    from sf_dirs import SF_SMALL
+    from voltframe.operators import hourly as H
+    from voltframe.operators import readings as R
+    from voltframe.plans.explain import plan_text
+    from voltframe.plans.pipeline import Pipeline
+    from voltframe.plans.catalog import QUERIES
+    p = Pipeline(spark, SF_SMALL)
+    monkeypatch.setattr(p.fx, "parts", lambda name, rows_each=0: 7)
+    monkeypatch.setattr(Pipeline, "of", classmethod(lambda cls, spark, sf_dir: p))
+    by_hour = [ln for ln in plan_text(QUERIES["usage_quantiles"](spark, SF_SMALL)).splitlines()
+               if "Exchange hashpartitioning(MeterNumber" in ln and "HourEnding" in ln]
+    assert by_hour and all(", 7)" in ln for ln in by_hour)
+    indexed = R.index_readings(p.batch1)
+    dealt, summed = H.hourly_usage(indexed, parts=7), H.hourly_usage(indexed)
+    assert dealt.schema == summed.schema and dealt.exceptAll(summed).count() == summed.exceptAll(dealt).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.text import pct_difference
 from voltframe.functions.timeindex import (CALENDAR_FIRST_YEAR, CALENDAR_LAST_YEAR, LOCAL_TZ, hour_ending,
                                            index_to_local, index_to_utc)
+from voltframe.operators.readings import READING_VALUES
 
 HOURLY_KEY = ["MeterNumber", "UnitOfMeasure", "FlowDirection", "Channel",
               "LocalYear", "LocalMonth", "LocalDay", "HourEnding"]
@@ -37,7 +38,8 @@ def with_local_parts(df: DataFrame, index_col: str = "StartMeterSampleIndex",
               .drop("_local"))
 
 
-def hourly_usage(indexed: DataFrame, tz: str = LOCAL_TZ, drop_copies: bool = False) -> DataFrame:
+def hourly_usage(indexed: DataFrame, tz: str = LOCAL_TZ, drop_copies: bool = False,
+                 parts: int | None = None) -> DataFrame:
     """Per meter/unit/direction/channel and local hour: summed AMI and VEE
     and the last slot index of the hour.
 
@@ -45,10 +47,16 @@ def hourly_usage(indexed: DataFrame, tz: str = LOCAL_TZ, drop_copies: bool = Fal
     The indexed table is unique on the reading key (gated upstream), so the
     full-row de-duplication pass is opt-in (``drop_copies``) rather than a
     shuffle of the largest table on every run.
+
+    With ``parts`` the readings are dealt out by hour into so many partitions and
+    summed inside them, so a task's memory follows the rows of a partition.
+    Without, they are summed on both sides of the exchange, which saves little on
+    readings that are dealt out by their start (``clean_readings``).
     """
-    src = indexed.dropDuplicates() if drop_copies else indexed
-    return (with_local_parts(src, "StartMeterSampleIndex", tz)
-            .groupBy(*HOURLY_KEY).agg(*hourly_aggs()))
+    src = with_local_parts(indexed.dropDuplicates() if drop_copies else indexed, "StartMeterSampleIndex", tz)
+    if parts:
+        src = src.select(*HOURLY_KEY, *READING_VALUES, "EndMeterSampleIndex").repartition(parts, *HOURLY_KEY)
+    return src.groupBy(*HOURLY_KEY).agg(*hourly_aggs())
 
 
 def hourly_aggs():

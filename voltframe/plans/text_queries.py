@@ -90,10 +90,11 @@ def usage_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     second doesn't touch keep their sketches of the first. Each quantile is held
     against the exact ranks."""
     p = Pipeline.of(spark, sf_dir)
-    now = H.hourly_usage(R.index_readings(p.upserted))
+    parts = p.fx.parts("events")
+    now = H.hourly_usage(R.index_readings(p.upserted), parts=parts)
     touched = (H.with_local_parts(R.index_readings(p.batch2)).select(*SK.DAY).distinct())
     fresh = SK.day_sketches(now.join(F.broadcast(touched), SK.DAY, "left_semi"))
-    days = SK.with_days(SK.day_sketches(H.hourly_usage(R.index_readings(p.batch1))), fresh)
+    days = SK.with_days(SK.day_sketches(H.hourly_usage(R.index_readings(p.batch1), parts=parts)), fresh)
     got = SK.rank_errors(SK.month_quantiles(days), now)
     return got.select("UnitOfMeasure", "LocalYear", "LocalMonth", "Quantile", "Hours",
                       (F.col("RankError") <= SK.RANK_ERROR).alias("WithinBound"))

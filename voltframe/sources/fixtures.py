@@ -193,6 +193,25 @@ FROM (SELECT s_suppkey % 5 AS g, MAX(FLOOR(s_suppkey / 5)) AS mx FROM {supplier}
 }
 
 
+# Spark-side form of the slots: the events are dealt out by slot into partitions
+# that follow their number and grouped inside them. Grouped before the exchange,
+# a task would hold the slots of its whole file split, however long that is.
+_SLOT = {
+    "MeterNumber": "CAST(user_id AS INT)",
+    "UnitOfMeasure": "CASE WHEN event_type = 'error' THEN 'KVARH' ELSE 'KWH' END",
+    "FlowDirection": "CASE WHEN event_id % 7 = 0 THEN 'R' ELSE 'F' END",
+    "Channel": "CAST(CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END AS INT)",
+    "StartDateTime": "CAST(date_trunc('hour', ts) + CAST(FLOOR(EXTRACT(MINUTE FROM ts) / 15) AS INT) "
+                     "* INTERVAL '15' MINUTE AS TIMESTAMP)"}
+
+
+def _spark_slots(fx: "Fixtures") -> DataFrame:
+    rows = fx["events"].select(*[F.expr(x).alias(c) for c, x in _SLOT.items()], "event_id",
+                               F.col("value").cast("decimal(18,2)").alias("value"))
+    return (rows.repartition(fx.parts("events"), *_SLOT).groupBy(*_SLOT)
+            .agg(F.min("event_id").alias("k"), F.sum("value").cast("decimal(18,2)").alias("v")))
+
+
 # Spark-side forms of the fixtures that the SQL text writes as UNION ALL of
 # several filtered copies of one input: one pass with ``explode`` instead, so
 # the input is scanned and aggregated once (the union branches prune
@@ -236,7 +255,7 @@ def _spark_cells(fx: "Fixtures") -> DataFrame:
             .filter(F.col("value").isNotNull()))
 
 
-SPARK_FIXTURES = {"fx_bronze": _spark_bronze, "fx_load_types": _spark_load_types,
+SPARK_FIXTURES = {"fx_slots": _spark_slots, "fx_bronze": _spark_bronze, "fx_load_types": _spark_load_types,
                   "fx_cells": _spark_cells}
 
 
