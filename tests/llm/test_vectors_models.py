@@ -296,6 +296,20 @@ def test_mixing_held_out_accuracy(spark):
     assert all(right[got["lang"] == d].mean() >= 0.95 for d in mixing.TARGETS)
 
 
+def test_mixing_reads_each_text_once(spark):
+    """The classifier learns from stored buckets, not from the texts again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        seen.add(1)
+        return f"{('zork', 'fnord')[i % 2]} {i} ({i % 7})"
+    rows = spark.createDataFrame([(i, ("en", "de")[i % 2]) for i in range(60)], "doc_id long, lang string")
+    docs = rows.withColumn("text", F.udf(text, "string", useArrow=False)("doc_id"))
+    got = mixing.mixture(docs, rows.select("doc_id"), {"en": 0.5, "de": 0.5}).toPandas()
+    assert len(got) == 60 and (got["tokens"] == 3).all()
+    assert seen.value == 60
+
+
 def test_mixing_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
     got = mixing.mixture(docs, labels)

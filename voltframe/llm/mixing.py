@@ -7,11 +7,12 @@ targets. Everything is DataFrame expressions: no Python touches a row.
 
 Classifier: multinomial naive Bayes over the first and the last ``PART``
 characters of each word, hashed to ``BUCKETS`` buckets; white space separates
-words, marks around them don't count. Its parameters are one grouped sum per
-domain and bucket over all labelled documents, so a hot domain is combined
-map-side, whatever the domains are called and whichever column holds them. Log
-odds are divided by the square root of the number of features to keep
-posteriors soft on long texts.
+words, marks around them don't count. The buckets of every document are stored
+once, as small numbers: its text is neither dealt out nor read again. The
+parameters are one grouped sum per domain and bucket over all labelled
+documents, so a hot domain is combined map-side, whatever the domains are called
+and whichever column holds them. Log odds are divided by the square root of the
+number of features to keep posteriors soft on long texts.
 
 Rates: of all rates of at least 1 whose totals are in the targets' proportions,
 those nearest 1 (least squares weighted by tokens; the mixture's size is free).
@@ -35,11 +36,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import KEY, WORD_SEPARATOR, checkpointed, row_key, table
+from voltframe.llm.common import KEY, WORD_SEPARATOR, checkpointed, row_key, stored, table
 
 #: Share of the mixture's tokens that each domain is to have.
 TARGETS = {"en": 0.58, "de": 0.15, "fr": 0.15, "es": 0.12}
-#: A power of two.
+#: A power of two, below 2 ** 15.
 BUCKETS = 2048
 PART = 3
 #: Stripped from both ends of a word before its parts are taken.
@@ -61,7 +62,7 @@ def words(text: Column) -> Column:
 def buckets(words: Column) -> Column:
     """Buckets, 0 to ``BUCKETS`` - 1, of the beginnings and the ends of ``words``."""
     def hashed(part: Column) -> Column:
-        return F.xxhash64(part).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+        return F.xxhash64(part).bitwiseAND(F.lit(BUCKETS - 1)).cast("smallint")
     def stripped(w: Column) -> Column:  # a word that begins with a letter has marks at its end only
         plain = (w >= F.lit("a")) & (w < F.lit("{"))
         return F.when(plain, F.rtrim(w, F.lit(AROUND))).otherwise(F.trim(w, F.lit(AROUND)))
@@ -77,11 +78,11 @@ def _once(value: Column, use) -> Column:
 
 def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float], np.ndarray]:
     """Log priors and log probabilities of the buckets (a row for each) of
-    ``domains`` from rows with ``domain`` and ``words``; Laplace-smoothed, so a
+    ``domains`` from rows with ``domain`` and ``at`` (``buckets``); Laplace-smoothed, so a
     domain without labelled rows gets a flat one."""
     number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("int") - 1
     # bucket BUCKETS counts the rows; one number stands for domain and bucket
-    at = F.explode(F.concat(F.array(F.lit(BUCKETS)), buckets(F.col("words")))).alias("at")
+    at = F.explode(F.concat(F.array(F.lit(BUCKETS).cast("smallint")), F.col("at"))).alias("at")
     got = (labelled.where(F.col("domain").isin(domains)).select(number.alias("k"), at)
            .groupBy((F.col("k") * (BUCKETS + 1) + F.col("at")).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
     n, counts = np.zeros(len(domains)), np.ones((BUCKETS, len(domains)))
@@ -95,27 +96,25 @@ def domain_model(labelled: DataFrame, domains: list[str]) -> tuple[list[float],
     return [float(p) for p in priors], np.log(counts / counts.sum(axis=0))
 
 
-def posteriors(words: Column, model: tuple[list[float], np.ndarray]) -> Column:
-    """Array of the domains' posteriors."""
+def posteriors(at: Column, model: tuple[list[float], np.ndarray]) -> Column:
+    """Array of the domains' posteriors of a document with the buckets ``at``."""
     priors, logs = model
 
     def numbers(values) -> Column:  # one literal, folded by the optimiser
         return F.split(F.lit(" ".join(f"{x:.6g}" for x in values)), " ").cast("array<double>")
 
-    def judge(at: Column) -> Column:
-        def logit(prior: float, logs) -> Column:
-            table = numbers(logs)
-            total = F.aggregate(at, F.lit(0.0), lambda a, b: a + F.get(table, b))
-            return F.lit(prior) + total / F.sqrt(F.size(at) + 1.0)
+    def logit(prior: float, logs) -> Column:
+        table = numbers(logs)
+        total = F.aggregate(at, F.lit(0.0), lambda a, b: a + F.get(table, b))
+        return F.lit(prior) + total / F.sqrt(F.size(at) + 1.0)
 
-        def share(logits: Column) -> Column:
-            raised = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-            return _once(raised, lambda r: F.transform(
-                r, lambda x: x / F.aggregate(r, F.lit(0.0), lambda a, y: a + y)))
-        # odds against the last domain: one lookup less for each feature
-        odds = [logit(p - priors[-1], logs[:, k] - logs[:, -1]) for k, p in enumerate(priors[:-1])]
-        return _once(F.array(*odds, F.lit(0.0)), share)
-    return _once(buckets(words), judge)
+    def share(logits: Column) -> Column:
+        raised = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
+        return _once(raised, lambda r: F.transform(
+            r, lambda x: x / F.aggregate(r, F.lit(0.0), lambda a, y: a + y)))
+    # odds against the last domain: one lookup less for each feature
+    odds = [logit(p - priors[-1], logs[:, k] - logs[:, -1]) for k, p in enumerate(priors[:-1])]
+    return _once(F.array(*odds, F.lit(0.0)), share)
 
 
 def _wanted(post: Column, targets: Mapping[str, float]) -> Column:
@@ -240,14 +239,13 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = T
     gives an empty result."""
     names = list(targets)
     known = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    # texts, not words, are dealt; always by a shuffle, as the labels grow with the documents
-    labelled = (docs.select(F.col(id_col).alias("id"), F.col(domain_col).alias("domain"), F.col(text_col).alias("text"))
-                .where(F.col("domain").isin(names)).join(known.hint("merge"), "id", "left_semi"))
-    model = domain_model(labelled.select("domain", words(F.col("text")).alias("words")), names)
-    members = (docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
-               .select(*KEY, F.col("id").alias(id_col), _once(F.col("words"), lambda w: F.struct(
-                   F.size(w).cast("long").alias("tokens"), posteriors(w, model).alias("post"))).alias("judged")))
-    members = checkpointed(members.select(*KEY, id_col, "judged.*"))
+    read = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.col(domain_col).alias("domain"), _once(
+        words(F.col(text_col)), lambda w: F.struct(F.size(w).cast("long").alias("tokens"), buckets(w).alias("at"))).alias("read"))
+    read = stored(read.select(*KEY, "id", "domain", "read.*"), "mixing-buckets")
+    # always by a shuffle, as the labels grow with the documents
+    labelled = read.where(F.col("domain").isin(names)).select("id", "domain", "at").join(known.hint("merge"), "id", "left_semi")
+    model = domain_model(labelled, names)
+    members = checkpointed(read.select(*KEY, F.col("id").alias(id_col), "tokens", posteriors(F.col("at"), model).alias("post")))
     rate = fitted_rate(members, targets)
     draw = (F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) / float(1 << 30))
     return (members.withColumn("rate", rate)
