@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from voltframe.llm import lines, packing, secrets, simhash, substring
-from voltframe.llm.common import components, table
+from voltframe.llm.common import checkpointed, components, table
 from voltframe.llm.html import render, extract_text
 
 SF = "/root/testdata/sf0.001"
@@ -23,6 +23,21 @@ PATTERNS = [("assign", re.compile(
     ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
 
 
+def exploded_broadcasts(df):
+    """Explodes that were planned or ran right below a broadcast: with no exchange
+    between them, Spark sizes their rows as those before the explode."""
+    df.collect()
+    found, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        if node := re.match(r"([ :]*)[+:]- (?:\*\(\d+\) )?(\w+)", line):
+            above = [(depth, name) for depth, name in above if depth < len(node[1])]
+            moved = [name for _, name in above if name in ("Exchange", "BroadcastExchange")]
+            if node[2] == "Generate" and moved[-1:] == ["BroadcastExchange"]:
+                found.append(line)
+            above.append((len(node[1]), node[2]))
+    return found
+
+
 def base_spans(text):
     found = sorted((m.start(), i, k, m.end()) for i, (k, p, g, n) in enumerate(PATTERNS)
                    for m in p.finditer(text or "") if len(m.group(g)) >= n)
@@ -309,6 +324,19 @@ def test_pigeonring_loses_no_link(spark, distance):
     assert got == {f: top(f) for f in fps}
 
 
+def test_exploded_fingerprints_are_not_broadcast(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(simhash, "checkpointed", lambda df: seen.append(df) or checkpointed(df))
+    monkeypatch.setattr(simhash, "components", lambda df: seen.append(df) or components(df))
+    far = 1 + (1 << 32)  # no two neighbouring segments stay equal: only the join on flipped bits finds it
+    twin = F.when(F.col("id") < 50, F.col("fp").bitwiseXOR(F.when(F.col("id") % 2 == 0, 1).otherwise(far)))
+    some = spark.range(300, numPartitions=4).select("id", F.xxhash64("id").alias("fp")).withColumn("twin", twin)
+    got = simhash.link_fingerprints(some.select("fp").union(some.where("id < 50").select("twin")))
+    assert {x.root for x in got.collect()} == {x.fp if x.twin is None else min(x.fp, x.twin) for x in some.collect()}
+    assert len(seen) == 4 and got.count() == 350
+    assert not [line for df in [*seen, got] for line in exploded_broadcasts(df)]
+
+
 def test_simhash_groups_odd_rows(docs, empty):
     got = simhash.simhash_groups(docs).collect()
     assert len(got) == docs.count()

@@ -108,7 +108,8 @@ def link_fingerprints(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataF
     cuts = segments(max_distance + 1)
     exact = fps.select("fp", F.inline(_keys(cuts, flips=False)))
     first = exact.groupBy("place", "key").agg(F.min("fp").alias("fp2"), F.max("fp").alias("last"))
-    star = (exact.join(first.where("fp2 <> last"), ["place", "key"])
+    # no broadcast, here and below: Spark sizes all keys of a fingerprint as one row
+    star = (exact.join(first.where("fp2 <> last").hint("merge"), ["place", "key"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))).between(1, max_distance))
             .select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct())
     star = checkpointed(star)
@@ -120,7 +121,7 @@ def link_fingerprints(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataF
     left = known.select("fp", "root", F.inline(_keys(cuts, flips=False)))
     right = known.select(F.col("fp").alias("fp2"), F.col("root").alias("root2"),
                          F.inline(_keys(cuts, flips=True)))
-    rest = (left.join(right, ["place", "key"])
+    rest = (left.join(right.hint("merge"), ["place", "key"])
             .where((F.col("root") < F.col("root2")) & _chain_ok(cuts, max_distance))
             .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
     merged = components(rest).select(F.col("id").alias("root"), F.col("root").alias("top"))
