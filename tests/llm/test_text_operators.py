@@ -399,6 +399,20 @@ def test_spread_lines_near_the_threshold_are_exact(spark):
     assert {int(g.n): g.r for g in got} == {n: (n - 1 if n >= 30 else 0) for n in range(1, 60)}
 
 
+def test_exploded_lines_are_not_broadcast(spark, monkeypatch, tmpdir_path):
+    seen = []
+    monkeypatch.setattr(lines, "checkpointed", lambda df: seen.append(df) or checkpointed(df))
+    text = "\n".join(f"line {i} of a longer page" for i in range(200))
+    (spark.range(10, numPartitions=2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"),
+                                             (F.col("id") % 5).cast("string").alias("source"))
+     .write.parquet(f"{tmpdir_path}/documents.parquet"))
+    out = lines.op5_line_dedup(spark, tmpdir_path)
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].text == text and got[0].n_removed == 0 and len(got) == 10
+    assert all(got[d].text == "" and got[d].n_removed == 200 for d in range(1, 10))
+    assert len(seen) == 1 and not exploded_broadcasts(seen[0]) and not exploded_broadcasts(out)
+
+
 def test_short_lines_need_half_of_the_sites(spark):
     rows = [(i, f"Log in\nYes\ntext of document {i} alone\n \n", f"s{i}") for i in range(10)]
     rows += [(10 + i, f"No\ntext of document {10 + i} alone", f"s{10 + i}") for i in range(10)]

@@ -59,7 +59,8 @@ def spread_lines(lines: DataFrame) -> DataFrame:
     # a line of a third of all rows meets its hash in SALTS parts, not in one task
     part = F.pmod(F.xxhash64(*KEY, "pos"), F.lit(SALTS)).cast("int")
     parts = near.select(*LINE, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
-    exact = (lines.select(*LINE, "site", part.alias("part")).join(parts, [*LINE, "part"], "left_semi")
+    # no broadcast: Spark sizes all parts of a line as one row
+    exact = (lines.select(*LINE, "site", part.alias("part")).join(parts.hint("merge"), [*LINE, "part"], "left_semi")
              .select(*LINE, "site").distinct().groupBy(*LINE).agg(F.count("site").alias("exact")))
     return (seen.join(exact, LINE, "left")
             .where(F.coalesce("exact", "sites") >= F.col("need")).select(*LINE, "first"))
@@ -76,8 +77,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result, so a first occurrence in a repeated row stays in each of them. An
     empty table gives an empty result."""
     lines = _lines(docs, id_col, text_col, site_col, min_sites, min_chars)
-    # cut off before the join, so that its size is known and AQE can split a frequent line
-    drops = (lines.join(checkpointed(spread_lines(lines)), LINE)
+    # cut off before the join, so that its size is known and AQE can split a frequent line;
+    # no broadcast: Spark sizes all lines of a document as one row
+    drops = (lines.join(checkpointed(spread_lines(lines)).hint("merge"), LINE)
              .where(F.struct(*KEY, "pos") != F.col("first"))
              .groupBy(*KEY).agg(F.collect_set("pos").alias("__drop_lines")))
     key = row_key(id_col, text_col)
